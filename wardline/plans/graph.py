@@ -94,7 +94,12 @@ class ModelGraph:
     def mart_organization_kpis_rt(self) -> DataFrame:
         return M.mart_organization_kpis_rt(self.int_encounters_enriched, self.dim_organizations)
 
+    @property
+    def seed_encounter_planned_classification(self) -> DataFrame:
+        return self.seed_planned
+
     def model(self, name: str) -> DataFrame:
+        """Resolve a model by name (also the resolver used by quality checks)."""
         return getattr(self, name)
 
 

@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wardline import oracle
+from wardline.operators import marts as M
+from wardline.operators import quality as Q
+from wardline.plans import analyses as A
+from wardline.plans.checks import WAREHOUSE_CHECKS, checks_of_kind
 from wardline.plans.graph import ModelGraph
 from wardline.session import ensure_checkpoint_dir
 from wardline.sources.testdata import raw_from_testdata
@@ -23,9 +27,9 @@ def graph(spark: SparkSession, sf_dir: str, **kw) -> ModelGraph:
     return ModelGraph(spark, raw_from_testdata(spark, sf_dir), **kw)
 
 
-def _model(name: str) -> Query:
+def _q(name: str, fn: Callable[[ModelGraph], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return graph(spark, sf_dir).model(name)
+        return fn(graph(spark, sf_dir))
     run.__name__ = name
     return run
 
@@ -37,5 +41,48 @@ MODEL_KEYS = (
     "mart_organization_kpis", "mart_high_utilizers",
 )
 
-QUERIES: dict[str, Query] = {k: _model(k) for k in MODEL_KEYS}
+QUERIES: dict[str, Query] = {k: _q(k, lambda g, k=k: g.model(k)) for k in MODEL_KEYS}
 ORACLE: dict[str, str] = {k: oracle.model_sql(k) for k in MODEL_KEYS}
+
+# aggregate building blocks of the marts
+QUERIES.update({
+    "organization_readmission_stats": _q("organization_readmission_stats",
+                                         lambda g: M.organization_readmission_stats(g.fct_readmissions)),
+    "organization_activity_stats": _q("organization_activity_stats",
+                                      lambda g: M.organization_activity_stats(g.fct_encounters)),
+    "patient_stay_stats": _q("patient_stay_stats", lambda g: M.patient_stay_stats(g.fct_readmissions)),
+})
+for _k in ("organization_readmission_stats", "organization_activity_stats", "patient_stay_stats"):
+    ORACLE[_k] = oracle.model_sql(_k)
+
+# documented analyses
+QUERIES.update({
+    "readmission_by_age_band": _q("readmission_by_age_band", lambda g: A.readmission_by_age_band(g.fct_readmissions)),
+    "readmission_concentration": _q("readmission_concentration",
+                                    lambda g: A.readmission_concentration(g.fct_readmissions)),
+    "median_gap_by_code": _q("median_gap_by_code", lambda g: A.median_gap_by_code(g.fct_readmissions)),
+    "readmission_code_share": _q("readmission_code_share", lambda g: A.readmission_code_share(g.fct_readmissions)),
+    "readmission_rate_overall": _q("readmission_rate_overall",
+                                   lambda g: A.readmission_rate_overall(g.fct_readmissions)),
+    "age_band": _q("age_band", lambda g: A.encounters_by_age_band(g.int_encounters_enriched)),
+})
+for _k in oracle.ANALYSES_SQL:
+    ORACLE[_k] = oracle.analysis_sql(_k)
+
+# data quality: every check of one kind over the model graph, then the report
+for _kind in ("unique", "not_null", "accepted_values", "relationships", "accepted_range"):
+    QUERIES[f"dq_{_kind}"] = _q(f"dq_{_kind}", lambda g, kind=_kind: Q.failures_of(checks_of_kind(kind), g.model))
+    ORACLE[f"dq_{_kind}"] = oracle.failures_sql(checks_of_kind(_kind))
+
+QUERIES.update({
+    "dq_overlap_rate": _q("dq_overlap_rate", lambda g: Q.overlap_rate(g.fct_readmissions)),
+    "dq_seed_coverage": _q("dq_seed_coverage", lambda g: Q.seed_coverage(g.fct_encounters, g.seed_planned)),
+    "dq_unplanned_lte_allcause": _q("dq_unplanned_lte_allcause",
+                                    lambda g: Q.unplanned_lte_allcause(g.mart_organization_kpis)),
+    "dq_report": _q("dq_report", lambda g: Q.run_checks(g.spark, WAREHOUSE_CHECKS, g.model)),
+})
+for _k, _name in (("dq_overlap_rate", "assert_overlap_rate_within_bounds"),
+                  ("dq_seed_coverage", "assert_seed_covers_inpatient_codes"),
+                  ("dq_unplanned_lte_allcause", "assert_unplanned_rate_lte_allcause")):
+    ORACLE[_k] = oracle.with_ctes(oracle.SINGULAR_SQL[_name].strip(), *oracle.SINGULAR_DEPS[_name])
+ORACLE["dq_report"] = oracle.report_sql(WAREHOUSE_CHECKS)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import age_band, count_true, days_between, money_avg, money_sum, pct, years_between
+from wardline.operators.joins import bounded_broadcast
 
 HIGH_UTILIZER_STAYS = 10        # stays per patient that flag a high utilizer
 POLYPATHOLOGY_ACTIVE = 3        # active conditions that flag polypathology
@@ -72,7 +73,9 @@ def fct_readmissions(stays: DataFrame, patients: DataFrame, planned: DataFrame)
     """
     s = stays.alias("s")
     p = patients.select("patient_id", "death_date", "gender", "state").alias("p")
-    pc = planned.select("encounter_code", "is_planned").alias("pc")
+    # The lookup is a small classification list: broadcast it (size verified)
+    # rather than shuffling every stay on a key with a handful of values.
+    pc = bounded_broadcast(planned.select("encounter_code", "is_planned")).alias("pc")
     admitted, discharged, nxt = F.col("s.admitted_at"), F.col("s.discharged_at"), F.col("s.next_admitted_at")
     days = F.when(nxt >= discharged, days_between(discharged, nxt))
     joined = (s.join(p, F.col("s.patient_id") == F.col("p.patient_id"), "inner")

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.operators.joins import bounded_broadcast
+
 FAILURE_SCHEMA = T.StructType([
     T.StructField("check_name", T.StringType(), False),
     T.StructField("failing_value", T.StringType(), True),
@@ -115,7 +117,7 @@ def seed_coverage(encounters: DataFrame, seed: DataFrame) -> DataFrame:
     (not a window), so a dominant code does not land in one task.
     """
     inpatient = encounters.filter(F.col("encounter_class") == "inpatient")
-    uncovered = inpatient.join(seed.select("encounter_code"), "encounter_code", "left_anti")
+    uncovered = inpatient.join(bounded_broadcast(seed.select("encounter_code")), "encounter_code", "left_anti")
     occurrences = uncovered.groupBy("encounter_code").agg(F.count(F.lit(1)).alias("occurrences"))
     return (uncovered.select("encounter_code", "encounter_description").distinct()
             .join(occurrences, "encounter_code"))

@@ -86,3 +86,81 @@ for _k, _name in (("dq_overlap_rate", "assert_overlap_rate_within_bounds"),
                   ("dq_unplanned_lte_allcause", "assert_unplanned_rate_lte_allcause")):
     ORACLE[_k] = oracle.with_ctes(oracle.SINGULAR_SQL[_name].strip(), *oracle.SINGULAR_DEPS[_name])
 ORACLE["dq_report"] = oracle.report_sql(WAREHOUSE_CHECKS)
+
+
+# --- sources and sinks ------------------------------------------------------------
+
+def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.operators.staging import stg_patients
+    from wardline.plans.landing import land_table_csv
+    from wardline.sources.csv import scan_csv
+    raw = graph(spark, sf_dir).raw["patients"]
+    return stg_patients(scan_csv(spark, land_table_csv(spark, raw, "id", "patients")))
+
+
+def _infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.operators.staging import stg_encounters
+    from wardline.plans.landing import land_table_csv
+    from wardline.sources.csv import infer_schema, load_by_name
+    raw = graph(spark, sf_dir).raw["encounters"]
+    folder = land_table_csv(spark, raw, "id", "encounters")
+    return stg_encounters(load_by_name(spark, folder, infer_schema(spark, folder)))
+
+
+def _load_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.operators.staging import stg_medications
+    from wardline.plans.landing import land_table_csv
+    from wardline.sources.csv import load_by_name
+    raw = graph(spark, sf_dir).raw["medications"]
+    folder = land_table_csv(spark, raw, "encounter", "medications")
+    return stg_medications(load_by_name(spark, folder, raw.schema))
+
+
+LOADED_TABLES = ("patients", "encounters", "conditions", "medications", "organizations", "supplies")
+
+
+def _load_raw_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from wardline.plans.landing import land_extract
+    from wardline.session import scratch_path
+    from wardline.sources.csv import load_raw_all
+    g = graph(spark, sf_dir)
+    frames = {t: g.raw[t] for t in LOADED_TABLES if t != "supplies"}
+    src = land_extract(spark, frames, gz=frozenset({"encounters", "medications"}), header_only=("supplies",))
+    loaded = load_raw_all(spark, src, scratch_path(spark, "raw"), LOADED_TABLES)
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                    F.lit(len(df.columns)).alias("column_count"))
+             for name, df in loaded.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _write_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.plans.sinks import read_table, write_table
+    from wardline.session import scratch_path
+    root = scratch_path(spark, "marts")
+    write_table(graph(spark, sf_dir).mart_organization_kpis, root, "mart_organization_kpis")
+    return read_table(spark, root, "mart_organization_kpis")
+
+
+QUERIES.update({
+    "scan_csv": _scan_csv,
+    "infer_schema": _infer_schema,
+    "load_by_name": _load_by_name,
+    "load_raw_all": _load_raw_all,
+    "write_mart_table": _write_mart_table,
+})
+ORACLE.update({
+    "scan_csv": oracle.model_sql("stg_patients"),
+    "infer_schema": oracle.model_sql("stg_encounters"),
+    "load_by_name": oracle.model_sql("stg_medications"),
+    "load_raw_all": oracle.with_ctes(
+        " union all ".join(
+            f"select '{t}' as table_name, count(*) as row_count, {n} as column_count from raw_{t}"
+            for t, n in (("patients", 13 + 1), ("encounters", 15), ("conditions", 6),
+                         ("medications", 13), ("organizations", 7))),
+        "raw_patients", "raw_encounters", "raw_conditions", "raw_medications", "raw_organizations"),
+    "write_mart_table": oracle.model_sql("mart_organization_kpis"),
+})

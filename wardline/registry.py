@@ -164,3 +164,106 @@ ORACLE.update({
         "raw_patients", "raw_encounters", "raw_conditions", "raw_medications", "raw_organizations"),
     "write_mart_table": oracle.model_sql("mart_organization_kpis"),
 })
+
+
+# --- change capture and streaming -------------------------------------------------
+
+def _changed_snapshots(g: ModelGraph) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of the raw encounters with planted changes (FIXTURES §4).
+
+    Previous: every encounter except ids = 0 mod 19 (they arrive later).
+    Current: every encounter except ids = 0 mod 17 (deleted); ids = 0 mod 13
+    get a new claim cost, ids = 0 mod 11 flip the reason code NULL <-> value.
+    """
+    from pyspark.sql import functions as F
+    raw = g.raw["encounters"]
+    k = F.col("id").cast("long")
+    prev = raw.filter(k % 19 != 0)
+    curr = raw.filter(k % 17 != 0).withColumns({
+        "total_claim_cost": F.when(k % 13 == 0, F.col("total_claim_cost") + 1).otherwise(F.col("total_claim_cost")),
+        "reasoncode": F.when(k % 11 == 0, F.when(F.col("reasoncode").isNull(), F.lit("X")))
+                       .otherwise(F.col("reasoncode")),
+    })
+    return prev, curr
+
+
+def _snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.operators.cdc import snapshot_diff
+    prev, curr = _changed_snapshots(graph(spark, sf_dir))
+    return snapshot_diff(prev, curr, "id")
+
+
+def _land_parquet_batches(spark: SparkSession, df: DataFrame, key: str, name: str, files: int = 4) -> str:
+    from wardline.session import scratch_path
+    path = scratch_path(spark, f"landing-{name}")
+    df.repartitionByRange(files, key).write.parquet(path)
+    return path
+
+
+def _encounters_cdc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.session import scratch_path
+    from wardline.sources.testdata import raw_encounter_events
+    from wardline.streaming.capture import capture_appends, encounter_stream_columns
+    events = raw_encounter_events(spark, sf_dir)
+    landing = scratch_path(spark, "landing-encounter-events")
+    sink, ckpt = scratch_path(spark, "fct_encounters_stream"), scratch_path(spark, "ckpt")
+    # capture starts on an empty landing folder, then the extract arrives in four files
+    spark.createDataFrame([], events.schema).write.parquet(landing)
+    q = capture_appends(spark, landing, events.schema, sink, ckpt, starting="latest", trigger="availableNow",
+                        transform=lambda s: s.select(*encounter_stream_columns()))
+    q.awaitTermination()
+    events.repartitionByRange(4, "id").write.mode("append").parquet(landing)
+    q = capture_appends(spark, landing, events.schema, sink, ckpt, trigger="availableNow",
+                        max_files_per_trigger=1, transform=lambda s: s.select(*encounter_stream_columns()))
+    q.awaitTermination()
+    return spark.read.parquet(sink).drop("_captured_at", "batch_id")
+
+
+def _organization_kpis_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.plans.sinks import read_table
+    from wardline.session import scratch_path
+    from wardline.streaming.realtime import MART, organization_kpis_rt
+    g = graph(spark, sf_dir)
+    raw = g.raw["encounters"]
+    landing = _land_parquet_batches(spark, raw, "id", "encounters", files=4)
+    sink, ckpt = scratch_path(spark, "rt"), scratch_path(spark, "ckpt")
+    q = organization_kpis_rt(spark, landing, raw.schema, g.stg_patients, g.dim_organizations, sink, ckpt,
+                             mode="incremental", trigger="availableNow", max_files_per_trigger=1)
+    q.awaitTermination()
+    return read_table(spark, sink, MART).drop("_dt_refreshed_at")
+
+
+def _ingest_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wardline.session import scratch_path
+    from wardline.sources.testdata import raw_encounter_events
+    from wardline.streaming.ingest import TEXT_TS_OPTIONS, ingest_raw_stream
+    events = raw_encounter_events(spark, sf_dir)
+    landing = scratch_path(spark, "landing-json")
+    events.repartitionByRange(4, "id").write.options(**TEXT_TS_OPTIONS).json(landing)
+    raw_dir, ckpt = scratch_path(spark, "raw-encounter-events"), scratch_path(spark, "ckpt")
+    q = ingest_raw_stream(spark, landing, events.schema, raw_dir, ckpt, trigger="availableNow",
+                          max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(raw_dir)
+
+
+QUERIES.update({
+    "snapshot_diff": _snapshot_diff,
+    "encounters_cdc_append": _encounters_cdc_append,
+    "organization_kpis_rt": _organization_kpis_rt,
+    "ingest_raw_stream": _ingest_raw_stream,
+})
+ORACLE.update({
+    "snapshot_diff": oracle.snapshot_diff_sql(),
+    "encounters_cdc_append": oracle.encounter_events_sql(
+        "id as encounter_id, patient as patient_id, organization as organization_id, "
+        "encounterclass as encounter_class, start as started_at, total_claim_cost, "
+        "'INSERT' as cdc_action, false as cdc_is_update"),
+    "organization_kpis_rt": oracle.with_ctes(
+        "select o.organization_id, o.organization_name, o.city, o.state, a.total_encounters, a.distinct_patients, "
+        "a.emergency_encounters, a.emergency_share_pct, a.avg_duration_minutes, a.total_claim_cost, "
+        "a.total_out_of_pocket from dim_organizations o "
+        "left join organization_activity_stats a on o.organization_id = a.organization_id",
+        "dim_organizations", "organization_activity_stats"),
+    "ingest_raw_stream": oracle.encounter_events_sql("*"),
+})

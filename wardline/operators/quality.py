@@ -131,6 +131,28 @@ def unplanned_lte_allcause(kpis: DataFrame) -> DataFrame:
 
 # --- spec -> failures ---------------------------------------------------------
 
+def checkpointed(relation: "Resolver", columns: dict[str, set[str]] | None = None) -> "Resolver":
+    """Resolver that materializes each relation once (reliable checkpoint).
+
+    A suite runs many checks over the same models; checking views would
+    recompute every model once per check inside one very large plan.
+    ``checkpoint()`` writes the relation to the shared checkpoint folder
+    (surviving executor loss) and cuts its lineage, so each check plans
+    and scans a small table.
+    """
+    done: dict[str, DataFrame] = {}
+
+    def resolve(name: str) -> DataFrame:
+        if name not in done:
+            df = relation(name)
+            if columns and name in columns:
+                df = df.select(*sorted(columns[name]))
+            done[name] = df.checkpoint(eager=True)
+        return done[name]
+
+    return resolve
+
+
 Resolver = Callable[[str], DataFrame]
 
 
@@ -170,6 +192,65 @@ def failures_of(checks: Iterable[Check], relation: Resolver) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _row_level_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failure counts of a model's row-level checks, all in one aggregation pass.
+
+    ``not_null`` and ``accepted_range`` count failing rows; ``accepted_values``
+    counts distinct failing values.  One scan of the model serves them all.
+    """
+    exprs = []
+    for i, c in enumerate(checks):
+        col = F.col(c.column)
+        if c.kind == "not_null":
+            e = F.count_if(col.isNull())
+        elif c.kind == "accepted_range":
+            conds = []
+            if c.min_value is not None:
+                conds.append(col >= c.min_value if c.inclusive else col > c.min_value)
+            if c.max_value is not None:
+                conds.append(col <= c.max_value if c.inclusive else col < c.max_value)
+            e = F.count_if(~reduce(lambda a, b: a & b, conds)) if conds else F.lit(0)
+        else:  # accepted_values
+            text = col.cast("string")
+            allowed = [str(v).lower() if isinstance(v, bool) else str(v) for v in c.values]
+            e = F.count_distinct(F.when(text.isNotNull() & ~text.isin(allowed), text))
+        exprs.append(e.cast("long").alias(f"c{i}"))
+    row = df.agg(*exprs)
+    pairs = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(checks))
+    return row.selectExpr(f"stack({len(checks)}, {pairs}) as (check_name, failures)")
+
+
+def check_failure_counts(checks: Sequence[Check], relation: Resolver) -> DataFrame:
+    """``(check_name, failures)`` for every check, as one plan.
+
+    Per model: one aggregation for all row-level checks, one grouped count
+    per ``unique`` column, one anti join per ``relationships`` check, one
+    count per singular check.
+    """
+    by_model: dict[str, list[Check]] = {}
+    parts: list[DataFrame] = []
+    for c in checks:
+        if c.kind in ("not_null", "accepted_range", "accepted_values"):
+            by_model.setdefault(c.model, []).append(c)
+            continue
+        name = F.lit(c.name).alias("check_name")
+        if c.kind == "unique":
+            n = (unique(relation(c.model), c.column)
+                 .agg(F.count(F.lit(1)).cast("long").alias("failures")))
+        elif c.kind == "relationships":
+            n = (relationships(relation(c.model).select(c.column), c.column,
+                               relation(c.to), c.field)
+                 .agg(F.count(F.lit(1)).cast("long").alias("failures")))
+        elif c.kind == "singular":
+            n = SINGULAR[c.name](relation).agg(F.count(F.lit(1)).cast("long").alias("failures"))
+        else:
+            raise ValueError(f"unknown check kind {c.kind!r}")
+        parts.append(n.select(name, "failures"))
+    for model, cs in by_model.items():
+        parts.append(_row_level_failures(relation(model), cs))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def run_checks(spark: SparkSession, checks: Sequence[Check], relation: Resolver) -> DataFrame:
     """One report row per check: name, kind, model, column, severity, failures, status.
 
@@ -177,16 +258,28 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], relation: Resolver)
     ``fail`` for error checks; warnings never stop a run.
     """
     spec = spark.createDataFrame(
-        [(c.name, c.kind, c.model, c.column, c.severity, c.kind in _COUNT_VALUES) for c in checks],
-        "check_name string, kind string, model string, column_name string, severity string, per_value boolean")
-    fails = failures_of(checks, relation)
-    per_check = fails.groupBy("check_name").agg(
-        F.count(F.lit(1)).alias("n_values"), F.sum("n_records").alias("n_rows"))
-    j = spec.join(per_check, "check_name", "left")
-    n = F.coalesce(F.when(F.col("per_value"), F.col("n_values")).otherwise(F.col("n_rows")), F.lit(0)).cast("long")
-    return j.select("check_name", "kind", "model", "column_name", "severity", n.alias("failures"),
+        [(c.name, c.kind, c.model, c.column, c.severity) for c in checks],
+        "check_name string, kind string, model string, column_name string, severity string")
+    counts = check_failure_counts(checks, relation)
+    n = F.coalesce(F.col("failures"), F.lit(0)).cast("long")
+    return (spec.join(F.broadcast(counts), "check_name", "left")
+            .select("check_name", "kind", "model", "column_name", "severity", n.alias("failures"),
                     F.when(n == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
-                    .alias("status"))
+                    .alias("status")))
+
+
+def columns_needed(checks: Sequence[Check]) -> dict[str, set[str]]:
+    """Columns each model must expose for ``checks`` (for pruned materialization)."""
+    need: dict[str, set[str]] = {}
+    for c in checks:
+        if c.column:
+            need.setdefault(c.model, set()).add(c.column)
+        if c.kind == "relationships":
+            need.setdefault(c.to, set()).add(c.field)
+        if c.kind == "singular":
+            for m, cols in SINGULAR_COLUMNS[c.name].items():
+                need.setdefault(m, set()).update(cols)
+    return need
 
 
 def raise_on_errors(report: DataFrame) -> None:
@@ -196,8 +289,19 @@ def raise_on_errors(report: DataFrame) -> None:
         raise AssertionError("data-quality errors: " + ", ".join(f"{r[0]}={r[1]}" for r in bad))
 
 
+SINGULAR_COLUMNS: dict[str, dict[str, set[str]]] = {
+    "assert_overlap_rate_within_bounds": {"fct_readmissions": {"overlaps_next_stay"}},
+    "assert_seed_covers_inpatient_codes": {
+        "fct_encounters": {"encounter_class", "encounter_code", "encounter_description"},
+        "seed_encounter_planned_classification": {"encounter_code"}},
+    "assert_unplanned_rate_lte_allcause": {
+        "mart_organization_kpis": {"organization_id", "readmission_rate_30d_pct",
+                                   "readmission_rate_30d_unplanned_pct"}},
+}
+
 SINGULAR: dict[str, Callable[[Resolver], DataFrame]] = {
     "assert_overlap_rate_within_bounds": lambda rel: overlap_rate(rel("fct_readmissions")),
-    "assert_seed_covers_inpatient_codes": lambda rel: seed_coverage(rel("fct_encounters"), rel("seed_planned")),
+    "assert_seed_covers_inpatient_codes": lambda rel: seed_coverage(
+        rel("fct_encounters"), rel("seed_encounter_planned_classification")),
     "assert_unplanned_rate_lte_allcause": lambda rel: unplanned_lte_allcause(rel("mart_organization_kpis")),
 }

@@ -38,8 +38,9 @@ def build_warehouse(g: ModelGraph, root: str) -> dict[str, DataFrame]:
 
 
 def resolver(g: ModelGraph, built: dict[str, DataFrame]):
-    """Models by name: built tables first, views of the graph otherwise."""
-    return lambda name: built[name] if name in built else g.model(name)
+    """Models by name: built tables first, checkpointed views of the graph otherwise."""
+    views = Q.checkpointed(g.model, Q.columns_needed(WAREHOUSE_CHECKS))
+    return lambda name: built[name] if name in built else views(name)
 
 
 def build_and_test(g: ModelGraph, root: str) -> tuple[dict[str, DataFrame], DataFrame]:

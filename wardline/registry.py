@@ -20,11 +20,22 @@ AS_OF = oracle.AS_OF
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def graph(spark: SparkSession, sf_dir: str, **kw) -> ModelGraph:
+_GRAPHS: dict[tuple, ModelGraph] = {}
+
+
+def graph(spark: SparkSession, sf_dir: str, fresh: bool = False, **kw) -> ModelGraph:
+    """The model graph over the test tables in ``sf_dir`` (one per session and folder).
+
+    The inputs are immutable, so the lazily built DataFrames are reused by
+    every query of the session; ``fresh=True`` builds a new graph.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     kw.setdefault("as_of", AS_OF)
-    return ModelGraph(spark, raw_from_testdata(spark, sf_dir), **kw)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, tuple(sorted((k, str(v)) for k, v in kw.items())))
+    if fresh or key not in _GRAPHS:
+        _GRAPHS[key] = ModelGraph(spark, raw_from_testdata(spark, sf_dir), **kw)
+    return _GRAPHS[key]
 
 
 def _q(name: str, fn: Callable[[ModelGraph], DataFrame]) -> Query:
@@ -71,7 +82,8 @@ for _k in oracle.ANALYSES_SQL:
 
 # data quality: every check of one kind over the model graph, then the report
 for _kind in ("unique", "not_null", "accepted_values", "relationships", "accepted_range"):
-    QUERIES[f"dq_{_kind}"] = _q(f"dq_{_kind}", lambda g, kind=_kind: Q.failures_of(checks_of_kind(kind), g.model))
+    QUERIES[f"dq_{_kind}"] = _q(f"dq_{_kind}", lambda g, kind=_kind: Q.failures_of(
+        checks_of_kind(kind), Q.checkpointed(g.model, Q.columns_needed(checks_of_kind(kind)))))
     ORACLE[f"dq_{_kind}"] = oracle.failures_sql(checks_of_kind(_kind))
 
 QUERIES.update({
@@ -79,7 +91,8 @@ QUERIES.update({
     "dq_seed_coverage": _q("dq_seed_coverage", lambda g: Q.seed_coverage(g.fct_encounters, g.seed_planned)),
     "dq_unplanned_lte_allcause": _q("dq_unplanned_lte_allcause",
                                     lambda g: Q.unplanned_lte_allcause(g.mart_organization_kpis)),
-    "dq_report": _q("dq_report", lambda g: Q.run_checks(g.spark, WAREHOUSE_CHECKS, g.model)),
+    "dq_report": _q("dq_report", lambda g: Q.run_checks(
+        g.spark, WAREHOUSE_CHECKS, Q.checkpointed(g.model, Q.columns_needed(WAREHOUSE_CHECKS)))),
 })
 for _k, _name in (("dq_overlap_rate", "assert_overlap_rate_within_bounds"),
                   ("dq_seed_coverage", "assert_seed_covers_inpatient_codes"),

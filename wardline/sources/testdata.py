@@ -8,6 +8,8 @@ DataFrame over the test parquet files, so its work grows with them.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +19,16 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def read_test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table; read once per session (the test files are immutable inputs)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    frames = _READS.setdefault(spark, {})
+    if path not in frames:
+        frames[path] = spark.read.parquet(path)
+    return frames[path]
 
 
 def _s(c) -> Column:

@@ -12,6 +12,7 @@ count returned rows.  NULL passes ``accepted_values`` and
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -141,14 +142,18 @@ def checkpointed(relation: "Resolver", columns: dict[str, set[str]] | None = Non
     and scans a small table.
     """
     done: dict[str, DataFrame] = {}
+    lock = threading.Lock()
 
     def resolve(name: str) -> DataFrame:
-        if name not in done:
-            df = relation(name)
-            if columns and name in columns:
-                df = df.select(*sorted(columns[name]))
-            done[name] = df.checkpoint(eager=True)
-        return done[name]
+        with lock:
+            if name in done:
+                return done[name]
+        df = relation(name)
+        if columns and name in columns:
+            df = df.select(*sorted(columns[name]))
+        df = df.checkpoint(eager=True)
+        with lock:
+            return done.setdefault(name, df)
 
     return resolve
 

@@ -40,3 +40,9 @@ class RawTables(Mapping):
     @classmethod
     def from_parquet(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
         return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names})
+
+    @classmethod
+    def from_tables(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
+        """Raw tables published under ``root`` by ``plans.sinks.write_table`` / ``load_raw_all``."""
+        from wardline.plans.sinks import read_table
+        return cls({n: (lambda n=n: read_table(spark, root, n)) for n in names})

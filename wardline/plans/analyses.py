@@ -73,3 +73,18 @@ def encounters_by_age_band(enriched: DataFrame) -> DataFrame:
     return (enriched.groupBy(age_band("age_at_encounter").alias("age_band"))
             .agg(F.count(F.lit(1)).alias("encounters"),
                  F.count("age_at_encounter").alias("encounters_with_age")))
+
+
+def admission_code_classification(encounters: DataFrame, seed: DataFrame) -> DataFrame:
+    """Inpatient admission codes in the data with their seed classification.
+
+    Codes absent from the seed default to unplanned (``in_seed`` false).
+    """
+    from wardline.operators.joins import bounded_broadcast
+    codes = (encounters.filter(F.col("encounter_class") == "inpatient")
+             .groupBy("encounter_code").agg(F.count(F.lit(1)).alias("inpatient_encounters")))
+    s = bounded_broadcast(seed.select("encounter_code", "encounter_label", "is_planned")).alias("s")
+    return (codes.alias("c").join(s, F.col("c.encounter_code") == F.col("s.encounter_code"), "left")
+            .select("c.encounter_code", "s.encounter_label",
+                    F.coalesce(F.col("s.is_planned"), F.lit(False)).alias("is_planned"),
+                    F.col("s.encounter_code").isNotNull().alias("in_seed"), "c.inpatient_encounters"))

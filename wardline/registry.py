@@ -76,6 +76,8 @@ QUERIES.update({
     "readmission_rate_overall": _q("readmission_rate_overall",
                                    lambda g: A.readmission_rate_overall(g.fct_readmissions)),
     "age_band": _q("age_band", lambda g: A.encounters_by_age_band(g.int_encounters_enriched)),
+    "seed_planned_codes": _q("seed_planned_codes",
+                             lambda g: A.admission_code_classification(g.fct_encounters, g.seed_planned)),
 })
 for _k in oracle.ANALYSES_SQL:
     ORACLE[_k] = oracle.analysis_sql(_k)

@@ -17,5 +17,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     frame is returned unhinted and the planner (with AQE runtime sizes)
     picks a shuffle join instead.
     """
+    if known_rows is None:
+        known_rows = getattr(df, "_known_rows", None)
     n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df

@@ -75,7 +75,7 @@ def fct_readmissions(stays: DataFrame, patients: DataFrame, planned: DataFrame)
     p = patients.select("patient_id", "death_date", "gender", "state").alias("p")
     # The lookup is a small classification list: broadcast it (size verified)
     # rather than shuffling every stay on a key with a handful of values.
-    pc = bounded_broadcast(planned.select("encounter_code", "is_planned")).alias("pc")
+    pc = bounded_broadcast(planned).select("encounter_code", "is_planned").alias("pc")
     admitted, discharged, nxt = F.col("s.admitted_at"), F.col("s.discharged_at"), F.col("s.next_admitted_at")
     days = F.when(nxt >= discharged, days_between(discharged, nxt))
     joined = (s.join(p, F.col("s.patient_id") == F.col("p.patient_id"), "inner")

@@ -118,7 +118,7 @@ def seed_coverage(encounters: DataFrame, seed: DataFrame) -> DataFrame:
     (not a window), so a dominant code does not land in one task.
     """
     inpatient = encounters.filter(F.col("encounter_class") == "inpatient")
-    uncovered = inpatient.join(bounded_broadcast(seed.select("encounter_code")), "encounter_code", "left_anti")
+    uncovered = inpatient.join(bounded_broadcast(seed).select("encounter_code"), "encounter_code", "left_anti")
     occurrences = uncovered.groupBy("encounter_code").agg(F.count(F.lit(1)).alias("occurrences"))
     return (uncovered.select("encounter_code", "encounter_description").distinct()
             .join(occurrences, "encounter_code"))
@@ -256,7 +256,30 @@ def check_failure_counts(checks: Sequence[Check], relation: Resolver) -> DataFra
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def run_checks(spark: SparkSession, checks: Sequence[Check], relation: Resolver) -> DataFrame:
+def models_of(check: Check) -> set[str]:
+    """Every model a check reads."""
+    if check.kind == "relationships":
+        return {check.model, check.to}
+    if check.kind == "singular":
+        return set(SINGULAR_COLUMNS[check.name])
+    return {check.model}
+
+
+def collect_failure_counts(checks: Sequence[Check], relation: Resolver) -> dict[str, int]:
+    """Run ``checks`` now and return ``{check_name: failures}`` (one small row per check)."""
+    if not checks:
+        return {}
+    return {r["check_name"]: int(r["failures"] or 0)
+            for r in check_failure_counts(checks, relation).collect()}
+
+
+def report_from_counts(spark: SparkSession, checks: Sequence[Check], counts: dict[str, int]) -> DataFrame:
+    """The report for failure counts already computed (e.g. in parts, concurrently)."""
+    return run_checks(spark, checks, None, counts=counts)
+
+
+def run_checks(spark: SparkSession, checks: Sequence[Check], relation: Resolver | None,
+               counts: dict[str, int] | None = None) -> DataFrame:
     """One report row per check: name, kind, model, column, severity, failures, status.
 
     Status is ``pass`` without failures, else ``warn`` for warn checks and
@@ -265,7 +288,12 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], relation: Resolver)
     spec = spark.createDataFrame(
         [(c.name, c.kind, c.model, c.column, c.severity) for c in checks],
         "check_name string, kind string, model string, column_name string, severity string")
-    counts = check_failure_counts(checks, relation)
+    if counts is None:
+        counts_df = check_failure_counts(checks, relation)
+    else:
+        counts_df = spark.createDataFrame([(k, v) for k, v in counts.items()],
+                                          "check_name string, failures long")
+    counts = counts_df
     n = F.coalesce(F.col("failures"), F.lit(0)).cast("long")
     return (spec.join(F.broadcast(counts), "check_name", "left")
             .select("check_name", "kind", "model", "column_name", "severity", n.alias("failures"),

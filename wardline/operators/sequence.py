@@ -47,16 +47,19 @@ def largest_group(df: DataFrame, by: str) -> int:
 
 def sequence_within(df: DataFrame, by: str, order: Sequence[Column], rank_col: str,
                     leads: dict[str, str], strategy: str = "auto",
-                    max_group_rows: int | None = None, slices: int | None = None) -> DataFrame:
+                    max_group_rows: int | None = None, slices: int | None = None,
+                    probe: DataFrame | None = None) -> DataFrame:
     """Add ``rank_col`` = row_number() and ``leads`` {out: src} = lead(src) over ``by``.
 
     ``order`` must be a total order within a group (end it with a unique
     column) for the result to be deterministic.  ``strategy`` is
     ``"window"``, ``"sliced"`` or ``"auto"`` (probe the largest group).
+    ``probe`` may give a cheaper frame whose group sizes bound those of
+    ``df`` (e.g. the input before an inner join that only drops rows).
     """
     if strategy == "auto":
         limit = max_group_rows or _conf_int(df, _CONF_MAX_GROUP, DEFAULT_MAX_GROUP_ROWS)
-        strategy = "sliced" if largest_group(df, by) > limit else "window"
+        strategy = "sliced" if largest_group(probe if probe is not None else df, by) > limit else "window"
     if strategy == "window":
         w = Window.partitionBy(by).orderBy(*order)
         cols = {rank_col: F.row_number().over(w)}

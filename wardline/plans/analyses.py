@@ -83,7 +83,7 @@ def admission_code_classification(encounters: DataFrame, seed: DataFrame) -> Dat
     from wardline.operators.joins import bounded_broadcast
     codes = (encounters.filter(F.col("encounter_class") == "inpatient")
              .groupBy("encounter_code").agg(F.count(F.lit(1)).alias("inpatient_encounters")))
-    s = bounded_broadcast(seed.select("encounter_code", "encounter_label", "is_planned")).alias("s")
+    s = bounded_broadcast(seed).select("encounter_code", "encounter_label", "is_planned").alias("s")
     return (codes.alias("c").join(s, F.col("c.encounter_code") == F.col("s.encounter_code"), "left")
             .select("c.encounter_code", "s.encounter_label",
                     F.coalesce(F.col("s.is_planned"), F.lit(False)).alias("is_planned"),

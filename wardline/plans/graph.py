@@ -59,7 +59,8 @@ class ModelGraph:
 
     @cached_property
     def int_inpatient_stays(self) -> DataFrame:
-        return I.int_inpatient_stays(self.int_encounters_enriched, strategy=self.sequence_strategy)
+        return I.int_inpatient_stays(self.int_encounters_enriched, strategy=self.sequence_strategy,
+                                     probe=self.stg_encounters)
 
     @cached_property
     def int_patient_condition_summary(self) -> DataFrame:

@@ -16,6 +16,7 @@ per file.
 from __future__ import annotations
 
 from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -110,9 +111,12 @@ def _split_csv_line(line: str) -> list[str]:
 
 
 def _groups_by_header(spark: SparkSession, path: str) -> "OrderedDict[tuple[str, ...], list[str]]":
+    files = [f for f, _ in list_files(spark, path)]
+    # one short read per file; I/O bound, so a small thread pool on the driver
+    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+        headers = list(pool.map(lambda f: tuple(read_header(spark, f)), files))
     groups: OrderedDict[tuple[str, ...], list[str]] = OrderedDict()
-    for f, _ in list_files(spark, path):
-        header = tuple(read_header(spark, f))
+    for f, header in zip(files, headers):
         if header:
             groups.setdefault(header, []).append(f)
     return groups

@@ -40,4 +40,6 @@ def planned_classification(spark: SparkSession, path: str | None = None) -> Data
     if path:
         return (spark.read.option("header", True).option("mode", "FAILFAST")
                 .schema(SEED_SCHEMA).csv(path))
-    return spark.createDataFrame(PLANNED_CLASSIFICATION, SEED_SCHEMA)
+    df = spark.createDataFrame(PLANNED_CLASSIFICATION, SEED_SCHEMA)
+    df._known_rows = len(PLANNED_CLASSIFICATION)  # exact size: no count job needed
+    return df

@@ -208,11 +208,25 @@ def _snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_diff(prev, curr, "id")
 
 
-def _land_parquet_batches(spark: SparkSession, df: DataFrame, key: str, name: str, files: int = 4) -> str:
+LANDING_BATCHES = 4
+
+
+def _landing_files(spark: SparkSession) -> tuple[int, int]:
+    """(files to land, files per trigger): as many files as shuffle partitions, about four batches.
+
+    The file count follows the cluster's parallelism, so landing a large
+    extract never funnels it through a fixed handful of tasks.
+    """
+    files = max(LANDING_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return files, max(1, files // LANDING_BATCHES)
+
+
+def _land_parquet_batches(spark: SparkSession, df: DataFrame, key: str, name: str) -> tuple[str, int]:
     from wardline.session import scratch_path
     path = scratch_path(spark, f"landing-{name}")
+    files, per_trigger = _landing_files(spark)
     df.repartitionByRange(files, key).write.parquet(path)
-    return path
+    return path, per_trigger
 
 
 def _encounters_cdc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,9 +241,11 @@ def _encounters_cdc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = capture_appends(spark, landing, events.schema, sink, ckpt, starting="latest", trigger="availableNow",
                         transform=lambda s: s.select(*encounter_stream_columns()))
     q.awaitTermination()
-    events.repartitionByRange(4, "id").write.mode("append").parquet(landing)
+    files, per_trigger = _landing_files(spark)
+    events.repartitionByRange(files, "id").write.mode("append").parquet(landing)
     q = capture_appends(spark, landing, events.schema, sink, ckpt, trigger="availableNow",
-                        max_files_per_trigger=1, transform=lambda s: s.select(*encounter_stream_columns()))
+                        max_files_per_trigger=per_trigger,
+                        transform=lambda s: s.select(*encounter_stream_columns()))
     q.awaitTermination()
     return spark.read.parquet(sink).drop("_captured_at", "batch_id")
 
@@ -240,10 +256,10 @@ def _organization_kpis_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wardline.streaming.realtime import MART, organization_kpis_rt
     g = graph(spark, sf_dir)
     raw = g.raw["encounters"]
-    landing = _land_parquet_batches(spark, raw, "id", "encounters", files=4)
+    landing, per_trigger = _land_parquet_batches(spark, raw, "id", "encounters")
     sink, ckpt = scratch_path(spark, "rt"), scratch_path(spark, "ckpt")
     q = organization_kpis_rt(spark, landing, raw.schema, g.stg_patients, g.dim_organizations, sink, ckpt,
-                             mode="incremental", trigger="availableNow", max_files_per_trigger=1)
+                             mode="incremental", trigger="availableNow", max_files_per_trigger=per_trigger)
     q.awaitTermination()
     return read_table(spark, sink, MART).drop("_dt_refreshed_at")
 
@@ -254,10 +270,11 @@ def _ingest_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wardline.streaming.ingest import TEXT_TS_OPTIONS, ingest_raw_stream
     events = raw_encounter_events(spark, sf_dir)
     landing = scratch_path(spark, "landing-json")
-    events.repartitionByRange(4, "id").write.options(**TEXT_TS_OPTIONS).json(landing)
+    files, per_trigger = _landing_files(spark)
+    events.repartitionByRange(files, "id").write.options(**TEXT_TS_OPTIONS).json(landing)
     raw_dir, ckpt = scratch_path(spark, "raw-encounter-events"), scratch_path(spark, "ckpt")
     q = ingest_raw_stream(spark, landing, events.schema, raw_dir, ckpt, trigger="availableNow",
-                          max_files_per_trigger=1)
+                          max_files_per_trigger=per_trigger)
     q.awaitTermination()
     return spark.read.parquet(raw_dir)
 

@@ -57,6 +57,11 @@ def encounter_stream_columns() -> list[Column]:
             F.col("start").alias("started_at"), F.col("total_claim_cost").alias("total_claim_cost")]
 
 
+def write_batch_partition(df: DataFrame, sink_dir: str, batch_id: int) -> None:
+    """Idempotent append: batch ``batch_id`` owns ``batch_id=N`` and a replay overwrites it."""
+    df.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
+
+
 def capture_appends(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
                     checkpoint: str, starting: str = "latest", fmt: str = "parquet",
                     trigger: str | None = "1 minute", max_files_per_trigger: int | None = None,
@@ -76,8 +81,6 @@ def capture_appends(spark: SparkSession, source_dir: str, schema: T.StructType,
     rows = rows.withColumns({"cdc_action": F.lit("INSERT"), "cdc_is_update": F.lit(False),
                              "_captured_at": F.current_timestamp()})
 
-    def write_batch(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
-
-    w = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = (rows.writeStream.foreachBatch(lambda df, batch_id: write_batch_partition(df, sink_dir, batch_id))
+         .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()

@@ -59,3 +59,12 @@ def test_load_raw_all_skips_header_only(spark, tmp_dir):
     assert sorted(r["zip"] for r in loaded["patients"].collect()) == ["01000", "02000"]
     with pytest.raises(FileNotFoundError):
         load_raw_all(spark, f"{tmp_dir}/src", f"{tmp_dir}/dst", ["missing"])
+
+
+def test_seed_from_csv_by_name(spark, tmp_dir):
+    from wardline.sources.seed import PLANNED_CLASSIFICATION, planned_classification
+    lines = ["is_planned,Encounter_Code,classification_rationale,encounter_label"]
+    lines += [f"{str(p).lower()},{c},\"{why}\",\"{lab}\"" for c, lab, p, why in PLANNED_CLASSIFICATION]
+    _write(f"{tmp_dir}/seed/seed.csv", "\n".join(lines) + "\n")
+    got = sorted(tuple(r) for r in planned_classification(spark, f"{tmp_dir}/seed").collect())
+    assert got == sorted(PLANNED_CLASSIFICATION)

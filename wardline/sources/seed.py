@@ -32,14 +32,14 @@ PLANNED_CLASSIFICATION = [
 def planned_classification(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The seed as a DataFrame with pinned types.
 
-    With ``path`` the seed is read from a CSV with that header (codes stay
-    strings, ``is_planned`` is parsed as boolean); otherwise the versioned
-    rows above are used.  Either way it is a small local relation that the
+    With ``path`` the seed is loaded from CSV by column name (codes stay
+    strings, ``is_planned`` is cast to boolean, a bad value aborts);
+    otherwise the versioned rows above are used.  Either way it is a small local relation that the
     planner broadcasts by size.
     """
     if path:
-        return (spark.read.option("header", True).option("mode", "FAILFAST")
-                .schema(SEED_SCHEMA).csv(path))
+        from wardline.sources.csv import load_by_name
+        return load_by_name(spark, path, SEED_SCHEMA)
     df = spark.createDataFrame(PLANNED_CLASSIFICATION, SEED_SCHEMA)
     df._known_rows = len(PLANNED_CLASSIFICATION)  # exact size: no count job needed
     return df

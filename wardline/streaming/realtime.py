@@ -92,7 +92,15 @@ _TOTALS_SCHEMA = ("organization_id string, n long, emergency long, duration_sum
 def apply_increment(spark: SparkSession, batch: DataFrame, batch_id: int, patients: DataFrame,
                     state_root: str) -> DataFrame:
     """Fold one micro-batch into the running state; return totals after this batch."""
-    enriched = _enrich(batch, patients)
+    # the batch is read by several steps below; keep it for this micro-batch only
+    enriched = _enrich(batch, patients).persist()
+    try:
+        return _fold(spark, enriched, batch_id, state_root)
+    finally:
+        enriched.unpersist()
+
+
+def _fold(spark: SparkSession, enriched: DataFrame, batch_id: int, state_root: str) -> DataFrame:
     pairs_path, totals_path = f"{state_root}/pairs", f"{state_root}/totals"
     seen = _read_state(spark, pairs_path, "organization_id string, patient_id string", batch_id)
     keys = ["organization_id", "patient_id"]

@@ -33,8 +33,9 @@ def test_hot_patient_is_split_and_exact(spark):
         pid = "hot" if i % 3 == 0 else f"p{i % 97}"
         start = None if i == 300 else base + dt.timedelta(days=(i * 7) % 400)
         rows.append((f"e{i:05d}", pid, start, str(i % 5)))
-    df = spark.createDataFrame(rows, "encounter_id string, patient_id string, started_at timestamp_ntz, "
-                                     "encounter_code string")
+    df = (spark.createDataFrame(rows, "encounter_id string, patient_id string, started_at timestamp_ntz, "
+                                      "encounter_code string")
+          .repartition(7))  # several partitions in shuffled order, as after a join
     assert largest_group(df, "patient_id") == 1000
     w = sequence_within(df, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="window")
     s = sequence_within(df, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="sliced", slices=16)
@@ -45,3 +46,14 @@ def test_hot_patient_is_split_and_exact(spark):
     assert slices > 1  # the hot patient is spread over several tasks
     auto = sequence_within(df, "patient_id", stay_order(), "stay_sequence", LEADS, max_group_rows=100, slices=16)
     assert _rows(auto) == _rows(w)
+
+
+def test_sliced_equals_window_at_larger_scale(spark):
+    # enough rows that the input arrives through shuffles in varying order
+    enriched = graph(spark, "/root/testdata/sf0.01").int_encounters_enriched
+    stays = enriched.filter(F.col("encounter_class") == "inpatient").repartition(9, "encounter_id")
+    w = sequence_within(stays, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="window")
+    for _ in range(2):
+        s = sequence_within(stays, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="sliced",
+                            slices=12)
+        assert _rows(w) == _rows(s)

@@ -7,7 +7,8 @@ processed serially.  The sliced plan splits such groups:
 
 1. ``repartitionByRange`` on (group key, order keys): Spark samples the
    composite key, so a hot group spans several consecutive slices, and
-   every row of slice ``s`` precedes every row of slice ``s+1``.
+   every row of slice ``s`` precedes every row of slice ``s+1``.  The
+   slice ids are checkpointed once so every later step sees the same ones.
 2. The same window, partitioned by (group key, slice), gives local row
    numbers and local leads.
 3. A per-(group, slice) summary - row count and first row - has at most
@@ -74,8 +75,13 @@ def sequence_within(df: DataFrame, by: str, order: Sequence[Column], rank_col: s
 
 def _sliced(df: DataFrame, by: str, order: Sequence[Column], rank_col: str,
             leads: dict[str, str], n_slices: int) -> DataFrame:
+    # The slice id comes from sampled range bounds, so it is only stable if it
+    # is computed once: checkpoint (reliably, in the shared folder) before the
+    # three steps below read it.  Recomputing it per reference could slice a
+    # row differently in each and lose it in the join back.
     ranged = (df.repartitionByRange(n_slices, F.col(by).asc_nulls_last(), *order)
-              .withColumn("_slice", F.spark_partition_id()))
+              .withColumn("_slice", F.spark_partition_id())
+              .checkpoint(eager=True))
     w = Window.partitionBy(by, "_slice").orderBy(*order)
     local = ranged.withColumns({"_rn": F.row_number().over(w),
                                 **{f"_lead_{o}": F.lead(s).over(w) for o, s in leads.items()}})

@@ -174,7 +174,7 @@ ORACLE.update({
     "load_raw_all": oracle.with_ctes(
         " union all ".join(
             f"select '{t}' as table_name, count(*) as row_count, {n} as column_count from raw_{t}"
-            for t, n in (("patients", 13 + 1), ("encounters", 15), ("conditions", 6),
+            for t, n in (("patients", 14), ("encounters", 15), ("conditions", 6),
                          ("medications", 13), ("organizations", 7))),
         "raw_patients", "raw_encounters", "raw_conditions", "raw_medications", "raw_organizations"),
     "write_mart_table": oracle.model_sql("mart_organization_kpis"),

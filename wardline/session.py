@@ -74,3 +74,21 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.normpath(path)
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input.
+
+    Scan splits and AQE's target shuffle partition size are both about
+    ``partition_bytes``; the initial shuffle partition count is large
+    enough that no reducer starts above that size, and AQE coalesces the
+    small ones at run time.
+    """
+    initial = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }

@@ -152,23 +152,31 @@ def scan_csv(spark: SparkSession, path: str, options: dict | None = None) -> Dat
 
 
 def infer_schema(spark: SparkSession, path: str, strings: Sequence[str] = STRING_COLUMN_HINTS,
-                 sampling_ratio: float = 1.0, options: dict | None = None) -> T.StructType:
-    """Schema inferred from the data, in file column order, lower-case names.
+                 sample_bytes: int = 256 << 20, max_files: int = 8,
+                 options: dict | None = None) -> T.StructType:
+    """Schema inferred from a sample of the data, in file column order, lower-case names.
 
     Inference runs per header layout (Spark binds inferred types by
-    position) and is merged by name; a column typed differently in two
-    layouts becomes string.  Identifier-, code- and zip-like columns are
-    pinned to string: inference would turn numeric-looking ids into
-    numbers and drop zip leading zeros.  Timestamps are TIMESTAMP_NTZ.
+    position) over at most ``max_files`` files and about ``sample_bytes``
+    of each layout, and is merged by name; a column typed differently in two
+    layouts becomes string.  A value the sample did not foresee makes the
+    later load abort (ANSI casts), like a fail-fast copy.  Identifier-, code-
+    and zip-like columns are pinned to string: inference would turn
+    numeric-looking ids into numbers and drop zip leading zeros.
+    Timestamps are TIMESTAMP_NTZ.
     """
-    opts = {**CSV_OPTIONS, **(options or {}), "inferSchema": "true", "samplingRatio": str(sampling_ratio),
-            "mode": "PERMISSIVE", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]"}
+    sizes = dict(list_files(spark, path))
     merged: OrderedDict[str, T.DataType] = OrderedDict()
     for header, files in _groups_by_header(spark, path).items():
+        sample = files[:max_files]
+        total = sum(sizes.get(f, 0) for f in sample) or 1
+        ratio = 1.0 if any(f.endswith(".gz") for f in sample) else min(1.0, sample_bytes / total)
+        opts = {**CSV_OPTIONS, **(options or {}), "inferSchema": "true", "samplingRatio": str(ratio),
+                "mode": "PERMISSIVE", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]"}
         r = spark.read
         for k, v in opts.items():
             r = r.option(k, v)
-        inferred = r.option("header", "true").csv(files).schema
+        inferred = r.option("header", "true").csv(sample).schema
         for f in inferred.fields:
             name = f.name.lower()
             dtype = T.StringType() if _is_string_hint(name, strings) else f.dataType

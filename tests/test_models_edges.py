@@ -1,6 +1,5 @@
 """Edge rows of the readmission model (FIXTURES §4)."""
 
-import datetime as dt
 
 import pytest
 

@@ -19,20 +19,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wardline.operators.joins import bounded_broadcast
 
-FAILURE_SCHEMA = T.StructType([
-    T.StructField("check_name", T.StringType(), False),
-    T.StructField("failing_value", T.StringType(), True),
-    T.StructField("n_records", T.LongType(), False),
-])
-
-# kinds whose failure count is the number of distinct failing values
-_COUNT_VALUES = {"unique", "accepted_values"}
-
-
 @dataclass(frozen=True)
 class Check:
     kind: str                     # unique | not_null | accepted_values | relationships | accepted_range | singular

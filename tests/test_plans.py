@@ -66,3 +66,8 @@ def test_table_versions_and_pointer(spark, tmp_dir):
     assert read_table(spark, tmp_dir, "t").count() == 5
     with pytest.raises(FileNotFoundError):
         read_table(spark, tmp_dir, "missing")
+    import os
+    for n in range(3):
+        write_table(spark.range(n + 10), tmp_dir, "t", keep_versions=2)
+    versions = [v for v in os.listdir(f"{tmp_dir}/t") if v.startswith("v")]
+    assert len(versions) == 2 and read_table(spark, tmp_dir, "t").count() == 12

@@ -49,7 +49,7 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_table(df: DataFrame, root: str, name: str, partition_by: str | None = None,
-                max_records_per_file: int | None = None) -> str:
+                max_records_per_file: int | None = None, keep_versions: int | None = None) -> str:
     """Write ``df`` as a new version of table ``name`` under ``root``; return its path.
 
     With ``partition_by`` rows are sorted by that column inside each task
@@ -67,9 +67,26 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: str | None =
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
     _write_text(spark, f"{root.rstrip('/')}/{name}/{POINTER}", version)
+    if keep_versions:
+        prune_versions(spark, root, name, keep_versions)
     return path
 
 
+def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> None:
+    """Delete all but the ``keep`` newest versions (the current one is always kept).
+
+    Keeping the previous version lets readers that resolved the pointer just
+    before a switch finish their scan.
+    """
+    fs, table, _ = _fs(spark, f"{root.rstrip('/')}/{name}")
+    current = _read_text(spark, f"{root.rstrip('/')}/{name}/{POINTER}")
+    versions = sorted(st.getPath().getName() for st in fs.listStatus(table)
+                      if st.isDirectory() and st.getPath().getName().startswith("v"))
+    for v in versions[:-max(1, keep)]:
+        if v != current:
+            fs.delete(_fs(spark, f"{root.rstrip('/')}/{name}/{v}")[1], True)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read the current version of table ``name``."""
     version = _read_text(spark, f"{root.rstrip('/')}/{name}/{POINTER}")

@@ -123,9 +123,20 @@ def _fold(spark: SparkSession, enriched: DataFrame, batch_id: int, state_root: s
         *[(F.coalesce(F.col(f"a.{c}"), F.lit(0)) + F.coalesce(F.col(f"b.{c}"), F.lit(0)))
           .cast(_MONEY if c in ("claim", "oop") else "long").alias(c) for c in _SUM_COLS])
     merged.write.mode("overwrite").parquet(f"{totals_path}/batch_id={batch_id}")
+    _drop_totals_before(spark, totals_path, batch_id - 1)  # a replay of this batch reads batch_id - 1
     return spark.read.parquet(f"{totals_path}/batch_id={batch_id}")
 
 
+def _drop_totals_before(spark: SparkSession, totals_path: str, oldest_kept: int) -> None:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(totals_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < oldest_kept:
+            fs.delete(st.getPath(), True)
+
+
 def organization_kpis_rt(spark: SparkSession, encounters_dir: str, schema: T.StructType,
                          patients: DataFrame, organizations: DataFrame, sink_root: str, checkpoint: str,
                          mode: str = "incremental", trigger: str | None = "1 minute",
@@ -143,7 +154,7 @@ def organization_kpis_rt(spark: SparkSession, encounters_dir: str, schema: T.Str
         else:
             totals = apply_increment(spark, batch, batch_id, patients, state)
             mart = _mart_from_totals(totals, organizations)
-        write_table(mart, sink_root, MART)
+        write_table(mart, sink_root, MART, keep_versions=2)
 
     stream = file_stream(spark, encounters_dir, schema, "parquet", max_files_per_trigger)
     w = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

@@ -183,22 +183,25 @@ ORACLE.update({
 
 # --- change capture and streaming -------------------------------------------------
 
+EXTRACT_CUTOFF = oracle.EXTRACT_CUTOFF
+
+
 def _changed_snapshots(g: ModelGraph) -> tuple[DataFrame, DataFrame]:
-    """Two snapshots of the raw encounters with planted changes (FIXTURES §4).
+    """An earlier extract of the raw encounters against today's.
 
-    Previous: every encounter except ids = 0 mod 19 (they arrive later).
-    Current: every encounter except ids = 0 mod 17 (deleted); ids = 0 mod 13
-    get a new claim cost, ids = 0 mod 11 flip the reason code NULL <-> value.
+    Previous (as of ``EXTRACT_CUTOFF``): encounters admitted before the
+    cutoff; a stay still open at the cutoff had no stop yet.  Current: every
+    encounter with its final stop, with orphans (unknown patient) purged.
+    So the diff holds inserts (admitted since), updates (stop NULL -> value)
+    and deletes (purged orphans), over the whole table.
     """
     from pyspark.sql import functions as F
     raw = g.raw["encounters"]
-    k = F.col("id").cast("long")
-    prev = raw.filter(k % 19 != 0)
-    curr = raw.filter(k % 17 != 0).withColumns({
-        "total_claim_cost": F.when(k % 13 == 0, F.col("total_claim_cost") + 1).otherwise(F.col("total_claim_cost")),
-        "reasoncode": F.when(k % 11 == 0, F.when(F.col("reasoncode").isNull(), F.lit("X")))
-                       .otherwise(F.col("reasoncode")),
-    })
+    cutoff = F.lit(EXTRACT_CUTOFF).cast("timestamp_ntz")
+    prev = raw.filter(F.col("start") < cutoff).withColumn(
+        "stop", F.when(F.col("stop") < cutoff, F.col("stop")))
+    patients = g.raw["patients"].select(F.col("id").alias("_pid"))
+    curr = raw.join(patients, raw["patient"] == patients["_pid"], "left_semi")
     return prev, curr
 
 

@@ -68,3 +68,20 @@ def test_seed_from_csv_by_name(spark, tmp_dir):
     _write(f"{tmp_dir}/seed/seed.csv", "\n".join(lines) + "\n")
     got = sorted(tuple(r) for r in planned_classification(spark, f"{tmp_dir}/seed").collect())
     assert got == sorted(PLANNED_CLASSIFICATION)
+
+
+def test_models_over_csv_in_place_equal_test_tables(spark):
+    from wardline.plans.graph import ModelGraph
+    from wardline.plans.landing import land_extract
+    from wardline.registry import graph
+    from wardline.sources.catalog import RawTables
+
+    from conftest import SF_SMALL
+    g = graph(spark, SF_SMALL)
+    folder = land_extract(spark, {t: g.raw[t] for t in ("patients", "encounters", "conditions",
+                                                        "medications", "organizations")},
+                          gz=frozenset({"encounters"}))
+    csv_graph = ModelGraph(spark, RawTables.from_csv(spark, folder), as_of="2024-01-01")
+    a = sorted(tuple(r) for r in csv_graph.mart_high_utilizers.collect())
+    b = sorted(tuple(r) for r in g.mart_high_utilizers.collect())
+    assert a == b

@@ -41,6 +41,22 @@ class RawTables(Mapping):
     def from_parquet(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
         return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names})
 
+    @classmethod
+    def from_csv(cls, spark, folder: str, names=MODELLED_SOURCES) -> "RawTables":
+        """Raw tables read in place from ``{name}.csv[.gz]`` files or ``{name}/`` folders, every run.
+
+        Types are inferred from a sample and columns matched by name; no load
+        step is needed (the local, file-based way of running the models).
+        """
+        from wardline.sources.csv import infer_schema, load_by_name, source_path
+
+        def build(name: str):
+            found = source_path(spark, folder, name)
+            if found is None:
+                raise FileNotFoundError(f"{name}.csv[.gz] not in {folder}")
+            return load_by_name(spark, found[0], infer_schema(spark, found[0]))
+        return cls({n: (lambda n=n: build(n)) for n in names})
+
     @classmethod
     def from_tables(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
         """Raw tables published under ``root`` by ``plans.sinks.write_table`` / ``load_raw_all``."""

@@ -210,7 +210,7 @@ def load_by_name(spark: SparkSession, path: str, schema: T.StructType,
     return text.select(*cols)
 
 
-def _source_path(spark: SparkSession, src_dir: str, table: str) -> tuple[str, int, bool] | None:
+def source_path(spark: SparkSession, src_dir: str, table: str) -> tuple[str, int, bool] | None:
     """``{table}.csv``, ``{table}.csv.gz`` or a ``{table}/`` folder of parts: (path, bytes, gzip)."""
     jvm, conf = _hadoop(spark)
     root = jvm.org.apache.hadoop.fs.Path(src_dir)
@@ -243,7 +243,7 @@ def load_raw_all(spark: SparkSession, src_dir: str, dst_root: str, tables: Itera
 
     loaded: dict[str, DataFrame] = {}
     for table in tables:
-        found = _source_path(spark, src_dir, table)
+        found = source_path(spark, src_dir, table)
         if found is None:
             raise FileNotFoundError(f"{table}.csv[.gz] not in {src_dir}")
         path, size, is_gz = found

@@ -61,3 +61,12 @@ def test_raise_on_errors(spark):
         assert "a=3" in str(e) and "b" not in str(e).split(":")[1]
     else:
         raise AssertionError("expected failure")
+
+
+def test_local_suite(spark):
+    from wardline.plans.checks import LOCAL_CHECKS
+    g = graph(spark, SF_SMALL)
+    assert len(LOCAL_CHECKS) == 56 and sum(c.kind == "singular" for c in LOCAL_CHECKS) == 2
+    rep = {r["check_name"]: r for r in Q.run_checks(spark, LOCAL_CHECKS, g.model).collect()}
+    ov = rep["accepted_values_fct_readmissions_overlaps_next_stay"]
+    assert ov["severity"] == "warn" and ov["status"] == "warn" and ov["failures"] == 1

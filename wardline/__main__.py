@@ -40,8 +40,10 @@ def cmd_build(spark, args) -> int:
     from wardline.operators.quality import raise_on_errors
     from wardline.plans.build import build_and_test
     from wardline.plans.graph import ModelGraph
+    from wardline.plans.checks import LOCAL_CHECKS, WAREHOUSE_CHECKS
     g = ModelGraph(spark, _raw(spark, args), as_of=args.as_of)
-    _, report = build_and_test(g, args.out, threads=args.threads)
+    suite = LOCAL_CHECKS if args.suite == "local" else WAREHOUSE_CHECKS
+    _, report = build_and_test(g, args.out, threads=args.threads, checks=suite)
     report = report.cache()
     report.orderBy(F.col("status").desc(), "check_name").show(100, truncate=False)
     try:
@@ -79,6 +81,7 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("--as-of", default=None)
         if name == "build":
             sp.add_argument("--threads", type=int, default=6)
+            sp.add_argument("--suite", default="warehouse", choices=("warehouse", "local"))
         else:
             sp.add_argument("--landing", required=True)
             sp.add_argument("--checkpoint", required=True)

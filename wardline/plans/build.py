@@ -79,15 +79,17 @@ BUILT_MODELS = ("dim_patients", "dim_organizations", "fct_encounters", "fct_read
                 "mart_organization_kpis", "mart_high_utilizers")
 
 
-def build_and_test(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Build the marts and run the 56 checks; returns (tables, report).
+def build_and_test(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
+                   checks: list[Q.Check] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Build the marts and run the check suite (default: the 56 warehouse checks).
 
     Checks that read only views (staging, seed) run while the marts are
     being built; the rest run on the built tables afterwards.
     """
-    views = Q.checkpointed(g.model, Q.columns_needed(WAREHOUSE_CHECKS))
-    on_views = [c for c in WAREHOUSE_CHECKS if not Q.models_of(c) & set(BUILT_MODELS)]
-    on_marts = [c for c in WAREHOUSE_CHECKS if Q.models_of(c) & set(BUILT_MODELS)]
+    checks = checks or WAREHOUSE_CHECKS
+    views = Q.checkpointed(g.model, Q.columns_needed(checks))
+    on_views = [c for c in checks if not Q.models_of(c) & set(BUILT_MODELS)]
+    on_marts = [c for c in checks if Q.models_of(c) & set(BUILT_MODELS)]
     counts: dict[str, int] = {}
 
     def view_checks() -> None:
@@ -95,4 +97,4 @@ def build_and_test(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS) ->
 
     built = build_warehouse(g, root, threads=threads, side_jobs={"view_checks": view_checks})
     counts.update(Q.collect_failure_counts(on_marts, resolver(g, built, views)))
-    return built, Q.report_from_counts(g.spark, WAREHOUSE_CHECKS, counts)
+    return built, Q.report_from_counts(g.spark, checks, counts)

@@ -77,5 +77,13 @@ WAREHOUSE_CHECKS: list[Check] = [
 ]
 
 
+# The file-based copy of the warehouse runs the same generic checks plus a
+# warn-level accepted_values on overlaps_next_stay, and no overlap-rate test.
+LOCAL_CHECKS: list[Check] = [
+    *[c for c in WAREHOUSE_CHECKS if c.name != "assert_overlap_rate_within_bounds"],
+    Check("accepted_values", "fct_readmissions", "overlaps_next_stay", values=(False,), severity="warn"),
+]
+
+
 def checks_of_kind(kind: str) -> list[Check]:
     return [c for c in WAREHOUSE_CHECKS if c.kind == kind]

@@ -85,3 +85,13 @@ def test_models_over_csv_in_place_equal_test_tables(spark):
     a = sorted(tuple(r) for r in csv_graph.mart_high_utilizers.collect())
     b = sorted(tuple(r) for r in g.mart_high_utilizers.collect())
     assert a == b
+
+
+def test_malformed_value_aborts_without_ansi(spark, tmp_dir):
+    _write(f"{tmp_dir}/bad2/a.csv", "id,amount\n1,2.5\n2,abc\n")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="cannot load column amount"):
+            load_by_name(spark, f"{tmp_dir}/bad2", SCHEMA).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.operators.joins import bounded_broadcast
+from wardline.session import ensure_checkpoint_dir
 
 @dataclass(frozen=True)
 class Check:
@@ -138,6 +139,7 @@ def checkpointed(relation: "Resolver", columns: dict[str, set[str]] | None = Non
             if name in done:
                 return done[name]
         df = relation(name)
+        ensure_checkpoint_dir(df.sparkSession)
         if columns and name in columns:
             df = df.select(*sorted(columns[name]))
         df = df.checkpoint(eager=True)

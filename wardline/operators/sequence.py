@@ -75,6 +75,8 @@ def sequence_within(df: DataFrame, by: str, order: Sequence[Column], rank_col: s
 
 def _sliced(df: DataFrame, by: str, order: Sequence[Column], rank_col: str,
             leads: dict[str, str], n_slices: int) -> DataFrame:
+    from wardline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     # The slice id comes from sampled range bounds, so it is only stable if it
     # is computed once: checkpoint (reliably, in the shared folder) before the
     # three steps below read it.  Recomputing it per reference could slice a

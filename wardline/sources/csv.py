@@ -196,17 +196,28 @@ def load_by_name(spark: SparkSession, path: str, schema: T.StructType,
     """Load CSV files into ``schema`` by column name; a bad value aborts the job.
 
     Names are matched case-insensitively; target columns absent from a file
-    are NULL; file columns absent from the target are ignored.  Casts run
-    under ANSI rules, so a malformed number or date raises instead of
-    silently becoming NULL.
+    are NULL; file columns absent from the target are ignored.  A value that
+    does not convert to its column type raises (``raise_error``) instead of
+    silently becoming NULL, independent of the session's ANSI setting.
     """
     text = scan_csv(spark, path, options)
     have = set(text.columns)
     cols = []
     for f in schema.fields:
         name = f.name.lower()
-        src = F.col(f"`{name}`") if name in have else F.lit(None).cast("string")
-        cols.append(src.cast(f.dataType).alias(name))
+        if name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(name))
+            continue
+        src = F.col(f"`{name}`")
+        if isinstance(f.dataType, T.StringType):
+            cols.append(src.alias(name))
+            continue
+        # abort on a value that does not convert, whatever the session's ANSI setting
+        typed = src.try_cast(f.dataType)
+        cols.append(F.when(src.isNotNull() & typed.isNull(),
+                           F.raise_error(F.concat(F.lit(f"cannot load column {name} as "
+                                                        f"{f.dataType.simpleString()}: "), src)))
+                    .otherwise(typed).alias(name))
     return text.select(*cols)
 
 

@@ -23,6 +23,13 @@ def test_snapshot_diff_actions(spark):
                    ("4", "DELETE", False, "d", 3), ("5", "INSERT", False, "e", 4)]
 
 
+def test_snapshot_diff_null_keys(spark):
+    prev = spark.createDataFrame([(None, "a"), ("1", "b")], "id string, v string")
+    curr = spark.createDataFrame([(None, "a"), ("1", "b")], "id string, v string")
+    got = sorted((r["id"] or "", r["cdc_action"]) for r in snapshot_diff(prev, curr, "id").collect())
+    assert got == [("", "DELETE"), ("", "INSERT")]
+
+
 def test_multiset_diff_counts_copies(spark):
     prev = spark.createDataFrame([("p", "c1")] * 3 + [("p", "c2")], "patient string, code string")
     curr = spark.createDataFrame([("p", "c1")] * 1 + [("p", "c2"), ("q", None)], "patient string, code string")

@@ -18,13 +18,22 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, key: str,
     A key only in ``curr`` is an INSERT, only in ``prev`` a DELETE; a key in
     both whose compared columns differ (NULL-safe) becomes a DELETE of the
     old row and an INSERT of the new one, both with ``cdc_is_update``
-    true.  Unchanged rows produce nothing.  ``key`` must be unique in each
-    snapshot.  One full outer join; each joined row is expanded in place.
+    true.  Unchanged rows produce nothing.  Non-NULL keys must be unique in
+    each snapshot (use ``multiset_diff`` for keyless tables).  One full
+    outer join; each joined row is expanded in place.
     """
     cols = [c for c in (columns or curr.columns) if c != key]
     out_cols = [key, *cols]
-    p = prev.select(*out_cols, F.lit(True).alias("_present")).alias("p")
-    c = curr.select(*out_cols, F.lit(True).alias("_present")).alias("c")
+    # A NULL key never matches: such rows are a DELETE (previous) or an INSERT
+    # (current) outright.  Keeping them out of the join avoids hashing all of
+    # them into one reducer.
+    unmatched = (prev.filter(F.col(key).isNull()).select(*out_cols, F.lit(DELETE).alias("cdc_action"),
+                                                         F.lit(False).alias("cdc_is_update"))
+                 .unionByName(curr.filter(F.col(key).isNull())
+                              .select(*out_cols, F.lit(INSERT).alias("cdc_action"),
+                                      F.lit(False).alias("cdc_is_update"))))
+    p = prev.filter(F.col(key).isNotNull()).select(*out_cols, F.lit(True).alias("_present")).alias("p")
+    c = curr.filter(F.col(key).isNotNull()).select(*out_cols, F.lit(True).alias("_present")).alias("c")
     j = p.join(c, F.col(f"p.{key}") == F.col(f"c.{key}"), "full_outer")
     in_p, in_c = F.col("p._present").isNotNull(), F.col("c._present").isNotNull()
     same = reduce(lambda a, b: a & b, [F.col(f"p.{x}").eqNullSafe(F.col(f"c.{x}")) for x in cols], F.lit(True))
@@ -35,7 +44,7 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, key: str,
                                      F.lit(action).alias("cdc_action"), updated.alias("cdc_is_update")))
 
     changes = F.array(image("p", DELETE, in_p & (~in_c | updated)), image("c", INSERT, in_c & (~in_p | updated)))
-    return j.select(F.inline(F.filter(changes, lambda x: x.isNotNull())))
+    return j.select(F.inline(F.filter(changes, lambda x: x.isNotNull()))).unionByName(unmatched)
 
 
 def multiset_diff(prev: DataFrame, curr: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ level; the scheduler shares the executors between them.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -30,12 +31,19 @@ def _run_level(pool: ThreadPoolExecutor, jobs: dict[str, Callable[[], DataFrame]
     return {name: f.result() for name, f in futures.items()}
 
 
+LEVELS = (("dim_patients", "dim_organizations", "fct_encounters", "fct_readmissions"),
+          ("mart_organization_kpis", "mart_high_utilizers"))
+
+
 def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
-                    side_jobs: dict[str, Callable[[], object]] | None = None) -> dict[str, DataFrame]:
+                    side_jobs: dict[str, Callable[[], object]] | None = None,
+                    after_level: Callable[[int, dict[str, DataFrame], ThreadPoolExecutor], list] | None = None
+                    ) -> dict[str, DataFrame]:
     """Write the six marts under ``root``; return them as read back.
 
-    ``side_jobs`` run alongside the first level (e.g. materializing views
-    that the quality suite will read).
+    ``side_jobs`` start with the first level (e.g. checks on views);
+    ``after_level(i, built, pool)`` may submit more work once level ``i``
+    is written and returns futures to wait for.
     """
     spark = g.spark
 
@@ -46,8 +54,9 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
         return run
 
     built: dict[str, DataFrame] = {}
+    pending: list = []
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        side = {k: pool.submit(v) for k, v in (side_jobs or {}).items()}
+        pending += [pool.submit(v) for v in (side_jobs or {}).values()]
         # fct_readmissions reads only death date, gender and state of patients:
         # from the view the optimizer drops the condition summary, so it need
         # not wait for the dim_patients table and runs in the first level.
@@ -57,6 +66,8 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
             "fct_encounters": publish("fct_encounters", lambda: g.fct_encounters),
             "fct_readmissions": publish("fct_readmissions", lambda: g.fct_readmissions),
         }))
+        if after_level:
+            pending += after_level(0, dict(built), pool)
         readm = built["fct_readmissions"]
         built.update(_run_level(pool, {
             "mart_organization_kpis": publish("mart_organization_kpis", lambda: M.mart_organization_kpis(
@@ -64,7 +75,9 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
             "mart_high_utilizers": publish("mart_high_utilizers", lambda: M.mart_high_utilizers(
                 readm, built["dim_patients"])),
         }))
-        for f in side.values():
+        if after_level:
+            pending += after_level(1, dict(built), pool)
+        for f in pending:
             f.result()
     return built
 
@@ -83,18 +96,40 @@ def build_and_test(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
                    checks: list[Q.Check] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Build the marts and run the check suite (default: the 56 warehouse checks).
 
-    Checks that read only views (staging, seed) run while the marts are
-    being built; the rest run on the built tables afterwards.
+    Each check runs as soon as the relations it reads exist: checks on views
+    (staging, seed) alongside the first level, checks on first-level marts
+    alongside the second level, the rest at the end.
     """
     checks = checks or WAREHOUSE_CHECKS
     views = Q.checkpointed(g.model, Q.columns_needed(checks))
-    on_views = [c for c in checks if not Q.models_of(c) & set(BUILT_MODELS)]
-    on_marts = [c for c in checks if Q.models_of(c) & set(BUILT_MODELS)]
     counts: dict[str, int] = {}
-
-    def view_checks() -> None:
-        counts.update(Q.collect_failure_counts(on_views, views))
-
-    built = build_warehouse(g, root, threads=threads, side_jobs={"view_checks": view_checks})
-    counts.update(Q.collect_failure_counts(on_marts, resolver(g, built, views)))
+    lock = threading.Lock()
+
+    def ready_after(level: int | None) -> list[Q.Check]:
+        avail = set() if level is None else {m for lv in LEVELS[:level + 1] for m in lv}
+        prev = set() if level is None or level == 0 else {m for lv in LEVELS[:level] for m in lv}
+        out = []
+        for c in checks:
+            marts = Q.models_of(c) & set(BUILT_MODELS)
+            if level is None and not marts:
+                out.append(c)
+            elif level is not None and marts and marts <= avail and not marts <= prev:
+                out.append(c)
+        return out
+
+    def run(group: list[Q.Check], built: dict[str, DataFrame]) -> None:
+        got = Q.collect_failure_counts(group, resolver(g, built, views))
+        with lock:
+            counts.update(got)
+
+    def after_level(level: int, built: dict[str, DataFrame], pool: ThreadPoolExecutor) -> list:
+        group = ready_after(level)
+        return [pool.submit(run, group, built)] if group else []
+
+    build_warehouse(g, root, threads=threads, side_jobs={"view_checks": lambda: run(ready_after(None), {})},
+                    after_level=after_level)
+    built = {n: read_table(g.spark, root, n) for n in BUILT_MODELS}
+    missing = [c.name for c in checks if c.name not in counts]
+    if missing:
+        raise RuntimeError(f"checks not run: {missing}")
     return built, Q.report_from_counts(g.spark, checks, counts)

@@ -122,14 +122,16 @@ def unplanned_lte_allcause(kpis: DataFrame) -> DataFrame:
 
 # --- spec -> failures ---------------------------------------------------------
 
-def checkpointed(relation: "Resolver", columns: dict[str, set[str]] | None = None) -> "Resolver":
+def checkpointed(relation: "Resolver", columns: dict[str, set[str]] | None = None,
+                 enabled: bool = True) -> "Resolver":
     """Resolver that materializes each relation once (reliable checkpoint).
 
     A suite runs many checks over the same models; checking views would
     recompute every model once per check inside one very large plan.
     ``checkpoint()`` writes the relation to the shared checkpoint folder
     (surviving executor loss) and cuts its lineage, so each check plans
-    and scans a small table.
+    and scans a small table.  With ``enabled=False`` relations are only
+    pruned (for views that are already cheap scans of columnar tables).
     """
     done: dict[str, DataFrame] = {}
     lock = threading.Lock()
@@ -139,10 +141,11 @@ def checkpointed(relation: "Resolver", columns: dict[str, set[str]] | None = Non
             if name in done:
                 return done[name]
         df = relation(name)
-        ensure_checkpoint_dir(df.sparkSession)
         if columns and name in columns:
             df = df.select(*sorted(columns[name]))
-        df = df.checkpoint(eager=True)
+        if enabled:
+            ensure_checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
         with lock:
             return done.setdefault(name, df)
 

@@ -101,7 +101,10 @@ def build_and_test(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
     alongside the second level, the rest at the end.
     """
     checks = checks or WAREHOUSE_CHECKS
-    views = Q.checkpointed(g.model, Q.columns_needed(checks))
+    # staging views over Parquet raw tables are cheap column-pruned scans;
+    # derived or text-parsed raw relations are materialized once instead
+    views = Q.checkpointed(g.model, Q.columns_needed(checks),
+                           enabled=not getattr(g.raw, "table_backed", False))
     counts: dict[str, int] = {}
     lock = threading.Lock()
 

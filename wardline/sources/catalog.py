@@ -18,9 +18,12 @@ class RawTables(Mapping):
     graph built from one ``RawTables`` shares the same logical sub-plans.
     """
 
-    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]], table_backed: bool = False):
         self._builders = dict(builders)
         self._cache: dict[str, DataFrame] = {}
+        # True when every raw relation is a plain columnar table scan (cheap to
+        # re-read); False for derived or text-parsed relations.
+        self.table_backed = table_backed
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
@@ -39,7 +42,8 @@ class RawTables(Mapping):
 
     @classmethod
     def from_parquet(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
-        return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names})
+        return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names},
+                   table_backed=True)
 
     @classmethod
     def from_csv(cls, spark, folder: str, names=MODELLED_SOURCES) -> "RawTables":
@@ -61,4 +65,4 @@ class RawTables(Mapping):
     def from_tables(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
         """Raw tables published under ``root`` by ``plans.sinks.write_table`` / ``load_raw_all``."""
         from wardline.plans.sinks import read_table
-        return cls({n: (lambda n=n: read_table(spark, root, n)) for n in names})
+        return cls({n: (lambda n=n: read_table(spark, root, n)) for n in names}, table_backed=True)

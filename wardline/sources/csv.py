@@ -142,9 +142,13 @@ def scan_csv(spark: SparkSession, path: str, options: dict | None = None) -> Dat
         raise ValueError(f"no CSV data with a header under {path}")
     frames = []
     for header, files in groups.items():
-        schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))])
+        # name the string schema after the file's own header (so Spark's header
+        # check agrees); positional names only if the header repeats a name
+        unique = len({h.lower() for h in header}) == len(header)
+        names = list(header) if unique else [f"_c{i}" for i in range(len(header))]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         df = _reader(spark, options).schema(schema).csv(files)
-        frames.append(df.select(*[F.col(f"_c{i}").alias(h.lower()) for i, h in enumerate(header)]))
+        frames.append(df.select(*[F.col(f"`{n}`").alias(h.lower()) for n, h in zip(names, header)]))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

@@ -52,14 +52,18 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: str | None =
                 max_records_per_file: int | None = None, keep_versions: int | None = None) -> str:
     """Write ``df`` as a new version of table ``name`` under ``root``; return its path.
 
-    With ``partition_by`` rows are sorted by that column inside each task
-    before the write, so a task keeps one output file open at a time and
-    no hot partition value is funnelled into a single task.
+    With ``partition_by`` the output is rebalanced on that column first
+    (one shuffle; AQE splits a hot value over several tasks and coalesces
+    small ones), giving few, evenly sized files per partition value.
     """
     spark = df.sparkSession
     version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     path = f"{root.rstrip('/')}/{name}/{version}"
-    writer_df = df.sortWithinPartitions(partition_by) if partition_by else df
+    # Partitioned writes go through AQE's rebalance: rows are hashed on the
+    # partition column, oversized partitions (a hot value) are split and small
+    # ones coalesced, so each value gets files of the advisory size instead of
+    # one small file per task and value.
+    writer_df = df.hint("rebalance", partition_by) if partition_by else df
     w = writer_df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(partition_by)

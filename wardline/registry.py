@@ -27,9 +27,10 @@ def graph(spark: SparkSession, sf_dir: str, fresh: bool = False, **kw) -> ModelG
     """The model graph over the test tables in ``sf_dir`` (one per session and folder).
 
     The inputs are immutable, so the lazily built DataFrames are reused by
-    every query of the session; ``fresh=True`` builds a new graph.
+    every query of the session; ``fresh=True`` builds a new graph.  All
+    timestamps are TIMESTAMP_NTZ, so results do not depend on the session
+    time zone, which is left as the caller set it.
     """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     kw.setdefault("as_of", AS_OF)
     key = (id(spark), spark.sparkContext.applicationId, sf_dir, tuple(sorted((k, str(v)) for k, v in kw.items())))

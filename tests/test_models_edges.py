@@ -130,3 +130,13 @@ def test_identifiers_never_leave_staging(g):
                  "mart_high_utilizers"):
         cols = {c.lower() for c in g.model(name).columns}
         assert not cols & {"ssn", "first", "last", "address", "lat", "lon", "passport", "drivers"}, name
+
+
+def test_models_queryable_as_sql_views(spark):
+    from wardline.registry import graph
+    from conftest import SF_SMALL
+    g = graph(spark, SF_SMALL)
+    names = g.register_views(prefix="wl_")
+    assert "wl_fct_readmissions" in names
+    n = spark.sql("select count(*) from wl_fct_readmissions where is_eligible_index_stay").first()[0]
+    assert n == 535

@@ -99,10 +99,25 @@ class ModelGraph:
     def seed_encounter_planned_classification(self) -> DataFrame:
         return self.seed_planned
 
+    def register_views(self, names=None, prefix: str = "") -> list[str]:
+        """Register models as temporary views so they can be queried with SQL.
+
+        Views stay lazy: each SQL query folds the model's plan into its own.
+        """
+        names = list(names or MODEL_NAMES)
+        for n in names:
+            self.model(n).createOrReplaceTempView(f"{prefix}{n}")
+        return [f"{prefix}{n}" for n in names]
+
     def model(self, name: str) -> DataFrame:
         """Resolve a model by name (also the resolver used by quality checks)."""
         return getattr(self, name)
 
 
+MODEL_NAMES = ("stg_patients", "stg_encounters", "stg_conditions", "stg_medications", "stg_organizations",
+               "seed_encounter_planned_classification", "int_encounters_enriched", "int_inpatient_stays",
+               "int_patient_condition_summary", "dim_patients", "dim_organizations", "fct_encounters",
+               "fct_readmissions", "mart_organization_kpis", "mart_high_utilizers", "mart_organization_kpis_rt")
+
 MART_ORDER = ("dim_patients", "dim_organizations", "fct_encounters", "fct_readmissions",
               "mart_organization_kpis", "mart_high_utilizers")

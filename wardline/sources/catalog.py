@@ -1,4 +1,4 @@
-"""Named raw relations: the ``source('synthea', name)`` of the models."""
+"""Named raw relations: the declared raw sources that the staging models read."""
 
 from __future__ import annotations
 

@@ -112,3 +112,19 @@ def test_snapshot_change_stream(spark, tmp_dir):
     want = snapshot_diff(prev, curr, "id")
     assert sorted(map(str, map(tuple, second.select(*want.columns).collect()))) == \
         sorted(map(str, map(tuple, want.collect())))
+
+
+def test_streamed_rows_join_the_batch_raw_table(spark, tmp_dir):
+    from wardline.plans.graph import ModelGraph
+    from wardline.sources.catalog import RawTables
+    from wardline.sources.testdata import raw_encounter_events
+    from wardline.streaming.ingest import TEXT_TS_OPTIONS, ingest_raw_stream
+    g = graph(spark, SF_SMALL)
+    events = raw_encounter_events(spark, SF_SMALL)
+    events.repartitionByRange(3, "id").write.options(**TEXT_TS_OPTIONS).json(f"{tmp_dir}/landing")
+    ingest_raw_stream(spark, f"{tmp_dir}/landing", events.schema, f"{tmp_dir}/streamed", f"{tmp_dir}/ckpt",
+                      trigger="availableNow").awaitTermination()
+    raw = RawTables.from_frames({n: g.raw[n] for n in g.raw}).with_stream("encounters", f"{tmp_dir}/streamed")
+    both = ModelGraph(spark, raw, as_of="2024-01-01").stg_encounters
+    assert both.count() == g.stg_encounters.count() + events.count()
+    assert both.filter(F.col("stopped_at").isNull()).count() >= events.count()  # columns the stream lacks are NULL

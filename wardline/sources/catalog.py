@@ -36,6 +36,23 @@ class RawTables(Mapping):
     def __len__(self) -> int:
         return len(self._builders)
 
+    def with_stream(self, name: str, stream_dir: str) -> "RawTables":
+        """This catalog with rows appended by ``streaming.ingest`` added to ``name``.
+
+        The streamed folder keeps its own commit log (readers only see
+        committed batches); it is unioned by column name with the batch-loaded
+        table, so staging reads both as one raw relation.
+        """
+        builders = dict(self._builders)
+        batch = builders[name]
+
+        def both() -> DataFrame:
+            b = batch()
+            streamed = b.sparkSession.read.parquet(stream_dir)
+            return b.unionByName(streamed, allowMissingColumns=True)
+        builders[name] = both
+        return RawTables(builders, table_backed=self.table_backed)
+
     @classmethod
     def from_frames(cls, frames: Mapping[str, DataFrame]) -> "RawTables":
         return cls({k: (lambda v=v: v) for k, v in frames.items()})

@@ -25,11 +25,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
         jvm.org.apache.hadoop.fs.Path(f"{path}/offsets"))
 
 
+DEFAULT_MAX_BYTES_PER_TRIGGER = str(10 << 30)
+
+
 def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+    """A file-source stream whose micro-batches are bounded.
+
+    Without a file limit, a byte budget (``wardline.stream.maxBytesPerTrigger``,
+    default 10 GB) applies, so a backlog (e.g. ``starting="earliest"`` over a
+    large landing folder) drains as several bounded batches, not one.
+    """
     r = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        r = r.option("maxBytesPerTrigger",
+                     spark.conf.get("wardline.stream.maxBytesPerTrigger", DEFAULT_MAX_BYTES_PER_TRIGGER))
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return r.load(source_dir)

@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast by size: the planning-time threshold (estimates) stays at the
+    # 10 MB default; at run time AQE knows exact shuffle sizes and may
+    # broadcast a join side of up to 64 MB instead of sort-merging it.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files once their DataFrames are garbage collected

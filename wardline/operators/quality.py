@@ -73,6 +73,19 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
     return c.join(keys, c[column] == keys["_parent_key"], "left_anti")
 
 
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Child keys without a parent and their row counts: ``(column, n_records)``.
+
+    Child rows are counted per key first (partial aggregation), so only one
+    row per distinct key reaches the anti join: a key shared by a large
+    share of the rows does not make the join skewed.
+    """
+    per_key = (child.filter(F.col(column).isNotNull()).groupBy(column)
+               .agg(F.count(F.lit(1)).alias("n_records")))
+    keys = parent.select(F.col(parent_column).alias("_parent_key")).distinct()
+    return per_key.join(keys, per_key[column] == keys["_parent_key"], "left_anti")
+
+
 def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None,
                    inclusive: bool = True) -> DataFrame:
     """Rows outside [min, max] (either bound optional); NULL passes."""
@@ -167,10 +180,8 @@ def failures(check: Check, relation: Resolver) -> DataFrame:
         out = accepted_values(df, col, check.values).select(
             name.alias("check_name"), F.col(col).cast("string").alias("failing_value"), "n_records")
     elif check.kind == "relationships":
-        out = (relationships(df, col, relation(check.to), check.field)
-               .groupBy(F.col(col).cast("string").alias("failing_value"))
-               .agg(F.count(F.lit(1)).alias("n_records"))
-               .select(name.alias("check_name"), "failing_value", "n_records"))
+        out = (orphan_keys(df, col, relation(check.to), check.field)
+               .select(name.alias("check_name"), F.col(col).cast("string").alias("failing_value"), "n_records"))
     elif check.kind in ("not_null", "accepted_range"):
         bad = (not_null(df, col) if check.kind == "not_null"
                else accepted_range(df, col, check.min_value, check.max_value, check.inclusive))
@@ -237,9 +248,8 @@ def check_failure_counts(checks: Sequence[Check], relation: Resolver) -> DataFra
             n = (unique(relation(c.model), c.column)
                  .agg(F.count(F.lit(1)).cast("long").alias("failures")))
         elif c.kind == "relationships":
-            n = (relationships(relation(c.model).select(c.column), c.column,
-                               relation(c.to), c.field)
-                 .agg(F.count(F.lit(1)).cast("long").alias("failures")))
+            n = (orphan_keys(relation(c.model).select(c.column), c.column, relation(c.to), c.field)
+                 .agg(F.coalesce(F.sum("n_records"), F.lit(0)).cast("long").alias("failures")))
         elif c.kind == "singular":
             n = SINGULAR[c.name](relation).agg(F.count(F.lit(1)).cast("long").alias("failures"))
         else:

@@ -1,11 +1,14 @@
 """Full warehouse build: marts materialized as tables, then the quality suite.
 
-Downstream marts read the tables written before them (as a table
-materialization would), which cuts lineage at every mart: a lost
-executor only recomputes from the last written table.  Models that do
-not depend on each other are submitted as concurrent Spark jobs from a
-small thread pool (like a model runner's ``threads`` setting), level by
-level; the scheduler shares the executors between them.
+Second-level marts read the tables written in the first level (as a
+table materialization would), which cuts lineage there: a lost executor
+only recomputes from the last written table.  The readmission fact reads
+its three patient columns from the patient view instead, so it is built
+in the first level.  Models that do not depend on each other are
+submitted as concurrent Spark jobs from a small thread pool (like a model
+runner's ``threads`` setting), level by level; the scheduler shares the
+executors between them, and each check starts as soon as what it reads
+exists.
 """
 
 from __future__ import annotations

@@ -140,3 +140,19 @@ def test_models_queryable_as_sql_views(spark):
     assert "wl_fct_readmissions" in names
     n = spark.sql("select count(*) from wl_fct_readmissions where is_eligible_index_stay").first()[0]
     assert n == 535
+
+
+def test_negative_age_fails_the_age_range_check(g):
+    from wardline.operators import quality as Q
+    from wardline.plans.checks import WAREHOUSE_CHECKS
+    check = next(c for c in WAREHOUSE_CHECKS if c.name == "accepted_range_fct_encounters_age_at_encounter")
+    rows = Q.failures(check, g.model).collect()
+    assert len(rows) == 1 and rows[0]["n_records"] == 1
+    bands = {r["index_stay_id"]: r["age_band_at_stay"] for r in g.fct_readmissions.collect()}
+    enc = {r["encounter_id"]: r["age_at_encounter"] for r in g.fct_encounters.collect()}
+    assert enc["e31"] < 0  # born after the encounter year; emergency, so not a stay
+    from wardline.functions import age_band
+    from pyspark.sql import functions as F
+    assert g.fct_encounters.filter(F.col("encounter_id") == "e31").select(
+        age_band("age_at_encounter")).first()[0] == "00-17"
+    assert bands  # stays exist

@@ -59,16 +59,20 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
     built: dict[str, DataFrame] = {}
     pending: list = []
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        pending += [pool.submit(v) for v in (side_jobs or {}).values()]
         # fct_readmissions reads only death date, gender and state of patients:
         # from the view the optimizer drops the condition summary, so it need
         # not wait for the dim_patients table and runs in the first level.
-        built.update(_run_level(pool, {
+        first = {
+            "fct_readmissions": publish("fct_readmissions", lambda: g.fct_readmissions),
+            "fct_encounters": publish("fct_encounters", lambda: g.fct_encounters),
             "dim_patients": publish("dim_patients", lambda: g.dim_patients),
             "dim_organizations": publish("dim_organizations", lambda: g.dim_organizations),
-            "fct_encounters": publish("fct_encounters", lambda: g.fct_encounters),
-            "fct_readmissions": publish("fct_readmissions", lambda: g.fct_readmissions),
-        }))
+        }
+        # the marts are submitted before side work: the default FIFO scheduler
+        # serves jobs in submission order, and the marts are the critical path
+        futures = {name: pool.submit(fn) for name, fn in first.items()}
+        pending += [pool.submit(v) for v in (side_jobs or {}).values()]
+        built.update({name: f.result() for name, f in futures.items()})
         if after_level:
             pending += after_level(0, dict(built), pool)
         readm = built["fct_readmissions"]

@@ -95,3 +95,21 @@ def test_malformed_value_aborts_without_ansi(spark, tmp_dir):
             load_by_name(spark, f"{tmp_dir}/bad2", SCHEMA).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_inference_merges_layouts_by_name(spark, tmp_dir):
+    _write(f"{tmp_dir}/m/a.csv", "id,amount,note\n1,2.5,7\n")
+    _write(f"{tmp_dir}/m/b.csv", "note,id,amount\nhello,2,3.5\n")
+    sch = {f.name: f.dataType for f in infer_schema(spark, f"{tmp_dir}/m").fields}
+    assert sch["amount"] == T.DoubleType()
+    assert sch["note"] == T.StringType()  # integer in one layout, text in the other
+    rows = {r["id"]: r for r in load_by_name(spark, f"{tmp_dir}/m", infer_schema(spark, f"{tmp_dir}/m")).collect()}
+    assert rows["2"]["note"] == "hello" and rows["1"]["note"] == "7" and rows["2"]["amount"] == 3.5
+
+
+def test_scale_conf_sizes_partitions():
+    from wardline.session import scale_conf
+    conf = scale_conf(100 << 40)
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"

@@ -101,4 +101,9 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    except Exception as exc:  # noqa: BLE001 - always leave one JSON line for the record
+        print(json.dumps({"metric": "build_and_checks_sec", "value": None, "unit": "sec",
+                          "error": f"{type(exc).__name__}: {exc}"[:500]}))
+        sys.exit(1)

@@ -16,5 +16,7 @@ def test_load_then_build_reports_planted_failures(spark, tmp_dir):
     assert main(["build", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/marts", "--as-of", "2024-01-01"]) == 1
     kpis = read_table(spark, f"{tmp_dir}/marts", "mart_organization_kpis")
     assert kpis.count() == g.mart_organization_kpis.count()
+    report = read_table(spark, f"{tmp_dir}/marts", "dq_report")
+    assert report.count() == 56 and report.filter("status = 'fail'").count() == 4
     assert main(["build", "--csv", src, "--out", f"{tmp_dir}/marts2", "--as-of", "2024-01-01",
                  "--suite", "local"]) == 1

@@ -44,7 +44,9 @@ def cmd_build(spark, args) -> int:
     g = ModelGraph(spark, _raw(spark, args), as_of=args.as_of)
     suite = LOCAL_CHECKS if args.suite == "local" else WAREHOUSE_CHECKS
     _, report = build_and_test(g, args.out, threads=args.threads, checks=suite)
-    report = report.cache()
+    from wardline.plans.sinks import read_table, write_table
+    write_table(report, args.out, "dq_report")  # one row per check, kept with the marts
+    report = read_table(spark, args.out, "dq_report")
     report.orderBy(F.col("status").desc(), "check_name").show(100, truncate=False)
     try:
         raise_on_errors(report)

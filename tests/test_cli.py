@@ -20,3 +20,19 @@ def test_load_then_build_reports_planted_failures(spark, tmp_dir):
     assert report.count() == 56 and report.filter("status = 'fail'").count() == 4
     assert main(["build", "--csv", src, "--out", f"{tmp_dir}/marts2", "--as-of", "2024-01-01",
                  "--suite", "local"]) == 1
+
+
+def test_built_tables_equal_the_model_graph(spark, tmp_dir):
+    from wardline.plans.build import build_and_test
+    from wardline.plans.graph import ModelGraph
+    from wardline.plans.load import publish_raw
+    from wardline.sources.testdata import raw_from_testdata
+    raw = publish_raw(raw_from_testdata(spark, SF_SMALL), f"{tmp_dir}/raw")
+    g = ModelGraph(spark, raw, as_of="2024-01-01")
+    built, report = build_and_test(g, f"{tmp_dir}/marts")
+    assert report.count() == 56
+    for name, df in built.items():
+        cols = g.model(name).columns
+        a = sorted(map(str, map(tuple, df.select(*cols).collect())))
+        b = sorted(map(str, map(tuple, g.model(name).collect())))
+        assert a == b, name

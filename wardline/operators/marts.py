@@ -144,15 +144,16 @@ def organization_activity_stats(encounters: DataFrame) -> DataFrame:
         money_sum("patient_out_of_pocket").alias("total_out_of_pocket"))
 
 
-def mart_organization_kpis(readmissions: DataFrame, encounters: DataFrame,
-                           organizations: DataFrame) -> DataFrame:
+def mart_organization_kpis(readmissions: DataFrame, encounters: DataFrame | None,
+                           organizations: DataFrame, activity: DataFrame | None = None) -> DataFrame:
     """Organization indicators; organizations without activity are kept.
 
     Activity columns stay NULL without encounters; readmission counts
-    become 0 and rates stay NULL without eligible stays.
+    become 0 and rates stay NULL without eligible stays.  ``activity`` may
+    be given already aggregated (``organization_activity_stats``).
     """
     o = organizations.alias("o")
-    a = organization_activity_stats(encounters).alias("a")
+    a = (activity if activity is not None else organization_activity_stats(encounters)).alias("a")
     r = organization_readmission_stats(readmissions).alias("r")
     zero = F.lit(0).cast("long")
     return (o.join(a, F.col("o.organization_id") == F.col("a.organization_id"), "left")

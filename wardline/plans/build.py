@@ -1,10 +1,10 @@
 """Full warehouse build: marts materialized as tables, then the quality suite.
 
-Second-level marts read the tables written in the first level (as a
-table materialization would), which cuts lineage there: a lost executor
-only recomputes from the last written table.  The readmission fact reads
-its three patient columns from the patient view instead, so it is built
-in the first level.  Models that do not depend on each other are
+Later marts read the tables written before them (as a table
+materialization would), which cuts lineage at every level: a lost
+executor only recomputes from the last written table.  The readmission
+fact is derived from the written encounter fact, so the encounters x
+patients join runs once.  Models that do not depend on each other are
 submitted as concurrent Spark jobs from a small thread pool (like a model
 runner's ``threads`` setting), level by level; the scheduler shares the
 executors between them, and each check starts as soon as what it reads
@@ -19,6 +19,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
+from wardline.operators import intermediate as I
 from wardline.operators import marts as M
 from wardline.operators import quality as Q
 from wardline.plans.checks import WAREHOUSE_CHECKS
@@ -26,6 +27,7 @@ from wardline.plans.graph import ModelGraph
 from wardline.plans.sinks import read_table, write_table
 
 PARTITIONING = {"fct_encounters": "encounter_year"}
+ACTIVITY = "_organization_activity_stats"  # internal intermediate table
 DEFAULT_THREADS = 6
 
 
@@ -34,7 +36,8 @@ def _run_level(pool: ThreadPoolExecutor, jobs: dict[str, Callable[[], DataFrame]
     return {name: f.result() for name, f in futures.items()}
 
 
-LEVELS = (("dim_patients", "dim_organizations", "fct_encounters", "fct_readmissions"),
+LEVELS = (("dim_patients", "dim_organizations", "fct_encounters"),
+          ("fct_readmissions",),
           ("mart_organization_kpis", "mart_high_utilizers"))
 
 
@@ -59,11 +62,10 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
     built: dict[str, DataFrame] = {}
     pending: list = []
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        # fct_readmissions reads only death date, gender and state of patients:
-        # from the view the optimizer drops the condition summary, so it need
-        # not wait for the dim_patients table and runs in the first level.
+        # The encounter fact holds every column the stay sequencing needs, so
+        # the readmission fact is derived from the written table: the
+        # encounters x patients join runs once, not once per fact.
         first = {
-            "fct_readmissions": publish("fct_readmissions", lambda: g.fct_readmissions),
             "fct_encounters": publish("fct_encounters", lambda: g.fct_encounters),
             "dim_patients": publish("dim_patients", lambda: g.dim_patients),
             "dim_organizations": publish("dim_organizations", lambda: g.dim_organizations),
@@ -75,15 +77,28 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
         built.update({name: f.result() for name, f in futures.items()})
         if after_level:
             pending += after_level(0, dict(built), pool)
+        enc = built["fct_encounters"]
+        # alongside the readmission fact, the organization activity aggregate
+        # (it reads only the encounter fact); the KPI mart then joins small tables
+        level1 = _run_level(pool, {
+            "fct_readmissions": publish("fct_readmissions", lambda: M.fct_readmissions(
+                I.int_inpatient_stays(enc, strategy=g.sequence_strategy, probe=enc),
+                built["dim_patients"], g.seed_planned)),
+            ACTIVITY: publish(ACTIVITY, lambda: M.organization_activity_stats(enc)),
+        })
+        activity = level1.pop(ACTIVITY)
+        built.update(level1)
+        if after_level:
+            pending += after_level(1, dict(built), pool)
         readm = built["fct_readmissions"]
         built.update(_run_level(pool, {
             "mart_organization_kpis": publish("mart_organization_kpis", lambda: M.mart_organization_kpis(
-                readm, built["fct_encounters"], built["dim_organizations"])),
+                readm, None, built["dim_organizations"], activity=activity)),
             "mart_high_utilizers": publish("mart_high_utilizers", lambda: M.mart_high_utilizers(
                 readm, built["dim_patients"])),
         }))
         if after_level:
-            pending += after_level(1, dict(built), pool)
+            pending += after_level(2, dict(built), pool)
         for f in pending:
             f.result()
     return built

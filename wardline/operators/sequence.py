@@ -40,6 +40,12 @@ def _conf_int(df: DataFrame, key: str, default: int) -> int:
         return default
 
 
+def choose_strategy(probe: DataFrame, by: str, max_group_rows: int | None = None) -> str:
+    """``"sliced"`` when the largest ``by`` group of ``probe`` exceeds the limit, else ``"window"``."""
+    limit = max_group_rows or _conf_int(probe, _CONF_MAX_GROUP, DEFAULT_MAX_GROUP_ROWS)
+    return "sliced" if largest_group(probe, by) > limit else "window"
+
+
 def largest_group(df: DataFrame, by: str) -> int:
     """Row count of the largest ``by`` group (partial aggregation first)."""
     row = df.groupBy(by).count().agg(F.max("count").alias("m")).first()
@@ -59,8 +65,7 @@ def sequence_within(df: DataFrame, by: str, order: Sequence[Column], rank_col: s
     ``df`` (e.g. the input before an inner join that only drops rows).
     """
     if strategy == "auto":
-        limit = max_group_rows or _conf_int(df, _CONF_MAX_GROUP, DEFAULT_MAX_GROUP_ROWS)
-        strategy = "sliced" if largest_group(probe if probe is not None else df, by) > limit else "window"
+        strategy = choose_strategy(probe if probe is not None else df, by, max_group_rows)
     if strategy == "window":
         w = Window.partitionBy(by).orderBy(*order)
         cols = {rank_col: F.row_number().over(w)}

@@ -20,6 +20,10 @@ def test_load_then_build_reports_planted_failures(spark, tmp_dir):
     assert report.count() == 56 and report.filter("status = 'fail'").count() == 4
     assert main(["build", "--csv", src, "--out", f"{tmp_dir}/marts2", "--as-of", "2024-01-01",
                  "--suite", "local"]) == 1
+    # the suite alone on the built marts; checks of one clean model pass
+    assert main(["test", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/marts"]) == 1
+    assert main(["test", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/marts",
+                 "--model", "mart_high_utilizers"]) == 0
 
 
 def test_built_tables_equal_the_model_graph(spark, tmp_dir):

@@ -3,6 +3,8 @@
   load      CSV extract folder -> raw Parquet tables (create or replace)
   build     raw tables (Parquet root or CSV folder) -> marts + the 56 checks;
             exits 1 if an error-severity check fails (warnings are reported)
+  test      the checks alone, on marts already built under --out (optionally
+            only those reading --model)
   realtime  keep the organization activity mart fresh from a landing folder
 """
 
@@ -56,6 +58,30 @@ def cmd_build(spark, args) -> int:
     return 0
 
 
+def cmd_test(spark, args) -> int:
+    from pyspark.sql import functions as F
+
+    from wardline.operators import quality as Q
+    from wardline.plans.build import BUILT_MODELS
+    from wardline.plans.checks import LOCAL_CHECKS, WAREHOUSE_CHECKS
+    from wardline.plans.graph import ModelGraph
+    from wardline.plans.sinks import read_table
+    g = ModelGraph(spark, _raw(spark, args), as_of=args.as_of)
+    suite = LOCAL_CHECKS if args.suite == "local" else WAREHOUSE_CHECKS
+    if args.model:
+        suite = [c for c in suite if args.model in Q.models_of(c)]
+    tables = {n: read_table(spark, args.out, n) for n in BUILT_MODELS}
+    views = Q.checkpointed(g.model, Q.columns_needed(suite), enabled=not g.raw.table_backed)
+    report = Q.run_checks(spark, suite, lambda n: tables[n] if n in tables else views(n)).cache()
+    report.orderBy(F.col("status").desc(), "check_name").show(100, truncate=False)
+    try:
+        Q.raise_on_errors(report)
+    except AssertionError as e:
+        print(e, file=sys.stderr)
+        return 1
+    return 0
+
+
 def cmd_realtime(spark, args) -> int:
     from wardline.plans.graph import ModelGraph
     from wardline.streaming.realtime import organization_kpis_rt
@@ -74,7 +100,7 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--src", required=True)
     lp.add_argument("--dst", required=True)
     lp.add_argument("--tables", default="")
-    for name in ("build", "realtime"):
+    for name in ("build", "test", "realtime"):
         sp = sub.add_parser(name)
         src = sp.add_mutually_exclusive_group(required=True)
         src.add_argument("--raw", help="root of raw Parquet tables written by `load`")
@@ -83,15 +109,19 @@ def main(argv: list[str] | None = None) -> int:
         sp.add_argument("--as-of", default=None)
         if name == "build":
             sp.add_argument("--threads", type=int, default=6)
+        if name in ("build", "test"):
             sp.add_argument("--suite", default="warehouse", choices=("warehouse", "local"))
-        else:
+        if name == "test":
+            sp.add_argument("--model", default=None, help="only checks that read this model")
+        if name == "realtime":
             sp.add_argument("--landing", required=True)
             sp.add_argument("--checkpoint", required=True)
             sp.add_argument("--mode", default="incremental", choices=("incremental", "full"))
             sp.add_argument("--trigger", default="1 minute")
     args = p.parse_args(argv)
     spark = get_session(app=f"wardline-{args.cmd}")
-    return {"load": cmd_load, "build": cmd_build, "realtime": cmd_realtime}[args.cmd](spark, args)
+    return {"load": cmd_load, "build": cmd_build, "test": cmd_test,
+            "realtime": cmd_realtime}[args.cmd](spark, args)
 
 
 if __name__ == "__main__":

@@ -45,9 +45,10 @@ MODEL_KEYS = ["int_encounters_enriched", "int_inpatient_stays", "dim_patients",
 
 
 @pytest.mark.parametrize("key", MODEL_KEYS)
-def test_no_cross_or_nested_loop_joins(spark, key):
+def test_no_cross_joins_and_no_python_in_plans(spark, key):
     plan = _plan(QUERIES[key](spark, SF_SMALL))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "EvalPython" not in plan and "PythonUDF" not in plan  # everything stays in the JVM
 
 
 def test_bounded_broadcast_respects_the_bound(spark):

@@ -13,7 +13,8 @@ New encounter files are the trigger: no files, no micro-batch, no cost.
   sees for the first time (anti join of the batch's pairs, broadcast when
   bounded, against earlier pairs) and adds both to the previous totals.
   State for batch N is written under ``batch_id=N`` and derived only from
-  batches < N, so a replayed batch recomputes the same result.
+  batches < N, so a replayed batch recomputes the same result.  The pair
+  folders are compacted every ``COMPACT_EVERY`` batches.
 
 Encounters whose patient is unknown are dropped (inner join), as in the
 batch model; in incremental mode they are not revisited when the
@@ -37,6 +38,7 @@ from wardline.streaming.capture import _trigger, file_stream
 
 MART = "mart_organization_kpis_rt"
 _MONEY = "decimal(28,2)"
+COMPACT_EVERY = 200  # micro-batches between compactions of the pair state
 
 
 def _enrich(raw_encounters: DataFrame, patients: DataFrame) -> DataFrame:
@@ -90,19 +92,71 @@ _TOTALS_SCHEMA = ("organization_id string, n long, emergency long, duration_sum
 
 
 def apply_increment(spark: SparkSession, batch: DataFrame, batch_id: int, patients: DataFrame,
-                    state_root: str) -> DataFrame:
+                    state_root: str, compact_every: int = COMPACT_EVERY) -> DataFrame:
     """Fold one micro-batch into the running state; return totals after this batch."""
     # the batch is read by several steps below; keep it for this micro-batch only
     enriched = _enrich(batch, patients).persist()
     try:
-        return _fold(spark, enriched, batch_id, state_root)
+        return _fold(spark, enriched, batch_id, state_root, compact_every)
     finally:
         enriched.unpersist()
 
 
-def _fold(spark: SparkSession, enriched: DataFrame, batch_id: int, state_root: str) -> DataFrame:
+_PAIRS_SCHEMA = "organization_id string, patient_id string"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _compacted_upto(spark: SparkSession, state_root: str) -> int | None:
+    from wardline.plans.sinks import POINTER, _read_text
+    text = _read_text(spark, f"{state_root}/pairs_compacted/{POINTER}")
+    return int(text) if text else None
+
+
+def _read_pairs(spark: SparkSession, state_root: str, before: int) -> DataFrame:
+    """Distinct pairs seen by batches < ``before``: the compacted part plus later batch folders."""
+    upto = _compacted_upto(spark, state_root)
+    recent = _read_state(spark, f"{state_root}/pairs", _PAIRS_SCHEMA, before)
+    if upto is None or upto >= before:
+        return recent.drop("batch_id")
+    compacted = spark.read.schema(_PAIRS_SCHEMA).parquet(f"{state_root}/pairs_compacted/upto={upto}")
+    return compacted.unionByName(recent.filter(F.col("batch_id") > upto).drop("batch_id"))
+
+
+def compact_pairs(spark: SparkSession, state_root: str, batch_id: int) -> None:
+    """Fold the pair folders of batches < ``batch_id`` (all committed) into one.
+
+    The compacted folder is written first and published by a pointer; only
+    then are the folders it covers removed, so a replay of ``batch_id`` (or
+    a crash during compaction) still reads exactly the pairs before it.
+    """
+    from wardline.plans.sinks import POINTER, _write_text
+    upto = batch_id - 1
+    prev = _compacted_upto(spark, state_root)
+    if upto < 0 or (prev is not None and prev >= upto):
+        return
+    target = f"{state_root}/pairs_compacted/upto={upto}"
+    _read_pairs(spark, state_root, batch_id).write.mode("overwrite").parquet(target)
+    _write_text(spark, f"{state_root}/pairs_compacted/{POINTER}", str(upto))
+    jvm, root, fs = _fs(spark, f"{state_root}/pairs")
+    for st in fs.listStatus(root) if fs.exists(root) else []:
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= upto:
+            fs.delete(st.getPath(), True)
+    if prev is not None:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{state_root}/pairs_compacted/upto={prev}"), True)
+
+
+def _fold(spark: SparkSession, enriched: DataFrame, batch_id: int, state_root: str,
+          compact_every: int = COMPACT_EVERY) -> DataFrame:
     pairs_path, totals_path = f"{state_root}/pairs", f"{state_root}/totals"
-    seen = _read_state(spark, pairs_path, "organization_id string, patient_id string", batch_id)
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        compact_pairs(spark, state_root, batch_id)
+    seen = _read_pairs(spark, state_root, batch_id)
     keys = ["organization_id", "patient_id"]
     batch_pairs = enriched.select(*keys).distinct()
     # The state of seen pairs grows with history; the batch is bounded.  Scan

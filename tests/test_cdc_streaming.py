@@ -112,6 +112,9 @@ def test_snapshot_change_stream(spark, tmp_dir):
     want = snapshot_diff(prev, curr, "id")
     assert sorted(map(str, map(tuple, second.select(*want.columns).collect()))) == \
         sorted(map(str, map(tuple, want.collect())))
+    land(prev, 3)  # a third snapshot: only the two latest are kept in state
+    capture_snapshot_changes(spark, landing, schema, "id", sink, ckpt, trigger="availableNow").awaitTermination()
+    assert sorted(os.listdir(f"{ckpt}-snapshots")) == ["batch_id=1", "batch_id=2"]
 
 
 def test_streamed_rows_join_the_batch_raw_table(spark, tmp_dir):

@@ -108,8 +108,9 @@ def capture_snapshot_changes(spark: SparkSession, snapshots_dir: str, schema: T.
     diffed against the previous snapshot (``operators.cdc.snapshot_diff``:
     INSERT, DELETE, and DELETE+INSERT flagged ``cdc_is_update``), the changes
     are written to ``batch_id=N`` and the snapshot itself is kept under the
-    state folder as the base for the next batch.  Both writes are keyed by
-    the batch id, so a replay rewrites the same output.
+    state folder as the base for the next batch (older snapshots are
+    removed).  Both writes are keyed by the batch id, so a replay rewrites
+    the same output.
     """
     from wardline.operators.cdc import snapshot_diff
 
@@ -124,12 +125,23 @@ def capture_snapshot_changes(spark: SparkSession, snapshots_dir: str, schema: T.
                     else spark.createDataFrame([], schema))
         changes = snapshot_diff(previous, current, key).withColumn("_captured_at", F.current_timestamp())
         write_batch_partition(changes, sink_dir, batch_id)
+        _drop_before(spark, state, batch_id - 1)  # a replay of this batch needs only batch_id - 1
 
     rows = file_stream(spark, snapshots_dir, schema, fmt)
     w = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
+def _drop_before(spark: SparkSession, root: str, oldest_kept: int) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(p) if fs.exists(p) else []:
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < oldest_kept:
+            fs.delete(st.getPath(), True)
+
+
 def _latest_before(spark: SparkSession, root: str, batch_id: int) -> str | None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(root)

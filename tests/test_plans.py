@@ -72,3 +72,18 @@ def test_table_versions_and_pointer(spark, tmp_dir):
         write_table(spark.range(n + 10), tmp_dir, "t", keep_versions=2)
     versions = [v for v in os.listdir(f"{tmp_dir}/t") if v.startswith("v")]
     assert len(versions) == 2 and read_table(spark, tmp_dir, "t").count() == 12
+
+
+def test_pointer_publication(spark, tmp_dir):
+    import os
+
+    from wardline.plans.sinks import current_pointer, publish_pointer
+    assert current_pointer(spark, f"{tmp_dir}/none") is None
+    for v in ("a", "b", "c", "d", "e"):
+        publish_pointer(spark, f"{tmp_dir}/p", v)
+    assert current_pointer(spark, f"{tmp_dir}/p") == "e"
+    assert len([n for n in os.listdir(f"{tmp_dir}/p") if n.startswith("_CURRENT-")]) == 3
+    os.makedirs(f"{tmp_dir}/legacy")
+    with open(f"{tmp_dir}/legacy/_CURRENT", "w") as f:
+        f.write("v1\n")
+    assert current_pointer(spark, f"{tmp_dir}/legacy") == "v1"

@@ -1,9 +1,9 @@
 """Table sinks: versioned Parquet directories behind an atomically switched pointer.
 
 A mart is rewritten while readers may be using it.  Each build writes a
-new version directory; only after the write succeeds is the ``_CURRENT``
-pointer replaced (write to a temporary name, then rename), so a reader
-sees either the old or the new version, never a partial one.  Paths go
+new version directory; only after the write succeeds is a new pointer file
+published (the newest pointer wins), so a reader sees either the old or
+the new version, never a partial one, and never finds no pointer.  Paths go
 through the Hadoop FileSystem API, so they may be local, HDFS or object
 storage.
 """
@@ -24,18 +24,6 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, target, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex[:8]}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    if fs.exists(target):
-        fs.delete(target, False)
-    if not fs.rename(tmp, target):
-        raise OSError(f"could not publish {path}")
-
-
 def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, target, jvm = _fs(spark, path)
     if not fs.exists(target):
@@ -48,6 +36,45 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         reader.close()
 
 
+def publish_pointer(spark: SparkSession, folder: str, value: str, keep: int = 3) -> None:
+    """Point ``folder`` at ``value`` without a moment of no pointer.
+
+    Each publication is a new file ``_CURRENT-<millis>-<id>`` (written under a
+    temporary name, then renamed, so it appears complete); readers take the
+    newest.  Older pointer files are removed only after the new one exists.
+    """
+    fs, root, jvm = _fs(spark, folder)
+    fs.mkdirs(root)
+    name = f"{POINTER}-{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
+    tmp = jvm.org.apache.hadoop.fs.Path(root, f".tmp-{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
+    out.write(bytearray(value.encode("utf-8")))
+    out.close()
+    if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(root, name)):
+        raise OSError(f"could not publish a pointer in {folder}")
+    pointers = sorted(st.getPath().getName() for st in fs.listStatus(root)
+                      if st.getPath().getName().startswith(f"{POINTER}-"))
+    for old in pointers[:-max(1, keep)]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, old), False)
+
+
+def current_pointer(spark: SparkSession, folder: str) -> str | None:
+    """The value of the newest pointer in ``folder`` (or of a single ``_CURRENT`` file)."""
+    fs, root, jvm = _fs(spark, folder)
+    if not fs.exists(root):
+        return None
+    pointers = sorted((st.getPath().getName() for st in fs.listStatus(root)
+                       if st.getPath().getName().startswith(f"{POINTER}-")), reverse=True)
+    for name in pointers:
+        try:
+            value = _read_text(spark, f"{folder.rstrip('/')}/{name}")
+        except Exception:  # noqa: BLE001 - pruned by a concurrent writer: try the next one
+            continue
+        if value:
+            return value
+    return _read_text(spark, f"{folder.rstrip('/')}/{POINTER}")
+
+
 def write_table(df: DataFrame, root: str, name: str, partition_by: str | None = None,
                 max_records_per_file: int | None = None, keep_versions: int | None = None,
                 rebalance: bool = False) -> str:
@@ -76,7 +103,7 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: str | None =
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
-    _write_text(spark, f"{root.rstrip('/')}/{name}/{POINTER}", version)
+    publish_pointer(spark, f"{root.rstrip('/')}/{name}", version)
     if keep_versions:
         prune_versions(spark, root, name, keep_versions)
     return path
@@ -89,7 +116,7 @@ def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 2) ->
     before a switch finish their scan.
     """
     fs, table, _ = _fs(spark, f"{root.rstrip('/')}/{name}")
-    current = _read_text(spark, f"{root.rstrip('/')}/{name}/{POINTER}")
+    current = current_pointer(spark, f"{root.rstrip('/')}/{name}")
     versions = sorted(st.getPath().getName() for st in fs.listStatus(table)
                       if st.isDirectory() and st.getPath().getName().startswith("v"))
     for v in versions[:-max(1, keep)]:
@@ -99,7 +126,7 @@ def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 2) ->
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read the current version of table ``name``."""
-    version = _read_text(spark, f"{root.rstrip('/')}/{name}/{POINTER}")
+    version = current_pointer(spark, f"{root.rstrip('/')}/{name}")
     if not version:
         raise FileNotFoundError(f"table {name} has no published version under {root}")
     return spark.read.parquet(f"{root.rstrip('/')}/{name}/{version}")

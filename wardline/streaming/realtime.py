@@ -112,8 +112,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _compacted_upto(spark: SparkSession, state_root: str) -> int | None:
-    from wardline.plans.sinks import POINTER, _read_text
-    text = _read_text(spark, f"{state_root}/pairs_compacted/{POINTER}")
+    from wardline.plans.sinks import current_pointer
+    text = current_pointer(spark, f"{state_root}/pairs_compacted")
     return int(text) if text else None
 
 
@@ -134,14 +134,14 @@ def compact_pairs(spark: SparkSession, state_root: str, batch_id: int) -> None:
     then are the folders it covers removed, so a replay of ``batch_id`` (or
     a crash during compaction) still reads exactly the pairs before it.
     """
-    from wardline.plans.sinks import POINTER, _write_text
+    from wardline.plans.sinks import publish_pointer
     upto = batch_id - 1
     prev = _compacted_upto(spark, state_root)
     if upto < 0 or (prev is not None and prev >= upto):
         return
     target = f"{state_root}/pairs_compacted/upto={upto}"
     _read_pairs(spark, state_root, batch_id).write.mode("overwrite").parquet(target)
-    _write_text(spark, f"{state_root}/pairs_compacted/{POINTER}", str(upto))
+    publish_pointer(spark, f"{state_root}/pairs_compacted", str(upto))
     jvm, root, fs = _fs(spark, f"{state_root}/pairs")
     for st in fs.listStatus(root) if fs.exists(root) else []:
         name = st.getPath().getName()

@@ -13,6 +13,7 @@ count returned rows.  NULL passes ``accepted_values`` and
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -202,62 +203,96 @@ def failures_of(checks: Iterable[Check], relation: Resolver) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _row_level_failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Failure counts of a model's row-level checks, all in one aggregation pass.
+def _sql_text(v) -> str:
+    text = str(v).lower() if isinstance(v, bool) else str(v)
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _row_level_sql(view: str, checks: Sequence[Check]) -> str:
+    """All row-level checks of one model as one aggregation over ``view``.
 
     ``not_null`` and ``accepted_range`` count failing rows; ``accepted_values``
-    counts distinct failing values.  One scan of the model serves them all.
+    counts distinct failing values (NULL passes both value checks).
     """
     exprs = []
     for i, c in enumerate(checks):
-        col = F.col(c.column)
+        col = f"`{c.column}`"
         if c.kind == "not_null":
-            e = F.count_if(col.isNull())
+            e = f"count_if({col} is null)"
         elif c.kind == "accepted_range":
             conds = []
             if c.min_value is not None:
-                conds.append(col >= c.min_value if c.inclusive else col > c.min_value)
+                conds.append(f"{col} {'>=' if c.inclusive else '>'} {c.min_value}")
             if c.max_value is not None:
-                conds.append(col <= c.max_value if c.inclusive else col < c.max_value)
-            e = F.count_if(~reduce(lambda a, b: a & b, conds)) if conds else F.lit(0)
-        else:  # accepted_values
-            text = col.cast("string")
-            allowed = [str(v).lower() if isinstance(v, bool) else str(v) for v in c.values]
-            e = F.count_distinct(F.when(text.isNotNull() & ~text.isin(allowed), text))
-        exprs.append(e.cast("long").alias(f"c{i}"))
-    row = df.agg(*exprs)
-    pairs = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(checks))
-    return row.selectExpr(f"stack({len(checks)}, {pairs}) as (check_name, failures)")
-
-
-def check_failure_counts(checks: Sequence[Check], relation: Resolver) -> DataFrame:
-    """``(check_name, failures)`` for every check, as one plan.
-
-    Per model: one aggregation for all row-level checks, one grouped count
-    per ``unique`` column, one anti join per ``relationships`` check, one
-    count per singular check.
+                conds.append(f"{col} {'<=' if c.inclusive else '<'} {c.max_value}")
+            e = f"count_if(not ({' and '.join(conds)}))" if conds else "0"
+        else:
+            allowed = ", ".join(_sql_text(v) for v in c.values)
+            e = (f"count(distinct case when {col} is not null and cast({col} as string) not in ({allowed}) "
+                 f"then cast({col} as string) end)")
+        exprs.append(f"cast({e} as bigint) as c{i}")
+    pairs = ", ".join(f"{_sql_text(c.name)}, c{i}" for i, c in enumerate(checks))
+    return (f"select stack({len(checks)}, {pairs}) as (check_name, failures) "
+            f"from (select {', '.join(exprs)} from {view})")
+
+
+def _failure_counts(checks: Sequence[Check], relation: Resolver) -> tuple[DataFrame, list[str]]:
+    """``(check_name, failures)`` for every check, and the temporary views it uses.
+
+    The generic checks are rendered as one SQL statement over temporary views
+    of the checked relations (one plan, analysed once): per model one
+    aggregation for all row-level checks, one grouped count per ``unique``
+    column, and per ``relationships`` check the child rows counted per key
+    before the anti join (one row per distinct key meets the parent keys).
+    Singular checks are DataFrame queries counted alongside.
     """
+    views: dict[str, str] = {}
+    spark = None
+
+    def view(model: str) -> str:
+        nonlocal spark
+        if model not in views:
+            df = relation(model)
+            spark = df.sparkSession
+            views[model] = f"_wl_check_{model}_{uuid.uuid4().hex[:8]}"
+            df.createOrReplaceTempView(views[model])
+        return views[model]
+
+    parts: list[str] = []
     by_model: dict[str, list[Check]] = {}
-    parts: list[DataFrame] = []
+    singular: list[Check] = []
     for c in checks:
+        name, col = _sql_text(c.name), f"`{c.column}`" if c.column else None
         if c.kind in ("not_null", "accepted_range", "accepted_values"):
             by_model.setdefault(c.model, []).append(c)
-            continue
-        name = F.lit(c.name).alias("check_name")
-        if c.kind == "unique":
-            n = (unique(relation(c.model), c.column)
-                 .agg(F.count(F.lit(1)).cast("long").alias("failures")))
+        elif c.kind == "unique":
+            parts.append(f"select {name} as check_name, count(*) as failures from (select {col} from "
+                         f"{view(c.model)} where {col} is not null group by {col} having count(*) > 1) d")
         elif c.kind == "relationships":
-            n = (orphan_keys(relation(c.model).select(c.column), c.column, relation(c.to), c.field)
-                 .agg(F.coalesce(F.sum("n_records"), F.lit(0)).cast("long").alias("failures")))
+            parts.append(f"select {name} as check_name, coalesce(sum(k.n), 0) as failures from "
+                         f"(select {col} as key, count(*) as n from {view(c.model)} where {col} is not null "
+                         f"group by {col}) k left anti join (select distinct `{c.field}` as pk from "
+                         f"{view(c.to)}) p on k.key = p.pk")
         elif c.kind == "singular":
-            n = SINGULAR[c.name](relation).agg(F.count(F.lit(1)).cast("long").alias("failures"))
+            singular.append(c)
         else:
             raise ValueError(f"unknown check kind {c.kind!r}")
-        parts.append(n.select(name, "failures"))
     for model, cs in by_model.items():
-        parts.append(_row_level_failures(relation(model), cs))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        parts.append(_row_level_sql(view(model), cs))
+    frames = []
+    if parts:
+        frames.append(spark.sql(" union all ".join(
+            f"select check_name, cast(failures as bigint) as failures from ({p}) q{i}"
+            for i, p in enumerate(parts))))
+    for c in singular:
+        frames.append(SINGULAR[c.name](relation).agg(F.count(F.lit(1)).cast("long").alias("failures"))
+                      .select(F.lit(c.name).alias("check_name"), "failures"))
+    return reduce(lambda a, b: a.unionByName(b), frames), list(views.values())
+
+
+def check_failure_counts(checks: Sequence[Check], relation: Resolver) -> DataFrame:
+    """``(check_name, failures)`` for every check, as one lazy plan."""
+    return _failure_counts(checks, relation)[0]
 
 
 def models_of(check: Check) -> set[str]:
@@ -273,8 +308,12 @@ def collect_failure_counts(checks: Sequence[Check], relation: Resolver) -> dict[
     """Run ``checks`` now and return ``{check_name: failures}`` (one small row per check)."""
     if not checks:
         return {}
-    return {r["check_name"]: int(r["failures"] or 0)
-            for r in check_failure_counts(checks, relation).collect()}
+    df, views = _failure_counts(checks, relation)
+    try:
+        return {r["check_name"]: int(r["failures"] or 0) for r in df.collect()}
+    finally:
+        for v in views:
+            df.sparkSession.catalog.dropTempView(v)
 
 
 def report_from_counts(spark: SparkSession, checks: Sequence[Check], counts: dict[str, int]) -> DataFrame:

@@ -90,3 +90,35 @@ def test_pair_state_compaction_is_exact_and_replay_safe(spark, tmp_dir):
             if r["distinct_patients"] is not None}
     got = {r[0]: r[-1] for r in compacted}
     assert got == want
+
+
+def test_capture_survives_a_crash_mid_batch(spark, tmp_dir):
+    import pytest
+
+    import wardline.streaming.capture as C
+    df = spark.range(3000).selectExpr("cast(id as string) as id", "id % 11 as v")
+    df.repartitionByRange(3, "id").write.parquet(f"{tmp_dir}/landing")
+    original = C.write_batch_partition
+    crashed = []
+
+    def crash_after_writing(batch, sink, batch_id):
+        original(batch, sink, batch_id)
+        if batch_id == 1 and not crashed:
+            crashed.append(batch_id)
+            raise RuntimeError("simulated loss after the output was written, before the commit")
+
+    C.write_batch_partition = crash_after_writing
+    try:
+        q = C.capture_appends(spark, f"{tmp_dir}/landing", df.schema, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt",
+                              starting="earliest", trigger="availableNow", max_files_per_trigger=1)
+        with pytest.raises(Exception):
+            q.awaitTermination()
+    finally:
+        C.write_batch_partition = original
+    assert crashed == [1]
+    # restart from the checkpoint: batch 1 is run again and overwrites its own output
+    C.capture_appends(spark, f"{tmp_dir}/landing", df.schema, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt",
+                      starting="earliest", trigger="availableNow", max_files_per_trigger=1).awaitTermination()
+    out = spark.read.parquet(f"{tmp_dir}/sink")
+    assert out.count() == 3000 and out.select("id").distinct().count() == 3000
+    assert sorted(r[0] for r in out.select("batch_id").distinct().collect()) == [0, 1, 2]

@@ -122,3 +122,37 @@ def test_capture_survives_a_crash_mid_batch(spark, tmp_dir):
     out = spark.read.parquet(f"{tmp_dir}/sink")
     assert out.count() == 3000 and out.select("id").distinct().count() == 3000
     assert sorted(r[0] for r in out.select("batch_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_realtime_survives_a_crash_mid_batch(spark, tmp_dir):
+    import pytest
+
+    import wardline.streaming.realtime as R
+    g = graph(spark, SF_SMALL)
+    raw = g.raw["encounters"]
+    raw.repartitionByRange(3, "id").write.parquet(f"{tmp_dir}/enc")
+    original = R.apply_increment
+    crashed = []
+
+    def crash_after_state(spark_, batch, batch_id, patients, state_root, compact_every=R.COMPACT_EVERY):
+        out = original(spark_, batch, batch_id, patients, state_root, compact_every)
+        if batch_id == 1 and not crashed:
+            crashed.append(batch_id)
+            raise RuntimeError("simulated loss after the state was written, before the mart")
+        return out
+
+    R.apply_increment = crash_after_state
+    args = (spark, f"{tmp_dir}/enc", raw.schema, g.stg_patients, g.dim_organizations, f"{tmp_dir}/sink",
+            f"{tmp_dir}/ckpt")
+    try:
+        q = R.organization_kpis_rt(*args, trigger="availableNow", max_files_per_trigger=1)
+        with pytest.raises(Exception):
+            q.awaitTermination()
+    finally:
+        R.apply_increment = original
+    R.organization_kpis_rt(*args, trigger="availableNow", max_files_per_trigger=1).awaitTermination()
+    got = {r["organization_id"]: (r["total_encounters"], r["distinct_patients"])
+           for r in read_table(spark, f"{tmp_dir}/sink", MART).collect()}
+    want = {r["organization_id"]: (r["total_encounters"], r["distinct_patients"])
+            for r in g.mart_organization_kpis.collect()}
+    assert crashed == [1] and got == want

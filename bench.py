@@ -10,7 +10,7 @@ plus the whole test suite over raw tables already loaded):
   publish them as Parquet (the reference's separate load step; reported,
   not part of ``value``);
 * ``value``     - build the six marts as tables from the loaded raw tables
-  and run the 56 data-quality checks (median of three full runs after one
+  and run the 56 data-quality checks (median of five full runs after one
   untimed warm-up build, each writing new tables; every run is listed);
 * ``queries``   - wall time of each headline model/analysis, executed in
   full with the no-op sink, over the loaded raw tables.
@@ -37,7 +37,7 @@ from wardline.registry import AS_OF  # noqa: E402
 from wardline.session import get_session, scratch_path  # noqa: E402
 from wardline.sources.testdata import raw_from_testdata  # noqa: E402
 
-BUILD_RUNS = 3
+BUILD_RUNS = 5
 
 HEADLINE = {
     "int_encounters_enriched": lambda g: g.int_encounters_enriched,

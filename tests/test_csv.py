@@ -113,3 +113,10 @@ def test_scale_conf_sizes_partitions():
     assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert scale_conf(1 << 20)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_scan_with_a_repeated_header_name(spark, tmp_dir):
+    _write(f"{tmp_dir}/dup/a.csv", "id,code,Code\n1,x,y\n")
+    df = scan_csv(spark, f"{tmp_dir}/dup")
+    assert [tuple(r) for r in df.collect()] == [("1", "x", "y")]
+    assert df.columns == ["id", "code", "code"]

@@ -55,8 +55,12 @@ def _trigger(writer, trigger: str | None):
 
 def record_baseline(spark: SparkSession, source_dir: str, schema: T.StructType, checkpoint: str,
                     fmt: str = "parquet") -> None:
-    """Mark every file already in ``source_dir`` as consumed without reading it."""
-    q = (file_stream(spark, source_dir, schema, fmt).writeStream
+    """Mark every file already in ``source_dir`` as consumed without reading it.
+
+    One micro-batch takes all present files (no byte budget: the no-op sink
+    never reads them), so a large landing folder costs one offset entry.
+    """
+    q = (file_stream(spark, source_dir, schema, fmt, max_files_per_trigger=2**31 - 1).writeStream
          .foreachBatch(lambda df, batch_id: None)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

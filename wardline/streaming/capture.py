@@ -74,8 +74,12 @@ def encounter_stream_columns() -> list[Column]:
 
 
 def write_batch_partition(df: DataFrame, sink_dir: str, batch_id: int) -> None:
-    """Idempotent append: batch ``batch_id`` owns ``batch_id=N`` and a replay overwrites it."""
-    df.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
+    """Idempotent append: batch ``batch_id`` owns ``batch_id=N`` and a replay overwrites it.
+
+    The (bounded) micro-batch is rebalanced first, so AQE writes a few files
+    of the advisory size instead of one small file per task.
+    """
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
 
 def capture_appends(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,

@@ -40,3 +40,18 @@ def test_built_tables_equal_the_model_graph(spark, tmp_dir):
         a = sorted(map(str, map(tuple, df.select(*cols).collect())))
         b = sorted(map(str, map(tuple, g.model(name).collect())))
         assert a == b, name
+
+
+def test_realtime_command_drains_and_publishes(spark, tmp_dir):
+    from wardline.plans.landing import land_extract
+    g = graph(spark, SF_SMALL)
+    src = land_extract(spark, {t: g.raw[t] for t in ("patients", "encounters", "conditions", "medications",
+                                                    "organizations")})
+    assert main(["load", "--src", src, "--dst", f"{tmp_dir}/raw"]) == 0
+    g.raw["encounters"].repartitionByRange(3, "id").write.parquet(f"{tmp_dir}/landing")
+    assert main(["realtime", "--raw", f"{tmp_dir}/raw", "--landing", f"{tmp_dir}/landing",
+                 "--out", f"{tmp_dir}/rt", "--checkpoint", f"{tmp_dir}/ckpt", "--trigger", "availableNow"]) == 0
+    mart = read_table(spark, f"{tmp_dir}/rt", "mart_organization_kpis_rt")
+    got = {r["organization_id"]: r["total_encounters"] for r in mart.collect()}
+    want = {r["organization_id"]: r["total_encounters"] for r in g.mart_organization_kpis.collect()}
+    assert got == want

@@ -20,6 +20,17 @@ def test_load_then_build_reports_planted_failures(spark, tmp_dir):
     assert report.count() == 56 and report.filter("status = 'fail'").count() == 4
     assert main(["build", "--csv", src, "--out", f"{tmp_dir}/marts2", "--as-of", "2024-01-01",
                  "--suite", "local"]) == 1
+    # a seed file loaded by name gives the same marts as the built-in rows
+    from wardline.sources.seed import PLANNED_CLASSIFICATION
+    import os
+    os.makedirs(f"{tmp_dir}/seed")
+    with open(f"{tmp_dir}/seed/seed.csv", "w") as f:
+        f.write("encounter_code,encounter_label,is_planned,classification_rationale\n")
+        f.writelines(f"{c},{lab},{str(p).lower()},{why}\n" for c, lab, p, why in PLANNED_CLASSIFICATION)
+    assert main(["build", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/marts3", "--as-of", "2024-01-01",
+                 "--seed", f"{tmp_dir}/seed"]) == 1
+    assert sorted(map(tuple, read_table(spark, f"{tmp_dir}/marts3", "mart_organization_kpis").collect())) == \
+        sorted(map(tuple, kpis.collect()))
     # the suite alone on the built marts; checks of one clean model pass
     assert main(["test", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/marts"]) == 1
     assert main(["test", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/marts",

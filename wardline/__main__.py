@@ -21,6 +21,13 @@ ALL_RAW = ("allergies", "careplans", "conditions", "devices", "encounters", "ima
            "payer_transitions", "payers", "procedures", "providers", "supplies")
 
 
+def _graph(spark, args):
+    from wardline.plans.graph import ModelGraph
+    from wardline.sources.seed import planned_classification
+    seed = planned_classification(spark, args.seed) if getattr(args, "seed", None) else None
+    return ModelGraph(spark, _raw(spark, args), planned=seed, as_of=args.as_of)
+
+
 def _raw(spark, args) -> RawTables:
     if args.csv:
         return RawTables.from_csv(spark, args.csv)
@@ -41,9 +48,8 @@ def cmd_build(spark, args) -> int:
 
     from wardline.operators.quality import raise_on_errors
     from wardline.plans.build import build_and_test
-    from wardline.plans.graph import ModelGraph
     from wardline.plans.checks import LOCAL_CHECKS, WAREHOUSE_CHECKS
-    g = ModelGraph(spark, _raw(spark, args), as_of=args.as_of)
+    g = _graph(spark, args)
     suite = LOCAL_CHECKS if args.suite == "local" else WAREHOUSE_CHECKS
     _, report = build_and_test(g, args.out, threads=args.threads, checks=suite)
     from wardline.plans.sinks import read_table, write_table
@@ -64,9 +70,8 @@ def cmd_test(spark, args) -> int:
     from wardline.operators import quality as Q
     from wardline.plans.build import BUILT_MODELS
     from wardline.plans.checks import LOCAL_CHECKS, WAREHOUSE_CHECKS
-    from wardline.plans.graph import ModelGraph
     from wardline.plans.sinks import read_table
-    g = ModelGraph(spark, _raw(spark, args), as_of=args.as_of)
+    g = _graph(spark, args)
     suite = LOCAL_CHECKS if args.suite == "local" else WAREHOUSE_CHECKS
     if args.model:
         suite = [c for c in suite if args.model in Q.models_of(c)]
@@ -83,9 +88,8 @@ def cmd_test(spark, args) -> int:
 
 
 def cmd_realtime(spark, args) -> int:
-    from wardline.plans.graph import ModelGraph
     from wardline.streaming.realtime import organization_kpis_rt
-    g = ModelGraph(spark, _raw(spark, args), as_of=args.as_of)
+    g = _graph(spark, args)
     schema = spark.read.parquet(args.landing).schema
     q = organization_kpis_rt(spark, args.landing, schema, g.stg_patients, g.dim_organizations, args.out,
                              args.checkpoint, mode=args.mode, trigger=args.trigger)
@@ -107,6 +111,7 @@ def main(argv: list[str] | None = None) -> int:
         src.add_argument("--csv", help="folder of raw CSV files read in place")
         sp.add_argument("--out", required=True)
         sp.add_argument("--as-of", default=None)
+        sp.add_argument("--seed", default=None, help="planned-classification CSV (default: built-in rows)")
         if name == "build":
             sp.add_argument("--threads", type=int, default=6)
         if name in ("build", "test"):

@@ -16,6 +16,7 @@ import sys
 from wardline.session import get_session
 from wardline.sources.catalog import RawTables
 
+# The raw extract tables, in load order; `supplies` ships header-only.
 ALL_RAW = ("allergies", "careplans", "conditions", "devices", "encounters", "imaging_studies",
            "immunizations", "medications", "observations", "organizations", "patients",
            "payer_transitions", "payers", "procedures", "providers", "supplies")

@@ -110,8 +110,8 @@ def main(argv: list[str] | None = None) -> int:
         src = sp.add_mutually_exclusive_group(required=True)
         src.add_argument("--raw", help="root of raw Parquet tables written by `load`")
         src.add_argument("--csv", help="folder of raw CSV files read in place")
-        sp.add_argument("--out", required=True)
-        sp.add_argument("--as-of", default=None)
+        sp.add_argument("--out", required=True, help="root of the mart tables (written or read)")
+        sp.add_argument("--as-of", default=None, help="date for current ages (default: today)")
         sp.add_argument("--seed", default=None, help="planned-classification CSV (default: built-in rows)")
         if name == "build":
             sp.add_argument("--threads", type=int, default=6)

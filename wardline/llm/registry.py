@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, licenses, ngram_join, toxicity
 from .common import registered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,23 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@registered(QUERIES, "op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@registered(QUERIES, "op8_ngram_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@registered(QUERIES, "op9_licenses")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.build_index(docs)).drop("spans")
+
+
 @registered(QUERIES, "op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE)

@@ -31,17 +31,20 @@ from .common import Scratch
 
 BLOCK_BYTES = 2048
 HOT_SHARE = 4096
-WHITE = "\t\n\x0b\x0c\r "
+WHITE = " \n\t\x0b\x0c\r"
 
 
 def normalised(text: Column) -> Column:
     """``text`` without the characters of [\\x20\\x09-\\x0D]; null is empty."""
-    return F.translate(F.coalesce(text, F.lit("")), WHITE, "")
+    out = F.coalesce(text, F.lit(""))
+    for c in WHITE:
+        out = F.replace(out, F.lit(c), F.lit(""))
+    return out
 
 
 def name_keys(scratch: Scratch, rows: DataFrame, key: list[str], carry: list[str], label: str) -> DataFrame:
     """``carry`` with an integer ``name``: equal exactly where ``key`` is equal (nulls equal nulls)."""
-    h = F.xxhash64(*key)
+    h = F.col("h") if "h" in rows.columns else F.xxhash64(*key)
     counts = scratch.keep(rows.groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("n")), f"{label}-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     hot = [r.h for r in counts.where(F.col("n") * HOT_SHARE > total).where("n > 1").select("h").collect()]
@@ -68,14 +71,16 @@ def identities(scratch: Scratch, docs: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("salt"),
         normalised(F.col("text")).cast("binary").alias("bytes"))
     blocks = blocks.select(
-        "doc_id", "salt", F.octet_length("bytes").alias("size"),
+        "doc_id", "salt",
         F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.octet_length("bytes") / BLOCK_BYTES) - 1, F.lit(0))),
                     lambda i: F.substring("bytes", (i * BLOCK_BYTES + 1).cast("int"), F.lit(BLOCK_BYTES)))
         .alias("parts"))
     blocks = blocks.select("doc_id", "salt", F.size("parts").alias("left"), F.posexplode("parts").alias("pos", "block"))
+    blocks = scratch.keep(blocks.withColumn("h", F.xxhash64("block")), "blocks")
     doc = ["doc_id", "salt", "left"]
     level, done = 0, []
     rows = name_keys(scratch, blocks, ["block"], [*doc, "pos"], "block")
+    scratch.drop(blocks)
     while True:
         single = rows.where("left = 1").groupBy("doc_id", "salt").agg(F.min("name").alias("name"))
         done.append(single.select("doc_id", "salt", F.lit(level).alias("level"), "name"))

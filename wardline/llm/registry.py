@@ -7,11 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, licenses, ngram_join, toxicity
+from . import bpe, embedding, exact_dedup, licenses, ngram_join, toxicity
 from .common import registered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE}
+ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_embedding_caps": embedding.ORACLE}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,6 +27,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@registered(QUERIES, "op7_embedding_caps")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @registered(QUERIES, "op8_ngram_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))

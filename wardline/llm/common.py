@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.session import scratch_path
@@ -27,13 +27,17 @@ class Scratch:
         self.base = scratch_path(spark, name)
         self.count = 0
 
-    def keep(self, df: DataFrame, name: str, partition_by: Iterable[str] = ()) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, codec: str = "snappy", **measures: Column) -> DataFrame:
+        """``df`` written and read back; aggregates named in ``measures`` are taken on the way (``.measured``)."""
         self.count += 1
         path = f"{self.base}/{self.count:03d}-{name}"
-        df.write.partitionBy(*partition_by).parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch = path
-        return out
+        seen = Observation() if measures else None
+        out = df.observe(seen, *[c.alias(k) for k, c in measures.items()]) if seen else df
+        out.write.parquet(path, compression=codec)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        back._scratch = path
+        back.measured = seen.get if seen else {}
+        return back
 
     def drop(self, *frames: DataFrame) -> None:
         jvm = self.spark.sparkContext._jvm
@@ -43,42 +47,38 @@ class Scratch:
             path.getFileSystem(conf).delete(path, True)
 
 
-def components(scratch: Scratch, edges: DataFrame, small: int = 200_000) -> DataFrame:
+def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, component), component = smallest node.
 
-    Minimum labels with pointer jumping.  Every round each node takes the
-    smallest label among its neighbours' labels, then the label of its label,
-    so the longest chain halves; the rounds are logarithmic in it.  Each round
-    is written to the shared folder, both join sides are plain shuffles, so
-    AQE splits hub nodes.
+    Minimum labels with hooking and pointer jumping.  Every round each node
+    takes the smallest label among its neighbours' labels, tells it to the node
+    its old label names, then takes the label of its label, so the longest
+    chain about halves; the rounds are logarithmic in it.  Each round is
+    written to the shared folder and all join sides are plain shuffles, so AQE
+    splits hub nodes.
     """
-    both = scratch.keep(
-        edges.select(F.col("a"), F.col("b")).union(edges.select(F.col("b"), F.col("a")))
-        .where("a <> b").groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b"), "edges")
-    labels = scratch.keep(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("l"))
-                          .select(F.col("a").alias("node"), "l"), "labels")
+    both = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b")
+    both = scratch.keep(both.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b"), "edges")
+    labels = scratch.keep(both.groupBy("a").agg(F.least("a", F.min("b")).alias("l")).select(F.col("a").alias("node"), "l"),
+                          "labels")
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), F.col("l").alias("near")), "b")
                 .groupBy("a").agg(F.min("near").alias("near")))
-        # a hook: the label's own node learns of the smaller label too
-        told = (labels.join(near, labels["node"] == near["a"])
-                .select("node", "l", F.least("l", "near").alias("best")))
-        told = scratch.keep(told, "told")
-        hooks = told.where("best < l").groupBy(F.col("l").alias("node")).agg(F.min("best").alias("hook"))
-        hooked = (told.join(hooks, "node", "left")
-                  .select("node", "l", F.least("best", F.coalesce("hook", "best")).alias("best")))
-        hooked = scratch.keep(hooked, "hooked")
-        jump = hooked.select(F.col("node").alias("best"), F.col("best").alias("root"))
-        nxt = scratch.keep(hooked.join(jump, "best").select("node", "l", F.col("root").alias("nxt")), "jumped")
-        moved = nxt.where("nxt < l").limit(1).count()
-        scratch.drop(told, hooked, labels)
-        labels = scratch.keep(nxt.select("node", F.col("nxt").alias("l")), "labels")
-        scratch.drop(nxt)
-        if not moved:
-            scratch.drop(both)
+        told = scratch.keep(labels.join(near, labels["node"] == near["a"])
+                            .select("node", "l", F.least("l", "near").alias("best")), "told",
+                            lower=F.count_if(F.col("best") < F.col("l")))
+        if not told.measured["lower"]:
+            scratch.drop(both, told)
             out = labels.select("node", F.col("l").alias("component"))
             out._scratch = labels._scratch
             return out
+        hooks = told.where("best < l").groupBy(F.col("l").alias("node")).agg(F.min("best").alias("hook"))
+        hooked = (told.join(hooks, "node", "left")
+                  .select("node", F.least("best", F.coalesce("hook", "best")).alias("best")))
+        jump = hooked.select(F.col("node").alias("best"), F.col("best").alias("root"))
+        nxt = scratch.keep(hooked.join(jump, "best").select("node", F.col("root").alias("l")), "labels")
+        scratch.drop(told, labels)
+        labels = nxt
 
 
 def registered(queries: dict[str, Callable], name: str):

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-BLOCK_BYTES = 2048
+BLOCK_BYTES = 8192
 HOT_SHARE = 4096
 WHITE = " \n\t\x0b\x0c\r"
 
@@ -43,12 +43,14 @@ def normalised(text: Column) -> Column:
 
 
 def name_keys(scratch: Scratch, rows: DataFrame, key: list[str], carry: list[str], label: str) -> DataFrame:
-    """``carry`` with an integer ``name``: equal exactly where ``key`` is equal (nulls equal nulls)."""
-    h = F.col("h") if "h" in rows.columns else F.xxhash64(*key)
-    counts = scratch.keep(rows.groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("n")), f"{label}-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = [r.h for r in counts.where(F.col("n") * HOT_SHARE > total).where("n > 1").select("h").collect()]
-    scratch.drop(counts)
+    """``carry`` with an integer ``name``: equal exactly where ``key`` is equal (nulls equal nulls).
+
+    ``rows`` is a written table with its count in ``measured`` and a hash ``h`` of the key.
+    """
+    h = F.col("h")
+    total = rows.measured["rows"]
+    hot = [r.h for r in rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+           .where((F.col("n") > 1) & (F.col("n") * HOT_SHARE > total)).select("h").collect()]
     cold = rows.where(~h.isin(hot)) if hot else rows
     runs = (cold.repartition(*key).sortWithinPartitions(*key)
             .withColumn("at", F.monotonically_increasing_id()))
@@ -76,23 +78,26 @@ def identities(scratch: Scratch, docs: DataFrame) -> DataFrame:
                     lambda i: F.substring("bytes", (i * BLOCK_BYTES + 1).cast("int"), F.lit(BLOCK_BYTES)))
         .alias("parts"))
     blocks = blocks.select("doc_id", "salt", F.size("parts").alias("left"), F.posexplode("parts").alias("pos", "block"))
-    blocks = scratch.keep(blocks.withColumn("h", F.xxhash64("block")), "blocks")
+    blocks = scratch.keep(blocks.withColumn("h", F.xxhash64("block")), "blocks",
+                          rows=F.count(F.lit(1)), longest=F.max("left"))
     doc = ["doc_id", "salt", "left"]
-    level, done = 0, []
     rows = name_keys(scratch, blocks, ["block"], [*doc, "pos"], "block")
     scratch.drop(blocks)
+    level, longest, done = 0, blocks.measured["longest"] or 1, []
     while True:
         single = rows.where("left = 1").groupBy("doc_id", "salt").agg(F.min("name").alias("name"))
         done.append(single.select("doc_id", "salt", F.lit(level).alias("level"), "name"))
-        if not rows.where("left > 1").limit(1).count():
+        if longest == 1:
             break
-        level += 1
+        level, longest = level + 1, -(-longest // 2)
         pairs = (rows.where("left > 1")
                  .groupBy("doc_id", "salt", F.ceil(F.col("left") / 2).cast("int").alias("left"),
                           F.floor(F.col("pos") / 2).cast("int").alias("pos"))
                  .agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"),
                       F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))).alias("b")))
-        rows = name_keys(scratch, scratch.keep(pairs, f"pairs{level}"), ["a", "b"], [*doc, "pos"], f"pair{level}")
+        pairs = scratch.keep(pairs.withColumn("h", F.xxhash64("a", "b")), f"pairs{level}", rows=F.count(F.lit(1)))
+        rows = name_keys(scratch, pairs, ["a", "b"], [*doc, "pos"], f"pair{level}")
+        scratch.drop(pairs)
     out = done[0]
     for d in done[1:]:
         out = out.union(d)

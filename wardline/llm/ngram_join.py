@@ -226,18 +226,20 @@ def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, pe
         found = components(scratch, tried.where("linked").select("a", "b"))
         at = scratch.keep(
             lists.join(found, lists["rep"] == found["node"], "left")
-            .select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "placed")
+            .select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "placed", rows=F.count(F.lit(1)))
         # lists that still span components, a leader for each, another one every round
         turn = F.xxhash64("rep", F.lit(step))
         open_ = scratch.keep(
-            at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+            at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"),
                                   F.min(F.struct(turn.alias("t"), F.col("rep"), F.col("n"), F.col("comp"))).alias("l"))
-            .where("lo < hi").select("key", F.col("l.rep").alias("lead"), F.col("l.n").alias("m"),
-                                     F.col("l.comp").alias("lead_comp")), "open")
-        if not open_.limit(1).count():
-            scratch.drop(at, open_)
+            .where("lo < hi").select("key", "c", F.col("l.rep").alias("lead"), F.col("l.n").alias("m"),
+                                     F.col("l.comp").alias("lead_comp")), "open",
+            rows=F.count(F.lit(1)), pairs=F.sum(F.col("c").cast("double") * F.col("c")))
+        if not open_.measured["rows"]:
             break
-        if step < LEADER_ROUNDS:
+        # all pairs at once where they are few, which links the same documents
+        last = step == LEADER_ROUNDS or open_.measured["pairs"] <= 4 * at.measured["rows"]
+        if not last:
             new = (at.join(open_, "key").where("comp <> lead_comp").where(sizes)
                    .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")))
         else:
@@ -248,13 +250,13 @@ def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, pe
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         new = scratch.keep(new.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
                            .join(known, ["a", "b"], "left_anti"), "pairs")
-        scratch.drop(open_)
-        if step == LEADER_ROUNDS or new.limit(1).count():
-            more = scratch.keep(verify(new, texts, words, percent), "verified")
-            if more.where("linked").limit(1).count() and step == LEADER_ROUNDS:
+        more = scratch.keep(verify(new, texts, words, percent), "verified", linked=F.count_if("linked"))
+        scratch.drop(open_, at, new)
+        if last:
+            if more.measured["linked"]:
                 found = components(scratch, tried.union(more).where("linked").select("a", "b"))
-            tried = tried.union(more)
-        scratch.drop(at)
+            break
+        tried = tried.union(more)
     scratch.drop(texts)
     return found
 

@@ -1,15 +1,68 @@
-"""Corpus pipeline: toxicity, exact dedup, near-duplicate join, mixing, tokenisation."""
+"""Corpus pipeline: toxicity, exact dedup, near-duplicate join, mixing, tokenisation.
+
+Every stage takes (spark, docs, sf_dir) and decides on all rows its predecessor
+kept; the frame it returns is written as Parquet and read again for the next.
+All but the last return the columns of ``documents``.
+
+Rows that repeat a doc_id, which is not a document's identifier then, go or stay
+together; a row without doc_id is kept by the duplicate stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wardline.llm import bpe, exact_dedup, mixing, ngram_join, registry, toxicity
+from wardline.llm.common import Scratch
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+#: The stages train, sample and compare, which SQL does not express; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the doc_ids of ``dropped``."""
+    return docs.select(*COLUMNS).join(dropped.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model does not call toxic."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, registry.table(spark, sf_dir, "labels")), COLUMNS)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of equal texts."""
+    return without(docs, exact_dedup.exact_dedup(docs).where("not kept"))
+
+
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of every group of near copies (five-word shingles, 0.8)."""
+    groups = ngram_join.jaccard_join(docs, words=5, percent=80)
+    return without(docs, groups.where(F.col("component_id") != F.col("doc_id")))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sample whose tokens have the target marginals."""
+    return mixing.keep(docs, mixing.fit(docs), COLUMNS)
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text."""
+    return bpe.encode(docs, registry.WORD_BPE)
+
+
+STAGES = [("toxicity", clean), ("exact_dedup", distinct), ("ngram_join", different), ("mixing", mixed),
+          ("bpe", tokenised)]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over ``documents``; every stage's rows are written to the shared folder and read again."""
+    scratch = Scratch(spark, "pipeline")
+    docs = registry.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        before, docs = docs, scratch.keep(stage(spark, docs, sf_dir), name)
+        if hasattr(before, "_scratch"):
+            scratch.drop(before)
     return docs

@@ -9,9 +9,9 @@ representatives.
   the keys of all its subsets with up to ``floor((1 - t) n)`` elements left out.
 * Large sets are joined on inverted lists: in one global order of all shingles,
   two sets that link share an element among the first ``n - ceil(t n) + 1`` of
-  each, so only those are posted.  The order puts rare shingles first, by the
-  document frequency over the whole corpus of the fifth of the shingle space
-  that comes first in it (the others follow by hash).  Shingles that one set
+  each, so only those are posted.  The order begins with a share of the shingle
+  space (twice that of a prefix), rarest first by document frequency over the
+  whole corpus; the other shingles follow by hash.  Shingles that one set
   alone holds fill places of the prefix but need no list, so a text without
   near copies usually posts nothing at all.
 * The boundary is the size at which the rows of the two ways cost least, from
@@ -50,8 +50,6 @@ WORDS = 3
 PERCENT = 90
 #: Largest size that may be joined on subsets.
 SMALL = 29
-#: Share of the shingle space that is ordered by document frequency.
-ORDERED = 0.2
 LEADER_ROUNDS = 3
 
 U64 = np.uint64
@@ -97,9 +95,14 @@ def least(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def ordered_share(percent: int) -> float:
+    """Share of the shingle space that is ordered by document frequency: twice the share of a prefix."""
+    return min(1.0, 2 * (100 - percent) / 100)
+
+
 def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, n, fp, and of each set: the ordered elements, further prefix elements, all elements if small."""
-    limit = U64(int(ORDERED * 2 ** 64))
+    limit = U64(min(2 ** 64 - 1, int(ordered_share(percent) * 2 ** 64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,7 +131,7 @@ def boundary(counts: dict[int, int], percent: int) -> int:
         return sum(math.comb(n, k) for k in range(n - least(n, percent) + 1))
 
     def lists(n: int) -> float:
-        return 2 * ORDERED * n + (n - least(n, percent) + 1)
+        return 2 * ordered_share(percent) * n + (n - least(n, percent) + 1)
 
     def cost(s: int) -> float:
         return (sum(c * subsets(n) for n, c in counts.items() if n <= s)

@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embedding, exact_dedup, html_extract, licenses, ngram_join, toxicity
+from . import bpe, chat, embedding, exact_dedup, html_extract, licenses, mixing, ngram_join, toxicity, warc
 from .common import registered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_embedding_caps": embedding.ORACLE}
+ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_warc": warc.ORACLE,
+                          "op5_tool_calls": chat.ORACLE, "op7_embedding_caps": embedding.ORACLE}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -21,11 +22,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@registered(QUERIES, "op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.decide(docs, mixing.fit(docs))
+
+
 @registered(QUERIES, "op3_html_extract")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+@registered(QUERIES, "op4_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@registered(QUERIES, "op5_tool_calls")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link(*chat.from_conversations(table(spark, sf_dir, "conversations")))
+
+
 @registered(QUERIES, "op6_toxicity")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -1,17 +1,21 @@
 """Embedding near-dedup with spherical-cap filters.
 
-The filter directions form a product code: the space is rotated, cut into
-blocks, every block has a short list of random unit vectors, and a direction is
-a choice of one per block.  A vector is listed under every direction whose cap
-it lies in (cosine at least ``alpha``); the list is decoded from the block
-products by taking the blocks in two halves and pairing only those sums that
-together exceed the threshold, so the code is never enumerated.  Vectors that
-share a direction are joined and the exact cosine decides.
-
-``alpha`` and the size of the code follow from the number of distinct vectors:
-a cap holds about ``LOAD`` unrelated vectors, and two vectors at the threshold
-share about ``SHARED`` directions.  Every vector is listed; there is no cap on
-lists or partners.  Recall against brute force is measured in the tests.
+Filter directions form product codes: the space is rotated and cut into two
+blocks, each block has a list of random unit vectors, and a direction is a
+choice of one per block.  A vector is listed under every direction whose cap it
+lies in (cosine at least ``alpha``); the list is decoded from the block products
+by pairing only those that together exceed the threshold, so the code is never
+enumerated.  ``CODES`` independent codes are used, since the directions of one
+share their blocks.  Vectors that share a direction are joined, pairs whose
+128-bit sign sketches are too far apart for the threshold (by more than five
+standard deviations) are left out, and the exact cosine decides.
+
+``alpha`` and the size of the codes follow from the number of distinct vectors
+by the distribution of random directions on the sphere: a cap holds at most
+about ``LOAD`` unrelated vectors, and two vectors at the threshold share about
+``SHARED`` of at least ``LEAST`` directions (short vectors, of fewer than 16
+dimensions, have one block).  Every vector is listed; there is no limit on lists
+or partners.  Recall against brute force is measured in the tests.
 
 Equal vectors are represented by their smallest vec_id and counted.
 
@@ -36,85 +40,96 @@ from pyspark.sql import functions as F
 from .common import Scratch, components
 
 COSINE = 0.9
-LOAD, SHARED = 4.0, 14.0
+LOAD, SHARED, LEAST = 10.0, 30.0, 16_384
+CODES = 4
 SEED = 20240607
+GRID = np.linspace(-1.0, 1.0, 20_001)
 
 
-def upper(t: float) -> float:
-    """P(standard normal >= t)."""
-    return 0.5 * math.erfc(t / math.sqrt(2))
+@lru_cache(maxsize=64)
+def tails(dim: int) -> np.ndarray:
+    """P(cosine with a random direction >= x) for x in GRID."""
+    density = np.maximum(1 - GRID ** 2, 0) ** ((dim - 3) / 2)
+    mass = np.concatenate([[0.0], np.cumsum((density[1:] + density[:-1]) / 2)])
+    return np.maximum(mass[-1] - mass, 0) / mass[-1]
 
 
-def both_upper(t: float, rho: float) -> float:
-    """P(two standard normals with correlation rho both >= t)."""
-    x = np.linspace(t, t + 8, 4001)
-    tail = np.array([upper((t - rho * v) / math.sqrt(1 - rho * rho)) for v in x])
-    return float(np.trapezoid(np.exp(-x * x / 2) / math.sqrt(2 * math.pi) * tail, x))
+def both(alpha: float, cosine: float, dim: int) -> float:
+    """P(a random direction has at least ``alpha`` with both of two vectors at ``cosine``)."""
+    x = np.linspace(alpha, 1, 2001)[:-1]
+    need = (alpha - cosine * x) / np.sqrt((1 - cosine ** 2) * (1 - x ** 2))
+    share = np.interp(np.clip(need, -1, 1), GRID, tails(dim - 1))
+    mass = -np.diff(np.interp(np.append(x, 1.0), GRID, tails(dim)))
+    return float((mass * share).sum())
 
 
-def plan(n: int, cosine: float) -> tuple[float, float]:
-    """Cap height in standard deviations and number of directions for ``n`` distinct vectors."""
-    target = min(0.05, LOAD / max(n, 1))
-    lo, hi = 0.0, 12.0
-    for _ in range(60):
+@lru_cache(maxsize=64)
+def plan(n: int, cosine: float, dim: int) -> tuple[float, float]:
+    """Cosine of the caps and number of directions for ``n`` distinct vectors."""
+    lo, hi = 0.0, 0.95
+    for _ in range(50):
         mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if upper(mid) > target else (lo, mid)
-    return lo, SHARED / both_upper(lo, cosine)
+        more = np.interp(mid, GRID, tails(dim)) * n > LOAD or SHARED / both(mid, cosine, dim) < LEAST
+        lo, hi = (mid, hi) if more else (lo, mid)
+    return hi, SHARED / both(hi, cosine, dim)
 
 
-@lru_cache(maxsize=8)
-def code(dim: int, directions: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rotation and the unit vectors of each block, the same on every machine."""
-    rng = np.random.default_rng(SEED + dim)
+@lru_cache(maxsize=64)
+def code(dim: int, n: int, cosine: float, number: int) -> tuple[np.ndarray, list[np.ndarray], float]:
+    """Rotation, the unit vectors of each block and the caps' cosine, the same on every machine."""
+    rng = np.random.default_rng([SEED, dim, number])
     rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-    blocks = 4 if dim >= 16 else 2 if dim >= 4 else 1
-    per_block = max(2, math.ceil(directions ** (1 / blocks)))
-    cuts = np.linspace(0, dim, blocks + 1).astype(int)
+    if dim < 16:  # one block, a cap for each of about 60 / CODES nearest directions
+        size = max(8, min(16_384, 32 * 4 ** (dim - 1)) // CODES)
+        w = rng.standard_normal((size, dim))
+        w /= np.linalg.norm(w, axis=1, keepdims=True)
+        test = rng.standard_normal((200, dim))
+        test /= np.linalg.norm(test, axis=1, keepdims=True)
+        return rotation, [w], float(np.quantile(w @ test.T, 1 - min(60 // CODES, size // 4) / size)) - 1e-9
+    alpha, directions = plan(n, cosine, dim)
     words = []
-    for a, b in zip(cuts, cuts[1:]):
-        w = rng.standard_normal((per_block, b - a))
+    for width in (dim // 2, dim - dim // 2):
+        w = rng.standard_normal((math.ceil(math.sqrt(directions / CODES)), width))
         # a direction's block has the share of its length that the block has of the space
-        words.append(w / np.linalg.norm(w, axis=1, keepdims=True) * math.sqrt((b - a) / dim))
-    return rotation, words
-
-
-def _sums(parts: list[np.ndarray]) -> np.ndarray:
-    out = parts[0]
-    for p in parts[1:]:
-        out = (out[:, None] + p[None, :]).ravel()
-    return out
-
-
-def decode(unit: np.ndarray, height: float, directions: float) -> Iterator[np.ndarray]:
-    """For every row of ``unit`` the directions (integers) whose cap holds it."""
-    dim = unit.shape[1]
-    rotation, words = code(dim, directions)
-    turned, alpha, at, products = unit @ rotation, height / math.sqrt(dim), 0, []
-    for w in words:
-        products.append(turned[:, at:at + w.shape[1]] @ w.T)
-        at += w.shape[1]
-    half = (len(words) + 1) // 2
-    right_size = math.prod(len(w) for w in words[half:])
-    for i in range(len(unit)):
-        left = _sums([p[i] for p in products[:half]])
-        if half == len(words):
-            yield np.flatnonzero(left >= alpha)
-            continue
-        right = _sums([p[i] for p in products[half:]])
+        words.append(w / np.linalg.norm(w, axis=1, keepdims=True) * math.sqrt(width / dim))
+    return rotation, words, alpha
+
+
+def decode(unit: np.ndarray, n: int, cosine: float, number: int) -> Iterator[np.ndarray]:
+    """For every row of ``unit`` the directions (integers) of one code whose cap holds it."""
+    rotation, words, alpha = code(unit.shape[1], n, cosine, number)
+    turned, width = unit @ rotation, words[0].shape[1]
+    lefts = turned[:, :width] @ words[0].T
+    if len(words) == 1:
+        yield from (np.flatnonzero(row >= alpha) for row in lefts)
+        return
+    rights = turned[:, width:] @ words[1].T
+    for left, right in zip(lefts, rights):
         keep_l = np.flatnonzero(left >= alpha - right.max())
-        if not len(keep_l):
-            yield keep_l
-            continue
         keep_r = np.flatnonzero(right >= alpha - left.max())
         order = keep_r[np.argsort(-right[keep_r], kind="stable")]
         counts = np.searchsorted(-right[order], left[keep_l] - alpha, side="right")
         firsts = np.repeat(keep_l, counts)
-        seconds = order[np.concatenate([np.arange(c) for c in counts])] if counts.sum() else order[:0]
-        yield firsts * right_size + seconds
+        runs = np.arange(len(firsts)) - np.repeat(np.cumsum(counts) - counts, counts)
+        yield firsts * len(right) + order[runs]
 
 
-def postings(reps: DataFrame, height: float, directions: float) -> DataFrame:
-    """cap, rep for every direction whose cap holds the representative ``rep``."""
+def sketches(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 signs of random projections as two integers for each row."""
+    rng = np.random.default_rng([SEED, unit.shape[1], 999])
+    bits = (unit @ rng.standard_normal((unit.shape[1], 128)) >= 0)
+    words = np.packbits(bits, axis=1).view(np.int64)
+    return words[:, 0], words[:, 1]
+
+
+def farthest(cosine: float) -> int:
+    """Signs that may differ at the threshold: five standard deviations over their mean."""
+    p = math.acos(cosine) / math.pi
+    return math.ceil(128 * p + 5 * math.sqrt(128 * p * (1 - p)))
+
+
+def postings(reps: DataFrame, n: int, cosine: float) -> DataFrame:
+    """dim, cap, rep, s, t for every direction whose cap holds the representative ``rep``; s, t its sign sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("rep").to_numpy()
@@ -126,15 +141,18 @@ def postings(reps: DataFrame, height: float, directions: float) -> DataFrame:
                 x /= np.abs(x).max(axis=1, keepdims=True)
                 x /= np.linalg.norm(x, axis=1, keepdims=True)
                 caps, owners = [], []
-                for i, found in zip(at, decode(x, height, directions)):
-                    caps.append(found)
-                    owners.append(np.full(len(found), ids[i]))
+                for number in range(CODES):
+                    for i, found in enumerate(decode(x, n, cosine, number)):
+                        caps.append(found * CODES + number)
+                        owners.append(np.full(len(found), i))
+                caps, owners = np.concatenate(caps), np.concatenate(owners)
+                s, t = sketches(x)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(sum(map(len, caps)), dim, np.int32)),
-                     pa.array(np.concatenate(caps).astype(np.int64)), pa.array(np.concatenate(owners))],
-                    names=["dim", "cap", "rep"])
+                    [pa.array(np.full(len(caps), dim, np.int32)), pa.array(caps.astype(np.int64)),
+                     pa.array(ids[at][owners]), pa.array(s[owners]), pa.array(t[owners])],
+                    names=["dim", "cap", "rep", "s", "t"])
 
-    return reps.select("rep", "embedding").mapInArrow(run, "dim int, cap long, rep long")
+    return reps.select("rep", "embedding").mapInArrow(run, "dim int, cap long, rep long, s long, t long")
 
 
 def verified(pairs: DataFrame, reps: DataFrame, cosine: float) -> DataFrame:
@@ -168,10 +186,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, scratch: Scratch
     good = rows.where(usable)
     reps = scratch.keep(good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
                         "representatives")
-    height, directions = plan(reps.count(), cosine)
-    caps = scratch.keep(postings(reps, height, directions), "caps")
-    other = caps.select("dim", "cap", F.col("rep").alias("b"))
-    pairs = caps.withColumnRenamed("rep", "a").join(other, ["dim", "cap"]).where("a < b").select("a", "b")
+    caps = scratch.keep(postings(reps, reps.count(), cosine), "caps")
+    other = caps.select("dim", "cap", F.col("rep").alias("b"), F.col("s").alias("u"), F.col("t").alias("v"))
+    apart = F.bit_count(F.col("s").bitwiseXOR(F.col("u"))) + F.bit_count(F.col("t").bitwiseXOR(F.col("v")))
+    pairs = (caps.withColumnRenamed("rep", "a").join(other, ["dim", "cap"])
+             .where((F.col("a") < F.col("b")) & (apart <= farthest(cosine))).select("a", "b"))
     pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b"), "pairs")
     linked = scratch.keep(verified(pairs, reps, cosine), "links")
     scratch.drop(caps, pairs)

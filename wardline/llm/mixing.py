@@ -15,8 +15,8 @@ scaled so that the scarcest cell is kept whole (``budget`` asks for a smaller
 share of all tokens); nothing is repeated.
 
 Defined cases: null text counts as empty (no tokens); a null source or language
-is the category '' ; a document without long words has topic 'none'; a row
-without doc_id is decided by its text.  Repeated rows share a decision.  Other
+is the category ''; a document without words has topic t0; a row without doc_id
+is decided by its text.  Repeated rows share a decision.  Other
 columns pass through ``keep`` untouched.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-TEMPER = 0.7
+TEMPER = 0.8
 MAX_CATEGORIES = 1000
 TOPICS = 5
 LONG_WORD = 8
@@ -44,18 +44,16 @@ ROUNDS, TOLERANCE = 500, 1e-10
 
 
 def topic_of(words: list[str], known: dict[str, int]) -> str:
-    """The topic that most long words hash to; ties go to the smaller number."""
+    """The topic that most long words (if there are none, words) hash to; ties go to the smaller number."""
     votes = [0] * TOPICS
-    for w in words:
-        if len(w) >= LONG_WORD:
-            t = known.get(w)
-            if t is None:
-                if len(known) >= WORD_MEMORY:
-                    known.clear()
-                t = known[w] = xxhash.xxh3_64_intdigest(w.lower()) % TOPICS
-            votes[t] += 1
-    best = max(votes)
-    return f"t{votes.index(best)}" if best else "none"
+    for w in [w for w in words if len(w) >= LONG_WORD] or words:
+        t = known.get(w)
+        if t is None:
+            if len(known) >= WORD_MEMORY:
+                known.clear()
+            t = known[w] = xxhash.xxh3_64_intdigest(w.lower()) % TOPICS
+        votes[t] += 1
+    return f"t{votes.index(max(votes))}"
 
 
 def features(docs: DataFrame) -> DataFrame:

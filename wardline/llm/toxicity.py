@@ -3,17 +3,19 @@
 Grades are ordered (0 none, 1 toxic, 2 toxic in text of low quality, as the
 labels give them).  One weight per feature is shared by all thresholds:
 ``P(grade >= k) = sigmoid(w . x - t_k)`` with ``t_1 <= t_2 <= ...``; the output
-is the expected grade.  Features are words and word beginnings; a feature's
-value is ``log1p(RATE * count / (words + 20))``, so one hit in a long text
-weighs less than the same hit in a short one.
+is the expected grade.  Words and word beginnings that stand in a text are its
+features, each with two values: 1, and ``log1p(RATE * count / (words + 20))``,
+so that a hit in a long text can weigh less than in a short one.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``, those
-with the smallest hash of doc_id) and ``FEATURES`` features, chosen by their
-association with the grade; scoring reads every row and whole text.
+with the smallest hash of doc_id) and at most ``FEATURES`` features: those whose
+share of documents differs between toxic and other ones by at least ``LEAST_Z``
+standard errors.  Scoring reads every row and whole text.
 
 Defined cases: null text counts as empty and scores by the thresholds alone; a
-row without label is only scored; a label that is null is not used; without any
-usable labels nothing is toxic.  Repeated rows are scored each, other columns
+row without label is only scored; a label that is null is not used; without
+labels of both kinds, or without features that tell them apart, nothing is
+toxic.  Repeated rows are scored each, other columns
 are not read.
 """
 
@@ -32,7 +34,9 @@ from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 20_000
 FEATURES = 3_000
-MIN_ROWS = 6
+MIN_ROWS, LEAST_Z = 6, 5.0
+#: Chance of a grade above none from which a text counts as toxic.
+TOXIC = 0.4
 RATE = 200.0
 WORD_MEMORY = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -72,7 +76,8 @@ class Model:
 
     def score(self, text: str) -> float:
         counts, n = self.hits(text)
-        return sum(self.weights[i] * math.log1p(RATE * c / (n + 20)) for i, c in sorted(counts.items()))
+        return sum(self.weights[2 * i] + self.weights[2 * i + 1] * math.log1p(RATE * c / (n + 20))
+                   for i, c in sorted(counts.items()))
 
     def probabilities(self, score: float) -> list[float]:
         """P(grade >= k) for k = 1, 2, ..."""
@@ -122,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_fe
         return Model()
     spark = docs.sparkSession
     ids = F.broadcast(spark.createDataFrame(picked, "l_doc long, grade int"))
-    texts = docs.join(ids, docs["doc_id"] == ids["l_doc"]).select("doc_id", "grade", F.col("text").alias("text"))
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("l_doc")).select("doc_id", "grade", "text")
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by: Counter = Counter()
@@ -145,10 +150,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_fe
                                      F.sum(F.when(F.col("toxic"), 0).otherwise(F.col("n"))).alias("b"))
              .where(F.col("a") + F.col("b") >= MIN_ROWS))
     lift = F.col("a") / F.lit(n1) - F.col("b") / F.lit(n0)
-    pooled = (F.col("a") + F.col("b")) / F.lit(n1 + n0)
-    chosen = (stats.withColumn("s", F.abs(lift) / F.sqrt(pooled + F.lit(1 / (n1 + n0))))
+    pooled = (F.col("a") + F.col("b") + 1) / F.lit(n1 + n0 + 2)
+    error = F.sqrt(pooled * (1 - pooled) * F.lit(1 / n1 + 1 / n0))
+    chosen = (stats.withColumn("s", F.abs(lift) / error).where(F.col("s") >= LEAST_Z)
               .orderBy(F.desc("s"), "feature").limit(n_features).select("feature").collect())
-    model = Model({r.feature: i for i, r in enumerate(sorted(chosen))}, [0.0] * len(chosen))
+    if not chosen:
+        return Model()
+    model = Model({r.feature: i for i, r in enumerate(sorted(chosen))}, [0.0] * 2 * len(chosen))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,8 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_fe
             for text in batch.column("text").to_pylist():
                 counts, n = model.hits(text or "")
                 items = sorted(counts.items())
-                idx.append([i for i, _ in items])
-                val.append([math.log1p(RATE * c / (n + 20)) for _, c in items])
+                idx.append([j for i, _ in items for j in (2 * i, 2 * i + 1)])
+                val.append([v for _, c in items for v in (1.0, math.log1p(RATE * c / (n + 20)))])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("grade"), pa.array(idx, pa.list_(pa.int32())), pa.array(val, pa.list_(pa.float64())),
                  batch.column("doc_id").cast(pa.int64())], names=["grade", "idx", "val", "doc_id"])
@@ -170,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_fe
     vals = np.concatenate([np.array(r.val, float) for r in data])
     model.known.clear()
     grades = np.array([r.grade for r in data])
-    model.weights, model.thresholds = fit_ordinal(rows, cols, vals, grades, len(model.index), 2)
+    model.weights, model.thresholds = fit_ordinal(rows, cols, vals, grades, 2 * len(model.index), 2)
     return model
 
 
@@ -191,7 +199,7 @@ def severity(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column("doc_id").cast(pa.int64()), pa.array([round(s, 6) for s in scores], pa.float64()),
                  pa.array([round(sum(p), 6) for p in probs], pa.float64()),
                  pa.array([round(p[0], 6) for p in probs], pa.float64()),
-                 pa.array([p[0] >= 0.5 for p in probs], pa.bool_())],
+                 pa.array([p[0] >= TOXIC for p in probs], pa.bool_())],
                 names=["doc_id", "score", "severity", "p_toxic", "toxic"])
 
     return docs.select("doc_id", "text").mapInArrow(
@@ -202,7 +210,7 @@ def keep_clean(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     """The rows of ``docs`` that are not toxic, in one pass over the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = [model.probabilities(model.score(t.as_py() or ""))[0] < 0.5 for t in batch.column("text")]
+            clean = [model.probabilities(model.score(t.as_py() or ""))[0] < TOXIC for t in batch.column("text")]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     picked = docs.select(*columns)

@@ -189,7 +189,7 @@ walk as (
     select conv_id, turn, 0 from calls
     union all
     select h.conv_id, h.turn, w.depth + 1 from w join held h on h.conv_id = w.conv_id and h.parent = w.turn)
-  select conv_id, turn, max(depth) as level from w group by conv_id, turn),
+  select conv_id, turn, cast(max(depth) as bigint) as level from w group by conv_id, turn),
 results as (
   select conv_id, turn - 1 as turn, count(*) as n, first(text order by turn, text) as result
   from conversations where role = 'assistant' group by conv_id, turn - 1),

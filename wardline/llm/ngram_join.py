@@ -20,8 +20,10 @@ representatives.
 Lists become links without all pairs of a list: first every member is verified
 against the list's leader (the set with the fewest elements of its own), then,
 for lists that still span several components, against other leaders, and at
-last all pairs of a list that lie in different components.  So no link between
-components is lost, and a large group of near copies costs a pair or two per
+last all pairs of a list that lie in different components.  A pair is considered
+only at shared elements early enough in both orders for the rest to suffice, as
+the first shared element of sets that link is.  So no link between components is
+lost, and a large group of near copies costs a pair or two per
 member.  Verification counts the exact intersection of the two whole texts.
 
 Defined cases: null text counts as empty; a text with no words has the empty
@@ -51,6 +53,8 @@ PERCENT = 90
 #: Largest size that may be joined on subsets.
 SMALL = 29
 LEADER_ROUNDS = 3
+#: Text that one Python worker turns into shingles at once.
+CHUNK_BYTES = 4 << 20
 
 U64 = np.uint64
 
@@ -63,7 +67,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
-    """The sorted distinct 64-bit shingle names of each text (null: empty)."""
+    """The sorted distinct 64-bit shingle names of each text (null: empty), a few megabytes of text at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+        yield from _shingle_sets(texts.slice(start, stop - start), words)
+        start = stop
+
+
+def _shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
     texts = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.large_string())))
     split = pc.ascii_split_whitespace(texts)
     flat = split.flatten().dictionary_encode()
@@ -141,7 +155,7 @@ def boundary(counts: dict[int, int], percent: int) -> int:
 
 
 def subset_postings(reps: DataFrame, limit: int, percent: int) -> DataFrame:
-    """key, rep, n, own for every subset of the small sets that a partner could share."""
+    """key, rep, n, own, pos for every subset of the small sets that a partner could share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, reps_, sizes = [], [], []
@@ -160,15 +174,18 @@ def subset_postings(reps: DataFrame, limit: int, percent: int) -> DataFrame:
                 count = sum(map(len, keys))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(reps_).astype(np.int64)),
-                     pa.array(np.concatenate(sizes)), pa.array(np.zeros(count, np.int32))],
-                    names=["key", "rep", "n", "own"])
+                     pa.array(np.concatenate(sizes)), pa.array(np.zeros(count, np.int32)),
+                     pa.array(np.zeros(count, np.int32))], names=["key", "rep", "n", "own", "pos"])
 
     return (reps.where((F.col("n") <= limit)).select("rep", "small")
-            .mapInArrow(run, "key long, rep long, n int, own int"))
+            .mapInArrow(run, "key long, rep long, n int, own int, pos int"))
 
 
 def list_postings(scratch: Scratch, reps: DataFrame, limit: int, percent: int) -> DataFrame:
-    """key, rep, n, own for the prefix elements of the large sets that another set holds too."""
+    """key, rep, n, own, pos for the prefix elements of the large sets that another set holds too.
+
+    ``own`` counts the elements of the set alone, which come first in the order; ``pos`` is the element's place in it.
+    """
     large = reps.where(F.col("n") >= least(limit + 1, percent))
     tokens = large.select("rep", F.explode("ordered").alias("key"))
     tokens = scratch.keep(tokens, "elements")
@@ -187,8 +204,8 @@ def list_postings(scratch: Scratch, reps: DataFrame, limit: int, percent: int) -
         "rep", "n", "own",
         F.concat(F.when(F.col("take") > 0, F.transform(F.slice("hits", F.lit(1), F.col("take")), lambda h: h["key"]))
                  .otherwise(F.array().cast("array<long>")), F.col("further")).alias("keys"))
-    out = scratch.keep(rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "rep", "n", "own"),
-                       "lists")
+    out = scratch.keep(rows.where(F.size("keys") > 0).select(F.posexplode("keys").alias("at", "key"), "rep", "n", "own")
+                       .select("key", "rep", "n", "own", (F.col("own") + F.col("at")).alias("pos")), "lists")
     scratch.drop(tokens, shared)
     return out
 
@@ -212,11 +229,16 @@ def verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
 
 def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, percent: int) -> DataFrame:
     """node, component of every representative that links with another."""
-    sizes = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    # at the first element that two sets share, what is left of either must suffice
+    sizes = ((F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+             & (F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("place")) * (100 + percent)
+                >= (F.col("n") + F.col("m")) * percent))
     many = scratch.keep(
-        postings.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("own", "rep", "n")).alias("lead"))
-        .where("c > 1").select("key", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("m")), "keys")
-    lists = scratch.keep(postings.join(many, "key").select("key", "rep", "n", "own", "lead", "m"), "shared-lists")
+        postings.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("own", "rep", "n", "pos")).alias("lead"))
+        .where("c > 1").select("key", F.col("lead.rep").alias("lead"), F.col("lead.n").alias("m"),
+                               F.col("lead.pos").alias("place")), "keys")
+    lists = scratch.keep(postings.join(many, "key").select("key", "rep", "n", "pos", "lead", "m", "place"),
+                         "shared-lists")
     scratch.drop(many)
     involved = lists.select("rep").distinct()
     texts = docs.select("doc_id", "text").join(involved, docs["doc_id"] == involved["rep"]).select("rep", "text")
@@ -224,19 +246,19 @@ def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, pe
     pairs = (lists.where("rep <> lead").where(sizes)
              .groupBy(F.col("rep").alias("a"), F.col("lead").alias("b")).agg(F.lit(1).alias("one")).select("a", "b"))
     tried = scratch.keep(verify(scratch.keep(pairs, "pairs"), texts, words, percent), "verified")
-    lists = lists.select("key", "rep", "n", "own")
+    lists = lists.select("key", "rep", "n", "pos")
     for step in range(LEADER_ROUNDS + 1):
         found = components(scratch, tried.where("linked").select("a", "b"))
         at = scratch.keep(
             lists.join(found, lists["rep"] == found["node"], "left")
-            .select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "placed", rows=F.count(F.lit(1)))
+            .select("key", "rep", "n", "pos", F.coalesce("component", "rep").alias("comp")), "placed", rows=F.count(F.lit(1)))
         # lists that still span components, a leader for each, another one every round
         turn = F.xxhash64("rep", F.lit(step))
         open_ = scratch.keep(
             at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"),
-                                  F.min(F.struct(turn.alias("t"), F.col("rep"), F.col("n"), F.col("comp"))).alias("l"))
+                                  F.min(F.struct(turn.alias("t"), F.col("rep"), F.col("n"), F.col("pos"), F.col("comp"))).alias("l"))
             .where("lo < hi").select("key", "c", F.col("l.rep").alias("lead"), F.col("l.n").alias("m"),
-                                     F.col("l.comp").alias("lead_comp")), "open",
+                                     F.col("l.pos").alias("place"), F.col("l.comp").alias("lead_comp")), "open",
             rows=F.count(F.lit(1)), pairs=F.sum(F.col("c").cast("double") * F.col("c")))
         if not open_.measured["rows"]:
             break
@@ -247,7 +269,8 @@ def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, pe
                    .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")))
         else:
             left = at.join(open_.select("key"), "key", "left_semi")
-            right = left.select("key", F.col("rep").alias("other"), F.col("n").alias("m"), F.col("comp").alias("oc"))
+            right = left.select("key", F.col("rep").alias("other"), F.col("n").alias("m"), F.col("pos").alias("place"),
+                                F.col("comp").alias("oc"))
             new = (left.join(right, "key").where((F.col("rep") < F.col("other")) & (F.col("comp") != F.col("oc")))
                    .where(sizes).select(F.col("rep").alias("a"), F.col("other").alias("b")))
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

@@ -1,6 +1,7 @@
 import random
 
 import llm_brute as B
+import pyarrow as pa
 import pytest
 
 from wardline.llm import ngram_join as J
@@ -62,6 +63,14 @@ def test_repeated_rows_nulls_and_empty(spark):
     assert J.jaccard_join(B.documents(spark, [])).collect() == []
 
 
+def test_texts_in_slices(monkeypatch):
+    texts = ["é one Two  three four", None, "", " x ", "日本 b c d e", "a b"] * 5
+    whole = [s.tolist() for s in J.shingle_sets(pa.array(texts))]
+    assert [len(s) for s in whole] == [len(B.shingles(t)) for t in texts]
+    monkeypatch.setattr(J, "CHUNK_BYTES", 30)
+    assert [s.tolist() for s in J.shingle_sets(pa.array(["zz"] + texts).slice(1))] == whole
+
+
 def test_boundary_follows_cost():
     assert J.boundary({10: 1000, 40: 1}, 90) >= 9
     assert J.boundary({}, 90) == 9

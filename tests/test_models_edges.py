@@ -36,7 +36,7 @@ def g(spark):
         # orphan encounter (unknown patient)
         encounter("e99", "px", "2020-01-01 08:00", "2020-01-02 08:00"),
     ]
-    return ModelGraph(spark, raw_tables(spark, pats, encs), as_of="2024-01-01", sequence_strategy="window")
+    return ModelGraph(spark, raw_tables(spark, pats, encs), as_of="2024-01-01")
 
 
 def _by_id(df, key):
@@ -85,7 +85,7 @@ def test_null_start_stay_is_ordered_last_and_band_80(spark):
     pats = [patient("q1")]
     encs = [encounter("a", "q1", None, "2020-02-01 08:00"), encounter("b", "q1", "2020-01-01 08:00",
                                                                      "2020-01-02 08:00")]
-    g = ModelGraph(spark, raw_tables(spark, pats, encs), as_of="2024-01-01", sequence_strategy="window")
+    g = ModelGraph(spark, raw_tables(spark, pats, encs), as_of="2024-01-01")
     r = _by_id(g.fct_readmissions, "index_stay_id")
     assert r["b"]["stay_sequence"] == 1 and r["a"]["stay_sequence"] == 2
     assert r["a"]["age_band_at_stay"] == "80+"

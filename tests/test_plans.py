@@ -23,7 +23,7 @@ def loaded(spark, tmp_path_factory):
 
 
 def test_inpatient_filter_reaches_the_scan_and_columns_are_pruned(spark, loaded):
-    g = ModelGraph(spark, loaded, as_of="2024-01-01", sequence_strategy="window")
+    g = ModelGraph(spark, loaded, as_of="2024-01-01")
     plan = g.fct_readmissions._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "EqualTo(encounterclass,inpatient)" in plan
@@ -32,7 +32,7 @@ def test_inpatient_filter_reaches_the_scan_and_columns_are_pruned(spark, loaded)
 
 
 def test_seed_is_broadcast_and_one_window_shuffle(spark, loaded):
-    g = ModelGraph(spark, loaded, as_of="2024-01-01", sequence_strategy="window")
+    g = ModelGraph(spark, loaded, as_of="2024-01-01")
     plan = _plan(g.fct_readmissions)
     assert "BroadcastHashJoin" in plan
     assert plan.count("hashpartitioning(patient_id") <= 2  # window exchange (+ patients side of a shuffle join)

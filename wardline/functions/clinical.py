@@ -40,16 +40,20 @@ def count_true(cond) -> Column:
     return F.sum(F.when(_c(cond), F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
+# Amounts are summed with six decimals and rounded once, at the end.
+AMOUNT = "decimal(28,6)"
+
+
 def money_sum(amount, scale: int = 2) -> Column:
-    """Exact sum of cent amounts: summed as DECIMAL(18,2), returned as DOUBLE.
+    """Exact sum of amounts, rounded once, returned as DOUBLE.
 
     Summing doubles depends on addition order, which differs between tasks
     and engines; a decimal sum is the same under any partitioning.
     """
-    return F.round(F.sum(_c(amount).cast("decimal(18,2)")), scale).cast("double")
+    return F.round(F.sum(_c(amount).cast(AMOUNT)), scale).cast("double")
 
 
 def money_avg(amount, scale: int = 2) -> Column:
-    """Average of cent amounts from the exact decimal sum, rounded, DOUBLE."""
-    total = F.sum(_c(amount).cast("decimal(18,2)")).cast("double")
+    """Average of amounts from the exact decimal sum, rounded, DOUBLE."""
+    total = F.sum(_c(amount).cast(AMOUNT)).cast("double")
     return F.round(F.try_divide(total, F.count(_c(amount)).cast("double")), scale)

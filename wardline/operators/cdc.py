@@ -19,8 +19,9 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, key: str,
     both whose compared columns differ (NULL-safe) becomes a DELETE of the
     old row and an INSERT of the new one, both with ``cdc_is_update``
     true.  Unchanged rows produce nothing.  Non-NULL keys must be unique in
-    each snapshot (use ``multiset_diff`` for keyless tables).  One full
-    outer join; each joined row is expanded in place.
+    each snapshot: a key that a snapshot holds twice aborts the job (use
+    ``multiset_diff`` for keyless tables).  One full outer join, on sides that
+    are aggregated by the same key; each joined row is expanded in place.
     """
     cols = [c for c in (columns or curr.columns) if c != key]
     out_cols = [key, *cols]
@@ -32,8 +33,8 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, key: str,
                  .unionByName(curr.filter(F.col(key).isNull())
                               .select(*out_cols, F.lit(INSERT).alias("cdc_action"),
                                       F.lit(False).alias("cdc_is_update"))))
-    p = prev.filter(F.col(key).isNotNull()).select(*out_cols, F.lit(True).alias("_present")).alias("p")
-    c = curr.filter(F.col(key).isNotNull()).select(*out_cols, F.lit(True).alias("_present")).alias("c")
+    p = _by_key(prev, key, out_cols).alias("p")
+    c = _by_key(curr, key, out_cols).alias("c")
     j = p.join(c, F.col(f"p.{key}") == F.col(f"c.{key}"), "full_outer")
     in_p, in_c = F.col("p._present").isNotNull(), F.col("c._present").isNotNull()
     same = reduce(lambda a, b: a & b, [F.col(f"p.{x}").eqNullSafe(F.col(f"c.{x}")) for x in cols], F.lit(True))
@@ -47,6 +48,15 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, key: str,
     return j.select(F.inline(F.filter(changes, lambda x: x.isNotNull()))).unionByName(unmatched)
 
 
+def _by_key(snapshot: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """The rows with a key, one per key; a repeated key raises when the row is read."""
+    rows = (snapshot.filter(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.any_value(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_n")))
+    message = F.concat(F.lit(f"snapshot holds {key} "), F.col(key).cast("string"), F.lit(" more than once"))
+    present = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.select(*[F.col(f"_row.`{x}`").alias(x) for x in columns], present.alias("_present"))
+
+
 def multiset_diff(prev: DataFrame, curr: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Diff of keyless tables: per distinct row, how many copies were inserted or deleted.
 

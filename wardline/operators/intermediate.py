@@ -37,13 +37,12 @@ def stay_order():
     return (F.col("started_at").asc_nulls_last(), F.col("encounter_id").asc())
 
 
-def int_inpatient_stays(enriched: DataFrame, strategy: str = "auto",
-                        probe: DataFrame | None = None) -> DataFrame:
+def int_inpatient_stays(enriched: DataFrame) -> DataFrame:
     """Inpatient encounters with their sequence number and the next stay.
 
     Stays are ordered by admission (missing admission last) and then by
-    encounter id, which makes ties deterministic.  ``probe`` (staged
-    encounters) bounds the per-patient stay count without the patient join.
+    encounter id, which makes ties deterministic.  A
+    patient's stays are sequenced in slices of one month of admission.
     """
     stays = enriched.filter(F.col("encounter_class") == "inpatient").select(
         "encounter_id", "patient_id", "organization_id", "encounter_code",
@@ -51,9 +50,8 @@ def int_inpatient_stays(enriched: DataFrame, strategy: str = "auto",
         "age_at_encounter", "total_claim_cost")
     seq = sequence_within(stays, "patient_id", stay_order(), "stay_sequence",
                           {"next_stay_id": "encounter_id", "next_admitted_at": "started_at",
-                           "next_encounter_code": "encounter_code"}, strategy=strategy,
-                          probe=None if probe is None else
-                          probe.filter(F.col("encounter_class") == "inpatient").select("patient_id"))
+                           "next_encounter_code": "encounter_code"},
+                          F.trunc(F.to_date("started_at"), "month"))
     return seq.select(
         "encounter_id", "patient_id", "organization_id", "encounter_code",
         F.col("started_at").alias("admitted_at"), F.col("stopped_at").alias("discharged_at"),

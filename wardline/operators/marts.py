@@ -96,15 +96,14 @@ def fct_readmissions(stays: DataFrame, patients: DataFrame, planned: DataFrame)
                   F.coalesce(F.col("p.death_date") <= F.to_date(discharged), F.lit(False))
                    .alias("died_during_index_stay"),
                   "s.has_invalid_timestamps"))
-    kept = (~F.col("died_during_index_stay") & ~F.col("has_invalid_timestamps")
-            & ~F.col("overlaps_next_stay"))
-    within = F.col("days_to_readmission").between(0, READMISSION_WINDOW_DAYS)
-    return joined.withColumns({
-        "is_eligible_index_stay": kept & F.col("discharged_date").isNotNull(),
-        "is_readmitted_30d": F.coalesce(kept & within, F.lit(False)),
-        "is_readmitted_30d_unplanned": F.coalesce(
-            kept & ~F.coalesce(F.col("is_planned_readmission"), F.lit(False)) & within, F.lit(False)),
-    })
+    excluded = (F.col("died_during_index_stay") | F.col("has_invalid_timestamps") | F.col("overlaps_next_stay")
+                | F.col("discharged_date").isNull())
+    counted = joined.withColumn("is_eligible_index_stay", ~excluded)
+    # a gap needs a discharge, so a readmission's index stay has one
+    readmitted = F.coalesce(F.col("is_eligible_index_stay") & F.col("days_to_readmission")
+                            .between(0, READMISSION_WINDOW_DAYS), F.lit(False))
+    return counted.withColumns({"is_readmitted_30d": readmitted,
+                                "is_readmitted_30d_unplanned": readmitted & ~F.col("is_planned_readmission")})
 
 
 def organization_readmission_stats(readmissions: DataFrame) -> DataFrame:

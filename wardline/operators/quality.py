@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.operators.joins import bounded_broadcast
@@ -116,16 +116,16 @@ def overlap_rate(readmissions: DataFrame, threshold: float = 0.10) -> DataFrame:
 
 
 def seed_coverage(encounters: DataFrame, seed: DataFrame) -> DataFrame:
-    """Inpatient encounter codes missing from the seed, with their occurrences.
+    """Inpatient encounter codes missing from the seed (no code at all is missing too), with their occurrences.
 
-    Occurrences are counted per code with a partially aggregated group-by
-    (not a window), so a dominant code does not land in one task.
+    Encounters are counted per (code, description) with partial aggregation in
+    one scan; the totals per code are summed over those few rows.
     """
-    inpatient = encounters.filter(F.col("encounter_class") == "inpatient")
-    uncovered = inpatient.join(bounded_broadcast(seed).select("encounter_code"), "encounter_code", "left_anti")
-    occurrences = uncovered.groupBy("encounter_code").agg(F.count(F.lit(1)).alias("occurrences"))
-    return (uncovered.select("encounter_code", "encounter_description").distinct()
-            .join(occurrences, "encounter_code"))
+    pairs = (encounters.filter(F.col("encounter_class") == "inpatient")
+             .groupBy("encounter_code", "encounter_description").agg(F.count(F.lit(1)).alias("n"))
+             .join(bounded_broadcast(seed).select("encounter_code"), "encounter_code", "left_anti"))
+    return pairs.select("encounter_code", "encounter_description",
+                        F.sum("n").over(Window.partitionBy("encounter_code")).alias("occurrences"))
 
 
 def unplanned_lte_allcause(kpis: DataFrame) -> DataFrame:
@@ -316,11 +316,6 @@ def collect_failure_counts(checks: Sequence[Check], relation: Resolver) -> dict[
             df.sparkSession.catalog.dropTempView(v)
 
 
-def report_from_counts(spark: SparkSession, checks: Sequence[Check], counts: dict[str, int]) -> DataFrame:
-    """The report for failure counts already computed (e.g. in parts, concurrently)."""
-    return run_checks(spark, checks, None, counts=counts)
-
-
 def run_checks(spark: SparkSession, checks: Sequence[Check], relation: Resolver | None,
                counts: dict[str, int] | None = None) -> DataFrame:
     """One report row per check: name, kind, model, column, severity, failures, status.

@@ -1,24 +1,22 @@
 """Per-group sequencing: ``row_number()`` plus ``lead()`` of some columns.
 
-The plain plan is one window: hash-partition by the group key, sort, and
-scan.  That puts every row of one group in one task, so a group holding a
-large share of all rows (one patient with a third of all stays) would be
-processed serially.  The sliced plan splits such groups:
-
-1. ``repartitionByRange`` on (group key, order keys): Spark samples the
-   composite key, so a hot group spans several consecutive slices, and
-   every row of slice ``s`` precedes every row of slice ``s+1``.  The
-   slice ids are checkpointed once so every later step sees the same ones.
-2. The same window, partitioned by (group key, slice), gives local row
-   numbers and local leads.
-3. A per-(group, slice) summary - row count and first row - has at most
-   (#groups + #slices) rows; a window over it by group yields the rows
-   before each slice and the first row of the next slice.
-4. Joining it back fixes the row number (add the offset) and the lead of
-   the last row of each slice.
-
-The choice is made from a probe of the largest group size (one partial
-aggregation, a single number to the driver) unless forced.
+One window over the group key would put every row of a group in one task.
+Instead each group is cut into slices by a value that never falls along the
+order (a month of the ordering timestamp), and
+
+1. a window over (group, slice) gives local row numbers and leads; this is
+   the only shuffle of the rows, and a group that holds a third of them is
+   spread over all its slices;
+2. one row per (group, slice) - its size and first row - goes through a
+   window over the group, which yields the rows before each slice and the
+   first row of the next one;
+3. joining these few rows back fixes the row number and the last lead of
+   each slice.
+
+The slice is a plain expression of the row, so nothing is sampled, probed or
+checkpointed, and recomputed tasks see the same slices.  Group and slice are
+compared as one struct, in which NULL equals NULL: rows without a group key
+form a group as they do in a window.
 """
 
 from __future__ import annotations
@@ -28,84 +26,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-_CONF_MAX_GROUP = "wardline.sequence.maxGroupRows"
-_CONF_SLICES = "wardline.sequence.slices"
-
-
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    try:
-        return int(df.sparkSession.conf.get(key, str(default)))
-    except Exception:  # noqa: BLE001
-        return default
-
-
-def choose_strategy(probe: DataFrame, by: str, max_group_rows: int | None = None) -> str:
-    """``"sliced"`` when the largest ``by`` group of ``probe`` exceeds the limit, else ``"window"``."""
-    limit = max_group_rows or _conf_int(probe, _CONF_MAX_GROUP, DEFAULT_MAX_GROUP_ROWS)
-    return "sliced" if largest_group(probe, by) > limit else "window"
-
-
-def largest_group(df: DataFrame, by: str) -> int:
-    """Row count of the largest ``by`` group (partial aggregation first)."""
-    row = df.groupBy(by).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0) if row else 0
-
 
 def sequence_within(df: DataFrame, by: str, order: Sequence[Column], rank_col: str,
-                    leads: dict[str, str], strategy: str = "auto",
-                    max_group_rows: int | None = None, slices: int | None = None,
-                    probe: DataFrame | None = None) -> DataFrame:
+                    leads: dict[str, str], slice_by: Column) -> DataFrame:
     """Add ``rank_col`` = row_number() and ``leads`` {out: src} = lead(src) over ``by``.
 
     ``order`` must be a total order within a group (end it with a unique
-    column) for the result to be deterministic.  ``strategy`` is
-    ``"window"``, ``"sliced"`` or ``"auto"`` (probe the largest group).
-    ``probe`` may give a cheaper frame whose group sizes bound those of
-    ``df`` (e.g. the input before an inner join that only drops rows).
+    column) for the result to be deterministic.  ``slice_by`` must not
+    decrease along ``order``; where it is NULL the rows come last.
     """
-    if strategy == "auto":
-        strategy = choose_strategy(probe if probe is not None else df, by, max_group_rows)
-    if strategy == "window":
-        w = Window.partitionBy(by).orderBy(*order)
-        cols = {rank_col: F.row_number().over(w)}
-        cols.update({out: F.lead(src).over(w) for out, src in leads.items()})
-        return df.withColumns(cols)
-    if strategy != "sliced":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    n = slices or _conf_int(df, _CONF_SLICES,
-                            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    return _sliced(df, by, order, rank_col, leads, n)
-
-
-def _sliced(df: DataFrame, by: str, order: Sequence[Column], rank_col: str,
-            leads: dict[str, str], n_slices: int) -> DataFrame:
-    from wardline.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    # The slice id comes from sampled range bounds, so it is only stable if it
-    # is computed once: checkpoint (reliably, in the shared folder) before the
-    # three steps below read it.  Recomputing it per reference could slice a
-    # row differently in each and lose it in the join back.
-    ranged = (df.repartitionByRange(n_slices, F.col(by).asc_nulls_last(), *order)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
-    w = Window.partitionBy(by, "_slice").orderBy(*order)
-    local = ranged.withColumns({"_rn": F.row_number().over(w),
-                                **{f"_lead_{o}": F.lead(s).over(w) for o, s in leads.items()}})
-    srcs = sorted(set(leads.values()))
-    firsts = (local.filter(F.col("_rn") == 1)
-              .select(by, "_slice", *[F.col(s).alias(f"_first_{s}") for s in srcs]))
-    counts = local.groupBy(by, "_slice").agg(F.max("_rn").alias("_n"))
-    ws = Window.partitionBy(by).orderBy("_slice")
-    before = Window.partitionBy(by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    summary = (counts.join(firsts, [by, "_slice"])
-               .select(by, "_slice", "_n",
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-                       *[F.lead(f"_first_{s}").over(ws).alias(f"_next_{s}") for s in srcs]))
-    fixed = local.join(summary, [by, "_slice"])
+    key = F.struct(F.col(by).alias("g"), slice_by.alias("s"))
+    w = Window.partitionBy("_key").orderBy(*order)
+    local = df.withColumn("_key", key).withColumns(
+        {"_rn": F.row_number().over(w), **{f"_lead_{o}": F.lead(s).over(w) for o, s in leads.items()}})
+    sources = sorted(set(leads.values()))
+    slices = local.groupBy("_key").agg(
+        F.max("_rn").alias("_n"),
+        F.min_by(F.struct(*[F.col(s).alias(s) for s in sources]), "_rn").alias("_first"))
+    ws = Window.partitionBy("_key.g").orderBy(F.col("_key.s").asc_nulls_last())
+    before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    summary = slices.select("_key", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+                            F.lead("_first").over(ws).alias("_next"))
     last = F.col("_rn") == F.col("_n")
-    out = fixed.withColumns({
-        rank_col: (F.col("_rn") + F.col("_offset")).cast("int"),
-        **{o: F.when(last, F.col(f"_next_{s}")).otherwise(F.col(f"_lead_{o}")) for o, s in leads.items()},
-    })
-    return out.select(*df.columns, rank_col, *leads.keys())
+    return local.join(summary, "_key").select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.col("_rn") + F.col("_offset")).cast("int").alias(rank_col),
+        *[F.when(last, F.col(f"_next.`{s}`")).otherwise(F.col(f"_lead_{o}")).alias(o) for o, s in leads.items()])

@@ -18,12 +18,10 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wardline.operators import intermediate as I
 from wardline.operators import marts as M
 from wardline.operators import quality as Q
-from wardline.operators.sequence import choose_strategy
 from wardline.plans.checks import WAREHOUSE_CHECKS
 from wardline.plans.graph import ModelGraph
 from wardline.plans.sinks import read_table, write_table
@@ -75,11 +73,6 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
         # the marts are submitted before side work: the default FIFO scheduler
         # serves jobs in submission order, and the marts are the critical path
         futures = {name: pool.submit(fn) for name, fn in first.items()}
-        # decide the stay-sequencing plan now (a bound from staged encounters),
-        # so the next level does not start with a probe
-        strategy = (pool.submit(choose_strategy, g.stg_encounters.filter(
-            F.col("encounter_class") == "inpatient").select("patient_id"), "patient_id")
-            if g.sequence_strategy == "auto" else None)
         pending += [pool.submit(v) for v in (side_jobs or {}).values()]
         built.update({name: f.result() for name, f in futures.items()})
         if after_level:
@@ -89,8 +82,7 @@ def build_warehouse(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
         # (it reads only the encounter fact); the KPI mart then joins small tables
         level1 = _run_level(pool, {
             "fct_readmissions": publish("fct_readmissions", lambda: M.fct_readmissions(
-                I.int_inpatient_stays(enc, strategy=strategy.result() if strategy else g.sequence_strategy),
-                built["dim_patients"], g.seed_planned)),
+                I.int_inpatient_stays(enc), built["dim_patients"], g.seed_planned)),
             ACTIVITY: publish(ACTIVITY, lambda: M.organization_activity_stats(enc)),
         })
         activity = level1.pop(ACTIVITY)
@@ -164,4 +156,4 @@ def build_and_test(g: ModelGraph, root: str, threads: int = DEFAULT_THREADS,
     missing = [c.name for c in checks if c.name not in counts]
     if missing:
         raise RuntimeError(f"checks not run: {missing}")
-    return built, Q.report_from_counts(g.spark, checks, counts)
+    return built, Q.run_checks(g.spark, checks, None, counts=counts)

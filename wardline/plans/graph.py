@@ -20,12 +20,11 @@ from wardline.sources.seed import planned_classification
 
 class ModelGraph:
     def __init__(self, spark: SparkSession, raw: RawTables, planned: DataFrame | None = None,
-                 as_of=None, sequence_strategy: str = "auto"):
+                 as_of=None):
         self.spark = spark
         self.raw = raw
         self._planned = planned
         self.as_of = as_of
-        self.sequence_strategy = sequence_strategy
 
     # staging -------------------------------------------------------------
     @cached_property
@@ -59,8 +58,7 @@ class ModelGraph:
 
     @cached_property
     def int_inpatient_stays(self) -> DataFrame:
-        return I.int_inpatient_stays(self.int_encounters_enriched, strategy=self.sequence_strategy,
-                                     probe=self.stg_encounters)
+        return I.int_inpatient_stays(self.int_encounters_enriched)
 
     @cached_property
     def int_patient_condition_summary(self) -> DataFrame:
@@ -118,6 +116,3 @@ MODEL_NAMES = ("stg_patients", "stg_encounters", "stg_conditions", "stg_medicati
                "seed_encounter_planned_classification", "int_encounters_enriched", "int_inpatient_stays",
                "int_patient_condition_summary", "dim_patients", "dim_organizations", "fct_encounters",
                "fct_readmissions", "mart_organization_kpis", "mart_high_utilizers", "mart_organization_kpis_rt")
-
-MART_ORDER = ("dim_patients", "dim_organizations", "fct_encounters", "fct_readmissions",
-              "mart_organization_kpis", "mart_high_utilizers")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardline import oracle
 from wardline.operators import marts as M
@@ -138,8 +139,6 @@ LOADED_TABLES = ("patients", "encounters", "conditions", "medications", "organiz
 def _load_raw_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     from functools import reduce
 
-    from pyspark.sql import functions as F
-
     from wardline.plans.landing import land_extract
     from wardline.session import scratch_path
     from wardline.sources.csv import load_raw_all
@@ -196,7 +195,6 @@ def _changed_snapshots(g: ModelGraph) -> tuple[DataFrame, DataFrame]:
     So the diff holds inserts (admitted since), updates (stop NULL -> value)
     and deletes (purged orphans), over the whole table.
     """
-    from pyspark.sql import functions as F
     raw = g.raw["encounters"]
     cutoff = F.lit(EXTRACT_CUTOFF).cast("timestamp_ntz")
     prev = raw.filter(F.col("start") < cutoff).withColumn(
@@ -225,14 +223,6 @@ def _landing_files(spark: SparkSession) -> tuple[int, int]:
     return files, max(1, files // LANDING_BATCHES)
 
 
-def _land_parquet_batches(spark: SparkSession, df: DataFrame, key: str, name: str) -> tuple[str, int]:
-    from wardline.session import scratch_path
-    path = scratch_path(spark, f"landing-{name}")
-    files, per_trigger = _landing_files(spark)
-    df.repartitionByRange(files, key).write.parquet(path)
-    return path, per_trigger
-
-
 def _encounters_cdc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wardline.session import scratch_path
     from wardline.sources.testdata import raw_encounter_events
@@ -254,18 +244,57 @@ def _encounters_cdc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink).drop("_captured_at", "batch_id")
 
 
-def _organization_kpis_rt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from wardline.plans.sinks import read_table
+def _organization_kpis_rt(mode: str) -> Query:
+    """The realtime mart after patients arrive later than their encounters.
+
+    A third of the encounters is batch-loaded, the others land in two parts;
+    every second patient arrives only before the second part.
+    """
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from wardline.operators.staging import stg_patients
+        from wardline.plans.sinks import read_table
+        from wardline.session import scratch_path
+        from wardline.streaming.realtime import MART, organization_kpis_rt
+        g = graph(spark, sf_dir)
+        raw, people = g.raw["encounters"], g.raw["patients"]
+        part, late = F.pmod(F.xxhash64("id"), F.lit(3)), F.pmod(F.xxhash64("id"), F.lit(2)) == 1
+        loaded, landing = scratch_path(spark, "loaded-encounters"), scratch_path(spark, "landing-encounters")
+        patients = scratch_path(spark, "loaded-patients")
+        sink, ckpt = scratch_path(spark, "rt"), scratch_path(spark, "ckpt")
+        raw.filter(part == 0).write.parquet(loaded)
+        files, per_trigger = _landing_files(spark)
+        for i in (1, 2):
+            people.filter(late if i == 2 else ~late).write.mode("append").parquet(patients)
+            raw.filter(part == i).repartitionByRange(files, "id").write.mode("append").parquet(landing)
+            organization_kpis_rt(
+                spark, landing, raw.schema, lambda: stg_patients(spark.read.parquet(patients)), g.dim_organizations,
+                sink, ckpt, mode=mode, trigger="availableNow", max_files_per_trigger=2 * per_trigger,
+                history=lambda: spark.read.parquet(loaded)).awaitTermination()
+        return read_table(spark, sink, MART).drop("_dt_refreshed_at")
+    return run
+
+
+def _snapshot_change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of several files each wait when the capture starts."""
     from wardline.session import scratch_path
-    from wardline.streaming.realtime import MART, organization_kpis_rt
-    g = graph(spark, sf_dir)
-    raw = g.raw["encounters"]
-    landing, per_trigger = _land_parquet_batches(spark, raw, "id", "encounters")
-    sink, ckpt = scratch_path(spark, "rt"), scratch_path(spark, "ckpt")
-    q = organization_kpis_rt(spark, landing, raw.schema, g.stg_patients, g.dim_organizations, sink, ckpt,
-                             mode="incremental", trigger="availableNow", max_files_per_trigger=per_trigger)
-    q.awaitTermination()
-    return read_table(spark, sink, MART).drop("_dt_refreshed_at")
+    from wardline.streaming.capture import capture_snapshot_changes, commit_snapshot
+    prev, curr = _changed_snapshots(graph(spark, sf_dir))
+    root, sink, ckpt = (scratch_path(spark, n) for n in ("snapshots", "changes", "ckpt"))
+    files, _ = _landing_files(spark)
+    for name, df in (("1998-04-01", prev), ("1998-12-31", curr)):
+        commit_snapshot(df.repartition(files), root, name)
+    capture_snapshot_changes(spark, root, prev.schema, "id", sink, ckpt, trigger="availableNow").awaitTermination()
+    return spark.read.parquet(sink).drop("_captured_at", "batch_id").withColumn(
+        "snapshot_id", F.col("snapshot_id").cast("string"))
+
+
+def _multiset_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions have no key: what was recorded since the cutoff, less what has been resolved before it."""
+    from wardline.operators.cdc import multiset_diff
+    conditions = graph(spark, sf_dir).raw["conditions"].drop("encounter")
+    cutoff = F.lit(EXTRACT_CUTOFF).cast("date")
+    return multiset_diff(conditions.filter(F.col("start") < cutoff),
+                         conditions.filter(F.col("stop").isNull() | (F.col("stop") >= cutoff)))
 
 
 def _ingest_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +315,10 @@ def _ingest_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES.update({
     "snapshot_diff": _snapshot_diff,
     "encounters_cdc_append": _encounters_cdc_append,
-    "organization_kpis_rt": _organization_kpis_rt,
+    "organization_kpis_rt": _organization_kpis_rt("full"),
+    "organization_kpis_rt_incremental": _organization_kpis_rt("incremental"),
+    "snapshot_change_stream": _snapshot_change_stream,
+    "multiset_diff": _multiset_diff,
     "ingest_raw_stream": _ingest_raw_stream,
 })
 ORACLE.update({
@@ -301,5 +333,8 @@ ORACLE.update({
         "a.total_out_of_pocket from dim_organizations o "
         "left join organization_activity_stats a on o.organization_id = a.organization_id",
         "dim_organizations", "organization_activity_stats"),
+    "snapshot_change_stream": oracle.snapshot_stream_sql(),
+    "multiset_diff": oracle.multiset_diff_sql(),
     "ingest_raw_stream": oracle.encounter_events_sql("*"),
 })
+ORACLE["organization_kpis_rt_incremental"] = ORACLE["organization_kpis_rt"]

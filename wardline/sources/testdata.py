@@ -48,8 +48,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_test_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    return (c.filter(k % 50 != 49)
-            .join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+    return (c.join(_geo(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
                 _s(k).alias("id"),
                 _days_after("1910-01-01", (k * 7919) % 30600).alias("birthdate"),
@@ -84,7 +83,8 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_day = F.to_date(F.col("o_orderdate"))
     return o.select(
         _s(k).alias("id"),
-        _s("o_custkey").alias("patient"),
+        # every 47th encounter names a patient that no table has
+        F.concat(F.when(k % 47 == 11, "unknown-").otherwise(""), _s("o_custkey")).alias("patient"),
         _s(k % (n_sup - 1)).alias("organization"),
         _s(k % 17).alias("provider"),
         _s(k % 5).alias("payer"),
@@ -92,13 +92,13 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(prio == "3-MEDIUM", "emergency")
          .when(prio == "5-LOW", "wellness")
          .otherwise("ambulatory").alias("encounterclass"),
-        code.alias("code"),
+        F.when(k % 53 != 17, code).alias("code"),
         prio.alias("description"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("start"),
+        F.when(k % 89 != 23, F.col("o_orderdate").cast("timestamp_ntz")).alias("start"),
         F.when(k % 97 != 0,
                F.date_add(order_day, ((k * 7) % 41 - 1).cast("int")).cast("timestamp_ntz")).alias("stop"),
         (F.floor(F.col("o_totalprice") * 60) / 100).alias("base_encounter_cost"),
-        F.col("o_totalprice").alias("total_claim_cost"),
+        (F.col("o_totalprice") + (k % 7) / 1000).alias("total_claim_cost"),
         (F.floor(F.col("o_totalprice") * 80) / 100).alias("payer_coverage"),
         F.when(k % 3 == 0, F.col("o_orderstatus")).alias("reasoncode"),
         F.when(k % 3 == 0, prio).alias("reasondescription"),
@@ -109,10 +109,11 @@ def raw_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_test_table(spark, sf_dir, "lineitem")
     o = read_test_table(spark, sf_dir, "orders")
     ship_day = F.to_date(F.col("l_shipdate"))
-    return (li.filter(F.col("l_orderkey") % 3 == 0)
-            .join(o.filter(F.col("o_custkey") % 10 != 3), F.col("l_orderkey") == F.col("o_orderkey"))
+    # the conditions of every tenth patient are on the next one's record, so some patients have none
+    owner = F.when(F.col("o_custkey") % 10 == 3, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
-                _s("o_custkey").alias("patient"),
+                _s(owner).alias("patient"),
                 _s("l_orderkey").alias("encounter"),
                 _s(F.col("l_partkey") % 50).alias("code"),
                 F.col("l_linestatus").alias("description"),

@@ -106,57 +106,98 @@ def capture_appends(spark: SparkSession, source_dir: str, schema: T.StructType,
     return _trigger(w, trigger).start()
 
 
+MANIFESTS, SNAPSHOTS = "manifests", "data"
+
+
+def commit_snapshot(df: DataFrame, snapshots_dir: str, snapshot_id: str, fmt: str = "parquet") -> str:
+    """Land one full snapshot: its files under ``data/<id>``, then a manifest that commits it.
+
+    Ids must sort in the order of the snapshots (e.g. a date).  A snapshot is
+    seen only once its manifest exists, whatever the number of its files.
+    """
+    spark = df.sparkSession
+    root = snapshots_dir.rstrip("/")
+    if not snapshot_id or not all(c.isalnum() or c in "-_." for c in snapshot_id):
+        raise ValueError(f"snapshot id {snapshot_id!r}: letters, digits, '-', '_' and '.' only")
+    path = f"{root}/{SNAPSHOTS}/{snapshot_id}"
+    df.write.format(fmt).save(path)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/{MANIFESTS}/{snapshot_id}.txt")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hidden = jvm.org.apache.hadoop.fs.Path(f"{root}/{MANIFESTS}/.{snapshot_id}.tmp")
+    out = fs.create(hidden, True)
+    out.write(bytearray(snapshot_id.encode("utf-8")))
+    out.close()
+    if not fs.rename(hidden, target):
+        raise OSError(f"snapshot {snapshot_id} is already committed")
+    return path
+
+
+def _manifests(spark: SparkSession, snapshots_dir: str) -> list[str]:
+    """Ids of all committed snapshots, in order."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{snapshots_dir.rstrip('/')}/{MANIFESTS}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n[:-len(".txt")] for n in names if n.endswith(".txt") and not n.startswith("."))
+
+
 def capture_snapshot_changes(spark: SparkSession, snapshots_dir: str, schema: T.StructType, key: str,
                              sink_dir: str, checkpoint: str, fmt: str = "parquet",
                              trigger: str | None = "1 minute") -> StreamingQuery:
-    """Changes between successive full snapshots landing as files, exactly once.
-
-    Each micro-batch must hold one complete snapshot (land a snapshot's files
-    in a single commit, e.g. write it elsewhere and move it in).  It is
-    diffed against the previous snapshot (``operators.cdc.snapshot_diff``:
-    INSERT, DELETE, and DELETE+INSERT flagged ``cdc_is_update``), the changes
-    are written to ``batch_id=N`` and the snapshot itself is kept under the
-    state folder as the base for the next batch (older snapshots are
-    removed).  Both writes are keyed by the batch id, so a replay rewrites
-    the same output.
+    """Changes between successive full snapshots (``commit_snapshot``), exactly once.
+
+    The stream reads the manifests, a few bytes each, so a batch is a set of
+    complete snapshots however large they are.  Each is diffed against the
+    committed snapshot before it in id order (``operators.cdc.snapshot_diff``:
+    INSERT, DELETE, and DELETE+INSERT flagged ``cdc_is_update``; the first one
+    is all INSERT) and its changes are written to
+    ``batch_id=N/snapshot_id=<id>``.  Everything follows from the manifests, so
+    a replay rewrites the same output.  Committed snapshots are read in place:
+    keep the one before the oldest snapshot that is still to be captured.  A
+    snapshot that is committed with an id below one already captured raises.
     """
     from wardline.operators.cdc import snapshot_diff
 
-    state = f"{checkpoint.rstrip('/')}-snapshots"
+    root = snapshots_dir.rstrip("/")
+    captured = f"{checkpoint.rstrip('/')}-captured"
+
+    def read(snapshot_id: str) -> DataFrame:
+        return spark.read.schema(schema).format(fmt).load(f"{root}/{SNAPSHOTS}/{snapshot_id}")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        current_path = f"{state}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(current_path)
-        current = spark.read.schema(schema).parquet(current_path)
-        prev_path = _latest_before(spark, state, batch_id)
-        previous = (spark.read.schema(schema).parquet(prev_path) if prev_path
-                    else spark.createDataFrame([], schema))
-        changes = snapshot_diff(previous, current, key).withColumn("_captured_at", F.current_timestamp())
-        write_batch_partition(changes, sink_dir, batch_id)
-        _drop_before(spark, state, batch_id - 1)  # a replay of this batch needs only batch_id - 1
-
-    rows = file_stream(spark, snapshots_dir, schema, fmt)
+        new = sorted(r.value for r in batch.collect())  # one short row per snapshot
+        known = _manifests(spark, root)
+        newest = _newest_before(spark, captured, batch_id)
+        if newest is not None and new and new[0] < newest:
+            raise ValueError(f"snapshot {new[0]} was committed after {newest} had been captured")
+        for snapshot_id in new:
+            before = [k for k in known if k < snapshot_id]
+            previous = read(before[-1]) if before else spark.createDataFrame([], schema)
+            changes = (snapshot_diff(previous, read(snapshot_id), key)
+                       .withColumn("_captured_at", F.current_timestamp()))
+            (changes.hint("rebalance").write.mode("overwrite")
+             .parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}/snapshot_id={snapshot_id}"))
+        if new:
+            _record(spark, captured, batch_id, new[-1])
+
+    rows = (spark.readStream.schema("value string").format("text").option("wholetext", "true")
+            .load(f"{root}/{MANIFESTS}"))
     w = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
 
-def _drop_before(spark: SparkSession, root: str, oldest_kept: int) -> None:
+def _record(spark: SparkSession, folder: str, batch_id: int, snapshot_id: str) -> None:
+    """Note the newest snapshot of a batch (a replay writes the same note)."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for st in fs.listStatus(p) if fs.exists(p) else []:
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) < oldest_kept:
-            fs.delete(st.getPath(), True)
+    p = jvm.org.apache.hadoop.fs.Path(f"{folder}/{batch_id:09d}={snapshot_id}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
-def _latest_before(spark: SparkSession, root: str, batch_id: int) -> str | None:
+def _newest_before(spark: SparkSession, folder: str, batch_id: int) -> str | None:
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
+    p = jvm.org.apache.hadoop.fs.Path(folder)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    ids = [int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(p)
-           if st.getPath().getName().startswith("batch_id=")]
-    earlier = [i for i in ids if i < batch_id]
-    return f"{root}/batch_id={max(earlier)}" if earlier else None
+    notes = [st.getPath().getName().split("=", 1) for st in fs.listStatus(p)] if fs.exists(p) else []
+    ids = [s for n, s in notes if int(n) < batch_id]
+    return max(ids) if ids else None

@@ -2,10 +2,9 @@
 
 New encounter files are the trigger: no files, no micro-batch, no cost.
 
-* ``mode="full"`` - each micro-batch recomputes the mart from the whole
-  raw encounters table (the reference's full refresh, required there by
-  ``count(distinct)``).  Exact under any change to raw data, but every
-  refresh reads all history.
+* ``mode="full"`` (the default) - each micro-batch recomputes the mart from
+  the whole raw encounters, batch-loaded and landed.  Exact under any change
+  to raw data, but every refresh reads all history.
 * ``mode="incremental"`` - for append-only raw data.  State is kept in
   two tables: per-organization running totals (counts, sums, exact
   decimal money) and the distinct (organization, patient) pairs seen so
@@ -16,19 +15,23 @@ New encounter files are the trigger: no files, no micro-batch, no cost.
   batches < N, so a replayed batch recomputes the same result.  The pair
   folders are compacted every ``COMPACT_EVERY`` batches.
 
-Encounters whose patient is unknown are dropped (inner join), as in the
-batch model; in incremental mode they are not revisited when the
-patient arrives later - use full mode when that can happen.
+Patients and organizations are read when a batch is processed, so a refresh
+sees the dimensions as they are then.  Encounters whose patient is unknown do
+not count (inner join), as in the batch model; incremental mode keeps them in
+its state and tries them again with every later batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wardline.functions import pct
+from wardline.functions.clinical import AMOUNT
 from wardline.operators.intermediate import int_encounters_enriched
 from wardline.operators.joins import bounded_broadcast
 from wardline.operators.marts import mart_organization_kpis_rt
@@ -37,7 +40,7 @@ from wardline.plans.sinks import write_table
 from wardline.streaming.capture import _trigger, file_stream
 
 MART = "mart_organization_kpis_rt"
-_MONEY = "decimal(28,2)"
+_MONEY = "decimal(34,6)"  # running totals of amounts
 COMPACT_EVERY = 200  # micro-batches between compactions of the pair state
 
 
@@ -52,8 +55,8 @@ def _batch_totals(enriched: DataFrame) -> DataFrame:
         F.sum(emergency).cast("long").alias("emergency"),
         F.coalesce(F.sum("duration_minutes"), F.lit(0)).cast("long").alias("duration_sum"),
         F.count("duration_minutes").alias("duration_n"),
-        F.coalesce(F.sum(F.col("total_claim_cost").cast("decimal(18,2)")), F.lit(0)).cast(_MONEY).alias("claim"),
-        F.coalesce(F.sum(F.col("patient_out_of_pocket").cast("decimal(18,2)")), F.lit(0)).cast(_MONEY)
+        F.coalesce(F.sum(F.col("total_claim_cost").cast(AMOUNT)), F.lit(0)).cast(_MONEY).alias("claim"),
+        F.coalesce(F.sum(F.col("patient_out_of_pocket").cast(AMOUNT)), F.lit(0)).cast(_MONEY)
         .alias("oop"))
 
 
@@ -93,15 +96,35 @@ _TOTALS_SCHEMA = ("organization_id string, n long, emergency long, duration_sum
 
 def apply_increment(spark: SparkSession, batch: DataFrame, batch_id: int, patients: DataFrame,
                     state_root: str, compact_every: int = COMPACT_EVERY) -> DataFrame:
-    """Fold one micro-batch into the running state; return totals after this batch."""
+    """Fold one micro-batch into the running state; return totals after this batch.
+
+    Encounters of earlier batches whose patient was not known then are tried
+    again; those without a known patient now wait for the next batch.
+    """
+    rows = batch.unionByName(_read_unmatched(spark, state_root, batch.schema, batch_id))
+    known = patients.select(F.col("patient_id").alias("_known"))
+    (rows.filter(F.col("patient").isNotNull()).join(known, F.col("patient") == F.col("_known"), "left_anti")
+     .write.mode("overwrite").parquet(f"{state_root}/unmatched/batch_id={batch_id}"))
+    _drop_totals_before(spark, f"{state_root}/unmatched", batch_id - 1)
     # the batch is read by several steps below; keep it for this micro-batch only
-    enriched = _enrich(batch, patients).persist()
+    enriched = _enrich(rows, patients).persist()
     try:
         return _fold(spark, enriched, batch_id, state_root, compact_every)
     finally:
         enriched.unpersist()
 
 
+def _read_unmatched(spark: SparkSession, state_root: str, schema: T.StructType, before: int) -> DataFrame:
+    """Encounters still without a known patient after the batch before ``before``."""
+    _, path, fs = _fs(spark, f"{state_root}/unmatched")
+    ids = [int(st.getPath().getName().split("=", 1)[1]) for st in (fs.listStatus(path) if fs.exists(path) else [])
+           if st.getPath().getName().startswith("batch_id=")]
+    earlier = [i for i in ids if i < before]
+    if not earlier:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{state_root}/unmatched/batch_id={max(earlier)}")
+
+
 _PAIRS_SCHEMA = "organization_id string, patient_id string"
 
 
@@ -191,23 +214,42 @@ def _drop_totals_before(spark: SparkSession, totals_path: str, oldest_kept: int)
             fs.delete(st.getPath(), True)
 
 
+Relation = DataFrame | Callable[[], DataFrame]
+
+
+def _now(relation: Relation) -> DataFrame:
+    return relation if isinstance(relation, DataFrame) else relation()
+
+
 def organization_kpis_rt(spark: SparkSession, encounters_dir: str, schema: T.StructType,
-                         patients: DataFrame, organizations: DataFrame, sink_root: str, checkpoint: str,
-                         mode: str = "incremental", trigger: str | None = "1 minute",
-                         max_files_per_trigger: int | None = None, state_root: str | None = None
-                         ) -> StreamingQuery:
-    """Keep ``sink_root/mart_organization_kpis_rt`` fresh as encounter files land."""
+                         patients: Relation, organizations: Relation, sink_root: str, checkpoint: str,
+                         mode: str = "full", trigger: str | None = "1 minute",
+                         max_files_per_trigger: int | None = None, state_root: str | None = None,
+                         history: Relation | None = None) -> StreamingQuery:
+    """Keep ``sink_root/mart_organization_kpis_rt`` fresh as encounter files land.
+
+    ``patients`` (staged) and ``organizations`` are best given as functions:
+    they are called for every batch, so a refresh reads what is there then.
+    ``history`` gives the batch-loaded raw encounters, which count together
+    with the landed ones; incremental mode folds them in once, with its first
+    batch.
+    """
     if mode not in ("full", "incremental"):
         raise ValueError("mode must be 'full' or 'incremental'")
     state = state_root or f"{checkpoint.rstrip('/')}-state"
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
+        names = [f.name for f in schema.fields]
         if mode == "full":
-            everything = spark.read.schema(schema).parquet(encounters_dir)
-            mart = mart_organization_kpis_rt(_enrich(everything, patients), organizations)
+            rows = spark.read.schema(schema).parquet(encounters_dir)
+            if history is not None:
+                rows = rows.unionByName(_now(history).select(*names))
+            mart = mart_organization_kpis_rt(_enrich(rows, _now(patients)), _now(organizations))
         else:
-            totals = apply_increment(spark, batch, batch_id, patients, state)
-            mart = _mart_from_totals(totals, organizations)
+            if history is not None and batch_id == 0:
+                batch = batch.unionByName(_now(history).select(*names))
+            totals = apply_increment(spark, batch, batch_id, _now(patients), state)
+            mart = _mart_from_totals(totals, _now(organizations))
         write_table(mart, sink_root, MART, keep_versions=2)
 
     stream = file_stream(spark, encounters_dir, schema, "parquet", max_files_per_trigger)

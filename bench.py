@@ -94,6 +94,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": sf,
+        "load_and_build_sec": round(load + build, 3),
         "checks": {r["status"]: r["n"] for r in statuses},
         "cpus": cpus,
     }))

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wardline.operators.cdc import multiset_diff, snapshot_diff
@@ -87,34 +89,65 @@ def test_ingest_stream(spark):
     assert df.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
 
 
+def _changes(spark, sink, snapshot):
+    df = spark.read.parquet(f"{sink}").filter(F.col("snapshot_id") == snapshot)
+    return sorted((r["id"], r["v"], r["cdc_action"], r["cdc_is_update"]) for r in df.collect())
+
+
 def test_snapshot_change_stream(spark, tmp_dir):
+    """Several files per snapshot, several snapshots waiting, and a byte budget that must not matter."""
+    from wardline.streaming.capture import capture_snapshot_changes, commit_snapshot
+    root, sink, ckpt = f"{tmp_dir}/snaps", f"{tmp_dir}/changes", f"{tmp_dir}/ckpt"
+
+    def snap(rows):
+        return spark.createDataFrame(rows, "id string, v int").repartition(3)
+
+    def capture():
+        capture_snapshot_changes(spark, root, snap([]).schema, "id", sink, ckpt, trigger="availableNow"
+                                 ).awaitTermination()
+
+    spark.conf.set("wardline.stream.maxBytesPerTrigger", "1")
+    try:
+        commit_snapshot(snap([(f"k{i}", i) for i in range(90)]), root, "s1")
+        capture()
+        commit_snapshot(snap([(f"k{i}", i if i % 2 else -i) for i in range(1, 91)]), root, "s2")
+        commit_snapshot(snap([("k1", 1)]), root, "s3")
+        capture()
+    finally:
+        spark.conf.unset("wardline.stream.maxBytesPerTrigger")
+    assert _changes(spark, sink, "s1") == sorted((f"k{i}", i, "INSERT", False) for i in range(90))
+    want = [("k0", 0, "DELETE", False), ("k90", -90, "INSERT", False)]
+    want += [(f"k{i}", v, a, True) for i in range(2, 90, 2) for v, a in ((i, "DELETE"), (-i, "INSERT"))]
+    assert _changes(spark, sink, "s2") == sorted(want)
+    assert len(_changes(spark, sink, "s3")) == 89
+    commit_snapshot(snap([("k1", 1)]), root, "s2b")
+    with pytest.raises(Exception, match="had been captured"):
+        capture()
+
+
+def test_snapshot_with_a_repeated_key_is_refused(spark):
     from wardline.operators.cdc import snapshot_diff
-    from wardline.registry import _changed_snapshots
-    from wardline.streaming.capture import capture_snapshot_changes
+    a = spark.createDataFrame([("k", 1), ("k", 1)], "id string, v int")
+    with pytest.raises(Exception, match="more than once"):
+        snapshot_diff(a, a, "id").collect()
+
+
+@pytest.mark.parametrize("mode", ["full", "incremental"])
+def test_patients_may_arrive_after_their_encounters(spark, tmp_dir, mode):
+    from wardline.operators.staging import stg_patients
     g = graph(spark, SF_SMALL)
-    prev, curr = _changed_snapshots(g)
-    landing, sink, ckpt = f"{tmp_dir}/snaps", f"{tmp_dir}/changes", f"{tmp_dir}/ckpt"
-    schema = curr.schema
-
-    def land(df, n):  # a snapshot arrives as one folder committed at once
-        df.write.parquet(f"{tmp_dir}/staging{n}")
-        os.rename(f"{tmp_dir}/staging{n}", f"{landing}/snapshot={n}") if os.path.isdir(landing) else (
-            os.makedirs(landing), os.rename(f"{tmp_dir}/staging{n}", f"{landing}/snapshot={n}"))
-
-    land(prev, 1)
-    capture_snapshot_changes(spark, landing, schema, "id", sink, ckpt, trigger="availableNow").awaitTermination()
-    land(curr, 2)
-    capture_snapshot_changes(spark, landing, schema, "id", sink, ckpt, trigger="availableNow").awaitTermination()
-    out = spark.read.parquet(sink)
-    first = out.filter(F.col("batch_id") == 0)
-    assert first.count() == prev.count() and {r[0] for r in first.select("cdc_action").distinct().collect()} == {"INSERT"}
-    second = out.filter(F.col("batch_id") == 1).drop("batch_id", "_captured_at", "snapshot")
-    want = snapshot_diff(prev, curr, "id")
-    assert sorted(map(str, map(tuple, second.select(*want.columns).collect()))) == \
-        sorted(map(str, map(tuple, want.collect())))
-    land(prev, 3)  # a third snapshot: only the two latest are kept in state
-    capture_snapshot_changes(spark, landing, schema, "id", sink, ckpt, trigger="availableNow").awaitTermination()
-    assert sorted(os.listdir(f"{ckpt}-snapshots")) == ["batch_id=1", "batch_id=2"]
+    raw, people = g.raw["encounters"], g.raw["patients"]
+    landing, patients, loaded = f"{tmp_dir}/enc", f"{tmp_dir}/patients", f"{tmp_dir}/loaded"
+    third = F.pmod(F.xxhash64("id"), F.lit(3))
+    raw.filter(third == 0).write.parquet(loaded)
+    for part, who in ((1, F.pmod(F.xxhash64("id"), F.lit(2)) == 0), (2, F.pmod(F.xxhash64("id"), F.lit(2)) == 1)):
+        people.filter(who).write.mode("append").parquet(patients)
+        raw.filter(third == part).write.mode("append").parquet(landing)
+        organization_kpis_rt(spark, landing, raw.schema, lambda: stg_patients(spark.read.parquet(patients)),
+                             g.dim_organizations, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", mode=mode,
+                             trigger="availableNow", history=lambda: spark.read.parquet(loaded)).awaitTermination()
+    mart = read_table(spark, f"{tmp_dir}/sink", MART)
+    assert mart.agg(F.sum("total_encounters")).first()[0] == g.int_encounters_enriched.count()
 
 
 def test_streamed_rows_join_the_batch_raw_table(spark, tmp_dir):

@@ -1,4 +1,7 @@
+import pytest
 from wardline.__main__ import main
+from pyspark.sql import functions as F
+
 from wardline.plans.landing import land_extract
 from wardline.plans.sinks import read_table
 from wardline.registry import graph
@@ -11,7 +14,10 @@ def test_load_then_build_reports_planted_failures(spark, tmp_dir):
     src = land_extract(spark, {t: g.raw[t] for t in ("patients", "encounters", "conditions", "medications",
                                                     "organizations")},
                        gz=frozenset({"encounters"}), header_only=("supplies",))
-    assert main(["load", "--src", src, "--dst", f"{tmp_dir}/raw"]) == 0
+    with pytest.raises(FileNotFoundError):  # every raw table, unless they are named
+        main(["load", "--src", src, "--dst", f"{tmp_dir}/raw"])
+    assert main(["load", "--src", src, "--dst", f"{tmp_dir}/raw", "--tables",
+                 "patients,encounters,conditions,medications,organizations,supplies"]) == 0
     # the mapped data plants orphans, so error-severity checks fail: exit code 1
     assert main(["build", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/marts", "--as-of", "2024-01-01"]) == 1
     kpis = read_table(spark, f"{tmp_dir}/marts", "mart_organization_kpis")
@@ -56,10 +62,12 @@ def test_built_tables_equal_the_model_graph(spark, tmp_dir):
 def test_realtime_command_drains_and_publishes(spark, tmp_dir):
     from wardline.plans.landing import land_extract
     g = graph(spark, SF_SMALL)
-    src = land_extract(spark, {t: g.raw[t] for t in ("patients", "encounters", "conditions", "medications",
-                                                    "organizations")})
-    assert main(["load", "--src", src, "--dst", f"{tmp_dir}/raw"]) == 0
-    g.raw["encounters"].repartitionByRange(3, "id").write.parquet(f"{tmp_dir}/landing")
+    half = F.pmod(F.xxhash64("id"), F.lit(2)) == 0  # one half is batch-loaded, the other lands
+    src = land_extract(spark, {t: g.raw[t].filter(half) if t == "encounters" else g.raw[t]
+                               for t in ("patients", "encounters", "conditions", "medications", "organizations")})
+    assert main(["load", "--src", src, "--dst", f"{tmp_dir}/raw", "--tables",
+                 "patients,encounters,conditions,medications,organizations"]) == 0
+    g.raw["encounters"].filter(~half).repartitionByRange(3, "id").write.parquet(f"{tmp_dir}/landing")
     assert main(["realtime", "--raw", f"{tmp_dir}/raw", "--landing", f"{tmp_dir}/landing",
                  "--out", f"{tmp_dir}/rt", "--checkpoint", f"{tmp_dir}/ckpt", "--trigger", "availableNow"]) == 0
     mart = read_table(spark, f"{tmp_dir}/rt", "mart_organization_kpis_rt")

@@ -120,3 +120,43 @@ def test_scan_with_a_repeated_header_name(spark, tmp_dir):
     df = scan_csv(spark, f"{tmp_dir}/dup")
     assert [tuple(r) for r in df.collect()] == [("1", "x", "y")]
     assert df.columns == ["id", "code", "code"]
+
+
+def test_nested_folders_line_breaks_and_types_that_widen_late(spark, tmp_dir):
+    for i in range(9):
+        _write(f"{tmp_dir}/t/y{i % 3}/part{i}.csv", f"id,amount,note\n{i},{i},plain\n")
+    _write(f"{tmp_dir}/t/z/last.csv", 'id,amount,note\n9,1.5,"two\nlines, ""quoted"""\n')
+    _write(f"{tmp_dir}/t/z/other.csv", "note,id\n,10\n")
+    _write(f"{tmp_dir}/t/_hidden/x.csv", "id\n99\n")
+    schema = infer_schema(spark, f"{tmp_dir}/t")
+    assert {f.name: f.dataType for f in schema.fields}["amount"] == T.DoubleType()
+    rows = {r["id"]: r for r in load_by_name(spark, f"{tmp_dir}/t", schema).collect()}
+    assert len(rows) == 11 and rows["9"]["note"] == 'two\nlines, "quoted"' and rows["9"]["amount"] == 1.5
+    assert rows["10"]["note"] is None and rows["3"]["amount"] == 3
+
+
+def test_ambiguous_missing_and_disguised_sources_raise(spark, tmp_dir):
+    _write(f"{tmp_dir}/src/orders.csv", "id\n1\n")
+    _write(f"{tmp_dir}/src/orders/p.csv", "id\n2\n")
+    with pytest.raises(ValueError, match="several forms"):
+        load_raw_all(spark, f"{tmp_dir}/src", f"{tmp_dir}/dst", ["orders"])
+    with pytest.raises(FileNotFoundError, match="nothing"):
+        load_raw_all(spark, f"{tmp_dir}/src", f"{tmp_dir}/dst", ["nothing"])
+    _write(f"{tmp_dir}/gz/a.csv", "id\n1\n", gz=True)
+    with pytest.raises(ValueError, match="gzip"):
+        scan_csv(spark, f"{tmp_dir}/gz")
+
+
+def test_offsets_become_utc(spark, tmp_dir):
+    _write(f"{tmp_dir}/o/a.csv", "id,at\n1,2020-01-01T00:00:00+02:00\n2,2020-01-01T00:00:00Z\n3,2020-01-01T00:00:00\n")
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("at", T.TimestampNTZType())])
+    got = {r["id"]: str(r["at"]) for r in load_by_name(spark, f"{tmp_dir}/o", schema).collect()}
+    assert got == {"1": "2019-12-31 22:00:00", "2": "2020-01-01 00:00:00", "3": "2020-01-01 00:00:00"}
+    assert infer_schema(spark, f"{tmp_dir}/o").fields[1].dataType == T.TimestampNTZType()
+
+
+def test_reload_keeps_two_versions(spark, tmp_dir):
+    _write(f"{tmp_dir}/src/orders.csv", "id\n1\n")
+    for _ in range(3):
+        load_raw_all(spark, f"{tmp_dir}/src", f"{tmp_dir}/dst", ["orders"])
+    assert len([d for d in os.listdir(f"{tmp_dir}/dst/orders") if d.startswith("v")]) == 2

@@ -139,7 +139,7 @@ def test_models_queryable_as_sql_views(spark):
     names = g.register_views(prefix="wl_")
     assert "wl_fct_readmissions" in names
     n = spark.sql("select count(*) from wl_fct_readmissions where is_eligible_index_stay").first()[0]
-    assert n == 535
+    assert n == 529
 
 
 def test_negative_age_fails_the_age_range_check(g):

@@ -54,10 +54,12 @@ def test_no_cross_joins_and_no_python_in_plans(spark, key):
 def test_bounded_broadcast_respects_the_bound(spark):
     small = spark.range(10)
     assert "broadcast" in small.hint("broadcast")._jdf.queryExecution().logical().toString().lower()
-    assert bounded_broadcast(small, max_rows=100)._jdf.queryExecution().logical().toString() \
+    assert bounded_broadcast(small, max_bytes=4000)._jdf.queryExecution().logical().toString() \
         .lower().count("broadcast") == 1
-    assert "broadcast" not in bounded_broadcast(spark.range(1000), max_rows=100)._jdf.queryExecution() \
+    assert "broadcast" not in bounded_broadcast(spark.range(1000), max_bytes=4000)._jdf.queryExecution() \
         .logical().toString().lower()
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) as text")  # few rows, many bytes
+    assert "broadcast" not in bounded_broadcast(wide, max_bytes=4000)._jdf.queryExecution().logical().toString().lower()
 
 
 def test_table_versions_and_pointer(spark, tmp_dir):

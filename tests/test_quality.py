@@ -43,8 +43,8 @@ def test_report_statuses_and_counts(spark):
     # stop < start is planted: warn, not fail
     inv = rep["accepted_values_fct_encounters_has_invalid_timestamps"]
     assert inv["status"] == "warn" and inv["failures"] == 1
-    # the code 99999999 is not in the seed; it occurs with two descriptions (one row each)
-    assert rep["assert_seed_covers_inpatient_codes"]["failures"] == 2
+    # the code 99999999 is not in the seed, nor is no code; both occur with two descriptions (one row each)
+    assert rep["assert_seed_covers_inpatient_codes"]["failures"] == 4
     assert rep["unique_fct_readmissions_index_stay_id"]["status"] == "pass"
     # the single-pass report agrees with the per-check failing rows
     detail = Q.failures_of([c for c in WAREHOUSE_CHECKS if c.kind == "relationships"], g.model)

@@ -39,7 +39,7 @@ def test_realtime_restart_mid_stream(spark, tmp_dir):
 
     def run():
         q = organization_kpis_rt(spark, landing, raw.schema, g.stg_patients, g.dim_organizations, sink, ckpt,
-                                 trigger="availableNow", max_files_per_trigger=1)
+                                 mode="incremental", trigger="availableNow", max_files_per_trigger=1)
         q.awaitTermination()
 
     run()
@@ -145,12 +145,12 @@ def test_realtime_survives_a_crash_mid_batch(spark, tmp_dir):
     args = (spark, f"{tmp_dir}/enc", raw.schema, g.stg_patients, g.dim_organizations, f"{tmp_dir}/sink",
             f"{tmp_dir}/ckpt")
     try:
-        q = R.organization_kpis_rt(*args, trigger="availableNow", max_files_per_trigger=1)
+        q = R.organization_kpis_rt(*args, mode="incremental", trigger="availableNow", max_files_per_trigger=1)
         with pytest.raises(Exception):
             q.awaitTermination()
     finally:
         R.apply_increment = original
-    R.organization_kpis_rt(*args, trigger="availableNow", max_files_per_trigger=1).awaitTermination()
+    R.organization_kpis_rt(*args, mode="incremental", trigger="availableNow", max_files_per_trigger=1).awaitTermination()
     got = {r["organization_id"]: (r["total_encounters"], r["distinct_patients"])
            for r in read_table(spark, f"{tmp_dir}/sink", MART).collect()}
     want = {r["organization_id"]: (r["total_encounters"], r["distinct_patients"])

@@ -1,68 +1,57 @@
-"""The sliced (skew-splitting) sequencing equals the plain window."""
+"""Sequencing in slices equals one window per group."""
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wardline.operators.intermediate import stay_order
-from wardline.operators.sequence import largest_group, sequence_within
+from wardline.operators.sequence import sequence_within
 from wardline.registry import graph
 
-from conftest import SF_SMALL
-
 LEADS = {"next_stay_id": "encounter_id", "next_admitted_at": "started_at", "next_code": "encounter_code"}
 
 
+def month():
+    return F.trunc(F.to_date("started_at"), "month")
+
+
 def _rows(df):
-    return sorted(tuple(r) for r in df.select("encounter_id", "patient_id", "stay_sequence", *LEADS).collect())
+    return sorted((tuple(r) for r in df.select("encounter_id", "patient_id", "n", *LEADS).collect()), key=str)
 
 
-def test_sliced_equals_window_on_test_data(spark):
-    enriched = graph(spark, SF_SMALL).int_encounters_enriched
-    stays = enriched.filter(F.col("encounter_class") == "inpatient")
-    w = sequence_within(stays, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="window")
-    s = sequence_within(stays, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="sliced", slices=5)
-    assert _rows(w) == _rows(s)
+def _window(df):
+    w = Window.partitionBy("patient_id").orderBy(*stay_order())
+    return df.withColumns({"n": F.row_number().over(w), **{o: F.lead(s).over(w) for o, s in LEADS.items()}})
 
 
-def test_hot_patient_is_split_and_exact(spark):
-    # one patient holds about a third of all stays, with ties and a NULL start
+def test_equals_window_on_test_data(spark):
+    enriched = graph(spark, "/root/testdata/sf0.01").int_encounters_enriched
+    stays = enriched.filter(F.col("encounter_class") == "inpatient").repartition(9, "encounter_id")
+    assert _rows(sequence_within(stays, "patient_id", stay_order(), "n", LEADS, month())) == _rows(_window(stays))
+
+
+def _hot(spark):
+    """One patient holds a third of all stays; ties, NULL starts and stays without a patient."""
     base = dt.datetime(2020, 1, 1)
     rows = []
     for i in range(3000):
-        pid = "hot" if i % 3 == 0 else f"p{i % 97}"
-        start = None if i == 300 else base + dt.timedelta(days=(i * 7) % 400)
+        pid = "hot" if i % 3 == 0 else None if i % 50 == 1 else f"p{i % 97}"
+        start = None if i % 100 == 0 else base + dt.timedelta(days=(i * 7) % 400)
         rows.append((f"e{i:05d}", pid, start, str(i % 5)))
-    df = (spark.createDataFrame(rows, "encounter_id string, patient_id string, started_at timestamp_ntz, "
-                                      "encounter_code string")
-          .repartition(7))  # several partitions in shuffled order, as after a join
-    assert largest_group(df, "patient_id") == 1000
-    w = sequence_within(df, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="window")
-    s = sequence_within(df, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="sliced", slices=16)
-    assert _rows(w) == _rows(s)
-    slices = (df.repartitionByRange(16, F.col("patient_id").asc_nulls_last(), *stay_order())
-              .withColumn("s", F.spark_partition_id()).filter(F.col("patient_id") == "hot")
-              .select("s").distinct().count())
-    assert slices > 1  # the hot patient is spread over several tasks
-    auto = sequence_within(df, "patient_id", stay_order(), "stay_sequence", LEADS, max_group_rows=100, slices=16)
-    assert _rows(auto) == _rows(w)
-
-
-def test_sliced_equals_window_at_larger_scale(spark):
-    # enough rows that the input arrives through shuffles in varying order
-    enriched = graph(spark, "/root/testdata/sf0.01").int_encounters_enriched
-    stays = enriched.filter(F.col("encounter_class") == "inpatient").repartition(9, "encounter_id")
-    w = sequence_within(stays, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="window")
-    for _ in range(2):
-        s = sequence_within(stays, "patient_id", stay_order(), "stay_sequence", LEADS, strategy="sliced",
-                            slices=12)
-        assert _rows(w) == _rows(s)
-
-
-def test_graph_marts_equal_under_both_sequencing_plans(spark):
-    def rows(df):
-        return sorted(map(str, map(tuple, df.collect())))
-    w = graph(spark, SF_SMALL, fresh=True, sequence_strategy="window")
-    s = graph(spark, SF_SMALL, fresh=True, sequence_strategy="sliced")
-    for name in ("fct_readmissions", "mart_organization_kpis", "mart_high_utilizers"):
-        assert rows(w.model(name)) == rows(s.model(name)), name
+    return spark.createDataFrame(rows, "encounter_id string, patient_id string, started_at timestamp_ntz, "
+                                       "encounter_code string").repartition(7)
+
+
+def test_hot_patient_is_split_and_exact(spark):
+    df = _hot(spark)
+    assert _rows(sequence_within(df, "patient_id", stay_order(), "n", LEADS, month())) == _rows(_window(df))
+    slices = df.filter(F.col("patient_id") == "hot").groupBy(month()).count().collect()
+    assert len(slices) == 15 and max(r["count"] for r in slices) <= 100  # of 1000 stays of this patient
+
+
+def test_nothing_runs_while_the_plan_is_made(spark):
+    df = _hot(spark)
+    out = sequence_within(df, "patient_id", stay_order(), "n", LEADS, month())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan and "RDDScan" not in plan

@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from wardline.session import get_session
+from wardline.session import clear_scratch, get_session
 from wardline.sources.catalog import RawTables
 
 # The raw extract tables, in load order; `supplies` ships header-only.
@@ -30,14 +30,16 @@ def _graph(spark, args):
 
 
 def _raw(spark, args) -> RawTables:
-    if args.csv:
-        return RawTables.from_csv(spark, args.csv)
-    return RawTables.from_tables(spark, args.raw)
+    raw = RawTables.from_csv(spark, args.csv) if args.csv else RawTables.from_tables(spark, args.raw)
+    for item in getattr(args, "stream", None) or []:
+        name, _, folder = item.partition("=")
+        raw = raw.with_stream(name, folder)
+    return raw
 
 
 def cmd_load(spark, args) -> int:
-    from wardline.sources.csv import load_raw_all, source_path
-    names = args.tables.split(",") if args.tables else [t for t in ALL_RAW if source_path(spark, args.src, t)]
+    from wardline.sources.csv import load_raw_all
+    names = args.tables.split(",") if args.tables else list(ALL_RAW)
     loaded = load_raw_all(spark, args.src, args.dst, names)
     for name, df in loaded.items():
         print(f"{name}: {len(df.columns)} columns")
@@ -56,7 +58,7 @@ def cmd_build(spark, args) -> int:
     from wardline.plans.sinks import read_table, write_table
     write_table(report, args.out, "dq_report")  # one row per check, kept with the marts
     report = read_table(spark, args.out, "dq_report")
-    report.orderBy(F.col("status").desc(), "check_name").show(100, truncate=False)
+    report.orderBy(F.col("status").desc(), "check_name").show(report.count(), truncate=False)
     try:
         raise_on_errors(report)
     except AssertionError as e:
@@ -79,7 +81,7 @@ def cmd_test(spark, args) -> int:
     tables = {n: read_table(spark, args.out, n) for n in BUILT_MODELS}
     views = Q.checkpointed(g.model, Q.columns_needed(suite), enabled=not g.raw.table_backed)
     report = Q.run_checks(spark, suite, lambda n: tables[n] if n in tables else views(n)).cache()
-    report.orderBy(F.col("status").desc(), "check_name").show(100, truncate=False)
+    report.orderBy(F.col("status").desc(), "check_name").show(report.count(), truncate=False)
     try:
         Q.raise_on_errors(report)
     except AssertionError as e:
@@ -90,10 +92,11 @@ def cmd_test(spark, args) -> int:
 
 def cmd_realtime(spark, args) -> int:
     from wardline.streaming.realtime import organization_kpis_rt
-    g = _graph(spark, args)
     schema = spark.read.parquet(args.landing).schema
-    q = organization_kpis_rt(spark, args.landing, schema, g.stg_patients, g.dim_organizations, args.out,
-                             args.checkpoint, mode=args.mode, trigger=args.trigger)
+    # dimensions and batch-loaded encounters are opened anew for every refresh
+    q = organization_kpis_rt(spark, args.landing, schema, lambda: _graph(spark, args).stg_patients,
+                             lambda: _graph(spark, args).dim_organizations, args.out, args.checkpoint,
+                             mode=args.mode, trigger=args.trigger, history=lambda: _raw(spark, args)["encounters"])
     q.awaitTermination()
     return 0
 
@@ -111,6 +114,9 @@ def main(argv: list[str] | None = None) -> int:
         src.add_argument("--raw", help="root of raw Parquet tables written by `load`")
         src.add_argument("--csv", help="folder of raw CSV files read in place")
         sp.add_argument("--out", required=True, help="root of the mart tables (written or read)")
+        if name != "realtime":
+            sp.add_argument("--stream", action="append", metavar="TABLE=FOLDER",
+                            help="rows ingested by a stream that belong to raw TABLE (may be given several times)")
         sp.add_argument("--as-of", default=None, help="date for current ages (default: today)")
         sp.add_argument("--seed", default=None, help="planned-classification CSV (default: built-in rows)")
         if name == "build":
@@ -122,12 +128,15 @@ def main(argv: list[str] | None = None) -> int:
         if name == "realtime":
             sp.add_argument("--landing", required=True)
             sp.add_argument("--checkpoint", required=True)
-            sp.add_argument("--mode", default="incremental", choices=("incremental", "full"))
+            sp.add_argument("--mode", default="full", choices=("full", "incremental"))
             sp.add_argument("--trigger", default="1 minute")
     args = p.parse_args(argv)
     spark = get_session(app=f"wardline-{args.cmd}")
-    return {"load": cmd_load, "build": cmd_build, "test": cmd_test,
-            "realtime": cmd_realtime}[args.cmd](spark, args)
+    try:
+        return {"load": cmd_load, "build": cmd_build, "test": cmd_test,
+                "realtime": cmd_realtime}[args.cmd](spark, args)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -76,13 +76,15 @@ def current_pointer(spark: SparkSession, folder: str) -> str | None:
 
 
 def write_table(df: DataFrame, root: str, name: str, partition_by: str | None = None,
-                max_records_per_file: int | None = None, keep_versions: int | None = None,
-                rebalance: bool = False) -> str:
+                max_records_per_file: int | None = None, keep_versions: int = 2,
+                rebalance: bool = True) -> str:
     """Write ``df`` as a new version of table ``name`` under ``root``; return its path.
 
-    With ``partition_by`` each task writes its rows grouped by that column
-    (no shuffle).  ``rebalance=True`` trades one shuffle for fewer, evenly
-    sized files per value (AQE splits a hot value and coalesces small ones).
+    With ``partition_by`` one shuffle gives few, evenly sized files per value
+    (AQE splits a hot value and coalesces small ones).  ``rebalance=False``
+    saves it, but every task then writes a file per value it holds: only for
+    input of few tasks.  All but the ``keep_versions`` newest versions are
+    removed (0 keeps all).
     """
     spark = df.sparkSession
     version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"

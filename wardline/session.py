@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -48,8 +50,9 @@ def get_session(master: str | None = None, app: str = "wardline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.
-    When it is unset (local runs, tests) a private folder is created and set.
+    On a cluster this setting points at shared storage and is only read; where
+    it is unset there, this raises, since no machine's own folder would do.
+    In local mode (tests) a private folder is created, and removed at exit.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,24 +65,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; on {sc.master} it must name a folder that the "
+                               "driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="wardline-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local filesystem helpers."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder this process has made (frames that read them are then of no use)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        p.getFileSystem(conf).delete(p, True)
 
 
 def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:

@@ -6,9 +6,10 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-# Raw tables the models read.  Other raw tables may be loaded (see
-# ``sources.csv.load_raw_all``) but nothing downstream reads them.
+# The declared raw sources.  The models read the first five; the
+# others are there for queries and checks on raw data.
 MODELLED_SOURCES = ("patients", "encounters", "conditions", "medications", "organizations")
+DECLARED_SOURCES = MODELLED_SOURCES + ("observations", "procedures", "providers", "payers")
 
 
 class RawTables(Mapping):
@@ -58,28 +59,29 @@ class RawTables(Mapping):
         return cls({k: (lambda v=v: v) for k, v in frames.items()})
 
     @classmethod
-    def from_parquet(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
+    def from_parquet(cls, spark, root: str, names=DECLARED_SOURCES) -> "RawTables":
         return cls({n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names},
                    table_backed=True)
 
     @classmethod
-    def from_csv(cls, spark, folder: str, names=MODELLED_SOURCES) -> "RawTables":
+    def from_csv(cls, spark, folder: str, names=DECLARED_SOURCES) -> "RawTables":
         """Raw tables read in place from ``{name}.csv[.gz]`` files or ``{name}/`` folders, every run.
 
-        Types are inferred from a sample and columns matched by name; no load
+        Types are inferred from all rows and columns matched by name; no load
         step is needed (the local, file-based way of running the models).
         """
-        from wardline.sources.csv import infer_schema, load_by_name, source_path
+        from wardline.sources.csv import Extract, infer_schema, load_by_name, source_path
 
         def build(name: str):
             found = source_path(spark, folder, name)
             if found is None:
                 raise FileNotFoundError(f"{name}.csv[.gz] not in {folder}")
-            return load_by_name(spark, found[0], infer_schema(spark, found[0]))
+            extract = Extract.of(spark, found[0])
+            return load_by_name(spark, extract, infer_schema(spark, extract))
         return cls({n: (lambda n=n: build(n)) for n in names})
 
     @classmethod
-    def from_tables(cls, spark, root: str, names=MODELLED_SOURCES) -> "RawTables":
+    def from_tables(cls, spark, root: str, names=DECLARED_SOURCES) -> "RawTables":
         """Raw tables published under ``root`` by ``plans.sinks.write_table`` / ``load_raw_all``."""
         from wardline.plans.sinks import read_table
         return cls({n: (lambda n=n: read_table(spark, root, n)) for n in names}, table_backed=True)

@@ -1,28 +1,38 @@
 """CSV sources: scan, schema inference, load by column name, full reload.
 
 Dialect of the raw files: header row, ``,`` separator, optional ``"``
-quoting, an empty field is NULL, no trimming, compression from the file
-extension.  Columns are matched to the target **by name, case-insensitively**
-(never by position), and a malformed value aborts the load (FAILFAST).
+quoting (a quoted field may hold separators, quotes and line breaks), an empty
+field is NULL, no trimming, compression from the file extension (a compressed
+file without its extension is refused).  Columns are matched to the target
+**by name, case-insensitively** (never by position), and a malformed value
+aborts the load (FAILFAST).  Sub-folders are read.
 
 Spark's CSV reader binds a user schema by position, so every file's
 header is read first (one short read per file through the Hadoop
-FileSystem API) and files are grouped by header; each group is read with
-a string schema in that file order, selected by name and cast, and the
-groups are unioned by name.  There is one read per distinct header, not
-per file.
+FileSystem API, once per ``Extract``) and files are grouped by header; each
+group is read with a string schema in that file order, selected by name and
+cast, and the groups are unioned by name.  There is one read per distinct
+header, not per file.  A file in which some line has an odd number of quotes
+holds a quoted line break: only such files are read in multi-line mode, where
+one file is one task; all others stay splittable.
 """
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Extensions that the Hadoop codecs open, and how compressed files begin.
+COMPRESSED = (".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4")
+_MAGIC = {b"\x1f\x8b": "gzip", b"BZh": "bzip2", b"\x28\xb5\x2f\xfd": "zstd"}
+
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -52,17 +62,21 @@ def _hadoop(spark: SparkSession):
 
 
 def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(path, size) of the data files at ``path`` (a file or a directory)."""
+    """(path, size) of the data files at ``path`` (a file, or a directory with its sub-folders)."""
     jvm, conf = _hadoop(spark)
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(conf)
     if not fs.exists(p):
         raise FileNotFoundError(path)
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isFile() and not name.startswith(("_", ".")):
-            out.append((st.getPath().toString(), int(st.getLen())))
+    out, todo = [], [p]
+    while todo:
+        for st in fs.listStatus(todo.pop()):
+            if st.getPath().getName().startswith(("_", ".")):
+                continue
+            if st.isDirectory():
+                todo.append(st.getPath())
+            else:
+                out.append((st.getPath().toString(), int(st.getLen())))
     return sorted(out)
 
 
@@ -74,14 +88,18 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
     if codec is not None:
         stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "ISO-8859-1"))
     try:
         line = reader.readLine()
     finally:
         reader.close()
     if not line:
         return []
-    line = line.lstrip("\ufeff").rstrip("\r")
+    raw = line.encode("latin-1")
+    for magic, kind in _MAGIC.items():
+        if codec is None and raw.startswith(magic):
+            raise ValueError(f"{path} is {kind}-compressed but its name does not say so")
+    line = raw.decode("utf-8").lstrip("\ufeff").rstrip("\r")
     return [c.strip('"') for c in _split_csv_line(line)]
 
 
@@ -110,16 +128,41 @@ def _split_csv_line(line: str) -> list[str]:
     return out
 
 
-def _groups_by_header(spark: SparkSession, path: str) -> "OrderedDict[tuple[str, ...], list[str]]":
-    files = [f for f, _ in list_files(spark, path)]
-    # one short read per file; I/O bound, so a small thread pool on the driver
-    with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
-        headers = list(pool.map(lambda f: tuple(read_header(spark, f)), files))
-    groups: OrderedDict[tuple[str, ...], list[str]] = OrderedDict()
-    for f, header in zip(files, headers):
-        if header:
-            groups.setdefault(header, []).append(f)
-    return groups
+@dataclass
+class Extract:
+    """The files of one table, grouped by (header, holds quoted line breaks); headers are read once."""
+    groups: "OrderedDict[tuple[tuple[str, ...], bool], list[str]]"
+
+    @classmethod
+    def of(cls, spark: SparkSession, path: "str | Extract") -> "Extract":
+        if isinstance(path, Extract):
+            return path
+        files = [f for f, _ in list_files(spark, path)]
+        # one short read per file; I/O bound, so a small thread pool on the driver
+        with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
+            headers = list(pool.map(lambda f: tuple(read_header(spark, f)), files))
+        broken = _files_with_line_breaks(spark, [f for f, h in zip(files, headers) if h])
+        groups: OrderedDict = OrderedDict()
+        for f, header in zip(files, headers):
+            if header:
+                groups.setdefault((header, _name(f) in broken), []).append(f)
+        return cls(groups)
+
+
+def _name(path: str) -> str:
+    """A path without scheme and leading slashes, which listings spell differently."""
+    return re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", path).lstrip("/")
+
+
+def _files_with_line_breaks(spark: SparkSession, files: list[str]) -> set[str]:
+    """Files in which some line has an odd number of quotes (one distributed pass over the text)."""
+    if not files:
+        return set()
+    odd = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    rows = (spark.read.text(files).select(F.col("_metadata.file_path").alias("f"), (odd % 2 == 1).alias("odd"))
+            .filter("odd").select("f").distinct().collect())  # a row per file at most
+    from urllib.parse import unquote
+    return {_name(unquote(r.f)) for r in rows}
 
 
 def _reader(spark: SparkSession, options: dict | None = None):
@@ -131,23 +174,23 @@ def _reader(spark: SparkSession, options: dict | None = None):
 
 # --- scan / inference / load ---------------------------------------------------
 
-def scan_csv(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
+def scan_csv(spark: SparkSession, path: "str | Extract", options: dict | None = None) -> DataFrame:
     """All columns as strings, named by the header in lower case, matched by name.
 
     Files with different column orders are aligned by name; a column
     missing from some files is NULL there.
     """
-    groups = _groups_by_header(spark, path)
+    groups = Extract.of(spark, path).groups
     if not groups:
         raise ValueError(f"no CSV data with a header under {path}")
     frames = []
-    for header, files in groups.items():
+    for (header, multi), files in groups.items():
         # name the string schema after the file's own header (so Spark's header
         # check agrees); positional names only if the header repeats a name
         unique = len({h.lower() for h in header}) == len(header)
         names = list(header) if unique else [f"_c{i}" for i in range(len(header))]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = _reader(spark, options).schema(schema).csv(files)
+        df = _reader(spark, {"multiLine": str(multi).lower(), **(options or {})}).schema(schema).csv(files)
         frames.append(df.select(*[F.col(f"`{n}`").alias(h.lower()) for n, h in zip(names, header)]))
     out = frames[0]
     for f in frames[1:]:
@@ -155,47 +198,74 @@ def scan_csv(spark: SparkSession, path: str, options: dict | None = None) -> Dat
     return out
 
 
-def infer_schema(spark: SparkSession, path: str, strings: Sequence[str] = STRING_COLUMN_HINTS,
-                 sample_bytes: int = 256 << 20, max_files: int = 8,
+# Numeric types from narrow to wide, for columns that two layouts type differently.
+_WIDER = (T.IntegerType(), T.LongType(), T.DoubleType())
+
+
+def _common(a: T.DataType, b: T.DataType) -> T.DataType:
+    if a == b:
+        return a
+    if a in _WIDER and b in _WIDER:
+        return max(a, b, key=_WIDER.index)
+    if {a, b} == {T.DateType(), T.TimestampNTZType()}:
+        return T.TimestampNTZType()
+    return T.StringType()
+
+
+def infer_schema(spark: SparkSession, path: "str | Extract", strings: Sequence[str] = STRING_COLUMN_HINTS,
                  options: dict | None = None) -> T.StructType:
-    """Schema inferred from a sample of the data, in file column order, lower-case names.
+    """Schema inferred from all rows of all files, in file column order, lower-case names.
 
     Inference runs per header layout (Spark binds inferred types by
-    position) over at most ``max_files`` files and about ``sample_bytes``
-    of each layout, and is merged by name; a column typed differently in two
-    layouts becomes string.  A value the sample did not foresee makes the
-    later load abort (ANSI casts), like a fail-fast copy.  Identifier-, code-
-    and zip-like columns are pinned to string: inference would turn
-    numeric-looking ids into numbers and drop zip leading zeros.
-    Timestamps are TIMESTAMP_NTZ.
+    position), one pass over the data in all, and is merged by name: numbers
+    widen, a column typed otherwise in two layouts becomes string, a column
+    without values in one layout takes the other's type.  Identifier-, code- and
+    zip-like columns are pinned to string: inference would turn numeric-looking
+    ids into numbers and drop zip leading zeros.  Timestamps are TIMESTAMP_NTZ.
     """
-    sizes = dict(list_files(spark, path))
-    merged: OrderedDict[str, T.DataType] = OrderedDict()
-    for header, files in _groups_by_header(spark, path).items():
-        sample = files[:max_files]
-        total = sum(sizes.get(f, 0) for f in sample) or 1
-        ratio = 1.0 if any(f.endswith(".gz") for f in sample) else min(1.0, sample_bytes / total)
-        opts = {**CSV_OPTIONS, **(options or {}), "inferSchema": "true", "samplingRatio": str(ratio),
-                "mode": "PERMISSIVE", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]"}
+    merged: OrderedDict[str, T.DataType | None] = OrderedDict()
+    for (header, multi), files in Extract.of(spark, path).groups.items():
+        opts = {**CSV_OPTIONS, "multiLine": str(multi).lower(), **(options or {}), "inferSchema": "true",
+                "samplingRatio": "1.0", "mode": "PERMISSIVE",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]"}
         r = spark.read
         for k, v in opts.items():
             r = r.option(k, v)
-        inferred = r.option("header", "true").csv(sample).schema
-        for f in inferred.fields:
-            name = f.name.lower()
+        read = r.option("header", "true").csv(files)
+        empty = _columns_without_values(read)
+        for f, given in zip(read.schema.fields, header):
+            name = given.lower()
             dtype = T.StringType() if _is_string_hint(name, strings) else f.dataType
             if isinstance(dtype, T.TimestampType):
                 dtype = T.TimestampNTZType()
-            if isinstance(dtype, T.NullType):
-                dtype = T.StringType()
-            if name in merged and merged[name] != dtype:
-                merged[name] = T.StringType()
+            if isinstance(dtype, T.NullType) or (f.name in empty and isinstance(dtype, T.StringType)):
+                merged.setdefault(name, None)
             else:
-                merged.setdefault(name, dtype)
-    return T.StructType([T.StructField(n, t, True) for n, t in merged.items()])
+                merged[name] = dtype if merged.get(name) is None else _common(merged[name], dtype)
+    return T.StructType([T.StructField(n, t or T.StringType(), True) for n, t in merged.items()])
+
+
+def _columns_without_values(df: DataFrame) -> set[str]:
+    """String columns of ``df`` in which no row has a value."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not text:
+        return set()
+    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(text)]).first()
+    return {c for i, c in enumerate(text) if not row[f"_{i}"]}
+
+
+_OFFSET = r"\d{2}:\d{2}.*(Z|[+-]\d{2}(:?\d{2})?)$"
+
 
+def _typed(src: Column, dtype: T.DataType) -> Column:
+    """``src`` as ``dtype``; a timestamp that states an offset is the UTC time of its instant."""
+    if not isinstance(dtype, T.TimestampNTZType):
+        return src.try_cast(dtype)
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), src.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(src.rlike(_OFFSET), instant).otherwise(src.try_cast(dtype))
 
-def load_by_name(spark: SparkSession, path: str, schema: T.StructType,
+
+def load_by_name(spark: SparkSession, path: "str | Extract", schema: T.StructType,
                  options: dict | None = None) -> DataFrame:
     """Load CSV files into ``schema`` by column name; a bad value aborts the job.
 
@@ -217,7 +287,7 @@ def load_by_name(spark: SparkSession, path: str, schema: T.StructType,
             cols.append(src.alias(name))
             continue
         # abort on a value that does not convert, whatever the session's ANSI setting
-        typed = src.try_cast(f.dataType)
+        typed = _typed(src, f.dataType)
         cols.append(F.when(src.isNotNull() & typed.isNull(),
                            F.raise_error(F.concat(F.lit(f"cannot load column {name} as "
                                                         f"{f.dataType.simpleString()}: "), src)))
@@ -226,47 +296,50 @@ def load_by_name(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def source_path(spark: SparkSession, src_dir: str, table: str) -> tuple[str, int, bool] | None:
-    """``{table}.csv``, ``{table}.csv.gz`` or a ``{table}/`` folder of parts: (path, bytes, gzip)."""
+    """``{table}.csv``, compressed or not, or a ``{table}/`` folder of parts: (path, bytes, compressed).
+
+    More than one of these for a table raises, since either alone would lose rows.
+    """
     jvm, conf = _hadoop(spark)
     root = jvm.org.apache.hadoop.fs.Path(src_dir)
     fs = root.getFileSystem(conf)
+    forms = []
     for st in fs.listStatus(root):
         base = st.getPath().getName().lower()
         path = st.getPath().toString()
-        if st.isFile() and base in (f"{table}.csv", f"{table}.csv.gz"):
-            return path, int(st.getLen()), base.endswith(".gz")
+        if st.isFile() and base in (f"{table}.csv", *(f"{table}.csv{c}" for c in COMPRESSED)):
+            forms.append((path, int(st.getLen()), base.endswith(COMPRESSED)))
         if st.isDirectory() and base == table:
             files = list_files(spark, path)
-            return path, sum(s for _, s in files), any(f.endswith(".gz") for f, _ in files)
-    return None
-
-
-def _has_data_rows(spark: SparkSession, path: str) -> bool:
-    return scan_csv(spark, path).limit(1).count() > 0
+            forms.append((path, sum(s for _, s in files), any(f.endswith(COMPRESSED) for f, _ in files)))
+    if len(forms) > 1:
+        raise ValueError(f"table {table} is in {src_dir} in several forms: " + ", ".join(p for p, _, _ in sorted(forms)))
+    return forms[0] if forms else None
 
 
 def load_raw_all(spark: SparkSession, src_dir: str, dst_root: str, tables: Iterable[str],
                  target_file_bytes: int = 128 << 20) -> dict[str, DataFrame]:
-    """Reload every ``{table}.csv[.gz]`` in ``src_dir`` as a Parquet table under ``dst_root``.
+    """Reload every table of ``tables`` in ``src_dir`` as a Parquet table under ``dst_root``.
 
     Each table is inferred, loaded by name and published as a new version
-    (create-or-replace).  Header-only files are skipped.  A gzip file is one
+    (create-or-replace).  A table that is missing raises before anything is
+    loaded; header-only files are skipped.  A compressed file is one
     unsplittable partition, so it is spread over several partitions before
     the Parquet write.  A failure stops the loop at that table.
     """
     from wardline.plans.sinks import read_table, write_table
 
+    found = {t: source_path(spark, src_dir, t) for t in tables}
+    missing = [t for t, f in found.items() if f is None]
+    if missing:
+        raise FileNotFoundError(f"not in {src_dir}: " + ", ".join(f"{t}.csv" for t in missing))
     loaded: dict[str, DataFrame] = {}
-    for table in tables:
-        found = source_path(spark, src_dir, table)
-        if found is None:
-            raise FileNotFoundError(f"{table}.csv[.gz] not in {src_dir}")
-        path, size, is_gz = found
-        if not _has_data_rows(spark, path):
+    for table, (path, size, compressed) in found.items():
+        extract = Extract.of(spark, path)
+        if not extract.groups or scan_csv(spark, extract).isEmpty():
             continue  # header only: nothing to load
-        schema = infer_schema(spark, path)
-        df = load_by_name(spark, path, schema)
-        if is_gz:
+        df = load_by_name(spark, extract, infer_schema(spark, extract))
+        if compressed:
             df = df.repartition(max(1, (size * 8) // target_file_bytes + 1))
         write_table(df, dst_root, table)
         loaded[table] = read_table(spark, dst_root, table)

@@ -113,7 +113,7 @@ def raw_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     owner = F.when(F.col("o_custkey") % 10 == 3, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
     return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
             .select(
-                _s(owner).alias("patient"),
+                F.concat(F.when(F.col("l_orderkey") % 61 == 5, "unknown-").otherwise(""), _s(owner)).alias("patient"),
                 _s("l_orderkey").alias("encounter"),
                 _s(F.col("l_partkey") % 50).alias("code"),
                 F.col("l_linestatus").alias("description"),

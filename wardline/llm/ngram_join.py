@@ -13,7 +13,9 @@ representatives.
   space (twice that of a prefix), rarest first by document frequency over the
   whole corpus; the other shingles follow by hash.  Shingles that one set
   alone holds fill places of the prefix but need no list, so a text without
-  near copies usually posts nothing at all.
+  near copies usually posts nothing at all.  The sets that do share a list are
+  then posted once more, in the order of all shingles by their frequency among
+  these sets, which leaves the lists of sets that can really link.
 * The boundary is the size at which the rows of the two ways cost least, from
   the counts of all small sizes.
 
@@ -182,20 +184,20 @@ def subset_postings(reps: DataFrame, limit: int, percent: int) -> DataFrame:
             .mapInArrow(run, "key long, rep long, n int, own int, pos int"))
 
 
-def list_postings(scratch: Scratch, reps: DataFrame, limit: int, percent: int) -> DataFrame:
+def list_postings(scratch: Scratch, elements: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """key, rep, n, own, pos for the prefix elements of the large sets that another set holds too.
 
+    ``elements`` (rep, key): those ordered by frequency; ``sizes`` (rep, n, m, further): the size of each set, the
+    number of its ordered elements and the elements that follow in its prefix.
+
     ``own`` counts the elements of the set alone, which come first in the order; ``pos`` is the element's place in it.
     """
-    large = reps.where(F.col("n") >= least(limit + 1, percent))
-    tokens = large.select("rep", F.explode("ordered").alias("key"))
-    tokens = scratch.keep(tokens, "elements")
+    tokens = scratch.keep(elements, "elements")
     shared = scratch.keep(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
     hits = (tokens.join(shared, "key").groupBy("rep")
             .agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("hits")))
-    m = F.size("ordered")
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    rows = (large.select("rep", "n", m.alias("m"), prefix.alias("prefix"), "further")
+    rows = (sizes.select("rep", "n", "m", prefix.alias("prefix"), "further")
             .join(hits, "rep", "left")
             .withColumn("found", F.coalesce(F.size("hits"), F.lit(0)))
             .withColumn("found", F.when(F.col("hits").isNull(), 0).otherwise(F.col("found")))
@@ -228,7 +230,25 @@ def verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
 
 
-def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, percent: int) -> DataFrame:
+def shared(postings: DataFrame) -> DataFrame:
+    """Representatives that share a key with another one."""
+    keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    return postings.join(keys, "key").groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
+
+
+def whole_sets(texts: DataFrame, words: int, smallest: int) -> DataFrame:
+    """rep and all elements of every text with at least ``smallest`` of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
+        for batch in batches:
+            sets = [s.view(np.int64) if len(s) >= smallest else None
+                    for s in shingle_sets(batch.column("text"), words)]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(sets, longs)], names=["rep", "elements"])
+
+    return texts.select("rep", "text").mapInArrow(run, "rep long, elements array<long>")
+
+
+def links(scratch: Scratch, texts: DataFrame, postings: DataFrame, words: int, percent: int) -> DataFrame:
     """node, component of every representative that links with another."""
     # at the first element that two sets share, what is left of either must suffice
     sizes = ((F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
@@ -241,9 +261,6 @@ def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, pe
     lists = scratch.keep(postings.join(many, "key").select("key", "rep", "n", "pos", "lead", "m", "place"),
                          "shared-lists")
     scratch.drop(many)
-    involved = lists.select("rep").distinct()
-    texts = docs.select("doc_id", "text").join(involved, docs["doc_id"] == involved["rep"]).select("rep", "text")
-    texts = scratch.keep(texts, "texts")
     pairs = (lists.where("rep <> lead").where(sizes)
              .groupBy(F.col("rep").alias("a"), F.col("lead").alias("b")).agg(F.lit(1).alias("one")).select("a", "b"))
     tried = scratch.keep(verify(scratch.keep(pairs, "pairs"), texts, words, percent), "verified")
@@ -284,7 +301,6 @@ def links(scratch: Scratch, docs: DataFrame, postings: DataFrame, words: int, pe
                 found = components(scratch, tried.union(more).where("linked").select("a", "b"))
             break
         tried = tried.union(more)
-    scratch.drop(texts)
     return found
 
 
@@ -300,11 +316,21 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reps = scratch.keep(groups, "representatives")
     counts = {r.n: r["count"] for r in reps.where(F.col("n") <= SMALL + 4).groupBy("n").count().collect()}
     limit = boundary(counts, percent)
-    lists = list_postings(scratch, reps, limit, percent)
-    postings = scratch.keep(lists.unionByName(subset_postings(reps, limit, percent)), "postings")
+    subsets = scratch.keep(subset_postings(reps, limit, percent), "subsets")
+    smallest = least(limit + 1, percent)
+    large = reps.where(F.col("n") >= smallest)
+    lists = list_postings(scratch, large.select("rep", F.explode("ordered").alias("key")),
+                          large.select("rep", "n", F.size("ordered").alias("m"), "further"), percent)
+    involved = scratch.keep(shared(lists.unionByName(subsets)), "involved")
+    texts = docs.select("doc_id", "text").join(involved, F.col("doc_id") == F.col("rep")).select("rep", "text")
+    texts = scratch.keep(texts, "texts")
     scratch.drop(lists)
-    found = links(scratch, docs, postings, words, percent)
-    scratch.drop(postings)
+    none = F.array().cast("array<long>").alias("further")
+    lists = list_postings(
+        scratch, whole_sets(texts, words, smallest).select("rep", F.explode("elements").alias("key")),
+        large.join(involved, "rep", "left_semi").select("rep", "n", F.col("n").alias("m"), none), percent)
+    found = links(scratch, texts, lists.unionByName(subsets), words, percent)
+    scratch.drop(lists, subsets, texts, involved)
     named = reps.join(found, reps["rep"] == found["node"], "left").where("copies > 1 or component is not null")
     named = scratch.keep(named.select("fp", F.coalesce("component", "rep").alias("comp")), "named")
     out = sk.select("doc_id", "n", "fp").join(named, "fp", "left")
@@ -312,3 +338,26 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                       F.when(F.col("n") == 0, F.col("doc_id"))
                       .when(F.col("doc_id").isNull(), F.lit(None))
                       .otherwise(F.coalesce("comp", "doc_id")).cast("long").alias("component_id"))
+
+
+ORACLE = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as words
+  from documents),
+sets as (
+  select doc_id, list_distinct(case when len(words) = 0 then [] when len(words) < 3 then [array_to_string(words, ' ')]
+    else list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) end) as s
+  from w),
+items as (select doc_id, len(s) as n, unnest(s) as g from sets),
+link as (
+  select a.doc_id as a, b.doc_id as b from items a join items b on a.g = b.g and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id having 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach as (
+  select doc_id as node, doc_id as seen from documents
+  union
+  select r.node, l.b from reach r join link l on r.seen = l.a)
+select sets.doc_id, len(sets.s) as n_shingles, min(reach.seen) as component_id
+from sets join reach on reach.node = sets.doc_id group by sets.doc_id, len(sets.s)
+"""

@@ -12,7 +12,8 @@ from .common import registered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_warc": warc.ORACLE,
-                          "op5_tool_calls": chat.ORACLE, "op7_embedding_caps": embedding.ORACLE}
+                          "op5_tool_calls": chat.ORACLE, "op7_embedding_caps": embedding.ORACLE,
+                          "op8_ngram_join": ngram_join.ORACLE}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from wardline.session import clear_scratch, get_session
+from wardline.session import clear_scratch, get_session, scratch_count
 from wardline.sources.catalog import RawTables
 
 # The raw extract tables, in load order; `supplies` ships header-only.
@@ -132,11 +132,12 @@ def main(argv: list[str] | None = None) -> int:
             sp.add_argument("--trigger", default="1 minute")
     args = p.parse_args(argv)
     spark = get_session(app=f"wardline-{args.cmd}")
+    before = scratch_count()
     try:
         return {"load": cmd_load, "build": cmd_build, "test": cmd_test,
                 "realtime": cmd_realtime}[args.cmd](spark, args)
     finally:
-        clear_scratch(spark)
+        clear_scratch(spark, keep=before)
 
 
 if __name__ == "__main__":

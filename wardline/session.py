@@ -85,10 +85,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove every scratch folder this process has made (frames that read them are then of no use)."""
+def scratch_count() -> int:
+    return len(_SCRATCH)
+
+
+def clear_scratch(spark: SparkSession, keep: int = 0) -> None:
+    """Remove the scratch folders this process has made, but for the ``keep`` first ones.
+
+    Frames that read them are of no use afterwards.
+    """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
+    while len(_SCRATCH) > keep:
         p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
         p.getFileSystem(conf).delete(p, True)
 

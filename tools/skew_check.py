@@ -1,10 +1,8 @@
 """Skew drill: one patient holds a third of all encounters.
 
 Builds a skewed variant of the raw encounters (every third encounter is
-re-assigned to one patient), then computes the readmission fact with the
-plain window and with the sliced plan, checks they are equal, and reports
-wall time and the largest task of the sequencing stage (from the event log
-in a scratch folder).
+re-assigned to one patient), then computes the readmission fact and reports
+wall time and the largest task (from the event log in a scratch folder).
 
 Usage: python tools/skew_check.py [sf_dir]
 """

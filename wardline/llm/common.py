@@ -14,6 +14,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that go to a Python worker at once where whole texts also come back.
+BATCH_ROWS = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS`` rows, so that a task holds a few megabytes of text.
+
+    It is a session setting, as Arrow reads it when a plan runs; a smaller one stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    current = int(spark.conf.get(key))
+    if current <= 0 or current > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 class Scratch:
     """Intermediate tables in the shared checkpoint folder, removed when no longer read.
 

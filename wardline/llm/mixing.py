@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, small_batches
 
 TEMPER = 0.8
 MAX_CATEGORIES = 1000
@@ -206,5 +206,6 @@ def keep(docs: DataFrame, mix: Mix, columns: list[str]) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([r[-1] for r in _decided(batch, mix, known)], pa.bool_()))
 
+    small_batches(docs.sparkSession)
     picked = docs.select(*columns)
     return picked.mapInArrow(run, picked.schema)

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 SAMPLE_ROWS = 20_000
 FEATURES = 3_000
 MIN_ROWS, LEAST_Z = 6, 5.0
@@ -213,5 +215,6 @@ def keep_clean(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
             clean = [model.probabilities(model.score(t.as_py() or ""))[0] < TOXIC for t in batch.column("text")]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
+    small_batches(docs.sparkSession)
     picked = docs.select(*columns)
     return picked.mapInArrow(run, picked.schema)

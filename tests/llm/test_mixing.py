@@ -59,3 +59,13 @@ def test_edges(spark):
     assert M.decide(empty, M.fit(empty)).collect() == []
     none = B.documents(spark, [(1, None), (2, " ")])
     assert all(r.kept for r in M.decide(none, M.fit(none)).collect())
+
+
+def test_one_tiny_category_does_not_shrink_the_sample(spark):
+    big = [(i, "tok " * 2000, "en", f"s{i % 4}", None, "x") for i in range(400)]
+    docs = spark.createDataFrame([*big, (400, "tok", "stray", "s0", None, "x")], SCHEMA)
+    out = M.decide(docs, M.fit(docs)).collect()
+    expected = sum(r.n_tokens * r.probability for r in out)
+    assert expected / sum(r.n_tokens for r in out) == pytest.approx(M.BUDGET, abs=1e-6)
+    assert next(r for r in out if r.lang == "stray").kept
+    assert all(r.probability > 0.7 for r in out)

@@ -11,8 +11,11 @@ its share of all tokens to the power ``TEMPER``, made to add up to one, which
 lifts rare categories.  ``MAX_CATEGORIES`` bounds the cell table: the sources (or
 languages) with the most tokens are strata of their own, all others together
 form one more stratum; no document is left out of the fit.  Probabilities are
-scaled so that the scarcest cell is kept whole (``budget`` asks for a smaller
-share of all tokens); nothing is repeated.
+the weights times one factor, at most 1, so that a share ``budget`` of all tokens
+is expected to be kept (``BUDGET`` if none is asked for): cells whose weight asks
+for more than there is are kept whole, and no rare cell decides how much of the
+others stays.  Only with explicit targets and no budget the sample is the largest
+that has exactly these targets.  Nothing is repeated.
 
 Defined cases: null text counts as empty (no tokens); a null source or language
 is the category ''; a document without words has topic t0; a row without doc_id
@@ -41,6 +44,8 @@ OTHER = "\x00other"
 SEED = 11
 WORD_MEMORY = 300_000
 ROUNDS, TOLERANCE = 500, 1e-10
+#: Share of all tokens that is kept with the default targets.
+BUDGET = 0.8
 
 
 def topic_of(words: list[str], known: dict[str, int]) -> str:
@@ -123,6 +128,7 @@ class Mix:
 def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER,
         budget: float | None = None, max_categories: int = MAX_CATEGORIES) -> Mix:
     """Rake the token counts of all of ``docs`` to ``targets`` {"source"|"lang"|"topic": {category: share}}."""
+    budget = BUDGET if budget is None and not targets else budget
     scratch = Scratch(docs.sparkSession, "mixing")
     sums = features(docs).groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
     sums = scratch.keep(sums, "cells")

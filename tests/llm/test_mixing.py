@@ -69,3 +69,28 @@ def test_one_tiny_category_does_not_shrink_the_sample(spark):
     assert expected / sum(r.n_tokens for r in out) == pytest.approx(M.BUDGET, abs=1e-6)
     assert next(r for r in out if r.lang == "stray").kept
     assert all(r.probability > 0.7 for r in out)
+
+
+def test_a_source_of_one_rare_language_keeps_every_cell():
+    tokens = np.zeros((20, 2, 1))
+    tokens[:, 0, 0] = 1000
+    tokens[0, :, 0] = 100, 900
+    share = [tokens.sum(axis=tuple(a for a in range(3) if a != k)) / tokens.sum() for k in range(3)]
+    targets = [s ** M.TEMPER / (s ** M.TEMPER).sum() for s in share]
+    assert targets[1][1] > targets[0][0]  # cannot hold together
+    w = M.rake(tokens, targets)
+    assert w[tokens > 0].min() > 0.05 and (w[tokens == 0] == 0).all()
+    have = (w * tokens).sum(axis=(1, 2)) / (w * tokens).sum()
+    assert np.allclose(have[1:], have[1]) and have[1] == pytest.approx(.05, rel=.1)
+
+
+def test_targets_that_cannot_hold_together_are_reported(spark):
+    docs = spark.createDataFrame([(i, "tok " * 10, "xx" if i % 20 == 0 and i % 200 else "en", f"s{i % 20}", None, "x")
+                                  for i in range(2000)], SCHEMA)
+    with pytest.warns(UserWarning, match="cannot hold together"):
+        mix = M.fit(docs)
+    out = M.decide(docs, mix).collect()
+    assert max(mix.missed, key=mix.missed.get) == ("source", "s0") and mix.missed["source", "s0"] > 1.2
+    assert not any(r.on_target for r in out if r.source == "s0")
+    assert min(r.probability for r in out) > 0.05
+    assert sum(r.probability for r in out) / len(out) == pytest.approx(M.BUDGET, abs=1e-6)

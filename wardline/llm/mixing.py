@@ -3,6 +3,10 @@
 Documents fall into cells (source, language, topic).  The tokens of all
 documents are summed per cell, then the cells' weights are scaled to each
 marginal in turn - sources, languages, topics - until all three hold at once.
+Targets that cannot hold together (a language found in one source only, with
+more than that source's target) are met as far as weights within ``BOUND`` of the
+product of the targets allow: no cell falls to zero, the categories that miss
+their target are in ``Mix.missed``, in a warning, and ``on_target`` of the rows.
 A document is kept with its cell's calibrated probability, decided by a hash of
 its doc_id, so the expected tokens of the sample have the target marginals.
 
@@ -25,6 +29,7 @@ columns pass through ``keep`` untouched.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,9 +48,13 @@ LONG_WORD = 8
 OTHER = "\x00other"
 SEED = 11
 WORD_MEMORY = 300_000
+AXES = ("source", "lang", "topic")
 ROUNDS, TOLERANCE = 500, 1e-10
 #: Share of all tokens that is kept with the default targets.
 BUDGET = 0.8
+#: Raked targets count as met within ``CLOSE``; a cell ``FAR`` below the product of its targets, or targets that are
+#: not met, let the raking start anew with its part of every weight held within ``BOUND``; ``MISS`` is reported.
+CLOSE, FAR, BOUND, MISS = 1e-4, 100.0, 10.0, 0.01
 
 
 def topic_of(words: list[str], known: dict[str, int]) -> str:
@@ -80,27 +89,51 @@ def features(docs: DataFrame) -> DataFrame:
         run, "doc_id long, source string, lang string, topic string, n_tokens long")
 
 
-def rake(tokens: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
-    """Weights of the cells of ``tokens`` whose weighted sums have the shares ``targets`` along each axis.
+def rake_cells(codes: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray],
+               rounds: int = ROUNDS) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Weights of cells (their category on each axis, their tokens), and the sums of each category by its target.
 
-    Where the targets cannot hold together (an empty cell pattern forbids it)
-    the weights of the last round stand.
+    A weight is the product of target / share over the axes, times one fitted
+    factor per category.  Where the targets cannot hold together, or only with a
+    cell close to zero, the fitted part of every weight is held within ``BOUND``,
+    so every cell whose targets are positive keeps a positive weight.
     """
     total = tokens.sum()
-    fitted = tokens.astype(float)
-    for _ in range(rounds):
-        off = 0.0
-        for axis, target in enumerate(targets):
-            others = tuple(a for a in range(tokens.ndim) if a != axis)
-            have = fitted.sum(axis=others)
-            factor = np.divide(target * total, have, out=np.ones_like(have), where=have > 0)
-            off = max(off, float(np.abs(factor[have > 0] - 1).max(initial=0.0)))
-            shape = [1] * tokens.ndim
-            shape[axis] = -1
-            fitted = fitted * factor.reshape(shape)
-        if off < TOLERANCE:
+    sums = [np.bincount(c, tokens, len(t)) for c, t in zip(codes, targets)]
+    first = np.ones(len(tokens))
+    for c, t, s in zip(codes, targets, sums):
+        first *= np.divide(t * total, s, out=np.zeros(len(t)), where=s > 0)[c]
+
+    def reached(weights: np.ndarray, axis: int) -> np.ndarray:
+        goal = targets[axis] * total
+        return np.divide(np.bincount(codes[axis], tokens * weights, len(goal)), goal, out=np.ones(len(goal)), where=goal > 0)
+
+    for bound in (np.inf, BOUND):
+        factors = [np.ones(len(t)) for t in targets]
+        weights = first
+        for _ in range(rounds):
+            before = weights
+            for axis in range(len(codes)):
+                have = reached(weights, axis)
+                factors[axis] = np.clip(factors[axis] / np.where(have > 0, have, 1.0), bound ** -2, bound ** 2)
+                fitted = np.ones(len(tokens))
+                for c, f in zip(codes, factors):
+                    fitted *= f[c]
+                weights = first * np.clip(fitted, 1 / bound, bound)
+            if (np.abs(weights - before) <= TOLERANCE * before).all():
+                break
+        ratios = [reached(weights, axis) for axis in range(len(codes))]
+        if max(float(np.abs(r - 1).max(initial=0.0)) for r in ratios) < CLOSE and (weights * FAR >= first).all():
             break
-    return np.divide(fitted, tokens, out=np.zeros_like(fitted), where=tokens > 0)
+    return weights, ratios
+
+
+def rake(tokens: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
+    """``rake_cells`` for a full table of tokens; empty cells get weight 0."""
+    at = np.nonzero(tokens)
+    out = np.zeros(tokens.shape)
+    out[at] = rake_cells(list(at), tokens[at].astype(float), targets, rounds)[0]
+    return out
 
 
 @dataclass
@@ -109,6 +142,8 @@ class Mix:
     axes: tuple[list[str], list[str], list[str]] = ((), (), ())
     weights: dict[tuple[str, str, str], float] = field(default_factory=dict)
     scale: float = 0.0
+    #: (axis, category): share of its target that the weights reach, where the targets cannot hold together
+    missed: dict[tuple[str, str], float] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.strata = [frozenset(a) for a in self.axes]
@@ -119,6 +154,10 @@ class Mix:
     def weight(self, cell: tuple[str, str, str]) -> float:
         return self.weights.get(cell, 0.0)
 
+    def on_target(self, cell: tuple[str, str, str]) -> bool:
+        """Whether the weights meet the targets of all three categories."""
+        return not self.missed or not any(k in self.missed for k in zip(AXES, cell))
+
     def probability(self, cell: tuple[str, str, str]) -> float:
         """Chance of being kept; a cell without tokens has nothing to weigh and is kept."""
         return min(1.0, self.scale * self.weights[cell]) if cell in self.weights else 1.0
@@ -132,7 +171,7 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     scratch = Scratch(docs.sparkSession, "mixing")
     sums = features(docs).groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
     sums = scratch.keep(sums, "cells")
-    names = ["source", "lang", "topic"]
+    names = list(AXES)
     axes = []
     for n in names:
         top = (sums.groupBy(n).agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), n).limit(max_categories).collect())
@@ -142,20 +181,25 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     cells = folded.groupBy(*names).agg(F.sum("tokens").alias("tokens")).collect()  # bounded by max_categories
     scratch.drop(sums)
     at = [{v: i for i, v in enumerate(a)} for a in axes]
-    tokens = np.zeros([len(a) for a in axes])
-    for r in cells:
-        tokens[at[0][r.source], at[1][r.lang], at[2][r.topic]] = r.tokens
-    if not tokens.sum():
+    codes = [np.array([at[k][r[n]] for r in cells], dtype=np.int64) for k, n in enumerate(names)]
+    tokens = np.array([r.tokens for r in cells], dtype=float)
+    if not len(cells):
         return Mix()
     wanted = []
-    for axis, (n, a) in enumerate(zip(names, axes)):
-        share = tokens.sum(axis=tuple(k for k in range(3) if k != axis)) / tokens.sum()
+    for c, n, a in zip(codes, names, axes):
+        share = np.bincount(c, tokens, len(a)) / tokens.sum()
         given = (targets or {}).get(n)
         goal = np.array([given.get(v, 0.0) for v in a]) * (share > 0) if given else share ** temper
         wanted.append(goal / goal.sum())
-    weights = rake(tokens, wanted)
-    return Mix(tuple(axes), {(r.source, r.lang, r.topic): float(weights[at[0][r.source], at[1][r.lang], at[2][r.topic]])
-                             for r in cells}, scale_for(tokens, weights, budget))
+    weights, reached = rake_cells(codes, tokens, wanted)
+    missed = {(n, v): float(x) for n, a, ratios in zip(names, axes, reached) for v, x in zip(a, ratios)
+              if abs(x - 1) > MISS}
+    if missed:
+        worst = sorted(missed.items(), key=lambda m: -abs(m[1] - 1))[:5]
+        warnings.warn(f"mixing: the targets of {len(missed)} categories cannot hold together with the others; "
+                      f"reached shares of the targets: {worst}", stacklevel=2)
+    return Mix(tuple(axes), {(r.source, r.lang, r.topic): float(w) for r, w in zip(cells, weights)},
+               scale_for(tokens, weights, budget), missed)
 
 
 def scale_for(tokens: np.ndarray, weights: np.ndarray, budget: float | None) -> float:
@@ -185,16 +229,17 @@ def _decided(batch: pa.RecordBatch, mix: Mix, known: dict[str, int]) -> list[tup
         cell = mix.cell(source.as_py(), lang.as_py(), topic)
         p = mix.probability(cell)
         out.append((doc_id, source.as_py(), lang.as_py(), topic, len(words), round(mix.weight(cell), 9), round(p, 9),
-                    chance(doc_id, text) < p))
+                    mix.on_target(cell), chance(doc_id, text) < p))
     return out
 
 
 def decide(docs: DataFrame, mix: Mix) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, weight, probability, kept for every row of ``docs``."""
+    """doc_id, source, lang, topic, n_tokens, weight, probability, on_target, kept for every row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
-        names = ["doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "kept"]
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(),
+                 pa.bool_()]
+        names = ["doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "on_target", "kept"]
         for batch in batches:
             rows = _decided(batch, mix, known)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
@@ -202,7 +247,7 @@ def decide(docs: DataFrame, mix: Mix) -> DataFrame:
 
     return docs.select("doc_id", "text", "source", "lang").mapInArrow(
         run, "doc_id long, source string, lang string, topic string, n_tokens long, weight double, "
-             "probability double, kept boolean")
+             "probability double, on_target boolean, kept boolean")
 
 
 def keep(docs: DataFrame, mix: Mix, columns: list[str]) -> DataFrame:

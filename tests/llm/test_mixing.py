@@ -94,3 +94,28 @@ def test_targets_that_cannot_hold_together_are_reported(spark):
     assert not any(r.on_target for r in out if r.source == "s0")
     assert min(r.probability for r in out) > 0.05
     assert sum(r.probability for r in out) / len(out) == pytest.approx(M.BUDGET, abs=1e-6)
+
+
+def test_no_source_is_folded(spark):
+    docs = spark.createDataFrame([(i, f"w{i} " * (1 + i % 3), "en" if (i + i // 1200) % 2 else "de", f"s{i % 1200}", None,
+                                   "x") for i in range(2400)], SCHEMA)
+    goal = {"source": {f"s{k}": 1 + k % 2 for k in range(1200)}}
+    mix = M.fit(docs, goal)
+    assert len({c[0] for c in mix.weights}) == 1200
+    assert min(r.probability for r in M.decide(docs, mix).collect()) > 0
+    few = M.fit(docs, goal, max_categories=1000)  # the stratum of the others has the sum of their targets
+    assert min(r.probability for r in M.decide(docs, few).collect()) > 0
+
+
+def test_cells_as_a_table_give_the_same(spark):
+    docs = spark.createDataFrame(rows(600), SCHEMA)
+    one, other = M.fit(docs), M.fit(docs, driver_cells=5)
+    assert other.table is not None
+    want = {r.doc_id: r for r in M.decide(docs, one).collect()}
+    got = M.decide(docs, other).collect()
+    assert len(got) == 600
+    for r in got:
+        assert r.probability == pytest.approx(want[r.doc_id].probability, rel=1e-2) and r.topic == want[r.doc_id].topic
+    kept = M.keep(docs, other, docs.columns)
+    assert kept.columns == docs.columns
+    assert len({r.doc_id for r in kept.collect()} ^ {i for i, r in want.items() if r.kept}) <= 3

@@ -12,9 +12,11 @@ its doc_id, so the expected tokens of the sample have the target marginals.
 
 Targets are shares per category.  Where none are given, a category's target is
 its share of all tokens to the power ``TEMPER``, made to add up to one, which
-lifts rare categories.  ``MAX_CATEGORIES`` bounds the cell table: the sources (or
-languages) with the most tokens are strata of their own, all others together
-form one more stratum; no document is left out of the fit.  Probabilities are
+lifts rare categories.  Every source and language is a category of its own: up
+to ``DRIVER_CELLS`` cells are raked by the driver, more as a sparse table by grouped
+sums and joins, written after each axis.  Only if ``max_categories`` is given, the
+sources (or languages) beyond those with the most tokens form one more stratum,
+whose target is the sum of theirs; no document is left out of the fit.  Probabilities are
 the weights times one factor, at most 1, so that a share ``budget`` of all tokens
 is expected to be kept (``BUDGET`` if none is asked for): cells whose weight asks
 for more than there is are kept whole, and no rare cell decides how much of the
@@ -38,18 +40,22 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import Scratch, small_batches
 
 TEMPER = 0.8
-MAX_CATEGORIES = 1000
+#: More cells than this are raked as a table, and joined with the documents; fewer are held by the driver and workers.
+DRIVER_CELLS = 200_000
 TOPICS = 5
 LONG_WORD = 8
 OTHER = "\x00other"
 SEED = 11
 WORD_MEMORY = 300_000
 AXES = ("source", "lang", "topic")
+MORE = [f"m_{n}" for n in AXES] + ["m_n", "m_chance"]
 ROUNDS, TOLERANCE = 500, 1e-10
+TABLE_ROUNDS = 100
 #: Share of all tokens that is kept with the default targets.
 BUDGET = 0.8
 #: Raked targets count as met within ``CLOSE``; a cell ``FAR`` below the product of its targets, or targets that are
@@ -144,6 +150,8 @@ class Mix:
     scale: float = 0.0
     #: (axis, category): share of its target that the weights reach, where the targets cannot hold together
     missed: dict[tuple[str, str], float] = field(default_factory=dict)
+    #: source, lang, topic, weight, on_target of the cells where they are too many for ``weights``
+    table: DataFrame | None = None
 
     def __post_init__(self) -> None:
         self.strata = [frozenset(a) for a in self.axes]
@@ -165,20 +173,32 @@ class Mix:
 
 
 def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER,
-        budget: float | None = None, max_categories: int = MAX_CATEGORIES) -> Mix:
+        budget: float | None = None, max_categories: int | None = None, driver_cells: int = DRIVER_CELLS) -> Mix:
     """Rake the token counts of all of ``docs`` to ``targets`` {"source"|"lang"|"topic": {category: share}}."""
     budget = BUDGET if budget is None and not targets else budget
     scratch = Scratch(docs.sparkSession, "mixing")
     sums = features(docs).groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
-    sums = scratch.keep(sums, "cells")
+    sums = scratch.keep(sums, "cells", cells=F.count(F.lit(1)))
     names = list(AXES)
-    axes = []
+    if max_categories is None and (sums.measured["cells"] or 0) > driver_cells:
+        return _fit_table(scratch, sums, targets or {}, temper, budget)
+    rows = sums.collect() if max_categories is None else None  # bounded by driver_cells
+    axes, given = [], dict(targets or {})
     for n in names:
+        if max_categories is None:
+            axes.append(sorted({r[n] for r in rows}) + [OTHER])
+            continue
         top = (sums.groupBy(n).agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), n).limit(max_categories).collect())
         axes.append(sorted(r[n] for r in top) + [OTHER])
-    folded = sums.select(*[F.when(F.col(n).isin(a[:-1]), F.col(n)).otherwise(F.lit(OTHER)).alias(n)
-                           for n, a in zip(names, axes)], "tokens")
-    cells = folded.groupBy(*names).agg(F.sum("tokens").alias("tokens")).collect()  # bounded by max_categories
+        if given.get(n):  # the stratum of the others has the sum of the targets that occur among them
+            rest = sums.select(n).where(F.col(n).isin(list(set(given[n]) - set(axes[-1])))).distinct().collect()
+            given[n] = given[n] | {OTHER: sum(given[n][r[0]] for r in rest)}
+    if max_categories is None:
+        cells = rows
+    else:
+        folded = sums.select(*[F.when(F.col(n).isin(a[:-1]), F.col(n)).otherwise(F.lit(OTHER)).alias(n)
+                               for n, a in zip(names, axes)], "tokens")
+        cells = folded.groupBy(*names).agg(F.sum("tokens").alias("tokens")).collect()  # bounded by max_categories
     scratch.drop(sums)
     at = [{v: i for i, v in enumerate(a)} for a in axes]
     codes = [np.array([at[k][r[n]] for r in cells], dtype=np.int64) for k, n in enumerate(names)]
@@ -188,8 +208,8 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
     wanted = []
     for c, n, a in zip(codes, names, axes):
         share = np.bincount(c, tokens, len(a)) / tokens.sum()
-        given = (targets or {}).get(n)
-        goal = np.array([given.get(v, 0.0) for v in a]) * (share > 0) if given else share ** temper
+        asked = given.get(n)
+        goal = np.array([asked.get(v, 0.0) for v in a]) * (share > 0) if asked else share ** temper
         wanted.append(goal / goal.sum())
     weights, reached = rake_cells(codes, tokens, wanted)
     missed = {(n, v): float(x) for n, a, ratios in zip(names, axes, reached) for v, x in zip(a, ratios)
@@ -202,6 +222,107 @@ def fit(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, tem
                scale_for(tokens, weights, budget), missed)
 
 
+def _fit_table(scratch: Scratch, cells: DataFrame, targets: dict, temper: float, budget: float | None) -> Mix:
+    """``fit`` for cells that do not fit into the driver: the same raking, each sum and each factor a grouped join."""
+    spark = cells.sparkSession
+    total = float(cells.agg(F.sum("tokens")).first()[0])
+    current = cells
+    for n in AXES:
+        goals = current.groupBy(n).agg(F.sum("tokens").cast("double").alias("t"))
+        if targets.get(n):
+            asked = spark.createDataFrame([(k, float(v)) for k, v in targets[n].items()], f"{n} string, asked double")
+            goals = goals.join(asked, n, "left").select(n, "t", F.coalesce("asked", F.lit(0.0)).alias("goal"))
+        else:
+            goals = goals.withColumn("goal", F.pow(F.col("t") / total, F.lit(temper)))
+        goals = scratch.keep(goals, "goals", all=F.sum("goal"))
+        goal = F.col("goal") / goals.measured["all"] * total
+        nxt = scratch.keep(current.join(goals.select(n, goal.alias(f"g_{n}"), (goal / F.col("t")).alias(f"r_{n}")), n),
+                           "cells")
+        scratch.drop(goals, current)
+        current = nxt
+    first = F.col(f"r_{AXES[0]}") * F.col(f"r_{AXES[1]}") * F.col(f"r_{AXES[2]}")
+    current = current.select(*AXES, "tokens", *[f"g_{n}" for n in AXES], first.alias("first"))
+    source = nxt
+    for bound in (None, BOUND):
+        fitted = F.col(f"f_{AXES[0]}") * F.col(f"f_{AXES[1]}") * F.col(f"f_{AXES[2]}")
+        held = fitted if bound is None else F.greatest(F.least(fitted, F.lit(bound)), F.lit(1 / bound))
+        weight = F.col("first") * held
+        raked = scratch.keep(current.select("*", *[F.lit(1.0).alias(f"f_{n}") for n in AXES]), "raked")
+        for _ in range(TABLE_ROUNDS):
+            off = 0.0
+            for n in AXES:
+                have = raked.groupBy(n).agg(F.sum(F.col("tokens") * weight).alias("have"))
+                new = F.when(F.col("have") > 0, F.col(f"f_{n}") * F.col(f"g_{n}") / F.col("have")).otherwise(F.col(f"f_{n}"))
+                if bound is not None:
+                    new = F.greatest(F.least(new, F.lit(bound ** 2)), F.lit(bound ** -2))
+                moved = F.abs(F.col(f"f_{n}") / F.col("before") - 1)
+                stepped = scratch.keep(
+                    raked.join(have, n).withColumn("before", F.col(f"f_{n}")).withColumn(f"f_{n}", new).drop("have"),
+                    "raked", off=F.max(moved))
+                off = max(off, stepped.measured["off"] or 0.0)
+                scratch.drop(raked)
+                back = stepped.drop("before")
+                back._scratch = stepped._scratch
+                raked = back
+            if off < CLOSE:
+                break
+        ratio = F.when(F.col("goal") > 0, F.col("have") / F.col("goal")).otherwise(1.0)
+        done = raked.select(*AXES, "tokens", "first", *[f"g_{n}" for n in AXES], weight.alias("weight"))
+        for n in AXES:
+            have = raked.groupBy(n).agg(F.sum(F.col("tokens") * weight).alias("have"), F.first(f"g_{n}").alias("goal"))
+            done = done.join(have.select(n, ratio.alias(f"x_{n}")), n)
+        away = F.greatest(*[F.abs(F.col(f"x_{n}") - 1) for n in AXES])
+        out = scratch.keep(
+            done.select(*AXES, "tokens", "weight", (away <= MISS).alias("on_target"), away.alias("away"), "first"), "weights",
+            away=F.max("away"), low=F.min(F.when(F.col("first") > 0, F.col("weight") / F.col("first"))),
+            missed=F.count_if(~F.col("on_target")), heaviest=F.max("weight"),
+            lightest=F.min(F.when(F.col("weight") > 0, F.col("weight"))))
+        scratch.drop(raked)
+        if out.measured["away"] < 10 * CLOSE and out.measured["low"] * FAR >= 1 or bound is not None:
+            break
+        scratch.drop(out)
+    scratch.drop(source)
+    if out.measured["missed"]:
+        warnings.warn(f"mixing: the targets cannot hold together in {out.measured['missed']} cells; the farthest is "
+                      f"{out.measured['away']:.3g} of its target away", stacklevel=3)
+    scale = 1.0 / out.measured["heaviest"]
+    if budget is not None:
+        lo, hi = scale / 2 ** 10, 1.0 / out.measured["lightest"]
+        for _ in range(6):  # each pass over the cells narrows the factor 64-fold
+            steps = np.geomspace(lo, hi, 65)
+            kept = out.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * float(x))) for x in steps]).first()
+            at = next((i for i, k in enumerate(kept) if k > budget * total), len(steps) - 1)
+            lo, hi = float(steps[max(at - 1, 0)]), float(steps[at])
+        scale = hi
+    return Mix(scale=scale, table=out.select(*AXES, "weight", "on_target"))
+
+
+def _joined(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``docs`` with m_source, m_lang, m_topic, m_n, m_chance and the weight, probability and on_target of the cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            topics, counts, chances = [], [], []
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
+                text = text.as_py()
+                words = (text or "").split()
+                topics.append(topic_of(words, known))
+                counts.append(len(words))
+                chances.append(chance(doc_id.as_py(), text))
+            more = [batch.column("source").fill_null(""), batch.column("lang").fill_null(""),
+                    pa.array(topics, pa.string()), pa.array(counts, pa.int64()), pa.array(chances, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *MORE])
+
+    schema = StructType(list(docs.schema.fields))
+    for name, kind in zip(MORE, ("string", "string", "string", "long", "double")):
+        schema = schema.add(name, kind)
+    known = mix.table.select(*[F.col(n).alias(f"w_{n}") for n in AXES], "weight", F.col("on_target").alias("met"))
+    same = [F.col(f"m_{n}") == F.col(f"w_{n}") for n in AXES]
+    chanced = docs.mapInArrow(run, schema).join(known, same[0] & same[1] & same[2], "left")
+    return chanced.withColumn("probability", F.when(F.col("weight").isNull(), 1.0).otherwise(
+        F.least(F.lit(1.0), F.col("weight") * mix.scale)))
+
+
 def scale_for(tokens: np.ndarray, weights: np.ndarray, budget: float | None) -> float:
     """The factor from weights to probabilities: the largest with none above one, or the one that meets ``budget``."""
     whole = 1.0 / weights.max()
@@ -235,6 +356,12 @@ def _decided(batch: pa.RecordBatch, mix: Mix, known: dict[str, int]) -> list[tup
 
 def decide(docs: DataFrame, mix: Mix) -> DataFrame:
     """doc_id, source, lang, topic, n_tokens, weight, probability, on_target, kept for every row of ``docs``."""
+    if mix.table is not None:
+        return _joined(docs.select("doc_id", "text", "source", "lang"), mix).select(
+            F.col("doc_id").cast("long"), "source", "lang", F.col("m_topic").alias("topic"), F.col("m_n").alias("n_tokens"),
+            F.round(F.coalesce("weight", F.lit(0.0)), 9).alias("weight"), F.round("probability", 9).alias("probability"),
+            F.coalesce("met", F.lit(True)).alias("on_target"), (F.col("m_chance") < F.col("probability")).alias("kept"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(),
@@ -259,4 +386,6 @@ def keep(docs: DataFrame, mix: Mix, columns: list[str]) -> DataFrame:
 
     small_batches(docs.sparkSession)
     picked = docs.select(*columns)
+    if mix.table is not None:
+        return _joined(picked, mix).where("m_chance < probability").select(*columns)
     return picked.mapInArrow(run, picked.schema)

@@ -31,11 +31,15 @@ def test_inpatient_filter_reaches_the_scan_and_columns_are_pruned(spark, loaded)
     assert "ssn" not in plan and "healthcare_expenses" not in plan
 
 
-def test_seed_is_broadcast_and_one_window_shuffle(spark, loaded):
-    g = ModelGraph(spark, loaded, as_of="2024-01-01")
-    plan = _plan(g.fct_readmissions)
+@pytest.mark.parametrize("model", ["int_inpatient_stays", "fct_readmissions"])
+def test_seed_is_broadcast_and_stays_are_read_and_dealt_once(spark, loaded, model):
+    df = ModelGraph(spark, loaded, as_of="2024-01-01").model(model)
+    df.collect()
+    plan = _plan(df)
+    plan = plan[:plan.index("Initial Plan")]
     assert "BroadcastHashJoin" in plan
-    assert plan.count("hashpartitioning(patient_id") <= 2  # window exchange (+ patients side of a shuffle join)
+    assert plan.count("EqualTo(encounterclass,inpatient)") == 1
+    assert plan.count("+- Exchange rangepartitioning(patient_id") == 1 and "Exchange hashpartitioning(patient_id" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 

@@ -1,7 +1,8 @@
-"""Sequencing in slices equals one window per group."""
+"""Sequencing by ranges equals one window per group."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,10 +13,6 @@ from wardline.registry import graph
 LEADS = {"next_stay_id": "encounter_id", "next_admitted_at": "started_at", "next_code": "encounter_code"}
 
 
-def month():
-    return F.trunc(F.to_date("started_at"), "month")
-
-
 def _rows(df):
     return sorted((tuple(r) for r in df.select("encounter_id", "patient_id", "n", *LEADS).collect()), key=str)
 
@@ -28,7 +25,7 @@ def _window(df):
 def test_equals_window_on_test_data(spark):
     enriched = graph(spark, "/root/testdata/sf0.01").int_encounters_enriched
     stays = enriched.filter(F.col("encounter_class") == "inpatient").repartition(9, "encounter_id")
-    assert _rows(sequence_within(stays, "patient_id", stay_order(), "n", LEADS, month())) == _rows(_window(stays))
+    assert _rows(sequence_within(stays, "patient_id", stay_order(), "n", LEADS)) == _rows(_window(stays))
 
 
 def _hot(spark):
@@ -45,13 +42,37 @@ def _hot(spark):
 
 def test_hot_patient_is_split_and_exact(spark):
     df = _hot(spark)
-    assert _rows(sequence_within(df, "patient_id", stay_order(), "n", LEADS, month())) == _rows(_window(df))
-    slices = df.filter(F.col("patient_id") == "hot").groupBy(month()).count().collect()
-    assert len(slices) == 15 and max(r["count"] for r in slices) <= 100  # of 1000 stays of this patient
-
-
-def test_nothing_runs_while_the_plan_is_made(spark):
-    df = _hot(spark)
-    out = sequence_within(df, "patient_id", stay_order(), "n", LEADS, month())
+    out = sequence_within(df, "patient_id", stay_order(), "n", LEADS)
+    assert _rows(out) == _rows(_window(df))
+    tasks = out.filter(F.col("patient_id") == "hot").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 3 and max(r["count"] for r in tasks) <= 600  # of 1000 stays of this patient, in 8 ranges
+
+
+@pytest.mark.parametrize("ranges,batch", [("1", "10000"), ("8", "1"), ("60", "7"), ("25", "2")])
+def test_any_number_of_ranges_and_batches(spark, ranges, batch):
+    """Empty ranges, groups over many ranges, ranges of one row, batches that end inside a group."""
+    keys = {"spark.sql.shuffle.partitions": ranges, "spark.sql.execution.arrow.maxRecordsPerBatch": batch}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = _hot(spark).limit(300)
+        rows = spark.createDataFrame(df.collect(), df.schema)
+        assert _rows(sequence_within(rows, "patient_id", stay_order(), "n", LEADS)) == _rows(_window(rows))
+        none = rows.limit(0)
+        assert sequence_within(none, "patient_id", stay_order(), "n", LEADS).collect() == []
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_one_scan_and_one_shuffle_of_the_rows(spark, tmp_dir):
+    """The summary of the ranges reads the exchange of the rows, not the input again."""
+    _hot(spark).write.parquet(f"{tmp_dir}/stays")
+    out = sequence_within(spark.read.parquet(f"{tmp_dir}/stays"), "patient_id", stay_order(), "n", LEADS)
+    out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan and "RDDScan" not in plan
+    final = plan[:plan.index("Initial Plan")]
+    assert final.count("Scan parquet") == 1 and final.count("+- Exchange rangepartitioning") == 1
+    assert final.count("ReusedExchange") == 1
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan

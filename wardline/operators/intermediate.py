@@ -41,8 +41,8 @@ def int_inpatient_stays(enriched: DataFrame) -> DataFrame:
     """Inpatient encounters with their sequence number and the next stay.
 
     Stays are ordered by admission (missing admission last) and then by
-    encounter id, which makes ties deterministic.  A
-    patient's stays are sequenced in slices of one month of admission.
+    encounter id, which makes ties deterministic.  The
+    rows are dealt by ranges of (patient, admission, encounter id).
     """
     stays = enriched.filter(F.col("encounter_class") == "inpatient").select(
         "encounter_id", "patient_id", "organization_id", "encounter_code",
@@ -50,8 +50,7 @@ def int_inpatient_stays(enriched: DataFrame) -> DataFrame:
         "age_at_encounter", "total_claim_cost")
     seq = sequence_within(stays, "patient_id", stay_order(), "stay_sequence",
                           {"next_stay_id": "encounter_id", "next_admitted_at": "started_at",
-                           "next_encounter_code": "encounter_code"},
-                          F.trunc(F.to_date("started_at"), "month"))
+                           "next_encounter_code": "encounter_code"})
     return seq.select(
         "encounter_id", "patient_id", "organization_id", "encounter_code",
         F.col("started_at").alias("admitted_at"), F.col("stopped_at").alias("discharged_at"),

@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, embedding, exact_dedup, html_extract, licenses, mixing, ngram_join, toxicity, warc
+from . import (bpe, chat, collocations, embedding, exact_dedup, html_extract, licenses, mixing, ngram_join, toxicity,
+               url_filter, warc)
 from .common import registered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_warc": warc.ORACLE,
                           "op5_tool_calls": chat.ORACLE, "op7_embedding_caps": embedding.ORACLE,
-                          "op8_ngram_join": ngram_join.ORACLE}
+                          "op8_ngram_join": ngram_join.ORACLE,
+                          "op11_url_filter": url_filter.ORACLE, "op12_collocations": collocations.ORACLE}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -69,3 +71,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(QUERIES, "op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@registered(QUERIES, "op11_url_filter")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@registered(QUERIES, "op12_collocations")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

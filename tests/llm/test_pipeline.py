@@ -40,4 +40,4 @@ def test_stages_keep_the_columns_and_odd_rows(spark):
 
 def test_one_query_per_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 13)) and os.path.exists(WORD_BPE)
+    assert numbers == list(range(1, 14)) and os.path.exists(WORD_BPE)

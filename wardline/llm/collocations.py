@@ -48,7 +48,7 @@ SAMPLE_ONE_OF = 4
 LOWERED = 0.5
 NO_LANG = "und"
 #: Text whose phrases a task counts at once.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 MAX_BITS = 1 << 29
 OUT_ROWS = 200_000
 
@@ -84,9 +84,10 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndar
     np.logical_not(inside[:-1], out=first[1:])
     first[offsets[:-1][offsets[:-1] < len(data)]] = True
     starts = np.flatnonzero(inside & first)
-    at = np.cumsum(inside)
-    ends = np.append(at[starts] - 1, at[-1])
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
+    count = np.int32 if len(data) < 1 << 31 else np.int64
+    at = np.cumsum(inside, dtype=count)
+    ends = np.append(at[starts] - 1, at[-1]).astype(np.int64)
+    piece = np.cumsum(kind == 2, dtype=count)[starts]
     row = np.searchsorted(offsets[1:], starts, side="right")
     kept = LOWER[data[inside]]
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(kept)])

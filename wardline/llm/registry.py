@@ -7,15 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, chat, collocations, embedding, exact_dedup, html_extract, licenses, mixing, ngram_join, toxicity,
-               url_filter, warc)
+from . import (bpe, chat, collocations, embedding, exact_dedup, html_extract, licenses, mixing, ngram_join, prefix_trie,
+               toxicity, url_filter, warc)
 from .common import registered, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_warc": warc.ORACLE,
                           "op5_tool_calls": chat.ORACLE, "op7_embedding_caps": embedding.ORACLE,
                           "op8_ngram_join": ngram_join.ORACLE,
-                          "op11_url_filter": url_filter.ORACLE, "op12_collocations": collocations.ORACLE}
+                          "op11_url_filter": url_filter.ORACLE, "op12_collocations": collocations.ORACLE,
+                          "op13_prefix_trie": prefix_trie.ORACLE}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -81,3 +82,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(QUERIES, "op12_collocations")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@registered(QUERIES, "op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))

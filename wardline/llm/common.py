@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Arrow batches of at most ``rows`` rows for the plans that run inside, which then leave the setting as it was."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if int(before) <= 0 or int(before) > rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Intermediate tables in the shared checkpoint folder, removed when no longer read.
 
@@ -54,6 +69,14 @@ class Scratch:
         back.measured = seen.get if seen else {}
         return back
 
+    def release(self) -> None:
+        """Let go of the shuffle files of plans that nothing holds any more, which Spark removes on the driver's collection.
+
+        Called after steps whose shuffles are as large as the input; the files would else stay until the heap fills.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *frames: DataFrame) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

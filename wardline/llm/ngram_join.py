@@ -31,7 +31,8 @@ member.  Verification counts the exact intersection of the two whole texts.
 Defined cases: null text counts as empty; a text with no words has the empty
 set, size 0, and links with nothing; fewer words than a shingle make one
 element.  A row without doc_id is not linked (component_id null).  Repeated
-rows are copies.  Other columns are not read.
+rows are copies; rows of one doc_id with different texts are rows of their own,
+each with the component of its text.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -187,14 +188,14 @@ def subset_postings(reps: DataFrame, limit: int, percent: int) -> DataFrame:
 def list_postings(scratch: Scratch, elements: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """key, rep, n, own, pos for the prefix elements of the large sets that another set holds too.
 
-    ``elements`` (rep, key): those ordered by frequency; ``sizes`` (rep, n, m, further): the size of each set, the
-    number of its ordered elements and the elements that follow in its prefix.
+    ``elements`` (rep, key): those ordered by frequency, read twice, so from a written table; ``sizes`` (rep, n, m,
+    further): the size of each set, the number of its ordered elements and the elements that follow in its prefix.
 
     ``own`` counts the elements of the set alone, which come first in the order; ``pos`` is the element's place in it.
     """
-    tokens = scratch.keep(elements, "elements")
-    shared = scratch.keep(tokens.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
-    hits = (tokens.join(shared, "key").groupBy("rep")
+    shared = scratch.keep(elements.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
+    scratch.release()
+    hits = (elements.join(shared, "key").groupBy("rep")
             .agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("hits")))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
     rows = (sizes.select("rep", "n", "m", prefix.alias("prefix"), "further")
@@ -209,7 +210,7 @@ def list_postings(scratch: Scratch, elements: DataFrame, sizes: DataFrame, perce
                  .otherwise(F.array().cast("array<long>")), F.col("further")).alias("keys"))
     out = scratch.keep(rows.where(F.size("keys") > 0).select(F.posexplode("keys").alias("at", "key"), "rep", "n", "own")
                        .select("key", "rep", "n", "own", (F.col("own") + F.col("at")).alias("pos")), "lists")
-    scratch.drop(tokens, shared)
+    scratch.drop(shared)
     return out
 
 
@@ -236,6 +237,22 @@ def shared(postings: DataFrame) -> DataFrame:
     return postings.join(keys, "key").groupBy("rep").agg(F.lit(1).alias("one")).select("rep")
 
 
+def named_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """rep, text of the rows of ``docs`` whose set is that of ``wanted`` (rep, id, fp).
+
+    A doc_id that stands on several texts gives each representative its own.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            same = [xxhash.xxh3_128_digest(s.tobytes()) == fp for s, fp in
+                    zip(shingle_sets(batch.column("text"), words), batch.column("fp").to_pylist())]
+            yield batch.select(["rep", "text"]).filter(pa.array(same, pa.bool_()))
+
+    rows = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("id"))
+    found = rows.select("rep", "fp", "text").mapInArrow(run, "rep long, text string")
+    return found.dropDuplicates(["rep"])
+
+
 def whole_sets(texts: DataFrame, words: int, smallest: int) -> DataFrame:
     """rep and all elements of every text with at least ``smallest`` of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,10 +280,15 @@ def links(scratch: Scratch, texts: DataFrame, postings: DataFrame, words: int, p
     scratch.drop(many)
     pairs = (lists.where("rep <> lead").where(sizes)
              .groupBy(F.col("rep").alias("a"), F.col("lead").alias("b")).agg(F.lit(1).alias("one")).select("a", "b"))
-    tried = scratch.keep(verify(scratch.keep(pairs, "pairs"), texts, words, percent), "verified")
+    pairs = scratch.keep(pairs, "pairs")
+    tried = [scratch.keep(verify(pairs, texts, words, percent), "verified")]
+    scratch.drop(pairs)
+    shared_lists, found = lists, None
     lists = lists.select("key", "rep", "n", "pos")
     for step in range(LEADER_ROUNDS + 1):
-        found = components(scratch, tried.where("linked").select("a", "b"))
+        if found is not None:
+            scratch.drop(found)
+        found = components(scratch, union(tried).where("linked").select("a", "b"))
         at = scratch.keep(
             lists.join(found, lists["rep"] == found["node"], "left")
             .select("key", "rep", "n", "pos", F.coalesce("component", "rep").alias("comp")), "placed", rows=F.count(F.lit(1)))
@@ -279,6 +301,7 @@ def links(scratch: Scratch, texts: DataFrame, postings: DataFrame, words: int, p
                                      F.col("l.pos").alias("place"), F.col("l.comp").alias("lead_comp")), "open",
             rows=F.count(F.lit(1)), pairs=F.sum(F.col("c").cast("double") * F.col("c")))
         if not open_.measured["rows"]:
+            scratch.drop(open_, at)
             break
         # all pairs at once where they are few, which links the same documents
         last = step == LEADER_ROUNDS or open_.measured["pairs"] <= 4 * at.measured["rows"]
@@ -291,49 +314,74 @@ def links(scratch: Scratch, texts: DataFrame, postings: DataFrame, words: int, p
                                 F.col("comp").alias("oc"))
             new = (left.join(right, "key").where((F.col("rep") < F.col("other")) & (F.col("comp") != F.col("oc")))
                    .where(sizes).select(F.col("rep").alias("a"), F.col("other").alias("b")))
-        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        known = union(tried).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         new = scratch.keep(new.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
                            .join(known, ["a", "b"], "left_anti"), "pairs")
         more = scratch.keep(verify(new, texts, words, percent), "verified", linked=F.count_if("linked"))
         scratch.drop(open_, at, new)
         if last:
+            tried.append(more)
             if more.measured["linked"]:
-                found = components(scratch, tried.union(more).where("linked").select("a", "b"))
+                scratch.drop(found)
+                found = components(scratch, union(tried).where("linked").select("a", "b"))
             break
-        tried = tried.union(more)
+        tried.append(more)
+    scratch.drop(shared_lists, *tried)
     return found
 
 
+def union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.union(f)
+    return out
+
+
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                  scratch: Scratch | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     scratch = scratch or Scratch(docs.sparkSession, "ngram-join")
-    sk = scratch.keep(sketches(docs, words, percent), "sketches")
-    groups = (sk.where("n > 0 and doc_id is not null").groupBy("fp")
-              .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
-                   F.first("ordered").alias("ordered"), F.first("further").alias("further"),
-                   F.first("small").alias("small")))
-    reps = scratch.keep(groups, "representatives")
-    counts = {r.n: r["count"] for r in reps.where(F.col("n") <= SMALL + 4).groupBy("n").count().collect()}
+    # rows have numbers of their own, as a doc_id may stand on several texts
+    wide = scratch.keep(sketches(docs, words, percent).withColumn("row", F.monotonically_increasing_id()), "sketches",
+                        "zstd")
+    slim = scratch.keep(wide.select("row", "doc_id", "n", "fp"), "rows")
+    groups = scratch.keep(
+        slim.where("n > 0 and doc_id is not null").groupBy("fp")
+        .agg(F.min("row").alias("rep"), F.min("doc_id").alias("low"), F.min_by("doc_id", "row").alias("id"),
+             F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")), "groups")
+    reps = scratch.keep(wide.join(groups.select("rep"), F.col("row") == F.col("rep"), "left_semi")
+                        .select(F.col("row").alias("rep"), "n", "ordered", "further", "small"), "representatives", "zstd")
+    scratch.drop(wide)
+    counts = {r.n: r["count"] for r in groups.where(F.col("n") <= SMALL + 4).groupBy("n").count().collect()}
     limit = boundary(counts, percent)
     subsets = scratch.keep(subset_postings(reps, limit, percent), "subsets")
     smallest = least(limit + 1, percent)
     large = reps.where(F.col("n") >= smallest)
     lists = list_postings(scratch, large.select("rep", F.explode("ordered").alias("key")),
                           large.select("rep", "n", F.size("ordered").alias("m"), "further"), percent)
+    scratch.drop(reps)
+    scratch.release()
     involved = scratch.keep(shared(lists.unionByName(subsets)), "involved")
-    texts = docs.select("doc_id", "text").join(involved, F.col("doc_id") == F.col("rep")).select("rep", "text")
-    texts = scratch.keep(texts, "texts")
     scratch.drop(lists)
+    texts = scratch.keep(named_texts(docs, groups.join(involved, "rep", "left_semi").select("rep", "id", "fp"), words), "texts")
+    whole = scratch.keep(whole_sets(texts, words, smallest), "sets", "zstd")
     none = F.array().cast("array<long>").alias("further")
     lists = list_postings(
-        scratch, whole_sets(texts, words, smallest).select("rep", F.explode("elements").alias("key")),
-        large.join(involved, "rep", "left_semi").select("rep", "n", F.col("n").alias("m"), none), percent)
+        scratch, whole.select("rep", F.explode("elements").alias("key")),
+        groups.where(F.col("n") >= smallest).join(involved, "rep", "left_semi").select("rep", "n", F.col("n").alias("m"), none),
+        percent)
+    scratch.drop(whole, involved)
     found = links(scratch, texts, lists.unionByName(subsets), words, percent)
-    scratch.drop(lists, subsets, texts, involved)
-    named = reps.join(found, reps["rep"] == found["node"], "left").where("copies > 1 or component is not null")
-    named = scratch.keep(named.select("fp", F.coalesce("component", "rep").alias("comp")), "named")
-    out = sk.select("doc_id", "n", "fp").join(named, "fp", "left")
+    scratch.drop(lists, subsets, texts)
+    scratch.release()
+    # a component is named by the smallest doc_id of its groups
+    placed = groups.join(found, groups["rep"] == found["node"], "left").select("fp", "low", "copies", "component")
+    lowest = placed.where("component is not null").groupBy(F.col("component").alias("c")).agg(F.min("low").alias("comp"))
+    named = scratch.keep(
+        placed.join(lowest, placed["component"] == lowest["c"], "left").where("copies > 1 or component is not null")
+        .select("fp", F.coalesce("comp", "low").alias("comp")), "named")
+    scratch.drop(groups, found)
+    out = slim.select("doc_id", "n", "fp").join(named, "fp", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                       F.when(F.col("n") == 0, F.col("doc_id"))
                       .when(F.col("doc_id").isNull(), F.lit(None))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, text_batches
 from .ngram_join import mix
 
 SUPPORT = 30
@@ -271,31 +271,33 @@ def mine(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, one_of
     rows = F.count_if(F.col("phrase") != "")
     sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(one_of)) == 0)
     least = max(1, int(np.ceil(lowered * support / one_of)))
-    proposed, found, known = [], 0, None
-    for k in range(1, longest):
-        level = scratch.keep(counts(sample, range(k, k + 1), known, support=least).where("phrase <> ''"),
-                             f"sample{k}", rows=rows)
-        proposed.append(level)
-        found += level.measured["rows"] or 0
-        if not level.measured["rows"]:
-            break
-        known = proposal(spark, union(proposed), found)
-    known = known or proposal(spark, union(proposed), 0)
-    exact = [scratch.keep(counts(docs, range(1, longest + 1), known, support=support), "pass1", rows=rows)]
-    before = []
-    while True:
-        # phrases of the last pass that the proposal lacks, and that can be part of longer ones
-        failures = scratch.keep(
-            exact[-1].where((F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < longest))
-            .join(union(proposed), ["lang", "phrase"], "left_anti"), "failures", rows=rows)
-        if not failures.measured["rows"]:
-            break
-        before.append(known)
-        proposed.append(failures)
-        found += failures.measured["rows"]
-        known = proposal(spark, union(proposed), found)
-        exact.append(scratch.keep(counts(docs, range(2, longest + 1), known, before, support),
-                                  f"pass{len(exact) + 1}", rows=rows))
+    with text_batches(spark):
+        proposed, found, known = [], 0, None
+        for k in range(1, longest):
+            level = scratch.keep(counts(sample, range(k, k + 1), known, support=least).where("phrase <> ''"),
+                                 f"sample{k}", rows=rows)
+            proposed.append(level)
+            found += level.measured["rows"] or 0
+            if not level.measured["rows"]:
+                break
+            known = proposal(spark, union(proposed), found)
+        known = known or proposal(spark, union(proposed), 0)
+        exact = [scratch.keep(counts(docs, range(1, longest + 1), known, support=support), "pass1", rows=rows)]
+        before = []
+        while True:
+            scratch.release()
+            # phrases of the last pass that the proposal lacks, and that can be part of longer ones
+            failures = scratch.keep(
+                exact[-1].where((F.col("phrase") != "") & (F.size(F.split("phrase", " ")) < longest))
+                .join(union(proposed), ["lang", "phrase"], "left_anti"), "failures", rows=rows)
+            if not failures.measured["rows"]:
+                break
+            before.append(known)
+            proposed.append(failures)
+            found += failures.measured["rows"]
+            known = proposal(spark, union(proposed), found)
+            exact.append(scratch.keep(counts(docs, range(2, longest + 1), known, before, support),
+                                      f"pass{len(exact) + 1}", rows=rows))
     scratch.drop(*proposed)
     return union(exact)
 

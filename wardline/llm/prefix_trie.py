@@ -231,7 +231,9 @@ class Order:
             left = np.where(out_l, 0, before + 1 + base)
             lcp_r = np.where(out_r, -1, values[np.minimum(stop, size - 1)])
             lcp_l = np.where(out_l, -1, values[np.maximum(before, 0)])
-            return pa.table({"q": asked.column("q"), "d": pa.array(d), "conv": pa.array(least),
+            q = asked.column("q")
+            q = q.cast(pa.struct([pa.field(f.name, f.type) for f in q.type]))  # whatever is declared not null
+            return pa.table({"q": q, "d": pa.array(d), "conv": pa.array(least),
                              "l": pa.array(left), "r": pa.array(right),
                              "lcp": pa.array(np.maximum(lcp_l, lcp_r)),
                              "back": pa.array(np.where(out_l & ~begins, back, -1)),
@@ -251,7 +253,9 @@ class Order:
                              "end": pa.array(base + at + np.where(rightwards, 0, 1)),
                              "stop": pa.array(nxt.levels[0][at]), "part": pa.array(least)})
 
-        named = queries.select(F.struct("*").alias("q"), "pos", "d", self.block("pos").alias("block"))
+        # a column of its own, as a cogroup mixes up columns that both sides have from one table
+        named = queries.select(F.struct("*").alias("q"), (F.col("pos") + 0).alias("pos"), (F.col("d") + 0).alias("d"),
+                               self.block("pos").alias("block"))
         kind = named.schema["q"].dataType.simpleString()
         found = self.scratch.keep(
             named.groupBy("block").cogroup(self.rows.groupBy("block")).applyInArrow(

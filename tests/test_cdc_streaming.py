@@ -81,7 +81,7 @@ def test_realtime_incremental_equals_full_and_batch(spark, tmp_dir):
         "emergency_encounters", "emergency_share_pct", "avg_duration_minutes", "total_claim_cost",
         "total_out_of_pocket").collect())
     assert results["incremental"] == results["full"] == batch
-    assert os.path.isdir(f"{tmp_dir}/incremental/ckpt-state/pairs")
+    assert os.path.isdir(f"{tmp_dir}/incremental/ckpt-state/distinct/bitmaps")
 
 
 def test_ingest_stream(spark):

@@ -5,15 +5,14 @@ New encounter files are the trigger: no files, no micro-batch, no cost.
 * ``mode="full"`` (the default) - each micro-batch recomputes the mart from
   the whole raw encounters, batch-loaded and landed.  Exact under any change
   to raw data, but every refresh reads all history.
-* ``mode="incremental"`` - for append-only raw data.  State is kept in
-  two tables: per-organization running totals (counts, sums, exact
-  decimal money) and the distinct (organization, patient) pairs seen so
-  far.  A micro-batch aggregates only its own rows, counts the pairs it
-  sees for the first time (anti join of the batch's pairs, broadcast when
-  bounded, against earlier pairs) and adds both to the previous totals.
-  State for batch N is written under ``batch_id=N`` and derived only from
-  batches < N, so a replayed batch recomputes the same result.  The pair
-  folders are compacted every ``COMPACT_EVERY`` batches.
+* ``mode="incremental"`` - for append-only raw data.  State is
+  per-organization running totals (counts, sums, exact decimal money) and the
+  distinct patients of each organization as bitmaps over a patient dictionary
+  (``distinct_state``).  A micro-batch aggregates only its own rows, reads the
+  parts of dictionary and bitmaps that it touches, and adds the patients that
+  are new to the previous totals (one row per organization).  State for batch N
+  is written under ``batch_id=N`` and derived only from batches < N, so a
+  replayed batch recomputes the same result.
 
 Patients and organizations are read when a batch is processed, so a refresh
 sees the dimensions as they are then.  Encounters whose patient is unknown do
@@ -33,15 +32,16 @@ from pyspark.sql.streaming import StreamingQuery
 from wardline.functions import pct
 from wardline.functions.clinical import AMOUNT
 from wardline.operators.intermediate import int_encounters_enriched
-from wardline.operators.joins import bounded_broadcast
 from wardline.operators.marts import mart_organization_kpis_rt
 from wardline.operators.staging import stg_encounters
 from wardline.plans.sinks import write_table
 from wardline.streaming.capture import _trigger, file_stream
+from wardline.streaming.distinct_state import MERGE_AT, add_pairs
 
 MART = "mart_organization_kpis_rt"
+HISTORY = -1  # the batch-loaded rows, as a batch before the first
 _MONEY = "decimal(34,6)"  # running totals of amounts
-COMPACT_EVERY = 200  # micro-batches between compactions of the pair state
+COMPACT_EVERY = MERGE_AT  # versions of a part of the distinct state before they are merged
 
 
 def _enrich(raw_encounters: DataFrame, patients: DataFrame) -> DataFrame:
@@ -125,71 +125,16 @@ def _read_unmatched(spark: SparkSession, state_root: str, schema: T.StructType,
     return spark.read.schema(schema).parquet(f"{state_root}/unmatched/batch_id={max(earlier)}")
 
 
-_PAIRS_SCHEMA = "organization_id string, patient_id string"
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _compacted_upto(spark: SparkSession, state_root: str) -> int | None:
-    from wardline.plans.sinks import current_pointer
-    text = current_pointer(spark, f"{state_root}/pairs_compacted")
-    return int(text) if text else None
-
-
-def _read_pairs(spark: SparkSession, state_root: str, before: int) -> DataFrame:
-    """Distinct pairs seen by batches < ``before``: the compacted part plus later batch folders."""
-    upto = _compacted_upto(spark, state_root)
-    recent = _read_state(spark, f"{state_root}/pairs", _PAIRS_SCHEMA, before)
-    if upto is None or upto >= before:
-        return recent.drop("batch_id")
-    compacted = spark.read.schema(_PAIRS_SCHEMA).parquet(f"{state_root}/pairs_compacted/upto={upto}")
-    return compacted.unionByName(recent.filter(F.col("batch_id") > upto).drop("batch_id"))
-
-
-def compact_pairs(spark: SparkSession, state_root: str, batch_id: int) -> None:
-    """Fold the pair folders of batches < ``batch_id`` (all committed) into one.
-
-    The compacted folder is written first and published by a pointer; only
-    then are the folders it covers removed, so a replay of ``batch_id`` (or
-    a crash during compaction) still reads exactly the pairs before it.
-    """
-    from wardline.plans.sinks import publish_pointer
-    upto = batch_id - 1
-    prev = _compacted_upto(spark, state_root)
-    if upto < 0 or (prev is not None and prev >= upto):
-        return
-    target = f"{state_root}/pairs_compacted/upto={upto}"
-    _read_pairs(spark, state_root, batch_id).write.mode("overwrite").parquet(target)
-    publish_pointer(spark, f"{state_root}/pairs_compacted", str(upto))
-    jvm, root, fs = _fs(spark, f"{state_root}/pairs")
-    for st in fs.listStatus(root) if fs.exists(root) else []:
-        name = st.getPath().getName()
-        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) <= upto:
-            fs.delete(st.getPath(), True)
-    if prev is not None:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{state_root}/pairs_compacted/upto={prev}"), True)
-
-
 def _fold(spark: SparkSession, enriched: DataFrame, batch_id: int, state_root: str,
           compact_every: int = COMPACT_EVERY) -> DataFrame:
-    pairs_path, totals_path = f"{state_root}/pairs", f"{state_root}/totals"
-    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        compact_pairs(spark, state_root, batch_id)
-    seen = _read_pairs(spark, state_root, batch_id)
-    keys = ["organization_id", "patient_id"]
-    batch_pairs = enriched.select(*keys).distinct()
-    # The state of seen pairs grows with history; the batch is bounded.  Scan
-    # the state once against the (broadcast, size-checked) batch pairs, then
-    # subtract the small overlap from the batch.
-    overlap = seen.select(*keys).join(bounded_broadcast(batch_pairs), keys, "left_semi")
-    new_pairs = batch_pairs.join(overlap, keys, "left_anti")
-    new_pairs.write.mode("overwrite").parquet(f"{pairs_path}/batch_id={batch_id}")
-    first_seen = (spark.read.parquet(f"{pairs_path}/batch_id={batch_id}")
-                  .groupBy("organization_id").agg(F.count(F.lit(1)).alias("distinct_patients")))
+    totals_path = f"{state_root}/totals"
+    first_seen = add_pairs(spark, enriched, batch_id, f"{state_root}/distinct", compact_every)
     delta = _batch_totals(enriched).join(first_seen, "organization_id", "full_outer")
 
     prior = _read_state(spark, totals_path, _TOTALS_SCHEMA, batch_id)
@@ -214,6 +159,14 @@ def _drop_totals_before(spark: SparkSession, totals_path: str, oldest_kept: int)
             fs.delete(st.getPath(), True)
 
 
+def _last_batch(spark: SparkSession, path: str) -> int | None:
+    """The newest batch whose totals are complete."""
+    jvm, root, fs = _fs(spark, path)
+    names = (st.getPath().getName() for st in (fs.listStatus(root) if fs.exists(root) else []))
+    ids = [int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id=")]
+    return max((i for i in ids if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={i}/_SUCCESS"))), default=None)
+
+
 Relation = DataFrame | Callable[[], DataFrame]
 
 
@@ -231,26 +184,38 @@ def organization_kpis_rt(spark: SparkSession, encounters_dir: str, schema: T.Str
     ``patients`` (staged) and ``organizations`` are best given as functions:
     they are called for every batch, so a refresh reads what is there then.
     ``history`` gives the batch-loaded raw encounters, which count together
-    with the landed ones; incremental mode folds them in once, with its first
-    batch.
+    with the landed ones.  The mart is filled with them before the stream
+    starts; incremental mode folds them in once, as the batch before the first
+    (run again if the first start was cut short before any file was taken).
     """
     if mode not in ("full", "incremental"):
         raise ValueError("mode must be 'full' or 'incremental'")
     state = state_root or f"{checkpoint.rstrip('/')}-state"
 
+    names = [f.name for f in schema.fields]
+
+    def publish(mart: DataFrame) -> None:
+        write_table(mart, sink_root, MART, keep_versions=2)
+
+    def full() -> DataFrame:
+        rows = spark.read.schema(schema).parquet(encounters_dir)
+        if history is not None:
+            rows = rows.unionByName(_now(history).select(*names))
+        return mart_organization_kpis_rt(_enrich(rows, _now(patients)), _now(organizations))
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        names = [f.name for f in schema.fields]
         if mode == "full":
-            rows = spark.read.schema(schema).parquet(encounters_dir)
-            if history is not None:
-                rows = rows.unionByName(_now(history).select(*names))
-            mart = mart_organization_kpis_rt(_enrich(rows, _now(patients)), _now(organizations))
+            publish(full())
         else:
-            if history is not None and batch_id == 0:
-                batch = batch.unionByName(_now(history).select(*names))
             totals = apply_increment(spark, batch, batch_id, _now(patients), state)
-            mart = _mart_from_totals(totals, _now(organizations))
-        write_table(mart, sink_root, MART, keep_versions=2)
+            publish(_mart_from_totals(totals, _now(organizations)))
+
+    # batch-loaded rows count from the start, before any file lands
+    if history is not None and mode == "full":
+        publish(full())
+    elif history is not None and _last_batch(spark, f"{state}/totals") in (None, HISTORY):
+        totals = apply_increment(spark, _now(history).select(*names), HISTORY, _now(patients), state)
+        publish(_mart_from_totals(totals, _now(organizations)))
 
     stream = file_stream(spark, encounters_dir, schema, "parquet", max_files_per_trigger)
     w = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

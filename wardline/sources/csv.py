@@ -7,14 +7,19 @@ file without its extension is refused).  Columns are matched to the target
 **by name, case-insensitively** (never by position), and a malformed value
 aborts the load (FAILFAST).  Sub-folders are read.
 
-Spark's CSV reader binds a user schema by position, so every file's
-header is read first (one short read per file through the Hadoop
-FileSystem API, once per ``Extract``) and files are grouped by header; each
-group is read with a string schema in that file order, selected by name and
-cast, and the groups are unioned by name.  There is one read per distinct
-header, not per file.  A file in which some line has an odd number of quotes
-holds a quoted line break: only such files are read in multi-line mode, where
-one file is one task; all others stay splittable.
+Spark's CSV reader binds a user schema by position, so files are grouped by
+header; each group is read with a string schema in that file order, selected by
+name and cast, and the groups are unioned by name.  There is one read per
+distinct header, not per file.
+
+What has to be known of the files before that - the header, whether quotes
+hold line breaks, and the types of the columns - comes from one aggregation
+over their lines (``Extract.of``): a row per file, in which each column is a
+set of flags, one per type that all its values so far convert to.  Such sets
+merge by AND, so they are a type lattice that splits and files combine in any order.
+A file in which some line has an odd number of quotes holds a quoted line
+break: its records are put together over its splits (``quoted``), so it stays
+splittable, and its types are taken from the records in a pass of their own.
 """
 
 from __future__ import annotations
@@ -29,9 +34,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Extensions that the Hadoop codecs open, and how compressed files begin.
+# Extensions that the Hadoop codecs open, and how compressed files begin when read as text.
 COMPRESSED = (".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4")
-_MAGIC = {b"\x1f\x8b": "gzip", b"BZh": "bzip2", b"\x28\xb5\x2f\xfd": "zstd"}
+_MAGIC = {"\x1f\ufffd": "gzip", "BZh": "bzip2", "(\ufffd/\ufffd": "zstd"}
 
 CSV_OPTIONS = {
     "header": "true",
@@ -80,27 +85,15 @@ def list_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file: its first line, decompressed by extension."""
-    jvm, conf = _hadoop(spark)
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "ISO-8859-1"))
-    try:
-        line = reader.readLine()
-    finally:
-        reader.close()
+def _header(line: str | None, path: str) -> list[str]:
+    """Column names of a CSV file from its first line."""
     if not line:
         return []
-    raw = line.encode("latin-1")
-    for magic, kind in _MAGIC.items():
-        if codec is None and raw.startswith(magic):
-            raise ValueError(f"{path} is {kind}-compressed but its name does not say so")
-    line = raw.decode("utf-8").lstrip("\ufeff").rstrip("\r")
-    return [c.strip('"') for c in _split_csv_line(line)]
+    if not path.lower().endswith(COMPRESSED):
+        for start, kind in _MAGIC.items():
+            if line.startswith(start):
+                raise ValueError(f"{path} is {kind}-compressed but its name does not say so")
+    return [c.strip('"') for c in _split_csv_line(line.lstrip("\ufeff").rstrip("\r"))]
 
 
 def _split_csv_line(line: str) -> list[str]:
@@ -128,25 +121,122 @@ def _split_csv_line(line: str) -> list[str]:
     return out
 
 
+# --- what the lines tell --------------------------------------------------------
+
+#: Types that a column may get, in the order in which they are preferred.
+LATTICE = (T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType(), T.TimestampNTZType(), T.BooleanType())
+#: What a text must look like besides converting, as casts also take blanks, years as dates and the like.
+_LOOKS = {T.IntegerType(): r"^[+-]?\d+$", T.LongType(): r"^[+-]?\d+$",
+          T.DoubleType(): r"^([+-]?(\d|\.\d)[\d.]*([eE][+-]?\d+)?|NaN|[+-]?Infinity|[+-]?Inf)$",
+          T.DateType(): r"^\d{4}-\d{2}-\d{2}$", T.TimestampNTZType(): r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$",
+          T.BooleanType(): r"(?i)^(true|false)$"}
+EMPTY = 1 << len(LATTICE)  # the flag of a field without a value, which has all the others too
+FLAGS = len(LATTICE) + 1
+PER_LONG = 63 // FLAGS
+#: Columns whose flags are taken in the first pass; files with more of them are read once more.
+FIRST_COLUMNS = 18 * PER_LONG
+
+_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
+
+
+def _flags(field: Column) -> Column:
+    """The set of types that the text of a field converts to."""
+    text = F.when(field.startswith('"'), F.replace(F.substr(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+                  ).otherwise(field)
+    fits = F.lit(0)
+    for i, dtype in enumerate(LATTICE):
+        fits = fits + F.when(text.rlike(_LOOKS[dtype]) & _typed(text, dtype).isNotNull(), 1 << i).otherwise(0)
+    return F.when(text == "", 2 * EMPTY - 1).otherwise(fits).cast("long")
+
+
+def _lattice(record: Column, columns: int) -> list[Column]:
+    """Aggregates: the flags of all columns that the records have in common, ``PER_LONG`` columns to a long."""
+    fields = F.transform(F.regexp_extract_all(F.rtrim(record, F.lit("\r")), F.lit(_FIELD), F.lit(1)), _flags)
+    out = []
+    for first in range(0, columns, PER_LONG):
+        packed = F.reduce(F.slice(fields, first + 1, PER_LONG), F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("at")),
+                          lambda acc, f: F.struct((acc["sum"] + F.call_function("shiftleft", f, acc["at"])).alias("sum"),
+                                                  (acc["at"] + FLAGS).alias("at")), lambda acc: acc["sum"])
+        # columns that a line lacks have no value in it
+        have = F.least(F.greatest(F.size(fields) - first, F.lit(0)), F.lit(PER_LONG))
+        lacking = F.lit((1 << PER_LONG * FLAGS) - 1) - (F.call_function("shiftleft", F.lit(1).cast("long"), have * FLAGS) - 1)
+        out.append(F.bit_and(packed + lacking))
+    return out
+
+
+def _types(longs: Sequence[int | None], columns: int) -> list[T.DataType | None]:
+    """The type of each column from its flags; None where no row has a value."""
+    out: list[T.DataType | None] = []
+    for c in range(columns):
+        word = longs[c // PER_LONG]
+        flags = (2 * EMPTY - 1) if word is None else word >> (c % PER_LONG * FLAGS) & (2 * EMPTY - 1)
+        out.append(None if flags & EMPTY else
+                   next((t for i, t in enumerate(LATTICE) if flags >> i & 1), T.StringType()))
+    return out
+
+
+def _merged(a: Sequence[int | None] | None, b: Sequence[int | None]) -> list[int | None]:
+    if a is None:
+        return list(b)
+    return [y if x is None else x if y is None else x & y for x, y in zip(a, b)]
+
+
 @dataclass
 class Extract:
-    """The files of one table, grouped by (header, holds quoted line breaks); headers are read once."""
+    """The files of one table, grouped by (header, holds quoted line breaks).
+
+    ``flags`` are the types' flags of each group (None where they are not known yet), ``rows`` whether
+    it has any line besides headers.
+    """
     groups: "OrderedDict[tuple[tuple[str, ...], bool], list[str]]"
+    flags: "dict[tuple[tuple[str, ...], bool], list[int | None] | None]"
+    rows: "dict[tuple[tuple[str, ...], bool], bool]"
 
     @classmethod
-    def of(cls, spark: SparkSession, path: "str | Extract") -> "Extract":
+    def of(cls, spark: SparkSession, path: "str | Extract", types: bool = False) -> "Extract":
+        """One pass over the lines of the files; with ``types`` it also takes the columns' flags."""
         if isinstance(path, Extract):
             return path
         files = [f for f, _ in list_files(spark, path)]
-        # one short read per file; I/O bound, so a small thread pool on the driver
-        with ThreadPoolExecutor(max_workers=min(32, max(1, len(files)))) as pool:
-            headers = list(pool.map(lambda f: tuple(read_header(spark, f)), files))
-        broken = _files_with_line_breaks(spark, [f for f, h in zip(files, headers) if h])
-        groups: OrderedDict = OrderedDict()
-        for f, header in zip(files, headers):
-            if header:
-                groups.setdefault((header, _name(f) in broken), []).append(f)
-        return cls(groups)
+        facts = _facts(spark, files, FIRST_COLUMNS if types else 0) if files else {}
+        out = cls(OrderedDict(), {}, {})
+        for f in files:
+            line, broken, some, longs = facts.get(_name(f), (None, False, False, []))
+            header = tuple(_header(line, f))
+            if not header:
+                continue
+            key = (header, broken)
+            known = types and not broken and len(header) <= FIRST_COLUMNS
+            out.groups.setdefault(key, []).append(f)
+            out.flags[key] = _merged(out.flags.get(key), longs) if known else None
+            out.rows[key] = out.rows.get(key, False) or some
+        return out
+
+
+def _facts(spark: SparkSession, files: list[str], columns: int) -> dict[str, tuple]:
+    """Of each file: its first line, whether a line has odd quotes, whether it has other lines, and the flags."""
+    order = F.monotonically_increasing_id()
+    first = F.min(F.when(F.col("split") == 0, F.struct("at", "value")))
+    lines = (spark.read.text(files).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("split"),
+        order.alias("at"), "value"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    whole = F.trim("value") != ""
+    # the header is not a record: the first line of the first split, told by the place of the row before it
+    body = F.when(whole & ~((F.col("split") == 0) & (F.col("at") == F.col("head"))), F.col("value"))
+    heads = F.min("at")
+    if columns:
+        # the least place of a file's first split marks its header, known per task as a file's first lines are in one
+        marked = lines.withColumn("head", F.lit(None).cast("long"))
+        del marked, heads, body
+    flags = [c.alias(f"l{i}") for i, c in enumerate(_lattice(F.when(whole, F.col("value")), columns))] if columns else []
+    rows = lines.groupBy("f", (F.col("split") == 0).alias("start"), F.lit(0).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    del rows
+    got = lines.groupBy("f").agg(first.alias("first"), F.max(quotes % 2 == 1).alias("broken"),
+                                 F.count_if(whole).alias("n"), *flags).collect()  # a row per file
+    from urllib.parse import unquote
+    return {_name(unquote(r.f)): (r.first.value if r.first else None, r.broken, r.n > 1, [r[f"l{i}"] for i in range(len(flags))])
+            for r in got}
 
 
 def _name(path: str) -> str:
@@ -154,17 +244,6 @@ def _name(path: str) -> str:
     return re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", path).lstrip("/")
 
 
-def _files_with_line_breaks(spark: SparkSession, files: list[str]) -> set[str]:
-    """Files in which some line has an odd number of quotes (one distributed pass over the text)."""
-    if not files:
-        return set()
-    odd = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    rows = (spark.read.text(files).select(F.col("_metadata.file_path").alias("f"), (odd % 2 == 1).alias("odd"))
-            .filter("odd").select("f").distinct().collect())  # a row per file at most
-    from urllib.parse import unquote
-    return {_name(unquote(r.f)) for r in rows}
-
-
 def _reader(spark: SparkSession, options: dict | None = None):
     r = spark.read
     for k, v in {**CSV_OPTIONS, **(options or {})}.items():

@@ -98,8 +98,8 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndar
 class Proposal:
     """Hashes of phrases as a bitmap; tested in the tasks."""
 
-    def __init__(self, spark: SparkSession, bits: np.ndarray):
-        self.size = len(bits) * 8
+    def __init__(self, spark: SparkSession, bits: np.ndarray, base: Proposal | None = None):
+        self.size, self.base = len(bits) * 8, base
         self.bits = spark.sparkContext.broadcast(bits)
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
@@ -115,10 +115,13 @@ def slots(hashes: np.ndarray, size: int) -> list[np.ndarray]:
     return [(hashes & mask).astype(np.int64), ((hashes >> U64(32)) & mask).astype(np.int64)]
 
 
-def proposal(spark: SparkSession, phrases: DataFrame, count: int) -> Proposal:
-    """The bitmap of ``phrases`` (lang, phrase); its blocks are put together by Spark, the driver gets their bytes."""
-    size = 1 << 15
-    while size < min(16 * count, MAX_BITS):
+def proposal(spark: SparkSession, phrases: DataFrame, count: int, base: Proposal | None = None) -> Proposal:
+    """The bitmap of ``phrases`` (lang, phrase); its blocks are put together by Spark, the driver gets their bytes.
+
+    With ``base`` it also has all that ``base`` has, so its border has the border of ``base``.
+    """
+    size = base.size if base else 1 << 15
+    while not base and size < min(16 * count, MAX_BITS):
         size *= 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +141,10 @@ def proposal(spark: SparkSession, phrases: DataFrame, count: int) -> Proposal:
     rows = (phrases.select("lang", "phrase").mapInArrow(run, "slot long")
             .groupBy(F.bitmap_bucket_number(F.col("slot") + 1).alias("block"))  # they count from 1
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("slot") + 1)).alias("bits")).collect())
-    bits = np.zeros(size // 8, np.uint8)
+    bits = base.bits.value.copy() if base else np.zeros(size // 8, np.uint8)
     for r in rows:
-        bits[(r.block - 1) * 4096:r.block * 4096] = np.frombuffer(r.bits, np.uint8)
-    return Proposal(spark, bits)
+        bits[(r.block - 1) * 4096:r.block * 4096] |= np.frombuffer(r.bits, np.uint8)
+    return Proposal(spark, bits, base)
 
 
 def first_hash(word: np.ndarray, lang: np.ndarray) -> np.ndarray:
@@ -200,22 +203,20 @@ def counts(docs: DataFrame, levels: range, known: Proposal | None = None, before
             valid.append(same)
             h.append(longer)
         wanted = border(known, h, valid, levels) if known else valid
-        inside = list(wanted)
         for p in before:
             wanted = [w & ~old for w, old in zip(wanted, border(p, h, valid, levels))]
-        width = len(words) + 1
-        ids, _ = pd.factorize(lang * width + idx)
+        width, ids = len(words) + 1, lang
         for k in range(1, levels.stop):
-            if k > 1:
-                at = np.flatnonzero(inside[k - 1])
-                found, _ = pd.factorize(ids[at] * width + idx[at + k - 1])
+            at = np.flatnonzero(wanted[k - 1])
+            if before:  # few places: the words of each from the first on
+                number = lang[at]
+                for t in range(k):
+                    number, distinct = pd.factorize(number * width + idx[at + t])
+            else:  # all places of a level are places of the one below: one more word each
+                number, distinct = pd.factorize(ids[at] * width + idx[at + k - 1])
                 ids = np.full(len(idx), -1, np.int64)
-                ids[at] = found
-            if k in levels:
-                at = np.flatnonzero(wanted[k - 1])
-                if not len(at):
-                    continue
-                number, distinct = pd.factorize(ids[at])
+                ids[at] = number
+            if k in levels and len(at):
                 one = np.empty(len(distinct), np.int64)
                 one[number[::-1]] = at[::-1]
                 f = np.bincount(number, minlength=len(distinct))
@@ -292,10 +293,12 @@ def mine(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, one_of
                 .join(union(proposed), ["lang", "phrase"], "left_anti"), "failures", rows=rows)
             if not failures.measured["rows"]:
                 break
-            before.append(known)
             proposed.append(failures)
             found += failures.measured["rows"]
-            known = proposal(spark, union(proposed), found)
+            # what is counted so far; a bitmap that was built on another has its border too
+            before = [*(p for p in before if p is not known.base), known]
+            room = found * 8 <= known.size or known.size == MAX_BITS
+            known = proposal(spark, failures, found, known) if room else proposal(spark, union(proposed), found)
             exact.append(scratch.keep(counts(docs, range(2, longest + 1), known, before, support),
                                       f"pass{len(exact) + 1}", rows=rows))
     scratch.drop(*proposed)

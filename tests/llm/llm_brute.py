@@ -35,9 +35,9 @@ def exact(rows):
         groups[re.sub(WHITE, "", t)].append((-len(t), i is None, i if i is not None else 0, i))
     out = []
     for norm, members in groups.items():
-        keep = min(members)[3]
+        first, *others = sorted(members, key=lambda m: m[:3])
         sha = hashlib.sha256(norm.encode()).hexdigest()
-        out += [(m[3], keep, len(members), m[3] == keep, sha) for m in members]
+        out += [(m[3], first[3], len(members), m is first, sha) for m in (first, *others)]
     return sorted(out, key=str)
 
 

@@ -32,3 +32,11 @@ def test_hot_blocks_go_by_broadcast(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert got(X.exact_dedup(B.documents(spark, []))) == []
+
+
+def test_one_row_stays_where_rows_share_a_doc_id(spark):
+    rows = [(5, "a b"), (5, "ab"), (6, "ab"), (7, "x y"), (7, "x y"), (7, "xy "), (None, "zz"), (None, "z z"), (8, "zz")]
+    df = X.exact_dedup(B.documents(spark, rows)).collect()
+    kept = [r for r in df if r.kept]
+    assert len(df) == 9 and sorted((r.doc_id or 0, r.group_size) for r in kept) == [(0, 3), (5, 3), (7, 3)]
+    assert len({r.text_hash for r in df if r.doc_id == 5}) == 2

@@ -74,3 +74,11 @@ def test_texts_in_slices(monkeypatch):
 def test_boundary_follows_cost():
     assert J.boundary({10: 1000, 40: 1}, 90) >= 9
     assert J.boundary({}, 90) == 9
+
+
+def test_a_doc_id_on_two_texts_keeps_their_families_apart(spark):
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, " ".join(a + ["x"])), (8, " ".join(b + ["y"])), (9, " ".join(b + ["z"])),
+            (3, " ".join(b + ["y", "z"]))]
+    found = sorted((r.doc_id, r.component_id) for r in J.jaccard_join(B.documents(spark, rows)).collect())
+    assert found == [(3, 3), (5, 3), (5, 5), (7, 5), (8, 3), (9, 3)]

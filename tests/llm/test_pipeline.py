@@ -41,3 +41,13 @@ def test_stages_keep_the_columns_and_odd_rows(spark):
 def test_one_query_per_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
     assert numbers == list(range(1, 14)) and os.path.exists(WORD_BPE)
+
+
+def test_rows_that_share_a_doc_id_or_have_none(spark):
+    rows = [(1, "one text"), (1, "one text"), (1, "another text"), (2, "one  text"), (None, "lonely"), (None, "lonely"),
+            (3, "another text"), (None, "one text")]
+    out = sorted((str(r.doc_id), r.text) for r in P.distinct(spark, B.documents(spark, rows), SF).collect())
+    assert out == [("1", "another text"), ("2", "one  text"), ("None", "lonely")]
+    near = [(5, "a b c d e f"), (5, "g h i j k l"), (4, "g h i j k l"), (6, "A b c d e f")]
+    out = sorted((r.doc_id, r.text) for r in P.different(spark, B.documents(spark, near), SF).collect())
+    assert out == [(4, "g h i j k l"), (5, "a b c d e f")]

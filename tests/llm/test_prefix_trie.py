@@ -94,8 +94,8 @@ def test_few_rows(spark):
 
 
 def test_one_conversation_of_a_third_of_all_turns(spark):
-    rows = [(5, t, "user", f"turn {t}") for t in range(4000)] + [(c, t, "user", f"turn {t}") for c in range(20, 820)
-                                                                for t in range(c % 10 + 5)]
+    rows = [(5, t, "user", f"turn {t}") for t in range(250)] + [(c, t, "user", f"turn {t}") for c in range(20, 90)
+                                                               for t in range(c % 10 + 3)]
     assert got(T.conversation_trie(conversations(spark, rows))) == brute(rows)
 
 

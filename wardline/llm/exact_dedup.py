@@ -16,9 +16,10 @@ collision only sends a key the other way; it cannot change a name's meaning,
 because a hash goes one way as a whole.
 
 Defined cases: null text counts as empty; texts without other than white space
-are all equal.  A row is known by its doc_id and text; repeated rows of one
-doc_id and text share their fate and each count in ``group_size``.  A null
-doc_id is an identifier that sorts last.  Other columns are not read.
+are all equal.  Of equal texts exactly one row stays, also where rows repeat a
+doc_id: each of them counts in ``group_size``, and of rows with the same
+length and doc_id any one is the row that stays.  A null doc_id is an identifier that
+sorts last.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -105,7 +106,9 @@ def identities(scratch: Scratch, docs: DataFrame) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text).
+    """doc_id, keep_id, group_size, kept, text_sha256, text_hash for every row of ``docs`` (doc_id, text).
+
+    ``text_hash`` is xxhash64 of the original text (null: empty), by which rows of one doc_id are told apart.
 
     Of equal texts the row with the most code points in the original text
     stays, then the one with the smallest doc_id.
@@ -118,16 +121,17 @@ def exact_dedup(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
         F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256)).alias("sha"))
     rows = scratch.keep(
         rows.join(ids, F.col("doc_id").eqNullSafe(F.col("i_doc")) & (F.col("salt") == F.col("i_salt")))
-        .select("doc_id", "chars", "sha", "level", "name"), "rows")
-    best = F.min(F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("none"), F.col("doc_id")))
+        .select("doc_id", "salt", "chars", "sha", "level", "name", F.monotonically_increasing_id().alias("row")), "rows")
+    best = F.min(F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row")))
     groups = scratch.keep(
         rows.groupBy("level", "name").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).where("n > 1")
-        .select("level", "name", "n", F.col("best.doc_id").alias("keep_id"), F.lit(True).alias("grouped")), "groups")
-    out = rows.join(groups, ["level", "name"], "left").select(
-        "doc_id", F.when(F.col("grouped"), F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
-        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), F.lower(F.hex("sha")).alias("text_sha256"))
-    return out.select("doc_id", "keep_id", "group_size",
-                      F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        .select("level", "name", "n", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("stays")), "groups")
+    grouped = F.col("stays").isNotNull()
+    return rows.join(groups, ["level", "name"], "left").select(
+        "doc_id", F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+        F.coalesce(F.col("row") == F.col("stays"), F.lit(True)).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"), F.col("salt").alias("text_hash"))
 
 
 ORACLE = r"""

@@ -135,12 +135,12 @@ def sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 small.append(s.view(np.int64) if size <= SMALL else None)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int32()), pa.array(fp, pa.binary()),
-                 pa.array(ordered, longs), pa.array(further, longs), pa.array(small, longs)],
-                names=["doc_id", "n", "fp", "ordered", "further", "small"])
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_hash"), pa.array(n, pa.int32()),
+                 pa.array(fp, pa.binary()), pa.array(ordered, longs), pa.array(further, longs), pa.array(small, longs)],
+                names=["doc_id", "text_hash", "n", "fp", "ordered", "further", "small"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n int, fp binary, ordered array<long>, further array<long>, small array<long>")
+    return docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text").mapInArrow(
+        run, "doc_id long, text_hash long, n int, fp binary, ordered array<long>, further array<long>, small array<long>")
 
 
 def boundary(counts: dict[int, int], percent: int) -> int:
@@ -339,12 +339,15 @@ def union(frames: list[DataFrame]) -> DataFrame:
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                  scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+    """doc_id, n_shingles, component_id, text_hash for every row of ``docs`` (doc_id, text).
+
+    ``text_hash`` is xxhash64 of the text (null: empty), by which rows of one doc_id are told apart.
+    """
     scratch = scratch or Scratch(docs.sparkSession, "ngram-join")
     # rows have numbers of their own, as a doc_id may stand on several texts
     wide = scratch.keep(sketches(docs, words, percent).withColumn("row", F.monotonically_increasing_id()), "sketches",
                         "zstd")
-    slim = scratch.keep(wide.select("row", "doc_id", "n", "fp"), "rows")
+    slim = scratch.keep(wide.select("row", "doc_id", "text_hash", "n", "fp"), "rows")
     groups = scratch.keep(
         slim.where("n > 0 and doc_id is not null").groupBy("fp")
         .agg(F.min("row").alias("rep"), F.min("doc_id").alias("low"), F.min_by("doc_id", "row").alias("id"),
@@ -381,11 +384,11 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         placed.join(lowest, placed["component"] == lowest["c"], "left").where("copies > 1 or component is not null")
         .select("fp", F.coalesce("comp", "low").alias("comp")), "named")
     scratch.drop(groups, found)
-    out = slim.select("doc_id", "n", "fp").join(named, "fp", "left")
+    out = slim.select("doc_id", "text_hash", "n", "fp").join(named, "fp", "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                       F.when(F.col("n") == 0, F.col("doc_id"))
                       .when(F.col("doc_id").isNull(), F.lit(None))
-                      .otherwise(F.coalesce("comp", "doc_id")).cast("long").alias("component_id"))
+                      .otherwise(F.coalesce("comp", "doc_id")).cast("long").alias("component_id"), "text_hash")
 
 
 ORACLE = r"""

@@ -23,7 +23,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 @registered(QUERIES, "op1_exact_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @registered(QUERIES, "op2_mixing")
@@ -60,7 +60,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered(QUERIES, "op8_ngram_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @registered(QUERIES, "op9_licenses")

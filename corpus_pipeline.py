@@ -4,8 +4,9 @@ Every stage takes (spark, docs, sf_dir) and decides on all rows its predecessor
 kept; the frame it returns is written as Parquet and read again for the next.
 All but the last return the columns of ``documents``.
 
-Rows that repeat a doc_id, which is not a document's identifier then, go or stay
-together; a row without doc_id is kept by the duplicate stages.
+A row is known by its doc_id and text: rows that repeat a doc_id on different texts
+go or stay by themselves, and of rows equal in both one stays.  Exact copies go
+also where they have no doc_id; the near-duplicate stage keeps rows without one.
 """
 
 from __future__ import annotations
@@ -22,9 +23,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
+def with_hash(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the doc_ids of ``dropped``."""
-    return docs.select(*COLUMNS).join(dropped.select("doc_id"), "doc_id", "left_anti").select(*COLUMNS)
+    """``docs`` without the rows whose doc_id and text are those of ``dropped`` (doc_id, text_hash)."""
+    gone = dropped.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
+    return with_hash(docs).join(gone, same, "left_anti").select(*COLUMNS)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +41,15 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of equal texts."""
-    return without(docs, exact_dedup.exact_dedup(docs).where("not kept"))
+    rows = exact_dedup.exact_dedup(docs).groupBy("doc_id", "text_hash").agg(
+        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    rows = Scratch(spark, "distinct").keep(rows, "rows", repeated=F.count_if(F.col("stays") & (F.col("n") > 1)))
+    if not rows.measured["repeated"]:
+        return without(docs, rows.where("not stays"))
+    # rows that are equal in doc_id and text: one of them, the others as above
+    once = without(docs, rows.where("not stays or n > 1"))
+    again = without(docs, rows.where("not stays or n = 1"))
+    return once.unionByName(with_hash(again).dropDuplicates(["doc_id", "text_hash"]).drop("text_hash"))
 
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

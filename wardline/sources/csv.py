@@ -14,12 +14,12 @@ distinct header, not per file.
 
 What has to be known of the files before that - the header, whether quotes
 hold line breaks, and the types of the columns - comes from one aggregation
-over their lines (``Extract.of``): a row per file, in which each column is a
-set of flags, one per type that all its values so far convert to.  Such sets
-merge by AND, so they are a type lattice that splits and files combine in any order.
+over their lines (``Extract.of``): per file and column, how many values there are
+and how many do not convert to each type.  Such counts add up in any order,
+and a column has the first type that all its values convert to.
 A file in which some line has an odd number of quotes holds a quoted line
 break: its records are put together over its splits (``quoted``), so it stays
-splittable, and its types are taken from the records in a pass of their own.
+splittable, and its types are counted from the records in a pass of their own.
 """
 
 from __future__ import annotations
@@ -27,13 +27,15 @@ from __future__ import annotations
 import re
 from collections import OrderedDict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.sources.quoted import records, written
+
 # Extensions that the Hadoop codecs open, and how compressed files begin when read as text.
 COMPRESSED = (".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4")
 _MAGIC = {"\x1f\ufffd": "gzip", "BZh": "bzip2", "(\ufffd/\ufffd": "zstd"}
@@ -123,120 +125,107 @@ def _split_csv_line(line: str) -> list[str]:
 
 # --- what the lines tell --------------------------------------------------------
 
-#: Types that a column may get, in the order in which they are preferred.
-LATTICE = (T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType(), T.TimestampNTZType(), T.BooleanType())
-#: What a text must look like besides converting, as casts also take blanks, years as dates and the like.
-_LOOKS = {T.IntegerType(): r"^[+-]?\d+$", T.LongType(): r"^[+-]?\d+$",
-          T.DoubleType(): r"^([+-]?(\d|\.\d)[\d.]*([eE][+-]?\d+)?|NaN|[+-]?Infinity|[+-]?Inf)$",
-          T.DateType(): r"^\d{4}-\d{2}-\d{2}$", T.TimestampNTZType(): r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$",
-          T.BooleanType(): r"(?i)^(true|false)$"}
-EMPTY = 1 << len(LATTICE)  # the flag of a field without a value, which has all the others too
-FLAGS = len(LATTICE) + 1
-PER_LONG = 63 // FLAGS
-#: Columns whose flags are taken in the first pass; files with more of them are read once more.
-FIRST_COLUMNS = 18 * PER_LONG
-
-_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
-
-
-def _flags(field: Column) -> Column:
-    """The set of types that the text of a field converts to."""
-    text = F.when(field.startswith('"'), F.replace(F.substr(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
-                  ).otherwise(field)
-    fits = F.lit(0)
-    for i, dtype in enumerate(LATTICE):
-        fits = fits + F.when(text.rlike(_LOOKS[dtype]) & _typed(text, dtype).isNotNull(), 1 << i).otherwise(0)
-    return F.when(text == "", 2 * EMPTY - 1).otherwise(fits).cast("long")
-
-
-def _lattice(record: Column, columns: int) -> list[Column]:
-    """Aggregates: the flags of all columns that the records have in common, ``PER_LONG`` columns to a long."""
-    fields = F.transform(F.regexp_extract_all(F.rtrim(record, F.lit("\r")), F.lit(_FIELD), F.lit(1)), _flags)
-    out = []
-    for first in range(0, columns, PER_LONG):
-        packed = F.reduce(F.slice(fields, first + 1, PER_LONG), F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).alias("at")),
-                          lambda acc, f: F.struct((acc["sum"] + F.call_function("shiftleft", f, acc["at"])).alias("sum"),
-                                                  (acc["at"] + FLAGS).alias("at")), lambda acc: acc["sum"])
-        # columns that a line lacks have no value in it
-        have = F.least(F.greatest(F.size(fields) - first, F.lit(0)), F.lit(PER_LONG))
-        lacking = F.lit((1 << PER_LONG * FLAGS) - 1) - (F.call_function("shiftleft", F.lit(1).cast("long"), have * FLAGS) - 1)
-        out.append(F.bit_and(packed + lacking))
-    return out
+#: Types that a column may get, in the order in which they are preferred, and what a text must look
+#: like besides converting, as casts also take blanks, years as dates and the like.
+LATTICE = (
+    ("int", T.IntegerType(), r"^[+-]?\d+$"), ("long", T.LongType(), r"^[+-]?\d+$"),
+    ("double", T.DoubleType(), r"^([+-]?(\d|\.\d)[\d.]*([eE][+-]?\d+)?|NaN|[+-]?Infinity|[+-]?Inf)$"),
+    ("date", T.DateType(), r"^\d{4}-\d{2}-\d{2}$"),
+    ("stamp", T.TimestampNTZType(), r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$"),
+    ("boolean", T.BooleanType(), r"(?i)^(true|false)$"))
+_SEPARATOR = "\0"  # stands for the commas outside quotes
 
 
-def _types(longs: Sequence[int | None], columns: int) -> list[T.DataType | None]:
-    """The type of each column from its flags; None where no row has a value."""
-    out: list[T.DataType | None] = []
-    for c in range(columns):
-        word = longs[c // PER_LONG]
-        flags = (2 * EMPTY - 1) if word is None else word >> (c % PER_LONG * FLAGS) & (2 * EMPTY - 1)
-        out.append(None if flags & EMPTY else
-                   next((t for i, t in enumerate(LATTICE) if flags >> i & 1), T.StringType()))
-    return out
+def _fields(record: Column) -> Column:
+    """The texts of a record's fields, without quotes; an empty field is NULL."""
+    def text(raw: Column) -> Column:
+        inner = F.replace(F.substr(raw, F.lit(2), F.length(raw) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(raw.startswith('"'), inner).otherwise(raw), F.lit(""))
+    # between quotes every other part is outside them; a regular expression would recurse over long fields
+    parts = F.transform(F.split(F.rtrim(record, F.lit("\r")), '"', -1),
+                        lambda part, i: F.when(i % 2 == 0, F.replace(part, F.lit(","), F.lit(_SEPARATOR))).otherwise(part))
+    return F.transform(F.split(F.array_join(parts, '"'), _SEPARATOR, -1), text)
+
 
+def _misfits(text: Column) -> dict[str, Column]:
+    """Per type, whether a text does not convert to it; NULL, no value, converts to all."""
+    return {name: text.isNotNull() & ~(text.rlike(looks) & _typed(text, dtype).isNotNull()) for name, dtype, looks in LATTICE}
 
-def _merged(a: Sequence[int | None] | None, b: Sequence[int | None]) -> list[int | None]:
-    if a is None:
-        return list(b)
-    return [y if x is None else x if y is None else x & y for x, y in zip(a, b)]
+
+def _counted(lines: DataFrame, types: bool) -> DataFrame:
+    """f, pos and what was counted of it, for ``lines`` (f, split, value): one aggregation.
+
+    Per file and column (``pos``): values, and values that do not convert to each type; the header counts
+    like a record.  Facts of the file stand at pos 0: its first line, whether a line has an odd number of quotes,
+    and its lines.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    rows = lines.where(F.trim("value") != "").select(
+        "f", F.when(F.col("split") == 0, F.struct(F.monotonically_increasing_id().alias("at"), "value")).alias("first"),
+        (quotes % 2 == 1).alias("odd"), F.posexplode(_fields(F.col("value")) if types else F.array(F.lit(""))).alias("pos", "text"))
+    top = F.col("pos") == 0
+    counts = [F.count("text").alias("values"), *[F.count_if(m).alias(n) for n, m in _misfits(F.col("text")).items()]]
+    return rows.groupBy("f", "pos").agg(
+        F.min(F.when(top, F.col("first")))["value"].alias("first"), F.max(F.when(top, F.col("odd"))).alias("odd"),
+        F.count_if(top).alias("lines"), *(counts if types else []))
+
+
+def _layout_types(counted: DataFrame) -> dict[tuple[str, bool], dict[int, tuple]]:
+    """(first line, odd) -> position -> (has values, the types that all values have)."""
+    files = counted.where("pos = 0").select(F.col("f").alias("g"), F.col("first").alias("line"), F.col("odd").alias("broken"))
+    names = [n for n, _, _ in LATTICE]
+    sums = counted.join(files, F.col("f") == F.col("g")).groupBy("line", "broken", "pos").agg(
+        F.count(F.lit(1)).alias("files"), *[F.sum(c).alias(c) for c in ("values", *names)])
+    # the header of each file was counted too: take away what its text adds
+    own = sums.withColumn("own", F.get(_fields(F.col("line")), F.col("pos")))
+    there = F.when(F.col("own").isNotNull(), F.col("files")).otherwise(0)
+    less = {n: F.when(m, there).otherwise(0) for n, m in _misfits(F.col("own")).items()}
+    found = own.select("line", "broken", "pos", (F.col("values") > there).alias("some"),
+                       *[(F.col(n) == less[n]).alias(n) for n in names]).collect()  # a row per column of a layout
+    out: dict[tuple[str, bool], dict[int, tuple]] = {}
+    for r in found:
+        out.setdefault((r.line, r.broken), {})[r.pos] = (r.some, [n for n in names if r[n]])
+    return out
 
 
 @dataclass
 class Extract:
-    """The files of one table, grouped by (header, holds quoted line breaks).
+    """The files of one table, grouped by (header, holds quoted line breaks); ``filled`` groups have rows.
 
-    ``flags`` are the types' flags of each group (None where they are not known yet), ``rows`` whether
-    it has any line besides headers.
+    ``types`` has what the first pass found of a group's columns; groups with line breaks are not in it.
     """
     groups: "OrderedDict[tuple[tuple[str, ...], bool], list[str]]"
-    flags: "dict[tuple[tuple[str, ...], bool], list[int | None] | None]"
-    rows: "dict[tuple[tuple[str, ...], bool], bool]"
+    filled: set
+    types: dict
 
     @classmethod
     def of(cls, spark: SparkSession, path: "str | Extract", types: bool = False) -> "Extract":
-        """One pass over the lines of the files; with ``types`` it also takes the columns' flags."""
+        """One pass over the lines of the files; with ``types`` it counts what the columns convert to, too."""
         if isinstance(path, Extract):
             return path
-        files = [f for f, _ in list_files(spark, path)]
-        facts = _facts(spark, files, FIRST_COLUMNS if types else 0) if files else {}
-        out = cls(OrderedDict(), {}, {})
+        out, files = cls(OrderedDict(), set(), {}), [f for f, _ in list_files(spark, path)]
+        if not files:
+            return out
+        counted = written(_counted(_text(spark, files), types), "csv-facts")
+        facts = {_name(unquote(r.f)): r for r in counted.where("pos = 0").select("f", "first", "odd", "lines").collect()}
+        found = _layout_types(counted) if types else {}
         for f in files:
-            line, broken, some, longs = facts.get(_name(f), (None, False, False, []))
-            header = tuple(_header(line, f))
+            fact = facts.get(_name(f))
+            header = tuple(_header(fact.first if fact else None, f))
             if not header:
                 continue
-            key = (header, broken)
-            known = types and not broken and len(header) <= FIRST_COLUMNS
+            key = (header, fact.odd)
             out.groups.setdefault(key, []).append(f)
-            out.flags[key] = _merged(out.flags.get(key), longs) if known else None
-            out.rows[key] = out.rows.get(key, False) or some
+            if fact.lines > 1:
+                out.filled.add(key)
+            if types and not fact.odd:
+                out.types.setdefault(key, {})[fact.first] = found[fact.first, False]
         return out
 
 
-def _facts(spark: SparkSession, files: list[str], columns: int) -> dict[str, tuple]:
-    """Of each file: its first line, whether a line has odd quotes, whether it has other lines, and the flags."""
-    order = F.monotonically_increasing_id()
-    first = F.min(F.when(F.col("split") == 0, F.struct("at", "value")))
-    lines = (spark.read.text(files).select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("split"),
-        order.alias("at"), "value"))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    whole = F.trim("value") != ""
-    # the header is not a record: the first line of the first split, told by the place of the row before it
-    body = F.when(whole & ~((F.col("split") == 0) & (F.col("at") == F.col("head"))), F.col("value"))
-    heads = F.min("at")
-    if columns:
-        # the least place of a file's first split marks its header, known per task as a file's first lines are in one
-        marked = lines.withColumn("head", F.lit(None).cast("long"))
-        del marked, heads, body
-    flags = [c.alias(f"l{i}") for i, c in enumerate(_lattice(F.when(whole, F.col("value")), columns))] if columns else []
-    rows = lines.groupBy("f", (F.col("split") == 0).alias("start"), F.lit(0).alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    del rows
-    got = lines.groupBy("f").agg(first.alias("first"), F.max(quotes % 2 == 1).alias("broken"),
-                                 F.count_if(whole).alias("n"), *flags).collect()  # a row per file
-    from urllib.parse import unquote
-    return {_name(unquote(r.f)): (r.first.value if r.first else None, r.broken, r.n > 1, [r[f"l{i}"] for i in range(len(flags))])
-            for r in got}
+def _text(spark: SparkSession, files: list[str]) -> DataFrame:
+    return spark.read.text(files).select(F.col("_metadata.file_path").alias("f"),
+                                         F.col("_metadata.file_block_start").alias("split"), "value")
 
 
 def _name(path: str) -> str:
@@ -269,7 +258,10 @@ def scan_csv(spark: SparkSession, path: "str | Extract", options: dict | None =
         unique = len({h.lower() for h in header}) == len(header)
         names = list(header) if unique else [f"_c{i}" for i in range(len(header))]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        df = _reader(spark, {"multiLine": str(multi).lower(), **(options or {})}).schema(schema).csv(files)
+        if multi:
+            df = _broken(spark, files, names, options)
+        else:
+            df = _reader(spark, options).schema(schema).csv(files)
         frames.append(df.select(*[F.col(f"`{n}`").alias(h.lower()) for n, h in zip(names, header)]))
     out = frames[0]
     for f in frames[1:]:
@@ -277,6 +269,14 @@ def scan_csv(spark: SparkSession, path: "str | Extract", options: dict | None =
     return out
 
 
+def _broken(spark: SparkSession, files: list[str], names: list[str], options: dict | None) -> DataFrame:
+    """The rows of files with quoted line breaks, parsed record by record."""
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    parsed = F.from_csv("record", schema, {**CSV_OPTIONS, **(options or {}), "header": "false", "multiLine": "true"})
+    body = records(spark, files).where((F.trim("record") != "") & ~F.col("header"))
+    return body.select(parsed.alias("r")).select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
+
+
 # Numeric types from narrow to wide, for columns that two layouts type differently.
 _WIDER = (T.IntegerType(), T.LongType(), T.DoubleType())
 
@@ -295,42 +295,38 @@ def infer_schema(spark: SparkSession, path: "str | Extract", strings: Sequence[s
                  options: dict | None = None) -> T.StructType:
     """Schema inferred from all rows of all files, in file column order, lower-case names.
 
-    Inference runs per header layout (Spark binds inferred types by
-    position), one pass over the data in all, and is merged by name: numbers
+    Types come from the counts of the pass that also read the headers; files with
+    quoted line breaks are counted record by record.  Layouts are merged by name: numbers
     widen, a column typed otherwise in two layouts becomes string, a column
     without values in one layout takes the other's type.  Identifier-, code- and
     zip-like columns are pinned to string: inference would turn numeric-looking
     ids into numbers and drop zip leading zeros.  Timestamps are TIMESTAMP_NTZ.
     """
     merged: OrderedDict[str, T.DataType | None] = OrderedDict()
-    for (header, multi), files in Extract.of(spark, path).groups.items():
-        opts = {**CSV_OPTIONS, "multiLine": str(multi).lower(), **(options or {}), "inferSchema": "true",
-                "samplingRatio": "1.0", "mode": "PERMISSIVE",
-                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]"}
-        r = spark.read
-        for k, v in opts.items():
-            r = r.option(k, v)
-        read = r.option("header", "true").csv(files)
-        empty = _columns_without_values(read)
-        for f, given in zip(read.schema.fields, header):
+    extract = Extract.of(spark, path, types=True)
+    kinds = {n: dtype for n, dtype, _ in LATTICE}
+    for key, files in extract.groups.items():
+        header, multi = key
+        layouts = list(extract.types.get(key, {}).values()) or _read_types(spark, files, multi)
+        for i, given in enumerate(header):
             name = given.lower()
-            dtype = T.StringType() if _is_string_hint(name, strings) else f.dataType
-            if isinstance(dtype, T.TimestampType):
-                dtype = T.TimestampNTZType()
-            if isinstance(dtype, T.NullType) or (f.name in empty and isinstance(dtype, T.StringType)):
+            of = [found[i] for found in layouts if i in found]
+            fits = [n for n in kinds if all(n in f for _, f in of)]
+            dtype = T.StringType() if _is_string_hint(name, strings) or not fits else kinds[fits[0]]
+            if not any(some for some, _ in of):
                 merged.setdefault(name, None)
             else:
                 merged[name] = dtype if merged.get(name) is None else _common(merged[name], dtype)
     return T.StructType([T.StructField(n, t or T.StringType(), True) for n, t in merged.items()])
 
 
-def _columns_without_values(df: DataFrame) -> set[str]:
-    """String columns of ``df`` in which no row has a value."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not text:
-        return set()
-    row = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(text)]).first()
-    return {c for i, c in enumerate(text) if not row[f"_{i}"]}
+def _read_types(spark: SparkSession, files: list[str], multi: bool) -> list[dict[int, tuple]]:
+    """What the columns of ``files`` convert to, where the first pass has not counted it."""
+    if multi:
+        lines = records(spark, files).select(F.col("file").cast("string").alias("f"), "split", F.col("record").alias("value"))
+    else:
+        lines = _text(spark, files)
+    return list(_layout_types(written(_counted(lines, True), "csv-types")).values())
 
 
 _OFFSET = r"\d{2}:\d{2}.*(Z|[+-]\d{2}(:?\d{2})?)$"
@@ -414,8 +410,8 @@ def load_raw_all(spark: SparkSession, src_dir: str, dst_root: str, tables: Itera
         raise FileNotFoundError(f"not in {src_dir}: " + ", ".join(f"{t}.csv" for t in missing))
     loaded: dict[str, DataFrame] = {}
     for table, (path, size, compressed) in found.items():
-        extract = Extract.of(spark, path)
-        if not extract.groups or scan_csv(spark, extract).isEmpty():
+        extract = Extract.of(spark, path, types=True)
+        if not extract.filled:
             continue  # header only: nothing to load
         df = load_by_name(spark, extract, infer_schema(spark, extract))
         if compressed:

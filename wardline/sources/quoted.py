@@ -24,6 +24,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardline.operators.joins import bounded_broadcast
+from wardline.session import scratch_path
+
 
 def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
     """file, split (its first byte), value of every line; lines end with \\n alone, as \\r may stand inside quotes."""
@@ -76,13 +79,17 @@ def splits_of(lines: DataFrame) -> DataFrame:
     return lines.mapInArrow(run, "file long, split long, parity int, closes boolean, head string")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A small result, written to the shared folder and read back, as several steps read it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def records(spark: SparkSession, files: list[str]) -> DataFrame:
-    """file, split, record: the records of ``files`` (headers too), each from the split that it begins in."""
+    """file, split, record, header: the records of ``files`` (first lines too, marked), each from the split that it begins in."""
     lines = _lines(spark, files)
-    from wardline.session import scratch_path
-    path = scratch_path(spark, "quoted-splits")
-    splits_of(lines).write.parquet(path)
-    splits = spark.read.parquet(path)
+    splits = written(splits_of(lines), "quoted-splits")
     w = Window.partitionBy("file").orderBy("split")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     scanned = splits.select(
@@ -96,13 +103,16 @@ def records(spark: SparkSession, files: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, skipping, held = None, False, []  # whether the split's first lines are another's; lines of an open record
         for batch in batches:
+            if not batch.num_rows:
+                continue
             odd, begins = _odd(batch), batch.column("inside").to_numpy(zero_copy_only=False)
-            whole, made = np.zeros(batch.num_rows, bool), []
+            whole, made, heads = np.zeros(batch.num_rows, bool), [], np.zeros(batch.num_rows, bool)
             for k, a, b in _runs(batch):
                 if k != key:
                     if held:
                         made.append((*key, "\n".join(held), True))
                     key, skipping, held = k, bool(begins[a]), []
+                    heads[a] = k[1] == 0  # a file's first line
                 ends = np.flatnonzero(odd[a:b]) + a
                 at = a
                 if skipping:
@@ -123,7 +133,7 @@ def records(spark: SparkSession, files: list[str]) -> DataFrame:
                     whole[at:b] = True
             lines_ = batch.filter(pa.array(whole))
             yield rows(lines_.column("file"), lines_.column("split"), lines_.column("value"),
-                       pa.array(np.zeros(lines_.num_rows, bool)))
+                       pa.array(np.zeros(lines_.num_rows, bool)), pa.array(heads[whole]))
             if made:
                 yield told(made)
         if held:
@@ -131,17 +141,18 @@ def records(spark: SparkSession, files: list[str]) -> DataFrame:
 
     def told(made: list) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_())
-        return rows(*[pa.array([m[i] for m in made], t) for i, t in enumerate(kinds)])
+        return rows(*[pa.array([m[i] for m in made], t) for i, t in enumerate(kinds)], pa.array([False] * len(made)))
 
     def rows(*columns: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(list(columns), names=["file", "split", "record", "open"])
+        return pa.RecordBatch.from_arrays(list(columns), names=["file", "split", "record", "open", "header"])
 
     # one small row per split (at least ``spark.sql.files.maxPartitionBytes`` of text each); a join that
     # shuffles would lose the order of the lines
     starts = F.broadcast(scanned.select(F.col("file").alias("sf"), F.col("split").alias("ss"), "inside"))
     placed = lines.join(starts, (F.col("file") == F.col("sf")) & (F.col("split") == F.col("ss")))
     given = placed.select("file", "split", "value", "inside").mapInArrow(
-        run, "file long, split long, record string, open boolean")
-    whole = given.join(rest, F.col("open") & (F.col("file") == F.col("rf")) & (F.col("split") == F.col("rs")), "left")
+        run, "file long, split long, record string, open boolean, header boolean")
+    # broadcast if its measured size allows, so that the records themselves are not shuffled
+    whole = given.join(bounded_broadcast(written(rest, "quoted-rests")), F.col("open") & (F.col("file") == F.col("rf")) & (F.col("split") == F.col("rs")), "left")
     record = F.when(F.col("rest").isNotNull(), F.concat_ws("\n", "record", "rest")).otherwise(F.col("record"))
-    return whole.select("file", "split", F.regexp_replace(record, "\r$", "").alias("record"))
+    return whole.select("file", "split", F.regexp_replace(record, "\r$", "").alias("record"), "header")

@@ -80,6 +80,21 @@ def test_table_versions_and_pointer(spark, tmp_dir):
     assert len(versions) == 2 and read_table(spark, tmp_dir, "t").count() == 12
 
 
+def test_pruning_leaves_a_version_that_another_writer_still_holds(spark, tmp_dir):
+    import os
+
+    from wardline.plans.sinks import publish_pointer
+    slow = f"{tmp_dir}/t/v0000-slow"  # begun first, published last
+    spark.range(7).write.parquet(slow)
+    for n in range(4):
+        write_table(spark.range(n), tmp_dir, "t", keep_versions=2)
+    assert os.path.isdir(slow) and read_table(spark, tmp_dir, "t").count() == 3
+    publish_pointer(spark, f"{tmp_dir}/t", "v0000-slow", keep=None)
+    assert read_table(spark, tmp_dir, "t").count() == 7
+    write_table(spark.range(9), tmp_dir, "t", keep_versions=1)
+    assert not os.path.isdir(slow) and len([v for v in os.listdir(f"{tmp_dir}/t") if v.startswith("v")]) == 1
+
+
 def test_pointer_publication(spark, tmp_dir):
     import os
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 POINTER = "_CURRENT"
@@ -36,36 +37,45 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
         reader.close()
 
 
-def publish_pointer(spark: SparkSession, folder: str, value: str, keep: int = 3) -> None:
+def publish_pointer(spark: SparkSession, folder: str, value: str, keep: int | None = 3) -> None:
     """Point ``folder`` at ``value`` without a moment of no pointer.
 
-    Each publication is a new file ``_CURRENT-<millis>-<id>`` (written under a
-    temporary name, then renamed, so it appears complete); readers take the
-    newest.  Older pointer files are removed only after the new one exists.
+    Each publication is a new file ``_CURRENT-<number>``, one above the last;
+    readers take the highest that is complete.  The file is created only if it does not exist,
+    so of two publishers one gets a number and the other the next, whatever
+    their clocks say.  Older pointer files are removed only after the new one
+    exists (``keep=None``: not at all).
     """
     fs, root, jvm = _fs(spark, folder)
     fs.mkdirs(root)
-    name = f"{POINTER}-{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
-    tmp = jvm.org.apache.hadoop.fs.Path(root, f".tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, False)
+    for _ in range(100):
+        last = _pointers(fs, root)[-1:]
+        number = int(last[0].split("-")[1]) + 1 if last else 1
+        try:
+            out = fs.create(jvm.org.apache.hadoop.fs.Path(root, f"{POINTER}-{number:013d}"), False)
+            break
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName() and "already exists" not in str(e.java_exception):
+                raise
+    else:
+        raise OSError(f"could not publish a pointer in {folder}")
     out.write(bytearray(value.encode("utf-8")))
     out.close()
-    if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(root, name)):
-        raise OSError(f"could not publish a pointer in {folder}")
-    pointers = sorted(st.getPath().getName() for st in fs.listStatus(root)
-                      if st.getPath().getName().startswith(f"{POINTER}-"))
-    for old in pointers[:-max(1, keep)]:
+    for old in _pointers(fs, root)[:-max(1, keep)] if keep is not None else []:
         fs.delete(jvm.org.apache.hadoop.fs.Path(root, old), False)
 
 
+def _pointers(fs, root) -> list[str]:
+    """Names of the pointer files, oldest first."""
+    return sorted(st.getPath().getName() for st in fs.listStatus(root) if st.getPath().getName().startswith(f"{POINTER}-"))
+
+
 def current_pointer(spark: SparkSession, folder: str) -> str | None:
     """The value of the newest pointer in ``folder`` (or of a single ``_CURRENT`` file)."""
     fs, root, jvm = _fs(spark, folder)
     if not fs.exists(root):
         return None
-    pointers = sorted((st.getPath().getName() for st in fs.listStatus(root)
-                       if st.getPath().getName().startswith(f"{POINTER}-")), reverse=True)
-    for name in pointers:
+    for name in reversed(_pointers(fs, root)):
         try:
             value = _read_text(spark, f"{folder.rstrip('/')}/{name}")
         except Exception:  # noqa: BLE001 - pruned by a concurrent writer: try the next one
@@ -105,25 +115,27 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: str | None =
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
-    publish_pointer(spark, f"{root.rstrip('/')}/{name}", version)
+    publish_pointer(spark, f"{root.rstrip('/')}/{name}", version, keep=None)
     if keep_versions:
         prune_versions(spark, root, name, keep_versions)
     return path
 
 
 def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> None:
-    """Delete all but the ``keep`` newest versions (the current one is always kept).
+    """Delete all but the ``keep`` last published versions, with their pointers.
 
     Keeping the previous version lets readers that resolved the pointer just
-    before a switch finish their scan.
+    before a switch finish their scan.  A version that no pointer names may still be
+    in the hands of another writer, so it is left alone.
     """
-    fs, table, _ = _fs(spark, f"{root.rstrip('/')}/{name}")
-    current = current_pointer(spark, f"{root.rstrip('/')}/{name}")
-    versions = sorted(st.getPath().getName() for st in fs.listStatus(table)
-                      if st.isDirectory() and st.getPath().getName().startswith("v"))
-    for v in versions[:-max(1, keep)]:
-        if v != current:
-            fs.delete(_fs(spark, f"{root.rstrip('/')}/{name}/{v}")[1], True)
+    folder = f"{root.rstrip('/')}/{name}"
+    fs, table, jvm = _fs(spark, folder)
+    published = [(p, _read_text(spark, f"{folder}/{p}")) for p in _pointers(fs, table)]
+    kept = {version for _, version in published[-max(1, keep):]}
+    for pointer, version in published[:-max(1, keep)]:
+        if version and version not in kept:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(table, version), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(table, pointer), False)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

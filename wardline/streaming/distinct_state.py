@@ -29,8 +29,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-DICTIONARY_PARTS = 32
-BITMAP_PARTS = 64
+#: Parts of the dictionary and of the bitmaps: the setting, read when a state begins, and its default.  A
+#: part should hold a few hundred megabytes at most.
+PARTS_CONF = "wardline.distinct.parts"
+PARTS = "8,16"
 MERGE_AT = 16
 
 DICTIONARY = "patient_id string, code long"
@@ -127,8 +129,9 @@ def _grown(versions: dict[int, list[int]], touched: list[int], merged: list[int]
 
 
 def add_pairs(spark: SparkSession, pairs: DataFrame, batch_id: int, root: str, merge_at: int = MERGE_AT,
-              parts: tuple[int, int] = (DICTIONARY_PARTS, BITMAP_PARTS)) -> DataFrame:
+              parts: tuple[int, int] | None = None) -> DataFrame:
     """Add the (organization_id, patient_id) of a batch; organization_id and how many of its patients are new."""
+    parts = parts or tuple(int(n) for n in spark.conf.get(PARTS_CONF, PARTS).split(","))
     _forget(spark, root, batch_id)
     earlier = [b for b in _manifests(spark, root) if b < batch_id]
     m = _read(spark, root, earlier[-1]) if earlier else Manifest(parts)

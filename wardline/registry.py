@@ -339,6 +339,33 @@ def _multiset_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
                          conditions.filter(F.col("stop").isNull() | (F.col("stop") >= cutoff)))
 
 
+def _tracked_tables_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters (by id), conditions and medications (as multisets) tracked as two snapshots, compared by fingerprints."""
+    from functools import reduce
+
+    from wardline.operators.fingerprints import commit_tracked, tracked_diff
+    from wardline.session import scratch_path
+    raw = graph(spark, sf_dir).raw
+    cutoff = F.lit(EXTRACT_CUTOFF).cast("timestamp_ntz")
+    snapshots = {"encounters": (*_changed_snapshots(graph(spark, sf_dir)), "id")}
+    for name in ("conditions", "medications"):
+        rows = raw[name]
+        snapshots[name] = (rows.filter(F.col("start") < cutoff),
+                           rows.filter(F.col("stop").isNull() | (F.col("stop") >= cutoff)), None)
+    parts = []
+    for name, (before, after, key) in snapshots.items():
+        folder = scratch_path(spark, f"tracked-{name}")
+        for snapshot_id, df in (("1", before), ("2", after)):
+            commit_tracked(df, folder, snapshot_id, key, buckets=32)
+        changes = tracked_diff(spark, folder, "1", "2", key)
+        of_row = [F.col(c).cast("string") for c in ("patient", "encounter", "code", "start", "stop")]
+        parts.append(changes.select(
+            F.lit(name).alias("table_name"), (F.col(key) if key else F.concat_ws("|", *of_row)).alias("row_key"), "cdc_action",
+            (F.col("cdc_is_update") if key else F.lit(False)).alias("cdc_is_update"),
+            (F.lit(1) if key else F.col("cdc_rows")).cast("long").alias("cdc_rows")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _ingest_raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wardline.session import scratch_path
     from wardline.sources.testdata import raw_encounter_events
@@ -361,6 +388,7 @@ QUERIES.update({
     "organization_kpis_rt_incremental": _organization_kpis_rt("incremental"),
     "snapshot_change_stream": _snapshot_change_stream,
     "multiset_diff": _multiset_diff,
+    "tracked_tables_diff": _tracked_tables_diff,
     "ingest_raw_stream": _ingest_raw_stream,
 })
 ORACLE.update({
@@ -377,6 +405,7 @@ ORACLE.update({
         "dim_organizations", "organization_activity_stats"),
     "snapshot_change_stream": oracle.snapshot_stream_sql(),
     "multiset_diff": oracle.multiset_diff_sql(),
+    "tracked_tables_diff": oracle.tracked_tables_sql(),
     "ingest_raw_stream": oracle.encounter_events_sql("*"),
 })
 ORACLE["organization_kpis_rt_incremental"] = ORACLE["organization_kpis_rt"]

@@ -127,6 +127,23 @@ QUERIES.update({
 for _k in oracle.ANALYSES_SQL:
     ORACLE[_k] = oracle.analysis_sql(_k)
 
+#: SQL over registered views; the oracle runs it on the same names.
+VIEWS_SQL = """
+select p.state, s.encounter_code, count(*) as stays, count(distinct s.patient_id) as patients,
+  max(s.stay_sequence) as longest_sequence, min(s.admitted_at) as first_admission
+from {prefix}int_inpatient_stays s join {prefix}dim_patients p on s.patient_id = p.patient_id
+group by p.state, s.encounter_code"""
+
+
+def _views_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models registered as views, queried in SQL: the plan folds the views in."""
+    graph(spark, sf_dir).register_views(("int_inpatient_stays", "dim_patients"), prefix="wardline_")
+    return spark.sql(VIEWS_SQL.format(prefix="wardline_"))
+
+
+QUERIES["views_sql"] = _views_sql
+ORACLE["views_sql"] = oracle.with_ctes(VIEWS_SQL.format(prefix="").strip(), "int_inpatient_stays", "dim_patients")
+
 # data quality: every check of one kind over the model graph, then the report
 for _kind in ("unique", "not_null", "accepted_values", "relationships", "accepted_range"):
     QUERIES[f"dq_{_kind}"] = lambda spark, sf_dir, kind=_kind: Q.failures_of(

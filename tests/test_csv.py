@@ -160,3 +160,19 @@ def test_reload_keeps_two_versions(spark, tmp_dir):
     for _ in range(3):
         load_raw_all(spark, f"{tmp_dir}/src", f"{tmp_dir}/dst", ["orders"])
     assert len([d for d in os.listdir(f"{tmp_dir}/dst/orders") if d.startswith("v")]) == 2
+
+
+def test_counts_of_lines_are_aggregated_without_a_sort(spark, tmp_dir):
+    from wardline.sources import csv as C
+
+    for i in range(40):  # many small files in one task, some of them with a blank first line
+        _write(f"{tmp_dir}/many/{i}.csv{'.gz' if i % 2 else ''}", "\n" * (i % 3) + f"id,n{i % 4},day\n{i},{i},2020-01-0{1 + i % 9}\n7,,\n", gz=i % 2 == 1)
+    lines = C._text(spark, [f for f, _ in C.list_files(spark, f"{tmp_dir}/many")])
+    for df in (C._facts(lines), C._counted(lines)):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "Aggregate" in plan and "SortAggregate" not in plan
+    facts = {C._name(r.f).rpartition("/")[2]: r for r in C._facts(lines).collect()}
+    assert all(facts[f"{i}.csv{'.gz' if i % 2 else ''}"].first == f"id,n{i % 4},day" for i in range(40))
+    assert {(r.odd, r.lines) for r in facts.values()} == {(False, 3)}
+    assert [(f.name, f.dataType.simpleString()) for f in infer_schema(spark, f"{tmp_dir}/many").fields if f.name != "id"] == [
+        ("n0", "int"), ("day", "date"), ("n1", "int"), ("n2", "int"), ("n3", "int")]

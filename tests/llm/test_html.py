@@ -106,3 +106,46 @@ def test_deep_pages(spark):
     rows = [(i, f"http://deep.example/{i}", "<div>" * 5000 + f"deep {i}<p>Foot</p>") for i in range(4)]
     out = {r.page_id: r.text for r in H.extract(pages(spark, rows)).collect()}
     assert out == {i: f"deep {i}" for i in range(4)}
+
+
+def test_template_inside_marked_articles(spark):
+    rows = [(i, f"http://m.example/{i}", f"<article><p>Same lead</p><p>news {i}</p><div><div>Read our letter</div></div></article>")
+            for i in range(5)]
+    rows += [(20 + i, f"http://n.example/{i}", f"<main><div>Notice {i // 4}</div><p>text {i}</p></main>") for i in range(5)]
+    out = {r.page_id: r.text for r in H.extract(pages(spark, rows)).collect()}
+    assert all(out[i] == f"Same lead\nnews {i}" for i in range(5))  # the slot of the letter holds nothing else
+    assert all(out[20 + i] == f"Notice {i // 4}\ntext {i}" for i in range(5))  # a node whose text varies is no slot
+
+
+def _plain_match(a, b):
+    if a.sig != b.sig:
+        return 0, {}
+    best = {(0, j): (0, {}) for j in range(len(b.children) + 1)} | {(i, 0): (0, {}) for i in range(len(a.children) + 1)}
+    for i, c in enumerate(a.children, 1):
+        for j, d in enumerate(b.children, 1):
+            n, pairs = _plain_match(c, d)
+            both = (best[i - 1, j - 1][0] + n, best[i - 1, j - 1][1] | pairs)
+            best[i, j] = next(x for x in (best[i - 1, j], best[i, j - 1], both)
+                              if x[0] == max(best[i - 1, j][0], best[i, j - 1][0], both[0]))
+    n, pairs = best[len(a.children), len(b.children)]
+    return n + 1, pairs | {a.order: b.order}
+
+
+def test_matching_is_the_plain_one_and_wide_lists_are_cheap():
+    import random
+    rng = random.Random(3)
+    for _ in range(300):
+        trees = []
+        for _ in range(2):
+            rows, depth = [(0, "#", [])], 0
+            for _ in range(rng.randrange(12)):
+                depth = rng.randrange(1, depth + 2)
+                rows.append((depth, rng.choice("xyz"), []))
+            trees.append(H.unflat(rows))
+        memo, found = {}, {}
+        size, pairs = _plain_match(*trees)
+        assert H.match(*trees, memo) == size
+        H.mapping(*trees, memo, found)
+        assert found == pairs
+    wide = [H.unflat([(0, "#", []), *((1, "ph"[k % 2], []) for k in range(n))]) for n in (10_000, 9_001)]
+    assert H.Matching(*wide).size == 9_002

@@ -15,8 +15,10 @@ two of their three longest texts in common (the only long one, if it is at least
 half of the text).  Elements that name themselves as something else (menus,
 headers, footers, sidebars, notices, adverts, forms, comments, scripts) are left
 out by their tag or their class;
-if a page marks its article, all blocks inside stay and no others, so its text
-does not depend on the host's other pages; it is evidence for the unmarked ones.
+if a page marks its article, no blocks outside stay, and of those inside only
+slots of the template go: nodes where no page of the host has another text.  A text that is
+constant beside varying ones of its node, as a lead among paragraphs, stays there.
+Every page is aligned, counted and judged, marked or not.
 
 Pages are parsed once.  The parse leaves the page's content blocks and a small
 skeleton; only skeletons are shuffled, and a page is joined with the numbers of
@@ -303,46 +305,114 @@ def unflat(rows: list) -> Node:
     return path[0]
 
 
-def match(a: Node, b: Node, memo: dict) -> int:
-    """Simple tree matching: nodes of the largest top-down, order-keeping mapping of ``a`` onto ``b``."""
-    if a.sig != b.sig:
-        return 0
-    todo = [(a, b, False)]
+def shapes(root: Node, numbers: dict) -> dict[int, int]:
+    """Node number -> number of its subtree's shape; ``numbers`` gives equal subtrees of both trees one number."""
+    out, todo = {}, [(root, False)]
     while todo:
-        x, y, known = todo.pop()
-        key = (x.order, y.order)
-        if key in memo:
-            continue
-        if not known:  # the children's pairs first
-            todo.append((x, y, True))
-            todo += [(c, d, False) for c in x.children for d in y.children if c.sig == d.sig]
-            continue
-        best = [[0] * (len(y.children) + 1) for _ in range(len(x.children) + 1)]
-        for i, c in enumerate(x.children, 1):
-            row, above = best[i], best[i - 1]
-            for j, d in enumerate(y.children, 1):
-                row[j] = max(above[j], row[j - 1],
-                             above[j - 1] + (memo[c.order, d.order][0] if c.sig == d.sig else 0))
-        memo[key] = (best[-1][-1] + 1, best)
-    return memo[a.order, b.order][0]
+        node, known = todo.pop()
+        if not known and node.children:
+            todo.append((node, True))
+            todo += [(c, False) for c in node.children]
+        else:
+            out[node.order] = numbers.setdefault((node.sig, *(out[c.order] for c in node.children)), len(numbers))
+    return out
+
+
+class Matching:
+    """Simple tree matching: the largest top-down, order-keeping mapping of tree ``a`` onto ``b``.
+
+    Equal subtrees match whole, and equal subtrees at the head of two sibling lists match each other
+    (no mapping is larger), so only what follows them takes a table; a leaf takes none.
+    """
+
+    def __init__(self, a: Node, b: Node):
+        numbers: dict = {}
+        self.a, self.b, self.memo = a, b, {}
+        self.of_a, self.of_b = shapes(a, numbers), shapes(b, numbers)
+        self.sizes: dict[int, int] = {}
+        todo = [(a, False)]
+        while todo:
+            node, known = todo.pop()
+            if not known and node.children:
+                todo.append((node, True))
+                todo += [(c, False) for c in node.children]
+            else:
+                self.sizes[node.order] = 1 + sum(self.sizes[c.order] for c in node.children)
+        self.size = 0 if a.sig != b.sig else self._solve()
+
+    def _head(self, x: Node, y: Node) -> int:
+        head = 0
+        for c, d in zip(x.children, y.children):
+            if self.of_a[c.order] != self.of_b[d.order]:
+                break
+            head += 1
+        return head
+
+    def _known(self, x: Node, y: Node) -> int | None:
+        """The size of the matching of two nodes of one kind, where it needs no table or has one."""
+        if self.of_a[x.order] == self.of_b[y.order]:
+            return self.sizes[x.order]
+        if not x.children or not y.children:
+            return 1
+        found = self.memo.get((x.order, y.order))
+        return None if found is None else found[0]
+
+    def _solve(self) -> int:
+        todo = [(self.a, self.b, False)]
+        while todo:
+            x, y, ready = todo.pop()
+            if self._known(x, y) is not None:
+                continue
+            head = self._head(x, y)
+            xs, ys = x.children[head:], y.children[head:]
+            if not ready:  # the children's pairs first
+                todo.append((x, y, True))
+                todo += [(c, d, False) for c in xs for d in ys if c.sig == d.sig and self._known(c, d) is None]
+                continue
+            best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+            for i, c in enumerate(xs, 1):
+                row, above = best[i], best[i - 1]
+                for j, d in enumerate(ys, 1):
+                    row[j] = max(above[j], row[j - 1], above[j - 1] + (self._known(c, d) if c.sig == d.sig else 0))
+            whole = 1 + best[-1][-1] + sum(self.sizes[c.order] for c in x.children[:head])
+            self.memo[x.order, y.order] = (whole, head, best)
+        return self._known(self.a, self.b)
+
+    def mapping(self) -> dict[int, int]:
+        """Node numbers of ``a`` -> of ``b``."""
+        out: dict[int, int] = {}
+        todo = [(self.a, self.b)] if self.size else []
+        while todo:
+            x, y = todo.pop()
+            out[x.order] = y.order
+            if self.of_a[x.order] == self.of_b[y.order]:
+                todo += zip(x.children, y.children)
+                continue
+            if not x.children or not y.children:
+                continue
+            _, head, best = self.memo[x.order, y.order]
+            todo += zip(x.children[:head], y.children[:head])
+            i, j = len(x.children) - head, len(y.children) - head
+            while i and j:
+                if best[i][j] == best[i - 1][j]:
+                    i -= 1
+                elif best[i][j] == best[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    todo.append((x.children[head + i], y.children[head + j]))
+        return out
+
+
+def match(a: Node, b: Node, memo: dict) -> int:
+    """The size of the matching of ``a`` and ``b``, which is left in ``memo`` for ``mapping``."""
+    memo[a, b] = Matching(a, b)
+    return memo[a, b].size
 
 
 def mapping(a: Node, b: Node, memo: dict, out: dict[int, int]) -> None:
     """The pairs of node numbers (of ``a``: of ``b``) that the matching maps."""
-    todo = [(a, b)]
-    while todo:
-        x, y = todo.pop()
-        out[x.order] = y.order
-        best = memo[x.order, y.order][1]
-        i, j = len(x.children), len(y.children)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                todo.append((x.children[i], y.children[j]))
+    out.update(memo[a, b].mapping())
 
 
 ROWS = "array<struct<depth: int, sig: string, items: array<struct<number: int, hash: long, skip: boolean>>>>"
@@ -431,8 +501,7 @@ def with_articles(trees: DataFrame, scratch: Scratch) -> DataFrame:
 def template_blocks(trees: DataFrame, scratch: Scratch) -> DataFrame:
     """page_id, page, template (numbers of the blocks that belong to the host's template), where there are any."""
     trees = trees.where(F.size("rows") > 1).select("page_id", "host", "page", "rows", "marked", "keys", "layout")
-    unmarked = trees.where("not marked").groupBy("host").agg(F.lit(1).alias("one"))  # the others need no template
-    trees = scratch.keep(with_articles(trees.join(unmarked, "host", "left_semi"), scratch).drop("keys"), "trees", "zstd")
+    trees = scratch.keep(with_articles(trees, scratch).drop("keys"), "trees", "zstd")
     refs = scratch.keep(trees.groupBy("host", "layout").agg(F.min_by("rows", F.struct("page_id", "page")).alias("ref")),
                         "references")
     texts = scratch.keep(aligned(trees.join(refs, ["host", "layout"])), "texts")
@@ -443,7 +512,13 @@ def template_blocks(trees: DataFrame, scratch: Scratch) -> DataFrame:
     constant = scratch.keep(
         counts.join(at, ["host", "node"]).where(F.col("n") >= F.least("articles", F.col("articles") * CONSTANT + MARGIN))
         .select("host", "node", "hash"), "template")
-    marked = (texts.where("not marked").join(constant, ["host", "node", "hash"])
+    # a node where no page has another text is a slot of the template, also inside an article
+    key = ["host", "node"]
+    stood = constant.select(*key).distinct()
+    varying = (texts.join(stood, key, "left_semi").join(constant, [*key, "hash"], "left_anti")
+               .groupBy(*key).agg(F.lit(True).alias("varies")))
+    found = texts.join(constant, [*key, "hash"]).join(varying, key, "left")
+    marked = (found.where(~F.col("marked") | F.col("varies").isNull())
               .groupBy(F.col("page_id").alias("m_id"), F.col("page").alias("m_page"))
               .agg(F.collect_set("number").alias("template")))
     out = scratch.keep(marked, "marked")

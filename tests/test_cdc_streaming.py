@@ -164,3 +164,21 @@ def test_streamed_rows_join_the_batch_raw_table(spark, tmp_dir):
     both = ModelGraph(spark, raw, as_of="2024-01-01").stg_encounters
     assert both.count() == g.stg_encounters.count() + events.count()
     assert both.filter(F.col("stopped_at").isNull()).count() >= events.count()  # columns the stream lacks are NULL
+
+
+def test_diffs_shuffle_each_row_once(spark):
+    old = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "id string, x int")
+    new = spark.createDataFrame([("b", 2), ("c", None), ("c", None)], "id string, x int")
+    same_size = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in same_size}
+    try:
+        for k, v in same_size.items():
+            spark.conf.set(k, v)
+        for df, shuffles in ((multiset_diff(old, new), 1), (snapshot_diff(old, new, "id"), 2)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(_row") + plan.count("Exchange hashpartitioning(id") == shuffles
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = {tuple(r) for r in multiset_diff(old, new).collect()}
+    assert got == {("a", 1, "DELETE", 1), ("b", 2, "DELETE", 1), ("c", None, "INSERT", 2)}

@@ -54,23 +54,21 @@ def _by_key(snapshot: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
             .agg(F.any_value(F.struct(*columns)).alias("_row"), F.count(F.lit(1)).alias("_n")))
     message = F.concat(F.lit(f"snapshot holds {key} "), F.col(key).cast("string"), F.lit(" more than once"))
     present = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    return rows.select(*[F.col(f"_row.`{x}`").alias(x) for x in columns], present.alias("_present"))
+    # the grouping key itself, so that the join needs no second shuffle
+    return rows.select(*[F.col(key) if x == key else F.col(f"_row.`{x}`").alias(x) for x in columns], present.alias("_present"))
 
 
 def multiset_diff(prev: DataFrame, curr: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Diff of keyless tables: per distinct row, how many copies were inserted or deleted.
 
     Returns the row's columns, ``cdc_action`` and ``cdc_rows`` (copies).
-    Rows are counted per snapshot with partial aggregation before the
-    join, so many copies of one row never meet in one task.
+    Copies of ``curr`` count 1 and those of ``prev`` -1 in one partial aggregation,
+    so the rows are shuffled once and many copies of one row never meet in one task.
     """
     cols = list(columns or curr.columns)
     row = F.struct(*[F.col(x) for x in cols]).alias("_row")
-    pc = prev.groupBy(row).agg(F.count(F.lit(1)).alias("_n")).alias("p")
-    cc = curr.groupBy(row).agg(F.count(F.lit(1)).alias("_n")).alias("c")
-    j = pc.join(cc, F.col("p._row").eqNullSafe(F.col("c._row")), "full_outer")
-    delta = F.coalesce(F.col("c._n"), F.lit(0)) - F.coalesce(F.col("p._n"), F.lit(0))
-    return (j.select(F.coalesce(F.col("c._row"), F.col("p._row")).alias("_row"), delta.alias("_d"))
-            .filter(F.col("_d") != 0)
+    both = (curr.select(row, F.lit(1).cast("long").alias("_n"))
+            .unionByName(prev.select(row, F.lit(-1).cast("long").alias("_n"))))
+    return (both.groupBy("_row").agg(F.sum("_n").alias("_d")).filter(F.col("_d") != 0)
             .select("_row.*", F.when(F.col("_d") > 0, INSERT).otherwise(DELETE).alias("cdc_action"),
                     F.abs(F.col("_d")).alias("cdc_rows")))

@@ -51,3 +51,19 @@ def test_ordinal_fit_shares_weights():
     grades = np.maximum.accumulate(np.stack([grades]), 0)[0]
     w, cuts = X.fit_ordinal(np.arange(4000), np.zeros(4000, int), x, grades, 1, 2)
     assert w[0] > 1.5 and abs(cuts[0]) < 0.4 and 0.6 < (cuts[1] - cuts[0]) / w[0] < 1.4
+
+
+def test_design_matrix_is_that_of_sorted_rows():
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    data = [(rng.randrange(3), [rng.randrange(9) for _ in range(i % 4)], [rng.random() for _ in range(i % 4)], rng.randrange(40))
+            for i in range(200)]
+    parts = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.list_(pa.int32())),
+                                         pa.array([r[2] for r in part], pa.list_(pa.float64())), pa.array([r[3] for r in part], pa.int64())],
+                                        names=["grade", "idx", "val", "doc_id"]) for part in (data[:70], data[70:])]
+    grades, rows, cols, vals = X.design(pa.Table.from_batches(parts))
+    data.sort(key=lambda r: (r[3], *r[:3]))
+    assert grades.tolist() == [r[0] for r in data]
+    assert rows.tolist() == [i for i, r in enumerate(data) for _ in r[1]]
+    assert cols.tolist() == [c for r in data for c in r[1]] and vals.tolist() == [v for r in data for v in r[2]]

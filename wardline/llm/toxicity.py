@@ -29,6 +29,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -173,17 +174,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_fe
                  batch.column("doc_id").cast(pa.int64())], names=["grade", "idx", "val", "doc_id"])
 
     data = (texts.select("doc_id", "text", "grade")
-            .mapInArrow(vectors, "grade int, idx array<int>, val array<double>, doc_id long").collect())
-    data.sort(key=lambda r: (r.doc_id, r.grade, r.idx, r.val))  # the fit does not depend on partitions
-    rows = np.concatenate([np.full(len(r.idx), i) for i, r in enumerate(data)]).astype(int)
-    cols = np.concatenate([np.array(r.idx, int) for r in data])
-    vals = np.concatenate([np.array(r.val, float) for r in data])
+            .mapInArrow(vectors, "grade int, idx array<int>, val array<double>, doc_id long").toArrow())
     model.known.clear()
-    grades = np.array([r.grade for r in data])
+    grades, rows, cols, vals = design(data)
     model.weights, model.thresholds = fit_ordinal(rows, cols, vals, grades, 2 * len(model.index), 2)
     return model
 
 
+def design(data: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Grades, and row, column and value of every entry, of rows (grade, idx, val, doc_id) in an order that does not depend on partitions."""
+    ids, grades = data.column("doc_id").to_numpy(), data.column("grade").to_numpy()
+    order = np.lexsort((grades, ids))
+    edges = np.flatnonzero(np.diff(ids[order]) | np.diff(grades[order])) + 1
+    idx, val = data.column("idx"), data.column("val")
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(order)]):
+        if b - a > 1:  # rows of one doc_id and grade: by what they hold
+            order[a:b] = sorted(order[a:b].tolist(), key=lambda i: (idx[i].as_py(), val[i].as_py()))
+    data = data.take(pa.array(order)).combine_chunks()
+    idx, val = data.column("idx").combine_chunks(), data.column("val").combine_chunks()
+    rows = np.repeat(np.arange(len(order)), pc.list_value_length(idx).to_numpy())
+    return grades[order], rows, idx.flatten().to_numpy().astype(int), val.flatten().to_numpy().astype(float)
+
+
 def _counts(by: Counter) -> pa.RecordBatch:
     keys = list(by)
     return pa.RecordBatch.from_arrays(

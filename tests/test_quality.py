@@ -70,3 +70,22 @@ def test_local_suite(spark):
     rep = {r["check_name"]: r for r in Q.run_checks(spark, LOCAL_CHECKS, g.model).collect()}
     ov = rep["accepted_values_fct_readmissions_overlaps_next_stay"]
     assert ov["severity"] == "warn" and ov["status"] == "warn" and ov["failures"] == 1
+
+
+def test_orphans_are_counted_per_key_before_the_join(spark):
+    """The rows must not reach the join, however small the parent looks; NULL keys of either side match nothing."""
+    child = spark.range(1000).selectExpr("case when id % 10 = 0 then null else cast(id % 7 as string) end as k")
+    parent = spark.range(4).selectExpr("case when id < 3 then cast(id div 2 as string) end as pk")  # 0, 0, 1, NULL
+    found = Q.orphan_keys(child, "k", parent, "pk")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("count(1)")  # the count is below the join
+    want = {}
+    for i in range(1000):
+        if i % 10 and i % 7 > 1:
+            want[str(i % 7)] = want.get(str(i % 7), 0) + 1
+    assert {r["k"]: r["n_records"] for r in found.collect()} == want
+    check = Q.Check("relationships", "child", "k", to="parent", field="pk")
+    counts = Q.check_failure_counts([check], {"child": child, "parent": parent}.__getitem__)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("count(1)")
+    assert [r["failures"] for r in counts.collect()] == [sum(want.values())]

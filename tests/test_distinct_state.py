@@ -72,3 +72,13 @@ def test_a_batch_reads_only_the_parts_it_touches(spark, tmp_dir, monkeypatch):
     got = D.add_pairs(spark, _frame(spark, [("o7", "p7"), ("o7", "p8")]), 1, tmp_dir).collect()
     assert [(r.organization_id, r.distinct_patients) for r in got] == [("o7", 1)]
     assert all(len(parts) <= 2 for _, parts in read) and {t for t, _ in read} == {"dictionary", "bitmaps"}
+
+
+def test_bitmaps_grow_with_the_pairs(spark, tmp_dir):
+    """Many organizations with a few patients all over the dictionary: no row per pair that is wider than a long."""
+    rows = [(f"o{i}", f"p{(i * 37 + k * 101) % 500}") for i in range(300) for k in range(3)]
+    D.add_pairs(spark, _frame(spark, rows), 0, tmp_dir, parts=(2, 2))
+    m = D._read(spark, tmp_dir, 0)
+    kept = D.read_parts(spark, tmp_dir, "bitmaps", D.BITMAPS, m.bitmaps, sorted(m.bitmaps)).collect()
+    assert len(kept) <= len(set(rows)) and all(isinstance(r.bits, int) for r in kept)
+    assert sum(r.added for r in kept) == len(set(rows)) == sum((r.bits % 2 ** 64).bit_count() for r in kept)

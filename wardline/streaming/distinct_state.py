@@ -1,7 +1,9 @@
 """Exact distinct patients per organization as state that merges.
 
 Patients get dense numbers from a *dictionary*; the patients of an organization
-are a *bitmap* over these numbers, cut into buckets of 32,768.  Both are tables
+are a *bitmap* over these numbers, cut into buckets of 64: a row holds the bits of
+one bucket as a long, so there are never more rows than pairs, also where many
+organizations each have a few patients all over the dictionary.  Both are tables
 of parts by hash, and each part is a list of versions, one per batch that
 changed it:
 
@@ -36,7 +38,8 @@ PARTS = "8,16"
 MERGE_AT = 16
 
 DICTIONARY = "patient_id string, code long"
-BITMAPS = "organization_id string, bucket long, bits binary, added long"
+BITMAPS = "organization_id string, bucket long, bits long, added long"
+BUCKET = 64  # numbers per row of bitmaps: the bits of a long
 
 
 class Manifest:
@@ -76,6 +79,8 @@ def _read(spark: SparkSession, root: str, batch_id: int) -> Manifest:
         doc = json.loads(reader.readLine())
     finally:
         reader.close()
+    if doc.get("bucket") != BUCKET:
+        raise ValueError(f"the state in {root} has bitmaps of another layout; begin a new one")
     return Manifest(tuple(doc["parts"]), doc["dictionary"], doc["bitmaps"], doc["given"])
 
 
@@ -85,7 +90,7 @@ def _write(spark: SparkSession, root: str, batch_id: int, m: Manifest) -> None:
     tmp = jvm.org.apache.hadoop.fs.Path(path.getParent(), f".{uuid.uuid4().hex}")
     out = fs.create(tmp, False)
     out.write(bytearray(json.dumps({"parts": m.parts, "dictionary": m.dictionary, "bitmaps": m.bitmaps,
-                                    "given": m.given}).encode()))
+                                    "given": m.given, "bucket": BUCKET}).encode()))
     out.close()
     fs.delete(path, False)
     if not fs.rename(tmp, path):
@@ -156,10 +161,10 @@ def add_pairs(spark: SparkSession, pairs: DataFrame, batch_id: int, root: str, m
         for r in now.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect():
             given[r.part] = r.n
         # bits of the batch, and those that were there
-        code = F.col("code") + 1  # buckets and bits count from 1
+        bit = F.expr(f"shiftleft(1L, cast(code % {BUCKET} as int))")
         bits = (pairs.join(now.select("patient_id", "code"), "patient_id")
-                .groupBy("organization_id", F.bitmap_bucket_number(code).alias("bucket"))
-                .agg(F.bitmap_construct_agg(F.bitmap_bit_position(code)).alias("bits"))
+                .groupBy("organization_id", F.expr(f"code div {BUCKET}").alias("bucket"))
+                .agg(F.bit_or(bit).alias("bits"))
                 .withColumn("part", part_of(m.parts[1], "organization_id", "bucket")).persist())
         try:
             slots = sorted(r.part for r in bits.select("part").distinct().collect())
@@ -170,9 +175,9 @@ def add_pairs(spark: SparkSession, pairs: DataFrame, batch_id: int, root: str, m
                 read_parts(spark, root, "bitmaps", BITMAPS, m.bitmaps, joined))
             both = bits.select(*key, "bits", "part", F.lit(True).alias("new")).unionByName(
                 olds.select(*key, "bits", "part", F.lit(False).alias("new")))
-            old = F.bitmap_or_agg(F.when(F.col("new"), F.lit(bytearray(0))).otherwise(F.col("bits")))
+            old = F.bit_or(F.when(F.col("new"), F.lit(0).cast("long")).otherwise(F.col("bits")))
             after = both.groupBy(*key, "part").agg(
-                F.bitmap_or_agg("bits").alias("bits"), (F.bitmap_count(F.bitmap_or_agg("bits")) - F.bitmap_count(old)).alias("added"))
+                F.bit_or("bits").alias("bits"), (F.bit_count(F.bit_or("bits")) - F.bit_count(old)).cast("long").alias("added"))
             _put(after.where((F.col("added") > 0) | F.col("part").isin(joined)) if joined else after.where("added > 0"),
                  root, "bitmaps", batch_id)
         finally:

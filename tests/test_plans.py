@@ -108,3 +108,16 @@ def test_pointer_publication(spark, tmp_dir):
     with open(f"{tmp_dir}/legacy/_CURRENT", "w") as f:
         f.write("v1\n")
     assert current_pointer(spark, f"{tmp_dir}/legacy") == "v1"
+
+
+def test_partitions_follow_the_input(spark):
+    """The warehouse build shuffles into more partitions over more input, and leaves the session as it was."""
+    from wardline.session import scaled
+    from wardline.sources.testdata import input_bytes
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with scaled(spark, 64 << 30) as n:
+        assert n == 4096 and spark.conf.get(key) == "4096"
+    assert spark.conf.get(key) == before
+    with scaled(spark, input_bytes(spark, "/root/testdata/sf0.001")) as n:
+        assert n == int(before) and input_bytes(spark, "/root/testdata/sf0.001") > 0
